@@ -3,62 +3,92 @@
 The "euclidean" distance of the original jobs is the *squared* distance: the
 integer difference is taken first and then multiplied as a double.  Means are
 bigint literals so differences cannot overflow.
+
+Expressions are rendered as one SQL string and parsed once (a single JVM
+call), instead of being assembled from hundreds of Column calls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many means the argmin is unrolled into plain comparisons, which
-# stays inside whole-stage codegen; beyond it an array lambda keeps the
+# Up to this many means the argmin is unrolled into primitive comparisons,
+# which stay inside whole-stage codegen; beyond it an array lambda keeps the
 # generated code small.
-_UNROLL_LIMIT = 128
+UNROLL_LIMIT = 256
 
 
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
-def squared_distance(x: Column | str, y: Column | str, mx, my) -> Column:
-    """(x - mx)^2 + (y - my)^2 as a double; ``mx``/``my`` may be ints or columns."""
-    mx = F.lit(mx).cast("bigint") if isinstance(mx, int) else _as_col(mx)
-    my = F.lit(my).cast("bigint") if isinstance(my, int) else _as_col(my)
-    dx = (_as_col(x).cast("bigint") - mx).cast("double")
-    dy = (_as_col(y).cast("bigint") - my).cast("double")
-    return dx * dx + dy * dy
+def squared_distance_sql(x: str, y: str, mx: str, my: str) -> str:
+    """SQL text of (x - mx)^2 + (y - my)^2 as a double (identifiers or literals)."""
+    dx = f"CAST(CAST({x} AS BIGINT) - {mx} AS DOUBLE)"
+    dy = f"CAST(CAST({y} AS BIGINT) - {my} AS DOUBLE)"
+    return f"{dx} * {dx} + {dy} * {dy}"
+
+
+def squared_distance(x: str, y: str, mx: int, my: int) -> Column:
+    """Squared distance of columns ``x, y`` to the point ``(mx, my)``."""
+    return F.expr(squared_distance_sql(_ident(x), _ident(y), f"{int(mx)}L", f"{int(my)}L"))
 
 
-def nearest_index(x: Column | str, y: Column | str, means: Sequence[tuple[int, int]]) -> Column:
-    """Index of the nearest mean; ties go to the lowest index.
+def _lambda_nearest_sql(x: str, y: str, means: Sequence[tuple[int, int]]) -> str:
+    arr = "array(" + ", ".join(f"named_struct('mx', {int(a)}L, 'my', {int(b)}L)" for a, b in means) + ")"
+    dist = squared_distance_sql(_ident(x), _ident(y), "m.mx", "m.my")
+    return f"array_min(transform({arr}, (m, i) -> named_struct('d', {dist}, 'i', i))).i"
 
-    ``least(struct(d0, 0), struct(d1, 1), ...)`` orders by distance first and
-    by index second, which is exactly the "strictly smaller wins" scan.
+
+def nearest_index(x: str, y: str, means: Sequence[tuple[int, int]]) -> Column:
+    """Index of the nearest mean as one column expression; ties go to the lowest index.
+
+    ``least(struct(d0, 0), struct(d1, 1), ...)`` orders by distance and then
+    by index, which is exactly the "strictly smaller wins" scan.  For whole
+    tables prefer :func:`assign_nearest`, which evaluates faster.
     """
     if not means:
         raise ValueError("at least one mean is required")
     if len(means) == 1:
         return F.lit(0)
-    if len(means) <= _UNROLL_LIMIT:
-        cands = [
-            F.struct(squared_distance(x, y, int(mx), int(my)).alias("d"), F.lit(i).alias("i"))
-            for i, (mx, my) in enumerate(means)
-        ]
-        return F.least(*cands).getField("i")
-    arr = F.array(*[
-        F.struct(F.lit(int(mx)).cast("bigint").alias("mx"), F.lit(int(my)).cast("bigint").alias("my"))
-        for mx, my in means
-    ])
-    xc, yc = _as_col(x), _as_col(y)
-    scored = F.transform(
-        arr,
-        lambda m, i: F.struct(
-            squared_distance(xc, yc, m.getField("mx"), m.getField("my")).alias("d"), i.alias("i")
-        ),
+    if len(means) > UNROLL_LIMIT:
+        return F.expr(_lambda_nearest_sql(x, y, means))
+    parts = ", ".join(
+        f"named_struct('d', {squared_distance_sql(_ident(x), _ident(y), f'{int(a)}L', f'{int(b)}L')}, 'i', {i})"
+        for i, (a, b) in enumerate(means)
     )
-    return F.array_min(scored).getField("i")
+    return F.expr(f"least({parts}).i")
+
+
+def assign_nearest(df: DataFrame, means: Sequence[tuple[int, int]], column: str = "cluster",
+                   x: str = "x", y: str = "y") -> DataFrame:
+    """Add the index of the nearest mean (lowest index on ties) as ``column``.
+
+    The k distances are projected once as primitive double columns, then the
+    index is the first one equal to their ``least``.  This keeps the generated
+    code small and primitive (no struct per candidate).
+    """
+    if not means:
+        raise ValueError("at least one mean is required")
+    if len(means) == 1:
+        return df.withColumn(column, F.lit(0))
+    if len(means) > UNROLL_LIMIT:
+        return df.withColumn(column, F.expr(_lambda_nearest_sql(x, y, means)))
+    names = [f"__d{i}" for i in range(len(means))]
+    dists = [
+        F.expr(squared_distance_sql(_ident(x), _ident(y), f"{int(a)}L", f"{int(b)}L")).alias(n)
+        for n, (a, b) in zip(names, means)
+    ]
+    least = "least(" + ", ".join(names) + ")"
+    # The last index is the ELSE branch: the expression is then non-nullable,
+    # so joins on it infer no IS NOT NULL filter that would be pushed below
+    # this projection with every distance inlined.
+    whens = " ".join(f"WHEN {n} = {least} THEN {i}" for i, n in enumerate(names[:-1]))
+    pick = F.expr(f"CASE {whens} ELSE {len(names) - 1} END")
+    return df.select("*", *dists).withColumn(column, pick).drop(*names)
 
 
 def point_distance(a: tuple[int, int], b: tuple[int, int]) -> float:

@@ -10,19 +10,20 @@ Semantics kept from the original job:
   ``eta`` (strictly less stops); at most ``max_iterations`` passes; the means
   of the last pass are returned.
 
-Execution: vectors are materialised once with a reliable ``checkpoint()`` and
-compacted to distinct weighted points ``(x, y, w)`` (integer-exact, and far
+Execution: vectors are materialised once as Parquet in the shared checkpoint
+folder and compacted to distinct weighted points ``(x, y, w)`` (integer-exact, and far
 fewer rows: x takes one value per keyword).  Each pass is one aggregation
 whose map side reduces every task to at most k rows, so only k rows per task
 cross the shuffle and k rows reach the driver.  Every pass starts from the
-checkpointed points, so the plan does not grow with the pass count, and a
-lost executor only costs a re-read of checkpoint files.
+materialised points, so the plan does not grow with the pass count, and a
+lost executor only costs a re-read of those files.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +37,8 @@ from quarry.fixed import (
     SIMPLE_SAMPLE_SEED,
     STRATIFIED_SAMPLE_MIN_SPREAD,
 )
-from quarry.functions.geometry import nearest_index, point_distance
-from quarry.session import checkpoint_dir
+from quarry.functions.geometry import assign_nearest, point_distance
+from quarry.session import scratch_path
 
 MEANS_SCHEMA = T.StructType([
     T.StructField("idx", T.IntegerType(), False),
@@ -162,10 +163,16 @@ def weighted_points(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared checkpoint folder (cuts the lineage)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage like a reliable ``checkpoint()``, but computes the
+    plan only once (a checkpoint recomputes an unpersisted plan to write it)
+    and stores compressed columns that later scans can prune.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 @dataclass
@@ -185,8 +192,7 @@ class KMeansResult:
 
 def kmeans_pass(points: DataFrame, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """One Lloyd pass over weighted points; returns the new means."""
-    idx = nearest_index("x", "y", means).alias("idx")
-    sums = points.groupBy(idx).agg(
+    sums = assign_nearest(points, means, "idx").groupBy("idx").agg(
         F.expr("sum(CAST(x AS BIGINT) * w) div sum(w)").alias("mx"),
         F.expr("sum(CAST(y AS BIGINT) * w) div sum(w)").alias("my"),
     )
@@ -228,10 +234,12 @@ def kmeans(
 def prepare_points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Materialise the vectors once and derive the weighted points from them.
 
-    Returns ``(vectors, points)``, both checkpointed.
+    Returns ``(vectors, points)``, both written to the checkpoint folder; the
+    points are also kept in executor memory for the passes (a lost block is
+    re-read from the files, not recomputed from the source).
     """
-    vecs = materialize(vectors.select("id", "x", "y"))
-    points = materialize(weighted_points(vecs))
+    vecs = materialize(vectors.select("id", "x", "y"), "vectors")
+    points = materialize(weighted_points(vecs), "points").persist(StorageLevel.MEMORY_AND_DISK)
     return vecs, points
 
 
@@ -243,5 +251,5 @@ def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True) -> tu
 
 
 def assign_clusters(df: DataFrame, means: list[tuple[int, int]], column: str = "cluster") -> DataFrame:
-    """Add the index of the nearest mean."""
-    return df.withColumn(column, nearest_index("x", "y", means))
+    """Add the index of the nearest mean, lowest index on ties."""
+    return assign_nearest(df, means, column)

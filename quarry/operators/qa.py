@@ -54,26 +54,25 @@ def high_scores(postings: DataFrame) -> DataFrame:
 
     ``(id, tags, score, high_score)``: one row per question id that has at
     least one answer.  The maximum starts from 0, so a question whose answers
-    are all negative scores 0.
-
-    The aggregation is done *below* the join: answers are reduced to one max
-    per parent (partial max in every task, then one row per key), and
-    duplicate question ids are collapsed to the least ``(tags, score)``.  Both
-    sides come out hash-partitioned on the key, so the join adds no exchange
-    and never multiplies rows.
+    are all negative scores 0.  Duplicate question ids (the original keeps an
+    arbitrary one) keep the least ``(tags, score)``.
+
+    Plan: answers are reduced *below* the join to one max per parent (partial
+    max in every task, so a question with a third of all answers costs one row
+    per task), joined to the questions, and duplicate question ids are then
+    collapsed.  That last aggregate consumes the join's output, which is
+    already hash-partitioned and sorted by question id, so it adds neither a
+    shuffle nor a sort.
     """
     best = answers(postings).groupBy(F.col("parentId").alias("question_id")).agg(F.max("score").alias("best"))
-    q = (
-        questions(postings)
-        .groupBy(F.col("id").alias("question_id"))
-        .agg(F.min(F.struct("tags", "score")).alias("q"))
-    )
+    q = questions(postings).select(F.col("id").alias("question_id"), "tags", "score")
     joined = q.join(best, "question_id", "inner")
-    return joined.select(
+    picked = joined.groupBy("question_id").agg(F.min(F.struct("tags", "score", "best")).alias("q"))
+    return picked.select(
         F.col("question_id").alias("id"),
         F.col("q.tags").alias("tags"),
         F.col("q.score").alias("score"),
-        F.greatest(F.col("best"), F.lit(0)).alias("high_score"),
+        F.greatest(F.col("q.best"), F.lit(0)).alias("high_score"),
     )
 
 

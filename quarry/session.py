@@ -24,7 +24,11 @@ def build_session(
     """Create (or reuse) a session with the settings the operators assume.
 
     AQE stays on so small shuffles are coalesced and skewed join partitions are
-    split at run time; the UI is off because nothing may open a port.
+    split at run time.  Broadcasts are decided only at run time: the static
+    threshold (which trusts compressed file-size estimates) is off, and AQE
+    broadcasts a join side only after its shuffle has *measured* it below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  The UI is off because
+    nothing may open a port.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -34,6 +38,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",

@@ -6,8 +6,9 @@ Parsing is strict: an empty or malformed number and a line with the wrong
 number of fields fail the job, unlike the built-in CSV reader, which turns an
 empty number into NULL even in FAILFAST mode.
 
-Because columns are parsed lazily, a projection over the result only checks
-the columns it uses; ``read_diary`` itself returns every column.
+Every field of every line is parsed and checked, whatever a later projection
+uses (records are emitted through a Generate node, see
+``quarry.sources.rows``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.strict import fail_if, strict_double
+from quarry.sources.rows import emit_parsed
 
 DIARY_SEPARATOR = ","
 
@@ -48,7 +50,7 @@ def parse_diary_lines(lines: DataFrame, names: list[str], column: str = "value")
     width_msg = F.concat(F.lit(f"diary line does not have {n} fields: "), F.substring("line", 1, 120))
     cols = [fail_if(wrong_width, width_msg, F.get(f, 0)).alias(names[0])]
     cols += [strict_double(F.get(f, i), f"number in column {names[i]}").alias(names[i]) for i in range(1, n)]
-    return split.select(*cols)
+    return emit_parsed(split, cols)
 
 
 def read_diary(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:

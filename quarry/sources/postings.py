@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from quarry.fixed import POSTING_FIELD_SEPARATOR
 from quarry.functions.strict import fail_if, strict_int, strict_long
+from quarry.sources.rows import emit_parsed
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("postingType", T.IntegerType(), False),
@@ -46,14 +47,14 @@ def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
     too_short = n < 5
     short_msg = F.concat(F.lit("posting line has fewer than 5 fields: "), F.col("line"))
-    return fields.select(
+    return emit_parsed(fields, [
         fail_if(too_short, short_msg, strict_int(field(0), "posting type")).alias("postingType"),
         strict_long(field(1), "posting id").alias("id"),
         optional_int(2, "accepted answer id").alias("acceptedAnswer"),
         optional_int(3, "parent id").alias("parentId"),
         strict_int(field(4), "score").alias("score"),
         F.when(n >= 6, field(5)).alias("tags"),
-    )
+    ])
 
 
 def read_postings(spark: SparkSession, path: str | list[str]) -> DataFrame:
