@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many means the argmin is unrolled into primitive comparisons,
+# Up to this many means the distances are unrolled into primitive columns,
 # which stay inside whole-stage codegen; beyond it an array lambda keeps the
 # generated code small.
 UNROLL_LIMIT = 256
@@ -67,27 +67,26 @@ def assign_nearest(df: DataFrame, means: Sequence[tuple[int, int]], column: str
                    x: str = "x", y: str = "y") -> DataFrame:
     """Add the index of the nearest mean (lowest index on ties) as ``column``.
 
-    The k distances are projected once as primitive double columns, then the
-    index is the first one equal to their ``least``.  This keeps the generated
-    code small and primitive (no struct per candidate).
+    The k distances are projected once as primitive double columns; the index
+    is the first position holding their ``least``
+    (``array_position(array(d0..dk), least(d0..dk)) - 1``), which keeps the
+    generated code small and the tie rule exact.  The result is
+    non-nullable, so a join on it infers no IS NOT NULL filter that would be
+    pushed below this projection with every distance inlined.
     """
     if not means:
         raise ValueError("at least one mean is required")
     if len(means) == 1:
         return df.withColumn(column, F.lit(0))
     if len(means) > UNROLL_LIMIT:
-        return df.withColumn(column, F.expr(_lambda_nearest_sql(x, y, means)))
+        return df.withColumn(column, F.coalesce(F.expr(_lambda_nearest_sql(x, y, means)), F.lit(0)))
     names = [f"__d{i}" for i in range(len(means))]
     dists = [
         F.expr(squared_distance_sql(_ident(x), _ident(y), f"{int(a)}L", f"{int(b)}L")).alias(n)
         for n, (a, b) in zip(names, means)
     ]
-    least = "least(" + ", ".join(names) + ")"
-    # The last index is the ELSE branch: the expression is then non-nullable,
-    # so joins on it infer no IS NOT NULL filter that would be pushed below
-    # this projection with every distance inlined.
-    whens = " ".join(f"WHEN {n} = {least} THEN {i}" for i, n in enumerate(names[:-1]))
-    pick = F.expr(f"CASE {whens} ELSE {len(names) - 1} END")
+    arr = ", ".join(names)
+    pick = F.expr(f"CAST(coalesce(array_position(array({arr}), least({arr})), 1) - 1 AS INT)")
     return df.select("*", *dists).withColumn(column, pick).drop(*names)
 
 

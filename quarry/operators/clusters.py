@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.fixed import REPORT_HEADER, REPORT_LINE_FORMAT, REPORT_RULE, REPORT_TITLE
 from quarry.operators.kmeans import ClusterParams, assign_clusters
+from quarry.operators.qa import keyword_of
 
 SUMMARY_COLUMNS = ["lang_label", "lang_percent", "lang_percent_int", "cluster_size", "median_score"]
 
@@ -40,9 +41,8 @@ def cluster_summary(points: DataFrame, means: list[tuple[int, int]], params: Clu
     )
     medians = assigned.groupBy("cluster").agg(F.percentile("y", 0.5, F.col("w")).alias("median"))
 
-    kws = F.array(*[F.lit(k) for k in params.keywords])
     summary = dominance.join(medians, "cluster").select(
-        F.element_at(kws, F.expr(f"CAST(dom_x div {int(params.spread)} AS INT)") + 1).alias("lang_label"),
+        keyword_of("dom_x", params.keywords, params.spread).alias("lang_label"),
         (F.col("dom_n").cast("double") * F.lit(100.0) / F.col("cluster_size").cast("double")).alias("lang_percent"),
         (F.expr("dom_n div cluster_size").cast("double") * F.lit(100.0)).alias("lang_percent_int"),
         F.col("cluster_size"),

@@ -33,6 +33,14 @@ def ranked(counts: DataFrame) -> DataFrame:
     return counts.coalesce(1).orderBy(F.col(COUNT_COLUMN).desc(), F.col("keyword").asc())
 
 
+def ranking_list(ranking: DataFrame) -> list[tuple[str, int]]:
+    """A ranking as a local ``[(keyword, count), ...]`` list, in rank order.
+
+    Bounded by the keyword list, so collecting it is safe.
+    """
+    return [(r["keyword"], int(r[COUNT_COLUMN])) for r in ranking.collect()]
+
+
 def keyword_occurrences(articles: DataFrame, keyword: str) -> DataFrame:
     """Number of articles whose text contains ``keyword`` as a token (A1).
 

@@ -85,6 +85,13 @@ def keyword_index(tags: Column | str, keywords: Sequence[str]) -> Column:
     return F.when(pos > 0, (pos - 1).cast("int"))
 
 
+def keyword_of(x: Column | str, keywords: Sequence[str], spread: int) -> Column:
+    """Keyword encoded in a vector's x: ``keywords[x div spread]``."""
+    xc = F.col(x) if isinstance(x, str) else x
+    kws = F.array(*[F.lit(k) for k in keywords])
+    return F.element_at(kws, (F.floor(xc.cast("bigint") / F.lit(int(spread))).cast("int") + F.lit(1)))
+
+
 def vectors(scored: DataFrame, keywords: Sequence[str], spread: int) -> DataFrame:
     """``(id, x, y)`` with ``x = keyword index * spread`` and ``y = high_score``.
 
