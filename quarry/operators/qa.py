@@ -57,22 +57,26 @@ def high_scores(postings: DataFrame) -> DataFrame:
     are all negative scores 0.  Duplicate question ids (the original keeps an
     arbitrary one) keep the least ``(tags, score)``.
 
-    Plan: answers are reduced *below* the join to one max per parent (partial
-    max in every task, so a question with a third of all answers costs one row
-    per task), joined to the questions, and duplicate question ids are then
-    collapsed.  That last aggregate consumes the join's output, which is
-    already hash-partitioned and sorted by question id, so it adds neither a
-    shuffle nor a sort.
+    Both sides are reduced *below* the join, each with a map-side partial
+    aggregate: answers to one max per parent, questions to one row per id.  A
+    question owning a third of all answers, or an id repeated in a third of
+    all rows, therefore costs one row per task in the shuffle.  The question
+    side's aggregate is sort-based (its buffer holds a string); its output is
+    already sorted by id, so the sort-merge join adds no sort on that side,
+    and neither side needs another exchange.
     """
     best = answers(postings).groupBy(F.col("parentId").alias("question_id")).agg(F.max("score").alias("best"))
-    q = questions(postings).select(F.col("id").alias("question_id"), "tags", "score")
+    q = (
+        questions(postings)
+        .groupBy(F.col("id").alias("question_id"))
+        .agg(F.min(F.struct("tags", "score")).alias("q"))
+    )
     joined = q.join(best, "question_id", "inner")
-    picked = joined.groupBy("question_id").agg(F.min(F.struct("tags", "score", "best")).alias("q"))
-    return picked.select(
+    return joined.select(
         F.col("question_id").alias("id"),
         F.col("q.tags").alias("tags"),
         F.col("q.score").alias("score"),
-        F.greatest(F.col("q.best"), F.lit(0)).alias("high_score"),
+        F.greatest(F.col("best"), F.lit(0)).alias("high_score"),
     )
 
 
