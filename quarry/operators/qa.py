@@ -57,22 +57,28 @@ def high_scores(postings: DataFrame) -> DataFrame:
     are all negative scores 0.  Duplicate question ids (the original keeps an
     arbitrary one) keep the least ``(tags, score)``.
 
-    Both sides are reduced *below* the join, each with a map-side partial
-    aggregate: answers to one max per parent, questions to one row per id.  A
-    question owning a third of all answers, or an id repeated in a third of
-    all rows, therefore costs one row per task in the shuffle.  The question
-    side's aggregate is sort-based (its buffer holds a string); its output is
-    already sorted by id, so the sort-merge join adds no sort on that side,
-    and neither side needs another exchange.
+    The question-answer join is expressed as one aggregation keyed by the
+    question id (``id`` of a question, ``parentId`` of an answer): the max
+    answer score and the least question ``(tags, score)`` per key, keeping the
+    keys that have both (the inner join).  So the postings are scanned and
+    parsed once, not once per join side, and the map-side partial aggregate
+    collapses a question owning a third of all answers, or an id copied into
+    a third of all rows, to one row per task before the single shuffle.  The
+    aggregate is sort-based because its buffer holds the tag string.
     """
-    best = answers(postings).groupBy(F.col("parentId").alias("question_id")).agg(F.max("score").alias("best"))
-    q = (
-        questions(postings)
-        .groupBy(F.col("id").alias("question_id"))
-        .agg(F.min(F.struct("tags", "score")).alias("q"))
+    kind = F.col("postingType")
+    is_question = kind == 1
+    is_answer = (kind == 2) & F.col("parentId").isNotNull()
+    key = F.when(is_question, F.col("id")).when(is_answer, F.col("parentId"))
+    per_question = (
+        postings.where(is_question | is_answer)
+        .groupBy(key.alias("question_id"))
+        .agg(
+            F.max(F.when(is_answer, F.col("score"))).alias("best"),
+            F.min(F.when(is_question, F.struct("tags", "score"))).alias("q"),
+        )
     )
-    joined = q.join(best, "question_id", "inner")
-    return joined.select(
+    return per_question.where(F.col("best").isNotNull() & F.col("q").isNotNull()).select(
         F.col("question_id").alias("id"),
         F.col("q.tags").alias("tags"),
         F.col("q.score").alias("score"),

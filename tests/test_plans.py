@@ -32,9 +32,16 @@ def test_scan_ranking_is_one_scan(spark):
     assert "partial_count_if" in p or "partial_count" in p
 
 
-def test_answers_reduced_before_the_join(spark):
+def test_high_scores_scan_postings_once(spark):
     p = plan(catalog.question_high_scores(spark, SF))
-    assert "partial_max" in p
+    assert "partial_max" in p and "partial_min" in p
+    assert p.count("Scan parquet") == 2      # orders and lineitem, each once
+    assert p.count("Exchange") == 1
+    assert "Join" not in p
+
+
+def test_pairs_use_no_static_broadcast(spark):
+    p = plan(catalog.question_answer_pairs(spark, SF))
     assert "BroadcastExchange" not in p     # static broadcast is off; AQE decides on measured sizes
     assert "SortMergeJoin" in p
 
