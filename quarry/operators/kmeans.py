@@ -36,6 +36,12 @@ from quarry.fixed import (
     LANGUAGES,
     SIMPLE_SAMPLE_SEED,
     STRATIFIED_SAMPLE_MIN_SPREAD,
+    TRACE_CURRENT,
+    TRACE_DESIRED,
+    TRACE_ITERATION,
+    TRACE_MAX_REACHED,
+    TRACE_MEAN_LINE,
+    TRACE_MEANS,
 )
 from quarry.functions.geometry import assign_nearest, point_distance
 from quarry.session import scratch_path
@@ -189,6 +195,23 @@ class KMeansResult:
     def trace_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.history, TRACE_SCHEMA)
 
+    def trace_lines(self, eta: float) -> list[str]:
+        """The per-pass debug trace as text lines (I5); passes x k lines."""
+        lines: list[str] = []
+        for row in self.history:
+            it, idx, ox, oy, nx, ny, move, total = row
+            if idx == 0:
+                lines += [
+                    TRACE_ITERATION.format(iteration=it),
+                    TRACE_CURRENT.format(total=total),
+                    TRACE_DESIRED.format(eta=eta),
+                    TRACE_MEANS,
+                ]
+            lines.append(TRACE_MEAN_LINE.format(old=f"({ox},{oy})", new=f"({nx},{ny})", move=move))
+        if self.history and not self.converged:
+            lines.append(TRACE_MAX_REACHED)
+        return lines
+
 
 def kmeans_pass(points: DataFrame, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """One Lloyd pass over weighted points; returns the new means."""

@@ -160,3 +160,12 @@ def test_report_line_format(spark):
     )
     line = clusters.cluster_report(summary).first()["line"]
     assert line == "    -12  Java              (100.0%)         1234"
+
+
+def test_trace_lines(spark):
+    points = km.weighted_points(vecs(spark, [(0, 0), (0, 10), (100, 0), (100, 10)]))
+    p = km.ClusterParams(keywords=["a"], spread=100, kernels=2, eta=0.0, max_iterations=1)
+    lines = km.kmeans(points, [(0, 0), (100, 0)], p).trace_lines(p.eta)
+    assert lines[:4] == ["Iteration: 1", "  * current distance: 50.0", "  * desired distance: 0.0", "  * means:"]
+    assert lines[4] == "                  (0,0) ==>                (0,5)    distance:       25"
+    assert lines[-1] == "Reached max iterations!"
