@@ -1,0 +1,37 @@
+"""Skewed inputs: results stay exact when one key holds most rows."""
+
+import hashlib
+
+from quarry.operators import kmeans as km
+from quarry.operators import qa
+from quarry.sources.postings import POSTING_SCHEMA
+
+
+def test_hot_question_and_copied_ids(spark):
+    rows = [(1, 7, None, None, 0, "Java")] * 200              # one id copied 200 times
+    rows += [(1, 7, None, None, 0, "C#")]                      # a smaller tag among the copies
+    rows += [(2, 1000 + i, None, 7, (i * 37) % 101 - 50, None) for i in range(600)]   # hot question
+    rows += [(1, 8, None, None, 3, "Scala"), (2, 5000, None, 8, -4, None)]
+    df = spark.createDataFrame(rows, POSTING_SCHEMA).repartition(8)
+    got = sorted(tuple(r) for r in qa.high_scores(df).collect())
+    hot_best = max((i * 37) % 101 - 50 for i in range(600))
+    assert got == [(7, "C#", 0, max(hot_best, 0)), (8, "Scala", 3, 0)]
+    pairs = qa.question_answer_pairs(df)
+    assert pairs.where("question_id = 7").count() == 201 * 600
+    assert pairs.where("question_id = 8").count() == 1
+
+
+def test_stratified_sample_with_a_dominant_stratum(spark):
+    pts = [(i, 0, i % 50) for i in range(3000)] + [(3000 + i, 100, i) for i in range(5)]
+    vecs = spark.createDataFrame(pts, "id long, x int, y int").repartition(8)
+    p = km.ClusterParams(keywords=["a", "b"], spread=100 * 5, kernels=6)
+    got = sorted((r["x"], r["rank"], r["id"]) for r in km.stratified_sample(vecs, p).collect())
+
+    def order(i):
+        return (hashlib.md5(f"42{i}".encode()).hexdigest(), i)
+
+    expected = []
+    for x in (0, 100):
+        ids = sorted((i for i, xx, _ in pts if xx == x), key=order)[:3]
+        expected += [(x, r + 1, i) for r, i in enumerate(ids)]
+    assert got == sorted(expected)
