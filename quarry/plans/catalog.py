@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.operators import clusters, diary, keywords, kmeans, qa
 from quarry.plans import fixtures as fx
 from quarry.sources.diary import read_diary, read_header
-from quarry.sources.postings import parse_posting_lines
+from quarry.sources.postings import parse_posting_lines, read_postings
 from quarry.sources.text import parse_tagged_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def postings_parse(spark, sf_dir):
     return parsed_postings(spark, sf_dir)
 
 
+def postings_file_scan(spark, sf_dir):
+    return read_postings(spark, fx.write_posting_lines(spark, sf_dir))
+
+
 def question_answer_pairs(spark, sf_dir):
     return qa.question_answer_pairs(parsed_postings(spark, sf_dir))
 
@@ -150,6 +154,10 @@ def diary_summary(spark, sf_dir):
     return diary.summary_from(fx.diary(spark, sf_dir))
 
 
+def diary_summary_typed(spark, sf_dir):
+    return diary.summary_typed_by_position(diary.summary_typed(diary_summary(spark, sf_dir)))
+
+
 def diary_grouped(spark, sf_dir):
     return diary.grouped(diary_summary(spark, sf_dir))
 
@@ -171,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "keyword_rank_combined": keyword_rank_combined,
     "tagged_line_parse": tagged_line_parse,
     "postings_parse": postings_parse,
+    "postings_file_scan": postings_file_scan,
     "question_answer_pairs": question_answer_pairs,
     "question_high_scores": question_high_scores,
     "tag_vectors": tag_vectors,
@@ -185,6 +194,7 @@ QUERIES: dict[str, Query] = {
     "diary_read": diary_read,
     "diary_columns": diary_columns,
     "diary_summary": diary_summary,
+    "diary_summary_typed": diary_summary_typed,
     "diary_grouped": diary_grouped,
     "diary_grouped_sql": diary_grouped_sql,
     "diary_grouped_typed": diary_grouped_typed,

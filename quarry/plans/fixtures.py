@@ -1,8 +1,8 @@
 """Input shapes of the three jobs, derived from the driver's parquet tables.
 
 Everything here is a lazy DataFrame over the given tables (except the diary
-CSV, which is written once to shared storage), so the work of every query
-grows with the tables.
+CSV and the posting-line text file, which are written once to shared storage
+for the file-scan queries), so the work of every query grows with the tables.
 """
 
 from __future__ import annotations
@@ -99,6 +99,14 @@ def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(line.alias("value"))
 
 
+def write_posting_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Write the posting lines as a text file folder under the checkpoint
+    folder (shared storage on a cluster); returns the folder."""
+    path = scratch_path(spark, "posting-lines")
+    posting_lines(spark, sf_dir).write.text(path)
+    return path
+
+
 def diary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diary row per order: demographics from the order, activity minutes
     from the order's line quantities (0 when absent)."""

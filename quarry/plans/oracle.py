@@ -323,6 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "keyword_rank_combined": KEYWORD_RANK_FROM_HITS,
         "tagged_line_parse": TAGGED_LINE_PARSE,
         "postings_parse": POSTINGS_PARSE,
+        "postings_file_scan": POSTINGS_PARSE,
         "question_answer_pairs": QUESTION_ANSWER_PAIRS,
         "question_high_scores": QUESTION_HIGH_SCORES,
         "tag_vectors": tag_vectors_sql(),
@@ -337,6 +338,7 @@ def oracle_sql() -> dict[str, str]:
         "diary_read": DIARY_READ,
         "diary_columns": DIARY_COLUMNS,
         "diary_summary": DIARY_SUMMARY,
+        "diary_summary_typed": DIARY_SUMMARY,
         "diary_grouped": DIARY_GROUPED,
         "diary_grouped_sql": DIARY_GROUPED,
         "diary_grouped_typed": DIARY_GROUPED,
