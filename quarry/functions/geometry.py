@@ -63,31 +63,41 @@ def nearest_index(x: str, y: str, means: Sequence[tuple[int, int]]) -> Column:
     return F.expr(f"least({parts}).i")
 
 
-def assign_nearest(df: DataFrame, means: Sequence[tuple[int, int]], column: str = "cluster",
-                   x: str = "x", y: str = "y") -> DataFrame:
-    """Add the index of the nearest mean (lowest index on ties) as ``column``.
+def nearest_sql(x: str, y: str, means: Sequence[tuple[int, int]]) -> tuple[list[str], str]:
+    """SQL for the nearest-mean index: ``(distance projections, index expression)``.
 
-    The k distances are projected once as primitive double columns; the index
-    is the first position holding their ``least``
+    The k distances are projected once as primitive double columns
+    ``__d0..__dk``; the index is the first position holding their ``least``
     (``array_position(array(d0..dk), least(d0..dk)) - 1``), which keeps the
-    generated code small and the tie rule exact.  The result is
+    generated code small and the tie rule exact (lowest index).  The index is
     non-nullable, so a join on it infers no IS NOT NULL filter that would be
-    pushed below this projection with every distance inlined.
+    pushed below the projection with every distance inlined.
     """
     if not means:
         raise ValueError("at least one mean is required")
     if len(means) == 1:
-        return df.withColumn(column, F.lit(0))
+        return [], "0"
     if len(means) > UNROLL_LIMIT:
-        return df.withColumn(column, F.coalesce(F.expr(_lambda_nearest_sql(x, y, means)), F.lit(0)))
+        return [], f"coalesce({_lambda_nearest_sql(x, y, means)}, 0)"
     names = [f"__d{i}" for i in range(len(means))]
     dists = [
-        F.expr(squared_distance_sql(_ident(x), _ident(y), f"{int(a)}L", f"{int(b)}L")).alias(n)
+        f"{squared_distance_sql(_ident(x), _ident(y), f'{int(a)}L', f'{int(b)}L')} AS {n}"
         for n, (a, b) in zip(names, means)
     ]
     arr = ", ".join(names)
-    pick = F.expr(f"CAST(coalesce(array_position(array({arr}), least({arr})), 1) - 1 AS INT)")
-    return df.select("*", *dists).withColumn(column, pick).drop(*names)
+    return dists, f"CAST(coalesce(array_position(array({arr}), least({arr})), 1) - 1 AS INT)"
+
+
+def assign_nearest(df: DataFrame, means: Sequence[tuple[int, int]], column: str = "cluster",
+                   x: str = "x", y: str = "y") -> DataFrame:
+    """Add the index of the nearest mean (lowest index on ties) as ``column``.
+
+    Two ``selectExpr`` projections built from one SQL rendering (see
+    :func:`nearest_sql`), so each pass is analysed once per projection.
+    """
+    dists, pick = nearest_sql(x, y, means)
+    keep = [_ident(c) for c in df.columns if c != column]
+    return df.selectExpr(*keep, *dists).selectExpr(*keep, f"{pick} AS {_ident(column)}")
 
 
 def point_distance(a: tuple[int, int], b: tuple[int, int]) -> float:

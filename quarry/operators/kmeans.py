@@ -43,7 +43,7 @@ from quarry.fixed import (
     TRACE_MEAN_LINE,
     TRACE_MEANS,
 )
-from quarry.functions.geometry import assign_nearest, point_distance
+from quarry.functions.geometry import assign_nearest, nearest_sql, point_distance
 from quarry.session import scratch_path
 
 MEANS_SCHEMA = T.StructType([
@@ -214,10 +214,18 @@ class KMeansResult:
 
 
 def kmeans_pass(points: DataFrame, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """One Lloyd pass over weighted points; returns the new means."""
-    sums = assign_nearest(points, means, "idx").groupBy("idx").agg(
-        F.expr("sum(CAST(x AS BIGINT) * w) div sum(w)").alias("mx"),
-        F.expr("sum(CAST(y AS BIGINT) * w) div sum(w)").alias("my"),
+    """One Lloyd pass over weighted points; returns the new means.
+
+    Distances, the nearest index and the weighted coordinates are two
+    projections rendered as SQL text; the aggregation is partial per task, so
+    at most k rows per task cross the shuffle and k rows reach the driver.
+    """
+    dists, pick = nearest_sql("x", "y", means)
+    sums = (
+        points.selectExpr("x", "y", "w", *dists)
+        .selectExpr(f"{pick} AS idx", "CAST(x AS BIGINT) * w AS xw", "CAST(y AS BIGINT) * w AS yw", "w")
+        .groupBy("idx")
+        .agg(F.expr("sum(xw) div sum(w)").alias("mx"), F.expr("sum(yw) div sum(w)").alias("my"))
     )
     new = list(means)
     for r in sums.collect():  # at most k rows
