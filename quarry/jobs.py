@@ -50,7 +50,10 @@ def cluster_postings(postings: DataFrame, params: ClusterParams | None = None) -
     params = params or ClusterParams()
     vecs = qa.vectors(qa.high_scores(postings), params.keywords, params.spread)
     vecs, points = kmeans.prepare_points(vecs)
-    result = kmeans.kmeans(points, kmeans.initial_means(vecs, params), params)
+    try:
+        result = kmeans.kmeans(points, kmeans.initial_means(vecs, params), params)
+    finally:
+        points.unpersist()
     summary = clusters.cluster_summary(points, result.means, params)
     return ClusteringRun(result, vecs, summary, clusters.cluster_report(summary))
 

@@ -275,10 +275,17 @@ def prepare_points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True) -> tuple[KMeansResult, DataFrame]:
-    """Sample, then iterate: the whole clustering.  Returns the result and the points."""
+    """Sample, then iterate: the whole clustering.  Returns the result and the points.
+
+    The in-memory copy of the points is released after the last pass; the
+    returned points stay valid, backed by their Parquet files.
+    """
     vecs, points = prepare_points(vectors)
     start = initial_means(vecs, params)
-    return kmeans(points, start, params, trace), points
+    try:
+        return kmeans(points, start, params, trace), points
+    finally:
+        points.unpersist()
 
 
 def assign_clusters(df: DataFrame, means: list[tuple[int, int]], column: str = "cluster") -> DataFrame:
