@@ -112,3 +112,41 @@ def test_median_matches_original_rule(spark, scores):
     lower, upper = s[: len(s) // 2], s[len(s) // 2:]
     expected = trunc_div(lower[-1] + upper[0], 2) if len(s) % 2 == 0 else upper[0]
     assert row["median_score"] == expected
+
+
+@SETTINGS
+@given(st.lists(
+    st.tuples(st.sampled_from([0.0, 1.0, 2.0, 2.9, 3.0, 4.0, 5.0]), st.sampled_from([1.0, 2.0]),
+              st.sampled_from([14.0, 15.0, 22.0, 22.5, 23.0, 55.0, 56.0, 70.0]),
+              st.integers(0, 600), st.integers(0, 600), st.integers(0, 600)),
+    min_size=1, max_size=12))
+def test_diary_summary_matches_original_rules(spark, rows):
+    from quarry.operators import diary as d
+    from quarry.sources.diary import diary_schema
+
+    names = ["tucaseid", "telfs", "tesex", "teage", "t010101", "t050101", "t020101"]
+    data = [(str(i), t, s, a, float(p), float(w), float(o)) for i, (t, s, a, p, w, o) in enumerate(rows)]
+    got = [tuple(r) for r in d.summary_from(spark.createDataFrame(data, diary_schema(names, nullable=True))).collect()]
+    expected = []
+    for _, t, s, a, p, w, o in data:
+        if t > 4:
+            continue
+        working = "working" if 1 <= t < 3 else "not working"
+        sex = "male" if s == 1 else "female"
+        age = "young" if 15 <= a <= 22 else "active" if 23 <= a <= 55 else "elder"
+        expected.append((working, sex, age, p / 60, w / 60, o / 60))
+    assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text(alphabet="ab <>/é\n", max_size=12), st.text(alphabet="ab <>/é\n,", max_size=30)),
+                min_size=1, max_size=6))
+def test_tagged_lines_round_trip(spark, pairs):
+    from quarry.sources.text import parse_tagged_lines
+
+    pairs = [(t, x) for t, x in pairs if "</title><text>" not in t]
+    if not pairs:
+        return
+    lines = [(f"<page><title> {t}</title><text>{x}</text></page>  ",) for t, x in pairs]
+    got = [tuple(r) for r in parse_tagged_lines(spark.createDataFrame(lines, "value string")).collect()]
+    assert got == pairs
