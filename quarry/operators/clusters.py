@@ -48,8 +48,8 @@ def cluster_summary(points: DataFrame, means: list[tuple[int, int]], params: Clu
         F.col("cluster_size"),
         F.col("median").cast("int").alias("median_score"),
     )
-    # At most k rows: sort in one partition rather than a sampled range shuffle.
-    return summary.coalesce(1).orderBy("median_score", "lang_label", "cluster_size")
+    # At most k rows: move them to one partition and sort there (no sampled range shuffle).
+    return summary.repartition(1).orderBy("median_score", "lang_label", "cluster_size")
 
 
 def cluster_report(summary: DataFrame) -> DataFrame:

@@ -116,15 +116,21 @@ def grouped(summed: DataFrame) -> DataFrame:
     Columns keep their plain names (``primaryNeeds``, ``work``, ``other``).
     """
     aggs = [F.round(F.avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
-    # At most 2 x 2 x 3 groups: sort them in one partition.
-    return summed.groupBy(*GROUP_KEYS).agg(*aggs).coalesce(1).orderBy(*GROUP_KEYS)
+    # At most 2 x 2 x 3 groups: move them to one partition and sort there.
+    return summed.groupBy(*GROUP_KEYS).agg(*aggs).repartition(1).orderBy(*GROUP_KEYS)
 
 
 def grouped_sql_query(view_name: str) -> str:
-    """The SQL text of :func:`grouped` over a registered view."""
+    """The SQL text of :func:`grouped` over a registered view.
+
+    The ``REPARTITION(1)`` hint moves the (at most 12) groups to one partition
+    before ORDER BY, as the DataFrame form does, instead of a sampled range
+    shuffle.
+    """
     keys = ", ".join(GROUP_KEYS)
     measures = ",\n  ".join(f"round(avg({m}), {GROUPED_SCALE}) AS {m}" for m in MEASURES)
-    return f"SELECT {keys},\n  {measures}\nFROM {view_name}\nGROUP BY {keys}\nORDER BY {keys}"
+    return (f"SELECT /*+ REPARTITION(1) */ {keys},\n  {measures}\nFROM {view_name}\n"
+            f"GROUP BY {keys}\nORDER BY {keys}")
 
 
 def grouped_sql(summed: DataFrame, view_name: str = "summed") -> DataFrame:
@@ -142,5 +148,5 @@ def grouped_typed(typed: DataFrame) -> DataFrame:
     """
     conformed = typed.to(SUMMARY_SCHEMA)
     aggs = [F.round(F.avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
-    out = conformed.groupBy(*GROUP_KEYS).agg(*aggs).coalesce(1).orderBy(*GROUP_KEYS)
+    out = conformed.groupBy(*GROUP_KEYS).agg(*aggs).repartition(1).orderBy(*GROUP_KEYS)
     return out.to(SUMMARY_SCHEMA)

@@ -27,10 +27,13 @@ def ranked(counts: DataFrame) -> DataFrame:
     """Order a ``(keyword, n_articles)`` table by count, descending.
 
     Ties are broken by keyword so the order is deterministic.  The table holds
-    at most one row per keyword of a caller-given list, so it is sorted in a
-    single partition instead of a sampled range shuffle.
+    at most one row per keyword of a caller-given list: the final counts are
+    computed in parallel, then those few rows move to one partition
+    (``repartition(1)``, not ``coalesce(1)``, which would pull the final
+    aggregation itself into one task) and are sorted there without a sampled
+    range shuffle.
     """
-    return counts.coalesce(1).orderBy(F.col(COUNT_COLUMN).desc(), F.col("keyword").asc())
+    return counts.repartition(1).orderBy(F.col(COUNT_COLUMN).desc(), F.col("keyword").asc())
 
 
 def ranking_list(ranking: DataFrame) -> list[tuple[str, int]]:
