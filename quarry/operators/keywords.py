@@ -85,7 +85,8 @@ def rank_by_scan(articles: DataFrame, keywords: Iterable[str]) -> DataFrame:
     pairs = F.array(*[
         F.struct(F.lit(k).alias("keyword"), F.col(f"c{i}").alias(COUNT_COLUMN)) for i, k in enumerate(kws)
     ])
-    return ranked(counts.select(F.inline(pairs)))
+    # The global aggregate already yields a single partition: sort it in place.
+    return counts.select(F.inline(pairs)).orderBy(F.col(COUNT_COLUMN).desc(), F.col("keyword").asc())
 
 
 def inverted_index(articles: DataFrame, keywords: Iterable[str], keep: Iterable[str] = ("title", "text")) -> DataFrame:
