@@ -12,6 +12,7 @@ Sub-packages:
 * ``quarry.operators``  keyword ranking, postings / scores, k-means, diary summaries
 * ``quarry.plans``      fixtures derived from the driver tables and the query catalog
 * ``quarry.streaming``  the keyword ranking over a file stream
+* ``quarry.jobs``       the three programs end to end; ``python -m quarry`` runs them
 """
 
 from quarry.session import build_session, checkpoint_dir, scratch_path
