@@ -111,24 +111,30 @@ def write_posting_lines(spark: SparkSession, sf_dir: str) -> str:
 
 def diary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diary row per order: demographics from the order, activity minutes
-    from the order's line quantities (0 when absent)."""
-    li = table(spark, sf_dir, "lineitem")
-    per_order = li.groupBy("l_orderkey").agg(
-        *[
-            F.sum(F.when(F.col("l_linenumber") == n, F.col("l_quantity")).otherwise(F.lit(0.0))).alias(name)
-            for n, name in DIARY_ACTIVITY_COLUMNS
-        ],
-        F.count(F.lit(1)).alias("_lines"),
+    from the order's line quantities (0 when absent).
+
+    Line quantities are reduced per order (partial sums in every task) before
+    the join with the orders, so an order with very many lines costs one row
+    per task in the shuffle.
+    """
+    sums = [
+        f"sum(CASE WHEN l_linenumber = {n} THEN l_quantity ELSE 0.0 END) AS {name}"
+        for n, name in DIARY_ACTIVITY_COLUMNS
+    ]
+    per_order = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(*[F.expr(e) for e in sums], F.count(F.lit(1)).alias("_lines"))
     )
     o = table(spark, sf_dir, "orders")
     joined = o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"], "left")
-    return joined.select(
-        F.col("o_orderkey").cast("string").alias("tucaseid"),
-        (F.lit(1) + F.col("o_orderkey") % 5).cast("double").alias("telfs"),
-        (F.lit(1) + F.col("o_custkey") % 2).cast("double").alias("tesex"),
-        (F.lit(10) + F.col("o_orderkey") % 70).cast("double").alias("teage"),
-        *[F.coalesce(F.col(name), F.lit(0.0)).alias(name) for _, name in DIARY_ACTIVITY_COLUMNS],
-        F.coalesce(F.col("_lines"), F.lit(0)).cast("double").alias(DIARY_COUNT_COLUMN),
+    return joined.selectExpr(
+        "CAST(o_orderkey AS STRING) AS tucaseid",
+        "CAST(1 + o_orderkey % 5 AS DOUBLE) AS telfs",
+        "CAST(1 + o_custkey % 2 AS DOUBLE) AS tesex",
+        "CAST(10 + o_orderkey % 70 AS DOUBLE) AS teage",
+        *[f"coalesce({name}, 0.0D) AS {name}" for _, name in DIARY_ACTIVITY_COLUMNS],
+        f"CAST(coalesce(_lines, 0) AS DOUBLE) AS {DIARY_COUNT_COLUMN}",
     )
 
 
