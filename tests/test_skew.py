@@ -35,3 +35,35 @@ def test_stratified_sample_with_a_dominant_stratum(spark):
         ids = sorted((i for i, xx, _ in pts if xx == x), key=order)[:3]
         expected += [(x, r + 1, i) for r, i in enumerate(ids)]
     assert got == sorted(expected)
+
+
+def test_hot_question_join_is_split_by_aqe(spark):
+    """With small skew thresholds, AQE splits the hot question's partition of
+    the question-answer join (the shuffle is the join's own, so it qualifies)."""
+    rows = [(1, q, None, None, 0, "Java") for q in range(1, 201)]
+    rows += [(2, 1000 + i, None, 7, i % 50, None) for i in range(20000)]
+    rows += [(2, 100000 + q, None, q, 1, None) for q in range(1, 201)]
+    df = spark.createDataFrame(rows, POSTING_SCHEMA).repartition(8)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        pairs = qa.question_answer_pairs(df)
+        rows_out = pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows_out) == 20200
+    assert sum(1 for r in rows_out if r["question_id"] == 7) == 20001
+    assert "SortMergeJoin(skew=true)" in plan
