@@ -27,10 +27,10 @@ def dedup(values: Iterable[str]) -> list[str]:
 
 
 def keyword_array(keywords: Iterable[str]) -> Column:
-    """The keyword list as an ``array<string>`` literal."""
+    """The keyword list as an ``array<string>`` literal (empty list -> empty array)."""
     kws = dedup(keywords)
     if not kws:
-        raise ValueError("the keyword list is empty")
+        return F.array().cast("array<string>")
     return F.array(*[F.lit(k) for k in kws])
 
 

@@ -78,6 +78,10 @@ def rank_by_scan(articles: DataFrame, keywords: Iterable[str]) -> DataFrame:
     single row that is then unpivoted.
     """
     kws = dedup(keywords)
+    if not kws:  # nothing to rank: an empty ranking with the usual columns
+        return articles.limit(0).select(
+            F.lit(None).cast("string").alias("keyword"), F.lit(0).cast("bigint").alias(COUNT_COLUMN)
+        )
     hits = articles.select(present_keywords("text", kws).alias("hits"))
     counts = hits.agg(*[
         F.count_if(F.array_contains("hits", F.lit(k))).alias(f"c{i}") for i, k in enumerate(kws)
