@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "quarry",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
@@ -29,12 +29,15 @@ def build_session(
     broadcasts a join side only after its shuffle has *measured* it below
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  The UI is off because
     nothing may open a port.
+
+    ``shuffle_partitions`` is set only when given (tests and the local bench);
+    under ``spark-submit`` the cluster's own setting is kept, since a small
+    fixed count would cap every shuffle's parallelism at scale.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,6 +48,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
