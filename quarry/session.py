@@ -61,9 +61,10 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it if still unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
-    Only when neither the context nor the configuration names a folder (local
-    runs, tests) is a private temporary folder created.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is
+    (and its absence is an error).  Only in local mode, when neither the
+    context nor the configuration names a folder (local runs, tests), is a
+    private temporary folder created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -76,6 +77,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to the other executors.
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(it holds materialised intermediate tables and stream state)"
+            )
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
