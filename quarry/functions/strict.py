@@ -38,3 +38,29 @@ def strict_long(raw: Column, what: str = "integer") -> Column:
 def strict_double(raw: Column, what: str = "number") -> Column:
     """Parse a ``double``; a missing, empty or malformed field fails the job."""
     return _strict(raw, "double", what)
+
+
+# SQL-text forms, for parsers with many columns: one rendered expression per
+# column is a single JVM call, where the Column forms above cost a dozen each.
+
+
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal for ``value``."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    """A quoted Spark SQL identifier for ``name``."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fail_if_sql(condition: str, message: str, value: str, type_name: str) -> str:
+    """SQL text of :func:`fail_if`: ``value`` or a job failure with ``message``."""
+    return f"CASE WHEN {condition} THEN CAST(raise_error({message}) AS {type_name}) ELSE {value} END"
+
+
+def strict_sql(raw: str, type_name: str, what: str) -> str:
+    """SQL text of a strict cast of ``raw`` (SQL) to ``type_name``."""
+    parsed = f"try_cast({raw} AS {type_name})"
+    message = f"concat({sql_string('malformed ' + what + ': ' + chr(39))}, coalesce({raw}, '<missing>'), {sql_string(chr(39))})"
+    return fail_if_sql(f"{parsed} IS NULL", message, parsed, type_name)

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.strict import fail_if, strict_double
-from quarry.sources.rows import emit_parsed
+from quarry.functions.strict import fail_if_sql, sql_ident, sql_string
+from quarry.sources.rows import emit_parsed_sql
 
 DIARY_SEPARATOR = ","
 
@@ -42,15 +42,33 @@ def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
 
 
 def parse_diary_lines(lines: DataFrame, names: list[str], column: str = "value") -> DataFrame:
-    """Lines (without headers) -> typed diary rows."""
+    """Lines (without headers) -> typed diary rows.
+
+    Each line is split once; the record (column 0 as is, every other field
+    ``try_cast`` to double) is emitted through a Generate node, and a single
+    filter right above it fails the job when the line has the wrong number of
+    fields or any number is empty or malformed.  That filter reads every
+    field, so every field of every line is checked whatever a later query
+    selects, and it cannot be pushed below the Generate.  The expressions are
+    SQL text (one per column): a diary has hundreds of columns.
+    """
     n = len(names)
-    split = lines.select(F.split(F.col(column), DIARY_SEPARATOR).alias("f"), F.col(column).alias("line"))
-    f = F.col("f")
-    wrong_width = F.size(f) != n
-    width_msg = F.concat(F.lit(f"diary line does not have {n} fields: "), F.substring("line", 1, 120))
-    cols = [fail_if(wrong_width, width_msg, F.get(f, 0)).alias(names[0])]
-    cols += [strict_double(F.get(f, i), f"number in column {names[i]}").alias(names[i]) for i in range(1, n)]
-    return emit_parsed(split, cols)
+    split = lines.selectExpr(
+        f"split({sql_ident(column)}, {sql_string(DIARY_SEPARATOR)}) AS f", f"{sql_ident(column)} AS line"
+    )
+    width, raw = "__width", "__line"
+    fields = [(names[0], "get(f, 0)")]
+    fields += [(names[i], f"try_cast(get(f, {i}) AS DOUBLE)") for i in range(1, n)]
+    fields += [(width, "size(f)"), (raw, "line")]
+    record = "named_struct(" + ", ".join(f"{sql_string(name)}, {expr}" for name, expr in fields) + ")"
+    parsed = emit_parsed_sql(split, record)
+    bad = " OR ".join([f"{sql_ident(width)} != {n}"] + [f"{sql_ident(names[i])} IS NULL" for i in range(1, n)])
+    message = (
+        f"concat({sql_string(f'malformed diary line (needs {n} fields, numbers in all but the first): ')}, "
+        f"substring({sql_ident(raw)}, 1, 120))"
+    )
+    checked = parsed.where(fail_if_sql(bad, message, "true", "BOOLEAN"))
+    return checked.drop(width, raw)
 
 
 def read_diary(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:

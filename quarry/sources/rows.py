@@ -20,3 +20,8 @@ def emit_parsed(fields: DataFrame, columns: Sequence[Column]) -> DataFrame:
     whatever the query later uses.
     """
     return fields.select(F.inline(F.array(F.struct(*columns))))
+
+
+def emit_parsed_sql(fields: DataFrame, record_sql: str) -> DataFrame:
+    """:func:`emit_parsed` for a record given as SQL text (``named_struct(...)``)."""
+    return fields.selectExpr(f"inline(array({record_sql}))")

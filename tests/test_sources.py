@@ -106,3 +106,19 @@ def test_diary_projection_still_checks_all_columns(spark, tmp_dir):
     _, df = read_diary(spark, tmp_dir)
     with pytest.raises(FAILURES):
         df.select("telfs").collect()
+
+
+def test_wide_diary(spark, tmp_dir):
+    names = ["id"] + [f"t{i:06d}" for i in range(300)]
+    write(os.path.join(tmp_dir, "wide.csv"),
+          ",".join(names) + "\n" + "a," + ",".join(str(i) for i in range(300)) + "\n")
+    got_names, df = read_diary(spark, tmp_dir)
+    row = df.first()
+    assert got_names == names and row["id"] == "a" and row["t000299"] == 299.0 and len(row) == 301
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(bad)
+    write(os.path.join(bad, "wide.csv"),
+          ",".join(names) + "\n" + "a," + ",".join(str(i) for i in range(299)) + ",\n")
+    _, df_bad = read_diary(spark, bad)
+    with pytest.raises(FAILURES):
+        df_bad.select("id").collect()
