@@ -28,6 +28,8 @@ from quarry.fixed import (
     REPORT_HEADER,
     REPORT_RULE,
     REPORT_TITLE,
+    SECTION_BANNER_FORMAT,
+    TIMING_LINE_FORMAT,
 )
 from quarry.operators.keywords import ranking_list
 from quarry.operators.kmeans import ClusterParams
@@ -66,7 +68,7 @@ def _keywords(spark: SparkSession, args, out) -> None:
     for name, df in rankings.items():
         t0 = time.perf_counter()
         ranked = ranking_list(df)
-        timings.append(f"Processing {labels[name]} took {int((time.perf_counter() - t0) * 1000)} ms.")
+        timings.append(TIMING_LINE_FORMAT.format(label=labels[name], ms=int((time.perf_counter() - t0) * 1000)))
         print(f"{labels[name]}: {ranked}", file=out)
     print("\n".join(timings), file=out)
 
@@ -87,7 +89,7 @@ def _cluster(spark: SparkSession, args, out) -> None:
 def _diary(spark: SparkSession, args, out) -> None:
     forms = jobs.time_usage_by_life_period(spark, args.path)
     for name, df in forms.items():
-        print(f"========== {name} ==========", file=out)
+        print(SECTION_BANNER_FORMAT.format(name=name), file=out)
         rows = df.take(args.show) if name == "summary" else df.collect()   # at most 12 groups
         print(",".join(df.columns), file=out)
         for r in rows:
