@@ -18,21 +18,18 @@ from quarry.fixed import (
     OTHER_EXCLUDED_PREFIXES,
     OTHER_PREFIXES,
     PRIMARY_NEEDS_PREFIXES,
+    SUMMARY_COLUMNS,
     WORK_PREFIXES,
 )
 from quarry.functions.bands import age_band, row_sum_hours, sex_band, working_band
 
-GROUP_KEYS = ["working", "sex", "age"]
-MEASURES = ["primaryNeeds", "work", "other"]
+GROUP_KEYS = SUMMARY_COLUMNS[:3]
+MEASURES = SUMMARY_COLUMNS[3:]
 
-SUMMARY_SCHEMA = T.StructType([
-    T.StructField("working", T.StringType(), True),
-    T.StructField("sex", T.StringType(), True),
-    T.StructField("age", T.StringType(), True),
-    T.StructField("primaryNeeds", T.DoubleType(), True),
-    T.StructField("work", T.DoubleType(), True),
-    T.StructField("other", T.DoubleType(), True),
-])
+SUMMARY_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType(), True) for c in GROUP_KEYS]
+    + [T.StructField(c, T.DoubleType(), True) for c in MEASURES]
+)
 
 CLASSES_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), False),
@@ -77,13 +74,10 @@ def summary(primary: list[str], work: list[str], other: list[str], df: DataFrame
     applied before the projection, so it reaches the scan when the source
     supports push-down.
     """
+    bands = [working_band("telfs"), sex_band("tesex"), age_band("teage")]
+    hours = [row_sum_hours(primary, "primary needs"), row_sum_hours(work, "work"), row_sum_hours(other, "other")]
     return df.where(F.col("telfs") <= EMPLOYABLE_TELFS_MAX).select(
-        working_band("telfs").alias("working"),
-        sex_band("tesex").alias("sex"),
-        age_band("teage").alias("age"),
-        row_sum_hours(primary, "primary needs").alias("primaryNeeds"),
-        row_sum_hours(work, "work").alias("work"),
-        row_sum_hours(other, "other").alias("other"),
+        *[c.alias(name) for c, name in zip(bands + hours, SUMMARY_COLUMNS)]
     )
 
 
