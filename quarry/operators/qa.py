@@ -11,15 +11,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.fixed import ANSWER_TYPE, QUESTION_TYPE
+
 
 def questions(postings: DataFrame) -> DataFrame:
     """Postings of type 1."""
-    return postings.where(F.col("postingType") == 1)
+    return postings.where(F.col("postingType") == QUESTION_TYPE)
 
 
 def answers(postings: DataFrame) -> DataFrame:
     """Postings of type 2 that name a parent."""
-    return postings.where((F.col("postingType") == 2) & F.col("parentId").isNotNull())
+    return postings.where((F.col("postingType") == ANSWER_TYPE) & F.col("parentId").isNotNull())
 
 
 def question_answer_pairs(postings: DataFrame) -> DataFrame:
@@ -67,8 +69,8 @@ def high_scores(postings: DataFrame) -> DataFrame:
     aggregate is sort-based because its buffer holds the tag string.
     """
     kind = F.col("postingType")
-    is_question = kind == 1
-    is_answer = (kind == 2) & F.col("parentId").isNotNull()
+    is_question = kind == QUESTION_TYPE
+    is_answer = (kind == ANSWER_TYPE) & F.col("parentId").isNotNull()
     key = F.when(is_question, F.col("id")).when(is_answer, F.col("parentId"))
     per_question = (
         postings.where(is_question | is_answer)

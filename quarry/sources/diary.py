@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.fixed import DIARY_FIELD_SEPARATOR
 from quarry.functions.strict import fail_if_sql, sql_ident, sql_string
 from quarry.sources.rows import emit_parsed_sql
 
-DIARY_SEPARATOR = ","
+DIARY_SEPARATOR = DIARY_FIELD_SEPARATOR
 
 
 def diary_schema(names: list[str], nullable: bool = False) -> T.StructType:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.fixed import POSTING_FIELD_SEPARATOR
+from quarry.fixed import POSTING_FIELD_SEPARATOR, POSTING_REQUIRED_FIELDS, POSTING_TAG_FIELD
 from quarry.functions.strict import fail_if, strict_int, strict_long
 from quarry.sources.rows import emit_parsed
 
@@ -45,15 +45,15 @@ def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         raw = field(i)
         return F.when(raw.isNull() | (raw == ""), F.lit(None).cast("bigint")).otherwise(strict_long(raw, what))
 
-    too_short = n < 5
-    short_msg = F.concat(F.lit("posting line has fewer than 5 fields: "), F.col("line"))
+    too_short = n < POSTING_REQUIRED_FIELDS
+    short_msg = F.concat(F.lit(f"posting line has fewer than {POSTING_REQUIRED_FIELDS} fields: "), F.col("line"))
     return emit_parsed(fields, [
         fail_if(too_short, short_msg, strict_int(field(0), "posting type")).alias("postingType"),
         strict_long(field(1), "posting id").alias("id"),
         optional_int(2, "accepted answer id").alias("acceptedAnswer"),
         optional_int(3, "parent id").alias("parentId"),
         strict_int(field(4), "score").alias("score"),
-        F.when(n >= 6, field(5)).alias("tags"),
+        F.when(n > POSTING_TAG_FIELD, field(POSTING_TAG_FIELD)).alias("tags"),
     ])
 
 
