@@ -24,7 +24,8 @@ from quarry.fixed import REPORT_HEADER, REPORT_LINE_FORMAT, REPORT_RULE, REPORT_
 from quarry.operators.kmeans import ClusterParams, assign_clusters
 from quarry.operators.qa import keyword_of
 
-SUMMARY_COLUMNS = ["lang_label", "lang_percent", "lang_percent_int", "cluster_size", "median_score"]
+# Columns of the cluster summary, in output order.
+CLUSTER_SUMMARY_COLUMNS = ["lang_label", "lang_percent", "lang_percent_int", "cluster_size", "median_score"]
 
 
 def cluster_summary(points: DataFrame, means: list[tuple[int, int]], params: ClusterParams) -> DataFrame:

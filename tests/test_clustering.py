@@ -143,6 +143,7 @@ def test_cluster_summary_dominance_and_percent(spark):
     p = km.ClusterParams(keywords=["A", "B", "C"], spread=100, kernels=3)
     summary = clusters.cluster_summary(km.weighted_points(vecs(spark, pts)), [(100, 3), (200, 100)], p)
     rows = [tuple(r) for r in summary.collect()]
+    assert summary.columns == clusters.CLUSTER_SUMMARY_COLUMNS
     assert rows == [("B", 60.0, 0.0, 5, 3), ("C", 100.0, 100.0, 1, 100)]
 
 
