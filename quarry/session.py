@@ -66,7 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context nor the configuration names a folder (local runs, tests), is a
     private temporary folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return _checkpoint_dir_from_conf(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -88,6 +91,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _checkpoint_dir_from_conf(spark: SparkSession) -> str:
+    """``checkpoint_dir`` for sessions without a SparkContext (Spark Connect)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not str(spark.conf.get("spark.master", "")).startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage")
+    return tempfile.mkdtemp(prefix="quarry-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")

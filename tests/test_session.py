@@ -54,3 +54,21 @@ def test_local_mode_falls_back_to_a_private_folder():
 
 def test_real_session_has_a_checkpoint_folder(spark):
     assert checkpoint_dir(spark)
+
+
+class _ConnectLike:
+    """A session without a SparkContext, as with Spark Connect."""
+
+    def __init__(self, conf):
+        self.conf = _Conf(conf)
+
+    @property
+    def sparkContext(self):
+        raise AttributeError("no SparkContext in Spark Connect")
+
+
+def test_connect_session_uses_conf():
+    assert checkpoint_dir(_ConnectLike({"spark.checkpoint.dir": "s3a://b/ckpt"})) == "s3a://b/ckpt"
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_ConnectLike({"spark.master": "k8s://cluster"}))
+    assert checkpoint_dir(_ConnectLike({"spark.master": "local[2]"}))
