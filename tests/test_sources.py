@@ -122,3 +122,14 @@ def test_wide_diary(spark, tmp_dir):
     _, df_bad = read_diary(spark, bad)
     with pytest.raises(FAILURES):
         df_bad.select("id").collect()
+
+
+def test_diary_check_runs_before_later_filters(spark, tmp_dir):
+    # the malformed number sits on a line the summary's telfs <= 4 filter drops
+    write(os.path.join(tmp_dir, "d.csv"),
+          "tucaseid,telfs,tesex,teage,t010101,t050101,t020101\nA,1,1,30,60,60,60\nB,5,1,30,x,60,60\n")
+    from quarry.operators import diary as d
+
+    names, df = read_diary(spark, tmp_dir)
+    with pytest.raises(FAILURES):
+        d.summary_from(df, names).collect()
