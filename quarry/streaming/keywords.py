@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from quarry.operators.keywords import COUNT_COLUMN, keyword_hits
 from quarry.session import scratch_path
-from quarry.sources.text import ARTICLE_SCHEMA
+from quarry.sources.text import ARTICLE_SCHEMA, parse_tagged_lines
 
 
 def read_article_stream(spark: SparkSession, path: str, schema: StructType = ARTICLE_SCHEMA,
@@ -23,6 +23,14 @@ def read_article_stream(spark: SparkSession, path: str, schema: StructType = ART
     return reader.parquet(path)
 
 
+def read_tagged_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Tagged-line text files arriving in ``path``, parsed into ``(title, text)``."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return parse_tagged_lines(reader.text(path))
+
+
 def keyword_counts(articles: DataFrame, keywords: Iterable[str]) -> DataFrame:
     """Running number of articles per keyword (the combined ranking, A5).
 
