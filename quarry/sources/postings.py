@@ -13,12 +13,11 @@ widening so keys beyond 2^31 at large scale parse instead of failing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.fixed import POSTING_FIELD_SEPARATOR, POSTING_REQUIRED_FIELDS, POSTING_TAG_FIELD
-from quarry.functions.strict import fail_if, strict_int, strict_long
-from quarry.sources.rows import emit_parsed
+from quarry.functions.strict import fail_if_sql, sql_ident, sql_string
+from quarry.sources.rows import emit_parsed_sql
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("postingType", T.IntegerType(), False),
@@ -31,30 +30,42 @@ POSTING_SCHEMA = T.StructType([
 
 
 def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Posting lines -> typed postings (see the module docstring)."""
-    sep = POSTING_FIELD_SEPARATOR
-    trimmed = F.expr(f"trim(TRAILING '{sep}' FROM `{column}`)")
-    fields = lines.select(F.split(trimmed, sep).alias("f"), F.col(column).alias("line"))
-    f = F.col("f")
-    n = F.size(f)
-
-    def field(i: int):
-        return F.get(f, i)
-
-    def optional_int(i: int, what: str):
-        raw = field(i)
-        return F.when(raw.isNull() | (raw == ""), F.lit(None).cast("bigint")).otherwise(strict_long(raw, what))
-
-    too_short = n < POSTING_REQUIRED_FIELDS
-    short_msg = F.concat(F.lit(f"posting line has fewer than {POSTING_REQUIRED_FIELDS} fields: "), F.col("line"))
-    return emit_parsed(fields, [
-        fail_if(too_short, short_msg, strict_int(field(0), "posting type")).alias("postingType"),
-        strict_long(field(1), "posting id").alias("id"),
-        optional_int(2, "accepted answer id").alias("acceptedAnswer"),
-        optional_int(3, "parent id").alias("parentId"),
-        strict_int(field(4), "score").alias("score"),
-        F.when(n > POSTING_TAG_FIELD, field(POSTING_TAG_FIELD)).alias("tags"),
-    ])
+    """Posting lines -> typed postings (see the module docstring).
+
+    Each line is split once (after dropping trailing separators); the record
+    of ``try_cast`` fields is emitted through a Generate node, and one filter
+    right above it fails the job on a line with fewer than the required
+    fields or any malformed number.  The filter reads every field, so every
+    line is checked whatever a later query selects or filters, and it cannot
+    be pushed below the Generate.
+    """
+    sep = sql_string(POSTING_FIELD_SEPARATOR)
+    split = lines.selectExpr(
+        f"split(trim(TRAILING {sep} FROM {sql_ident(column)}), {sep}) AS f", f"{sql_ident(column)} AS line"
+    )
+
+    def optional(i: int) -> str:
+        raw = f"get(f, {i})"
+        return f"CASE WHEN {raw} IS NULL OR {raw} = '' THEN CAST(NULL AS BIGINT) ELSE try_cast({raw} AS BIGINT) END"
+
+    record = (
+        "named_struct("
+        "'postingType', try_cast(get(f, 0) AS INT), "
+        "'id', try_cast(get(f, 1) AS BIGINT), "
+        f"'acceptedAnswer', {optional(2)}, "
+        f"'parentId', {optional(3)}, "
+        "'score', try_cast(get(f, 4) AS INT), "
+        f"'tags', CASE WHEN size(f) > {POSTING_TAG_FIELD} THEN get(f, {POSTING_TAG_FIELD}) END, "
+        "'__n', size(f), '__r2', get(f, 2), '__r3', get(f, 3), '__line', line)"
+    )
+    parsed = emit_parsed_sql(split, record)
+    bad = (
+        f"__n < {POSTING_REQUIRED_FIELDS} OR postingType IS NULL OR id IS NULL OR score IS NULL "
+        "OR (__r2 <> '' AND acceptedAnswer IS NULL) OR (__r3 <> '' AND parentId IS NULL)"
+    )
+    message = "concat('malformed posting line: ', __line)"
+    checked = parsed.where(fail_if_sql(bad, message, "true", "BOOLEAN"))
+    return checked.drop("__n", "__r2", "__r3", "__line")
 
 
 def read_postings(spark: SparkSession, path: str | list[str]) -> DataFrame:
