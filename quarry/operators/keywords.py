@@ -97,10 +97,14 @@ def inverted_index(articles: DataFrame, keywords: Iterable[str], keep: Iterable[
     """Keyword -> every article mentioning it, in long form (A3).
 
     Columns ``keyword`` plus the ``keep`` columns (the whole article by
-    default).  Keywords no article mentions have no row.  The index is built
-    without a shuffle; grouping it per keyword would put every article of a
-    frequent keyword into one record, so grouped views are bounded blocks
-    (:func:`index_blocks`).
+    default, as the original index held articles).  Keywords no article
+    mentions have no row.  The index is built without a shuffle; grouping it
+    per keyword would put every article of a frequent keyword into one
+    record, so grouped views are bounded blocks (:func:`index_blocks`).
+
+    Keeping the text copies each article once per keyword it mentions; on a
+    large corpus keep only an id (``keep=("doc_id",)``) and join back to the
+    articles where the text is needed.
     """
     return keyword_hits(articles, keywords, keep)
 
