@@ -13,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4, app_name="quarry-tests")
+    master = os.environ.get("QUARRY_TEST_MASTER", "local[4]")
+    partitions = int(os.environ.get("QUARRY_TEST_PARTITIONS", "4"))
+    s = build_session(master, shuffle_partitions=partitions, app_name="quarry-tests")
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-test-ckpt-"))
     yield s
     s.stop()

@@ -45,6 +45,7 @@ def test_hot_question_join_is_split_by_aqe(spark):
     rows += [(2, 100000 + q, None, q, 1, None) for q in range(1, 201)]
     df = spark.createDataFrame(rows, POSTING_SCHEMA).repartition(8)
     settings = {
+        "spark.sql.shuffle.partitions": "8",   # skew is judged against the other partitions
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
