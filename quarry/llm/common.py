@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +59,18 @@ def batches_of(schema: pa.Schema, columns: dict[str, list]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def text_chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int = 2 << 20) -> Iterator[tuple[list, list]]:
+    """Lists (ids, texts) of at most about ``chunk_bytes`` from batches of two columns; a longer text comes alone."""
+    for batch in batches:
+        ids, texts = batch.column(0), batch.column(1)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        group = sizes.cumsum() // chunk_bytes
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield ids.slice(a, b - a).to_pylist(), texts.slice(a, b - a).to_pylist()
+
+
 def arrow_schema(ddl: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

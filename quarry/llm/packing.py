@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_schema, batches_of, ddl, utf8
+from quarry.llm.common import arrow_schema, batches_of, ddl, text_chunks, utf8
 from quarry.llm.wordcache import word_end_ids
 
 CAPACITY = 2048
@@ -200,17 +200,16 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                     del left[k], open_docs[k]
             sequence += 1
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = b"".join(cache.lookup(text.as_py().lower().split())) + end
+        for doc_ids, texts in text_chunks(batches):
+            words = [t.lower().split() for t in texts]
+            value = cache.table(words).__getitem__
+            for doc_id, own in zip(doc_ids, words):
+                ids = b"".join(map(value, own)) + end
                 n = len(ids) // 4
                 open_docs[key], left[key] = (doc_id, ids, n), n
                 for window in packer.add(key, n):
                     put(window)
                 key += 1
-                if len(rows["ids"]) >= 2000:
-                    yield from batches_of(schema, rows)
-                    rows = {f.name: [] for f in schema}
             yield from batches_of(schema, rows)
             rows = {f.name: [] for f in schema}
         for window in packer.finish():

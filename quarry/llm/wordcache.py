@@ -1,7 +1,8 @@
 """Per-worker caches of what a public tokenizer makes of a single word.
 
 The tokenizers here never merge across ASCII white space, so the tokens of a
-text are those of its words in order.  A word's tokens are looked up once per
+text are those of its words in order.  Words are looked up for a chunk of
+texts at a time.  A word's tokens are looked up once per
 worker process and kept in two generations of bounded size: when the young one
 is full it becomes the old one, so memory stays bounded on any vocabulary.
 """
@@ -10,50 +11,53 @@ from __future__ import annotations
 
 import functools
 import os
-
-import numpy as np
+from array import array
+from unicodedata import is_normalized
 
 GENERATION_WORDS = 300_000
 LONG_WORD_BYTES = 64          # longer words are encoded each time, not kept
+LATIN_END = "\u0250"          # first character behind the Latin letters
 TRAILING_MARKS = b".,;:!?"
 
 
 class WordCache:
-    """``lookup(words)`` gives one value per word; ``make(list of words)`` computes missing ones."""
+    """``table(texts' words)`` covers every word asked for; ``make(list of words)`` computes missing ones."""
 
     def __init__(self, make, generation_words: int = GENERATION_WORDS):
         self.make = make
         self.limit = generation_words
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
+        self.passing: list[bytes] = []
+
+    def table(self, texts: list[list[bytes]]) -> dict[bytes, object]:
+        """A mapping with a value for each word of ``texts``, valid until the next call."""
+        for w in self.passing:
+            self.young.pop(w, None)
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set().union(*texts).difference(young)
+        again = missing.intersection(old)
+        for w in again:
+            young[w] = old[w]
+        new = list(missing.difference(again))
+        if new:
+            young.update(zip(new, self.make(new)))
+        self.passing = [w for w in new if len(w) > LONG_WORD_BYTES]
+        return young
+
 
-    def lookup(self, words: list[bytes]) -> list:
-        young = self.young
-        try:
-            return [young[w] for w in words]
-        except KeyError:
-            pass
-        old, extra, missing = self.old, {}, []
-        for w in set(words):
-            if w in young:
-                continue
-            value = old.get(w)
-            if value is None:
-                missing.append(w)
-            elif len(w) <= LONG_WORD_BYTES:
-                young[w] = value
-        if missing:
-            for w, value in zip(missing, self.make(missing)):
-                (young if len(w) <= LONG_WORD_BYTES else extra)[w] = value
-        out = [young[w] if w in young else extra[w] for w in words]
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
-        return out
+def byte_level_table() -> dict[int, int]:
+    """Byte -> visible character, as byte-level vocabularies write it: printable Latin-1 stays, the rest counts up from 256."""
+    stays = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    moved = [b for b in range(256) if b not in stays]
+    return {b: 256 + k for k, b in enumerate(moved)}
 
 
 @functools.lru_cache(maxsize=4)
 def word_end_ids(path: str) -> WordCache:
-    """Words -> little-endian uint32 ids of the lower-casing word-end BPE vocabulary at ``path``."""
+    """Words -> native (little-endian) uint32 ids of the lower-casing word-end BPE vocabulary at ``path``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -61,9 +65,20 @@ def word_end_ids(path: str) -> WordCache:
     tokenizer.encode_special_tokens = True
     known: dict[bytes, bytes] = {}
 
+    merge, visible = tokenizer.model.tokenize, byte_level_table()
+
+    def plain(text: str) -> bool:
+        """Whether normalising and splitting leave the word as it is: composed lower-case Latin letters."""
+        return text.isalpha() and (text.isascii() or (max(text) < LATIN_END and is_normalized("NFC", text))) and text == text.lower()
+
     def encode(words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        simple = [plain(t) for t in texts]
+        rest = iter(tokenizer.encode_batch([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
+        return [
+            array("I", [t.id for t in merge(w.decode("latin-1").translate(visible))] if s else next(rest).ids).tobytes()
+            for w, s in zip(words, simple)
+        ]
 
     def make(words: list[bytes]) -> list[bytes]:
         # Marks at the end of an ASCII word are a pre-token of their own.
@@ -78,7 +93,8 @@ def word_end_ids(path: str) -> WordCache:
                 if len(known) > 10_000:
                     known.clear()
                 known[tail] = encode([tail])[0]
-        have = [cache.young.get(s) or cache.old.get(s) for s in stems]
+        young, old = cache.young, cache.old
+        have = [young.get(s) or old.get(s) for s in stems]
         need = list({s for s, h in zip(stems, have) if h is None})
         made = dict(zip(need, encode(need)))
         return [(made[s] if h is None else h) + (known[t] if t in known else encode([t])[0] if t else b"")

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from quarry.llm import packing
+from quarry.llm.wordcache import word_end_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -43,6 +44,16 @@ def check(rows, texts_by_row):
     return by_seq, want
 
 
+def test_word_ids_are_those_of_the_whole_text(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["Straße ÉTÉ e\u0301te\u0301 ﬁne ǅabc İstanbul ΣΑΣ ʼn don't I'LL a'b 3rd x² ½ ªº µm ĳ ŉ"]
+    cache = word_end_ids(PATH)
+    for text in texts:
+        words = text.encode().lower().split()
+        table = cache.table([words])
+        assert np.frombuffer(b"".join(table[w] for w in words), dtype="<u4").tolist() == expected_ids(text)[:-1]
+
+
 def test_pack_rebuilds_every_document(docs_frame):
     texts = [(1, "Hello, world! <|endoftext|> don't"), (2, None), (3, ""), (4, "x" * 5000 + " café Ünï. 12,5"),
              (5, "word " * 9000), (None, "null id"), (7, "a b c"), (8, "tail.,!? ...!")]
