@@ -6,11 +6,26 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import packing
+from quarry.llm import chat, mixing, packing, quality, secrets, simhash
 from quarry.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
+CONVERSATION_COLUMNS = "conv_id long, turn long, role string, text string"
+BYTE_FALLBACK = "piece_bpe_32k.model"
+
+#: Target weights of the mix: the share of the bytes each source is to have, and of all others together.
+SOURCE_WEIGHTS = {"src0": 0.05, "src1": 0.10, "src2": 0.10, "src3": 0.08}
+OTHER_WEIGHT = 0.67
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, OTHER_WEIGHT)
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +33,31 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(pieces)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.measure(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_FALLBACK))
+    return judged.select(F.col("doc_id").cast("long").alias("doc_id"), "quality.*")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_digest(secrets.scan(read_table(spark, sf_dir, "documents")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], CONVERSATION_COLUMNS)
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.chat_digest(chat.format_chats(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op9_secrets": op9_secrets,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mixing": mixing.mix_sql(SOURCE_WEIGHTS, OTHER_WEIGHT),
+}

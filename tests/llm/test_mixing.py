@@ -1,0 +1,46 @@
+"""Mixing: the SQL gives the same rows, rates reach the target weights, order is a permutation."""
+
+import duckdb
+
+import __spark_entry__ as entry
+from quarry.llm import mixing
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    df = entry.queries()["op1_mixing"](spark, SF)
+    cur = con.execute(entry.oracle_sql()["op1_mixing"])
+    assert [c[0] for c in cur.description] == df.columns
+    assert sorted(map(tuple, df.collect())) == sorted(cur.fetchall())
+
+
+def test_weights_are_reached(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    weights = {"src0": 0.4, "src1": 0.3, "nosuch": 0.5}
+    rows = mixing.mix(docs, weights, other_weight=0.3, epochs=20.0).collect()
+    size = sum(len(r.text.encode()) + 1 for r in rows)
+    total = sum(len(r.text.encode()) + 1 for r in docs.collect())
+    assert abs(size / total / 20 - 1) < 0.05
+    for source, share in (("src0", 0.4), ("src1", 0.3)):
+        own = sum(len(r.text.encode()) + 1 for r in rows if r.source == source)
+        assert abs(own / size - share) < 0.05
+
+
+def test_edges(spark, docs_frame):
+    docs = docs_frame([(1, None), (None, ""), (2, "x"), (2, "x"), (3, "long " * 50000)], extra=("copy", "n_copies", "class", "name", "doc"))
+    rows = mixing.mix(docs, {"src0": 1.0, None: 1.0}, other_weight=1.0, epochs=3.0).collect()
+    assert rows[0].__fields__[-3:] == ["copy_", "n_copies_", "shuffle_key"]
+    same = [r for r in rows if r.doc_id == 2]
+    assert len({r.n_copies_ for r in same}) <= 1 and len(same) % 2 == 0
+    assert mixing.mix(docs_frame([]), {"src0": 1.0}).collect() == []
+    assert mixing.mix(docs, {"src0": 0.0}, other_weight=0.0).collect() == []
+    assert mixing.mix(docs, {}, other_weight=1.0, copy_col=None, copies_col=None, order_col=None).columns == docs.columns
+
+
+def test_large_rates(spark, docs_frame):
+    docs = docs_frame([(i, "x") for i in range(300)])
+    rows = mixing.mix(docs, {"src0": 1.0}, epochs=900.0).collect()
+    assert abs(len(rows) / (300 * 900) - 1) < 0.02
