@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, mixing, packing, quality, secrets, simhash
+from quarry.llm import chat, hmm, mixing, multiindex, packing, quality, secrets, simhash
 from quarry.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, OTHER_WEIGHT)
 
 
+def op3_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("doc_id").cast("long").alias("doc_id"), "quality.*")
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(read_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 20 = 0"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(secrets.scan(read_table(spark, sf_dir, "documents")))
 
@@ -51,9 +59,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_hmm_score": op3_hmm_score,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_multi_index": op8_multi_index,
     "op9_secrets": op9_secrets,
     "op10_chat_format": op10_chat_format,
 }
