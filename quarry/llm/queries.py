@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, hmm, mixing, multiindex, packing, quality, secrets, simhash
+from quarry.llm import chat, hmm, lines, mixing, multiindex, packing, quality, secrets, simhash, suffixes
 from quarry.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -24,10 +24,20 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, OTHER_WEIGHT)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(read_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(read_table(spark, sf_dir, "documents"), lines_col="n_lines", removed_col="n_removed")
+    return kept.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -59,7 +69,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_hmm_score": op3_hmm_score,
+    "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
