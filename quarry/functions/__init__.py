@@ -1,13 +1,11 @@
 """Reusable column expressions; all JVM-side built-ins, no Python UDFs."""
 
 from quarry.functions.text import tokens, has_token, present_keywords, keyword_array, dedup
-from quarry.functions.strict import strict_int, strict_long, strict_double, fail_if
-from quarry.functions.geometry import squared_distance, nearest_index, nearest_sql, assign_nearest, means_distance
+from quarry.functions.geometry import assign_nearest, means_moves, nearest_index, nearest_sql, point_distance
 from quarry.functions.bands import working_band, sex_band, age_band, row_sum_hours
 
 __all__ = [
     "tokens", "has_token", "present_keywords", "keyword_array", "dedup",
-    "strict_int", "strict_long", "strict_double", "fail_if",
-    "squared_distance", "nearest_index", "nearest_sql", "assign_nearest", "means_distance",
+    "assign_nearest", "means_moves", "nearest_index", "nearest_sql", "point_distance",
     "working_band", "sex_band", "age_band", "row_sum_hours",
 ]

@@ -1,11 +1,12 @@
 """Distances and nearest-mean assignment for the integer k-means.
 
-The "euclidean" distance of the original jobs is the *squared* distance: the
-integer difference is taken first and then multiplied as a double.  Means are
-bigint literals so differences cannot overflow.
+The distance of the original jobs is the *squared* distance: the integer
+difference is taken first and then multiplied as a double.  Means are bigints
+so differences cannot overflow.
 
-Expressions are rendered as one SQL string and parsed once (a single JVM
-call), instead of being assembled from hundreds of Column calls.
+The means are one constant array, whatever their number: the expression has
+the same form for every k, and the code generated for a pass does not contain
+their values, so the passes of a loop share it.
 """
 
 from __future__ import annotations
@@ -15,89 +16,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many means the distances are unrolled into primitive columns,
-# which stay inside whole-stage codegen; beyond it an array lambda keeps the
-# generated code small.
-UNROLL_LIMIT = 256
-
 
 def _ident(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def squared_distance_sql(x: str, y: str, mx: str, my: str) -> str:
-    """SQL text of (x - mx)^2 + (y - my)^2 as a double (identifiers or literals)."""
-    dx = f"CAST(CAST({x} AS BIGINT) - {mx} AS DOUBLE)"
-    dy = f"CAST(CAST({y} AS BIGINT) - {my} AS DOUBLE)"
-    return f"{dx} * {dx} + {dy} * {dy}"
-
-
-def squared_distance(x: str, y: str, mx: int, my: int) -> Column:
-    """Squared distance of columns ``x, y`` to the point ``(mx, my)``."""
-    return F.expr(squared_distance_sql(_ident(x), _ident(y), f"{int(mx)}L", f"{int(my)}L"))
-
-
-def _lambda_nearest_sql(x: str, y: str, means: Sequence[tuple[int, int]]) -> str:
-    arr = "array(" + ", ".join(f"named_struct('mx', {int(a)}L, 'my', {int(b)}L)" for a, b in means) + ")"
-    dist = squared_distance_sql(_ident(x), _ident(y), "m.mx", "m.my")
-    return f"array_min(transform({arr}, (m, i) -> named_struct('d', {dist}, 'i', i))).i"
-
-
-def nearest_index(x: str, y: str, means: Sequence[tuple[int, int]]) -> Column:
-    """Index of the nearest mean as one column expression; ties go to the lowest index.
+def nearest_sql(x: str, y: str, means: Sequence[tuple[int, int]]) -> str:
+    """SQL for the index of the nearest mean; ties go to the lowest index.
 
-    ``least(struct(d0, 0), struct(d1, 1), ...)`` orders by distance and then
-    by index, which is exactly the "strictly smaller wins" scan.  For whole
-    tables prefer :func:`assign_nearest`, which evaluates faster.
+    The least ``(distance, index)`` over the constant array of means.  The
+    index is non-nullable, so a join on it infers no filter that would be
+    pushed below the projection.
     """
     if not means:
         raise ValueError("at least one mean is required")
-    if len(means) == 1:
-        return F.lit(0)
-    if len(means) > UNROLL_LIMIT:
-        return F.expr(_lambda_nearest_sql(x, y, means))
-    parts = ", ".join(
-        f"named_struct('d', {squared_distance_sql(_ident(x), _ident(y), f'{int(a)}L', f'{int(b)}L')}, 'i', {i})"
-        for i, (a, b) in enumerate(means)
-    )
-    return F.expr(f"least({parts}).i")
-
-
-def nearest_sql(x: str, y: str, means: Sequence[tuple[int, int]]) -> tuple[list[str], str]:
-    """SQL for the nearest-mean index: ``(distance projections, index expression)``.
-
-    The k distances are projected once as primitive double columns
-    ``__d0..__dk``; the index is the first position holding their ``least``
-    (``array_position(array(d0..dk), least(d0..dk)) - 1``), which keeps the
-    generated code small and the tie rule exact (lowest index).  The index is
-    non-nullable, so a join on it infers no IS NOT NULL filter that would be
-    pushed below the projection with every distance inlined.
-    """
-    if not means:
-        raise ValueError("at least one mean is required")
-    if len(means) == 1:
-        return [], "0"
-    if len(means) > UNROLL_LIMIT:
-        return [], f"coalesce({_lambda_nearest_sql(x, y, means)}, 0)"
-    names = [f"__d{i}" for i in range(len(means))]
-    dists = [
-        f"{squared_distance_sql(_ident(x), _ident(y), f'{int(a)}L', f'{int(b)}L')} AS {n}"
-        for n, (a, b) in zip(names, means)
-    ]
-    arr = ", ".join(names)
-    return dists, f"CAST(coalesce(array_position(array({arr}), least({arr})), 1) - 1 AS INT)"
+    xs = ", ".join(f"{int(a)}L" for a, _ in means)
+    ys = ", ".join(f"{int(b)}L" for _, b in means)
+    dx = f"CAST(CAST({_ident(x)} AS BIGINT) - mx AS DOUBLE)"
+    dy = f"CAST(CAST({_ident(y)} AS BIGINT) - my AS DOUBLE)"
+    far = f"zip_with(array({xs}), array({ys}), (mx, my) -> {dx} * {dx} + {dy} * {dy})"
+    return f"coalesce(array_min(transform({far}, (d, i) -> named_struct('d', d, 'i', i))).i, 0)"
+
+
+def nearest_index(x: str, y: str, means: Sequence[tuple[int, int]]) -> Column:
+    """:func:`nearest_sql` as a column."""
+    return F.expr(nearest_sql(x, y, means))
 
 
 def assign_nearest(df: DataFrame, means: Sequence[tuple[int, int]], column: str = "cluster",
                    x: str = "x", y: str = "y") -> DataFrame:
-    """Add the index of the nearest mean (lowest index on ties) as ``column``.
-
-    Two ``selectExpr`` projections built from one SQL rendering (see
-    :func:`nearest_sql`), so each pass is analysed once per projection.
-    """
-    dists, pick = nearest_sql(x, y, means)
-    keep = [_ident(c) for c in df.columns if c != column]
-    return df.selectExpr(*keep, *dists).selectExpr(*keep, f"{pick} AS {_ident(column)}")
+    """Add the index of the nearest mean (lowest index on ties) as ``column``."""
+    return df.withColumn(column, nearest_index(x, y, means))
 
 
 def point_distance(a: tuple[int, int], b: tuple[int, int]) -> float:
@@ -107,11 +56,12 @@ def point_distance(a: tuple[int, int], b: tuple[int, int]) -> float:
     return dx * dx + dy * dy
 
 
-def means_distance(a: Sequence[tuple[int, int]], b: Sequence[tuple[int, int]]) -> float:
-    """Index-wise sum of squared moves between two equally long mean lists."""
+def means_moves(a: Sequence[tuple[int, int]], b: Sequence[tuple[int, int]]) -> tuple[list[float], float]:
+    """Squared move of every mean, and their sum in index order."""
     if len(a) != len(b):
         raise ValueError(f"mean lists differ in length: {len(a)} != {len(b)}")
+    moves = [point_distance(p, q) for p, q in zip(a, b)]
     total = 0.0
-    for p, q in zip(a, b):
-        total += point_distance(p, q)
-    return total
+    for m in moves:
+        total += m
+    return moves, total

@@ -1,48 +1,7 @@
-"""Strict number parsing that fails the job on a malformed value.
-
-The original parsers throw on an unparsable number.  ``try_cast`` plus
-``raise_error`` gives the same behaviour whatever the session's ANSI setting,
-and keeps the expression inside whole-stage codegen.
-"""
+"""SQL text helpers of the strict parsers."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def fail_if(condition: Column, message: Column | str, value: Column) -> Column:
-    """``value``, or a job failure with ``message`` where ``condition`` holds."""
-    msg = F.lit(message) if isinstance(message, str) else message
-    return F.when(condition, F.raise_error(msg)).otherwise(value)
-
-
-def _strict(raw: Column, type_name: str, what: str) -> Column:
-    parsed = raw.try_cast(type_name)
-    message = F.concat(
-        F.lit(f"malformed {what}: '"), F.coalesce(raw, F.lit("<missing>")), F.lit("'")
-    )
-    return fail_if(parsed.isNull(), message, parsed)
-
-
-def strict_int(raw: Column, what: str = "integer") -> Column:
-    """Parse an ``int``; a missing, empty or malformed field fails the job."""
-    return _strict(raw, "int", what)
-
-
-def strict_long(raw: Column, what: str = "integer") -> Column:
-    """Parse a ``bigint``; a missing, empty or malformed field fails the job."""
-    return _strict(raw, "bigint", what)
-
-
-def strict_double(raw: Column, what: str = "number") -> Column:
-    """Parse a ``double``; a missing, empty or malformed field fails the job."""
-    return _strict(raw, "double", what)
-
-
-# SQL-text forms, for parsers with many columns: one rendered expression per
-# column is a single JVM call, where the Column forms above cost a dozen each.
-
 
 def sql_string(value: str) -> str:
     """A Spark SQL string literal for ``value``."""
@@ -52,15 +11,3 @@ def sql_string(value: str) -> str:
 def sql_ident(name: str) -> str:
     """A quoted Spark SQL identifier for ``name``."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def fail_if_sql(condition: str, message: str, value: str, type_name: str) -> str:
-    """SQL text of :func:`fail_if`: ``value`` or a job failure with ``message``."""
-    return f"CASE WHEN {condition} THEN CAST(raise_error({message}) AS {type_name}) ELSE {value} END"
-
-
-def strict_sql(raw: str, type_name: str, what: str) -> str:
-    """SQL text of a strict cast of ``raw`` (SQL) to ``type_name``."""
-    parsed = f"try_cast({raw} AS {type_name})"
-    message = f"concat({sql_string('malformed ' + what + ': ' + chr(39))}, coalesce({raw}, '<missing>'), {sql_string(chr(39))})"
-    return fail_if_sql(f"{parsed} IS NULL", message, parsed, type_name)

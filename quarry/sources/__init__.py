@@ -8,10 +8,10 @@ from quarry.sources.text import (
     read_lines,
 )
 from quarry.sources.postings import POSTING_SCHEMA, parse_posting_lines, read_postings
-from quarry.sources.diary import diary_schema, parse_diary_lines, read_diary, read_header
+from quarry.sources.diary import parse_diary_lines, read_diary, read_header
 
 __all__ = [
     "ARTICLE_SCHEMA", "articles_from_rows", "parse_tagged_lines", "read_articles", "read_lines",
     "POSTING_SCHEMA", "parse_posting_lines", "read_postings",
-    "diary_schema", "parse_diary_lines", "read_diary", "read_header",
+    "parse_diary_lines", "read_diary", "read_header",
 ]

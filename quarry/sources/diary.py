@@ -1,7 +1,7 @@
 """Header-driven wide CSV of the time diary.
 
-The first line names the columns; the first column is a string id and every
-other column a double.  Fields are separated by plain commas (no quoting).
+The first line of the input names the columns; the first column is a string id
+and every other column a double.  Fields are separated by plain commas (no quoting).
 Parsing is strict: an empty or malformed number and a line with the wrong
 number of fields fail the job, unlike the built-in CSV reader, which turns an
 empty number into NULL even in FAILFAST mode.
@@ -15,70 +15,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.fixed import DIARY_FIELD_SEPARATOR
-from quarry.functions.strict import fail_if_sql, sql_ident, sql_string
-from quarry.sources.rows import emit_parsed_sql
+from quarry.functions.strict import sql_ident, sql_string
+from quarry.sources.rows import emit_checked_sql
 
-DIARY_SEPARATOR = DIARY_FIELD_SEPARATOR
 
 
-def diary_schema(names: list[str], nullable: bool = False) -> T.StructType:
-    """Column 0 string, all others double."""
-    if not names:
-        raise ValueError("the header names no column")
-    return T.StructType(
-        [T.StructField(names[0], T.StringType(), nullable)]
-        + [T.StructField(n, T.DoubleType(), nullable) for n in names[1:]]
-    )
+def split_fields(line: str) -> list[str]:
+    """Fields of a line; empty fields at its end do not count."""
+    return line.rstrip(DIARY_FIELD_SEPARATOR).split(DIARY_FIELD_SEPARATOR)
 
 
 def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names from the first line (one small job reading one line)."""
-    first = spark.read.text(path).first()
-    if first is None:
-        raise ValueError(f"no header line in {path!r}")
-    return first[0].split(DIARY_SEPARATOR)
+    """Column names: the first line of the first file, in name order, that has one.
+
+    Files are listed, not scanned; of each file only one line is read, and only
+    until a line is found.
+    """
+    for name in sorted(spark.read.text(path).inputFiles()):
+        first = spark.read.text(name).first()
+        if first is not None:
+            return split_fields(first[0])
+    raise ValueError(f"no header line in {path!r}")
 
 
 def parse_diary_lines(lines: DataFrame, names: list[str], column: str = "value") -> DataFrame:
-    """Lines (without headers) -> typed diary rows.
-
-    Each line is split once; the record (column 0 as is, every other field
-    ``try_cast`` to double) is emitted through a Generate node, and a single
-    filter right above it fails the job when the line has the wrong number of
-    fields or any number is empty or malformed.  That filter reads every
-    field, so every field of every line is checked whatever a later query
-    selects, and it cannot be pushed below the Generate.  The expressions are
-    SQL text (one per column): a diary has hundreds of columns.
+    """Lines (without headers) -> typed diary rows, column 0 a string, all others double.
+
+    Each line is split once, empty fields at its end dropped.  A line with the
+    wrong number of fields or any empty or malformed number raises in the
+    generator that makes its row (see ``quarry.sources.rows``), so no filter or
+    projection of a later query can hide it.  The expressions are SQL text: a
+    diary has hundreds of columns.
     """
-    n = len(names)
-    split = lines.selectExpr(
-        f"split({sql_ident(column)}, {sql_string(DIARY_SEPARATOR)}) AS f", f"{sql_ident(column)} AS line"
-    )
-    width, raw = "__width", "__line"
+    n, sep = len(names), sql_string(DIARY_FIELD_SEPARATOR)
+    split = lines.selectExpr(f"split(trim(TRAILING {sep} FROM {sql_ident(column)}), {sep}) AS f", f"{sql_ident(column)} AS line")
     fields = [(names[0], "get(f, 0)")]
     fields += [(names[i], f"try_cast(get(f, {i}) AS DOUBLE)") for i in range(1, n)]
-    fields += [(width, "size(f)"), (raw, "line")]
     record = "named_struct(" + ", ".join(f"{sql_string(name)}, {expr}" for name, expr in fields) + ")"
-    parsed = emit_parsed_sql(split, record)
-    bad = " OR ".join([f"{sql_ident(width)} != {n}"] + [f"{sql_ident(names[i])} IS NULL" for i in range(1, n)])
+    bad = f"size(f) <> {n} OR exists(slice(f, 2, {n}), x -> try_cast(x AS DOUBLE) IS NULL)"
     message = (
         f"concat({sql_string(f'malformed diary line (needs {n} fields, numbers in all but the first): ')}, "
-        f"substring({sql_ident(raw)}, 1, 120))"
+        f"substring(line, 1, 120))"
     )
-    checked = parsed.where(fail_if_sql(bad, message, "true", "BOOLEAN"))
-    return checked.drop(width, raw)
+    return emit_checked_sql(split, record, bad, message)
 
 
 def read_diary(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:
     """Read a diary CSV folder or file: ``(column names, DataFrame)``.
 
-    Each part file written by Spark repeats the header, so every line equal to
-    the header is dropped (not only the first line of the first partition).
+    The header may stand in the first file only or, as Spark writes it, in
+    every file: each line equal to it is dropped.
     """
     names = read_header(spark, path)
-    header = DIARY_SEPARATOR.join(names)
-    lines = spark.read.text(path).where(F.col("value") != F.lit(header))
-    return names, parse_diary_lines(lines, names)
+    header = DIARY_FIELD_SEPARATOR.join(names)
+    kept = F.rtrim(F.col("value"), F.lit(DIARY_FIELD_SEPARATOR)) != F.lit(header)
+    return names, parse_diary_lines(spark.read.text(path).where(kept), names)

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quarry.fixed import POSTING_FIELD_SEPARATOR, POSTING_REQUIRED_FIELDS, POSTING_TAG_FIELD
-from quarry.functions.strict import fail_if_sql, sql_ident, sql_string
-from quarry.sources.rows import emit_parsed_sql
+from quarry.functions.strict import sql_ident, sql_string
+from quarry.sources.rows import emit_checked_sql
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("postingType", T.IntegerType(), False),
@@ -32,40 +32,37 @@ POSTING_SCHEMA = T.StructType([
 def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Posting lines -> typed postings (see the module docstring).
 
-    Each line is split once (after dropping trailing separators); the record
-    of ``try_cast`` fields is emitted through a Generate node, and one filter
-    right above it fails the job on a line with fewer than the required
-    fields or any malformed number.  The filter reads every field, so every
-    line is checked whatever a later query selects or filters, and it cannot
-    be pushed below the Generate.
+    Each line is split once (after dropping trailing separators).  The check
+    and the record stand in one generator: a line with fewer than the required
+    fields or any malformed number raises while its row is made.  A filter of
+    a later query, on whatever column, only sees rows that were made, so it
+    cannot drop a malformed line, and ``count()`` makes every row as well.
     """
     sep = sql_string(POSTING_FIELD_SEPARATOR)
     split = lines.selectExpr(
         f"split(trim(TRAILING {sep} FROM {sql_ident(column)}), {sep}) AS f", f"{sql_ident(column)} AS line"
     )
 
+    def number(i: int, kind: str) -> str:
+        return f"try_cast(get(f, {i}) AS {kind})"
+
     def optional(i: int) -> str:
-        raw = f"get(f, {i})"
-        return f"CASE WHEN {raw} IS NULL OR {raw} = '' THEN CAST(NULL AS BIGINT) ELSE try_cast({raw} AS BIGINT) END"
+        return f"CASE WHEN get(f, {i}) <> '' THEN {number(i, 'BIGINT')} END"
+
+    def malformed(i: int) -> str:
+        return f"(get(f, {i}) <> '' AND {number(i, 'BIGINT')} IS NULL)"
 
     record = (
         "named_struct("
-        "'postingType', try_cast(get(f, 0) AS INT), "
-        "'id', try_cast(get(f, 1) AS BIGINT), "
-        f"'acceptedAnswer', {optional(2)}, "
-        f"'parentId', {optional(3)}, "
-        "'score', try_cast(get(f, 4) AS INT), "
-        f"'tags', CASE WHEN size(f) > {POSTING_TAG_FIELD} THEN get(f, {POSTING_TAG_FIELD}) END, "
-        "'__n', size(f), '__r2', get(f, 2), '__r3', get(f, 3), '__line', line)"
+        f"'postingType', {number(0, 'INT')}, 'id', {number(1, 'BIGINT')}, "
+        f"'acceptedAnswer', {optional(2)}, 'parentId', {optional(3)}, 'score', {number(4, 'INT')}, "
+        f"'tags', CASE WHEN size(f) > {POSTING_TAG_FIELD} THEN get(f, {POSTING_TAG_FIELD}) END)"
     )
-    parsed = emit_parsed_sql(split, record)
     bad = (
-        f"__n < {POSTING_REQUIRED_FIELDS} OR postingType IS NULL OR id IS NULL OR score IS NULL "
-        "OR (__r2 <> '' AND acceptedAnswer IS NULL) OR (__r3 <> '' AND parentId IS NULL)"
+        f"line IS NULL OR size(f) < {POSTING_REQUIRED_FIELDS} OR {number(0, 'INT')} IS NULL OR {number(1, 'BIGINT')} IS NULL "
+        f"OR {number(4, 'INT')} IS NULL OR {malformed(2)} OR {malformed(3)}"
     )
-    message = "concat('malformed posting line: ', __line)"
-    checked = parsed.where(fail_if_sql(bad, message, "true", "BOOLEAN"))
-    return checked.drop("__n", "__r2", "__r3", "__line")
+    return emit_checked_sql(split, record, bad, "concat('malformed posting line: ', line)")
 
 
 def read_postings(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,27 +1,18 @@
-"""Emit parsed records so later predicates cannot be pushed into the parser."""
+"""Emit parsed records so that no later predicate or pruning gets around their checks."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+def emit_checked_sql(fields: DataFrame, record_sql: str, bad_sql: str, message_sql: str) -> DataFrame:
+    """One record per row of ``fields``, or a job failure where ``bad_sql`` holds.
 
-def emit_parsed(fields: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    """Select ``columns`` (each aliased) from ``fields`` as one generated record per row.
-
-    A filter over parsed columns (``postingType = 2``) would otherwise be
-    pushed below the projection with every column definition inlined, so the
-    line would be split again for each reference and the stage would outgrow
-    code generation.  ``inline(array(struct(...)))`` is a Generate node:
-    predicates on its output stay above it, the line is split once, and every
-    field of every record is parsed and checked (as the original parsers did)
-    whatever the query later uses.
+    ``record_sql`` is a ``named_struct``.  The check is part of the generator's
+    input, not a filter above it: Spark may reorder filters and infer ``IS NOT
+    NULL`` conditions that drop a malformed row before a check, but it cannot
+    move a condition on a generator's output below the generator, nor leave
+    the generator out.  The line is split once, whatever a query reads.
     """
-    return fields.select(F.inline(F.array(F.struct(*columns))))
-
-
-def emit_parsed_sql(fields: DataFrame, record_sql: str) -> DataFrame:
-    """:func:`emit_parsed` for a record given as SQL text (``named_struct(...)``)."""
-    return fields.selectExpr(f"inline(array({record_sql}))")
+    checked = f"CASE WHEN {bad_sql} THEN raise_error({message_sql}) ELSE {record_sql} END"
+    return fields.selectExpr(f"inline(array({checked}))")

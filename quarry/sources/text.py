@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quarry.fixed import TAGGED_PREFIX_CHARS, TAGGED_SUFFIX_CHARS, TITLE_TEXT_SEPARATOR
-from quarry.functions.strict import fail_if
+from quarry.functions.strict import sql_ident, sql_string
+from quarry.sources.rows import emit_checked_sql
 
 ARTICLE_SCHEMA = T.StructType([
     T.StructField("title", T.StringType(), True),
@@ -22,38 +22,22 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def tagged_title(line: Column) -> Column:
-    """Title of a tagged line: from the end of the fixed prefix to the separator."""
-    p = F.instr(line, TITLE_TEXT_SEPARATOR)
-    start = TAGGED_PREFIX_CHARS + 1                      # 1-based
-    return F.substring(line, F.lit(start), p - F.lit(start))
-
-
-def tagged_text(line: Column) -> Column:
-    """Text of a tagged line: after the separator, without the fixed suffix."""
-    p = F.instr(line, TITLE_TEXT_SEPARATOR)
-    start = p + F.lit(len(TITLE_TEXT_SEPARATOR))         # 1-based
-    end = F.length(line) - F.lit(TAGGED_SUFFIX_CHARS)    # exclusive, 0-based == inclusive 1-based
-    return F.substring(line, start, end - start + F.lit(1))
-
-
 def parse_tagged_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Tagged lines -> ``(title, text)``.
 
     Layout: a 14-character prefix, the title, ``</title><text>``, the text and a
     16-character suffix.  A line without the separator, or too short to hold
-    the suffix after it, fails the job (the original parser throws).
+    the suffix after it, fails the job while its row is made, also under
+    ``count()`` (the original parser throws).
     """
-    line = F.col(column)
-    p = F.instr(line, TITLE_TEXT_SEPARATOR)
-    text_start0 = p - 1 + F.lit(len(TITLE_TEXT_SEPARATOR))
-    text_end0 = F.length(line) - F.lit(TAGGED_SUFFIX_CHARS)
-    bad = (p == 0) | (p - 1 < F.lit(TAGGED_PREFIX_CHARS)) | (text_end0 < text_start0)
-    message = F.concat(F.lit("malformed tagged line: "), F.substring(line, 1, 80))
-    return lines.select(
-        fail_if(bad, message, tagged_title(line)).alias("title"),
-        fail_if(bad, message, tagged_text(line)).alias("text"),
-    )
+    sep, line = sql_string(TITLE_TEXT_SEPARATOR), sql_ident(column)
+    places = lines.selectExpr(f"{line} AS line", f"instr({line}, {sep}) AS p", f"length({line}) AS n")
+    start = f"p + {len(TITLE_TEXT_SEPARATOR)}"                  # 1-based start of the text
+    title = f"substring(line, {TAGGED_PREFIX_CHARS + 1}, p - {TAGGED_PREFIX_CHARS + 1})"
+    text = f"substring(line, {start}, n - {TAGGED_SUFFIX_CHARS} - ({start}) + 1)"
+    bad = f"line IS NULL OR p <= {TAGGED_PREFIX_CHARS} OR n - {TAGGED_SUFFIX_CHARS} < {start} - 1"
+    record = f"named_struct('title', {title}, 'text', {text})"
+    return emit_checked_sql(places, record, bad, "concat('malformed tagged line: ', substring(line, 1, 80))")
 
 
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
-from quarry.sources.diary import read_diary
+from quarry.operators import diary, qa
+from quarry.sources.diary import parse_diary_lines, read_diary
 from quarry.sources.postings import parse_posting_lines, read_postings
 from quarry.sources.text import parse_tagged_lines, read_articles
 
@@ -133,3 +134,67 @@ def test_diary_check_runs_before_later_filters(spark, tmp_dir):
     names, df = read_diary(spark, tmp_dir)
     with pytest.raises(FAILURES):
         d.summary_from(df, names).collect()
+
+
+GOOD_POSTINGS = ["1,1,,,0,Java", "2,11,,1,4", "1,2,,,0,Perl", "2,12,,2,5"]
+BAD_POSTINGS = ["x,5,,,3", "1,zz,,,3,Java", "2,7,,zz,3", "2,7,zz,1,3", "2,7,,1,zz", "2,7,,1,", "2,7", "", "1,,,,3", "2,7,,1,3.5"]
+POSTING_USES = {
+    "collect": lambda df: df.collect(), "count": lambda df: df.count(),
+    "questions": lambda df: qa.questions(df).collect(), "answers": lambda df: qa.answers(df).count(),
+    "pairs": lambda df: qa.question_answer_pairs(df).collect(), "high_scores": lambda df: qa.high_scores(df).collect(),
+    **{f"filter {c}": (lambda df, c=c: df.where(f"{c} <= 4").count())
+       for c in ("postingType", "id", "acceptedAnswer", "parentId", "score")},
+    "filter tags": lambda df: df.where("tags = 'Java'").select("id").collect(),
+}
+
+
+@pytest.mark.parametrize("use", POSTING_USES)
+def test_no_use_of_postings_hides_a_malformed_line(spark, use):
+    for bad in BAD_POSTINGS:
+        with pytest.raises(FAILURES):
+            POSTING_USES[use](parse_posting_lines(lines(spark, [*GOOD_POSTINGS, bad])))
+    POSTING_USES[use](parse_posting_lines(lines(spark, GOOD_POSTINGS)))
+
+
+DIARY_NAMES = ["tucaseid", "telfs", "tesex", "teage", "t010101", "t050101", "t020101"]
+DIARY_USES = {
+    "collect": lambda df: df.collect(), "count": lambda df: df.count(),
+    "summary": lambda df: diary.summary_from(df, DIARY_NAMES).collect(),
+    "grouped": lambda df: diary.grouped(diary.summary_from(df, DIARY_NAMES)).collect(),
+    "hours": lambda df: diary.column_hours(DIARY_NAMES, df).collect(),
+    **{f"filter {c}": (lambda df, c=c: df.where(f"{c} <= 4").count()) for c in DIARY_NAMES[1:]},
+}
+
+
+@pytest.mark.parametrize("use", DIARY_USES)
+def test_no_use_of_a_diary_hides_a_malformed_line(spark, use):
+    good = ["A,1,1,30,60,60,60", "B,5,2,40,1,1,1"]
+    bad = [",".join(["C", *["1" if k != i else v for k in range(6)]]) for i in range(6) for v in ("", "x")]
+    for line in [*bad, "C,1,1", "C,1,1,1,1,1,1,1", ""]:
+        with pytest.raises(FAILURES):
+            DIARY_USES[use](parse_diary_lines(lines(spark, [*good, line]), DIARY_NAMES))
+    DIARY_USES[use](parse_diary_lines(lines(spark, good), DIARY_NAMES))
+
+
+@pytest.mark.parametrize("line", ["no separator at all, but long enough", "<page><title> T</title><text>", "x</title><text>y</text></page>  "])
+def test_tagged_lines_raise_under_count_and_filters(spark, line):
+    good = "<page><title> A</title><text>Java rocks</text></page>  "
+    df = parse_tagged_lines(lines(spark, [good, line]))
+    for use in (lambda: df.count(), lambda: df.where("title = 'A'").collect(), lambda: df.select("text").collect()):
+        with pytest.raises(FAILURES):
+            use()
+
+
+def test_diary_header_only_in_the_first_file(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "part-0.csv"), "")
+    write(os.path.join(tmp_dir, "part-1.csv"), "tucaseid,telfs,t010101\nA,1,60\n")
+    write(os.path.join(tmp_dir, "part-2.csv"), "".join(f"B{i},2,{i}\n" for i in range(500)))
+    names, df = read_diary(spark, tmp_dir)
+    assert names == ["tucaseid", "telfs", "t010101"] and df.count() == 501
+
+
+def test_diary_trailing_empty_fields(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "d.csv"), "tucaseid,telfs,t010101,\nA,1,60,\nB,2,30\n")
+    names, df = read_diary(spark, tmp_dir)
+    assert names == ["tucaseid", "telfs", "t010101"]
+    assert sorted(map(tuple, df.collect())) == [("A", 1.0, 60.0), ("B", 2.0, 30.0)]
