@@ -8,14 +8,14 @@ tiny however many respondents there are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.fixed import (
     EMPLOYABLE_TELFS_MAX,
     GROUPED_SCALE,
-    OTHER_EXCLUDED_PREFIXES,
+    MINUTES_PER_HOUR,
     OTHER_PREFIXES,
     PRIMARY_NEEDS_PREFIXES,
     SUMMARY_COLUMNS,
@@ -31,11 +31,7 @@ SUMMARY_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType(), True) for c in MEASURES]
 )
 
-CLASSES_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType(), False),
-    T.StructField("class", T.StringType(), True),
-    T.StructField("position", T.IntegerType(), False),
-])
+COLUMN_HOURS_SCHEMA = "name string, class string, position int, hours double"
 
 
 def column_class(name: str) -> str | None:
@@ -44,9 +40,7 @@ def column_class(name: str) -> str | None:
         return "primary"
     if any(name.startswith(p) for p in WORK_PREFIXES):
         return "work"
-    if any(name.startswith(p) for p in OTHER_PREFIXES) and not any(
-        name.startswith(p) for p in OTHER_EXCLUDED_PREFIXES
-    ):
+    if any(name.startswith(p) for p in OTHER_PREFIXES):
         return "other"
     return None
 
@@ -61,10 +55,22 @@ def classify_columns(names: list[str]) -> tuple[list[str], list[str], list[str]]
     return groups["primary"], groups["work"], groups["other"]
 
 
-def column_classes(spark: SparkSession, names: list[str]) -> DataFrame:
-    """The classification as a table ``(name, class, position)``; unmatched -> NULL class."""
-    rows = [(n, column_class(n), i) for i, n in enumerate(names)]
-    return spark.createDataFrame(rows, CLASSES_SCHEMA)
+def column_hours(names: list[str], df: DataFrame) -> DataFrame:
+    """One row per classified column: ``(name, class, position, hours)``, hours summed over the diary.
+
+    All sums are made in one pass with one row per task; the wide row of sums
+    is then turned into rows.
+    """
+    classed = [(n, column_class(n), i) for i, n in enumerate(names) if column_class(n)]
+    if not classed:
+        return df.sparkSession.createDataFrame([], COLUMN_HOURS_SCHEMA)
+    total = df.agg(*[F.sum(F.col(f"`{n}`")).alias(f"s{i}") for n, _, i in classed])
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(c).alias("class"), F.lit(i).alias("position"),
+                 (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / MINUTES_PER_HOUR).alias("hours"))
+        for n, c, i in classed
+    ])
+    return total.select(F.inline(rows))
 
 
 def summary(primary: list[str], work: list[str], other: list[str], df: DataFrame) -> DataFrame:

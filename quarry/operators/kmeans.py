@@ -36,16 +36,13 @@ from quarry.fixed import (
     LANGUAGES,
     SIMPLE_SAMPLE_SEED,
     STRATIFIED_SAMPLE_MIN_SPREAD,
-    TRACE_CURRENT,
-    TRACE_DESIRED,
-    TRACE_ITERATION,
-    TRACE_MAX_REACHED,
-    TRACE_MEAN_LINE,
-    TRACE_MEANS,
 )
-from quarry.functions.geometry import assign_nearest, nearest_sql, point_distance
+from quarry.functions.geometry import assign_nearest, means_moves, nearest_sql
 from quarry.session import scratch_path
 
+# Hash parts of a stratum that are sampled on their own first.
+SAMPLE_SALTS = 64
+
 MEANS_SCHEMA = T.StructType([
     T.StructField("idx", T.IntegerType(), False),
     T.StructField("x", T.LongType(), False),
@@ -109,19 +106,22 @@ def sample_order(id_column: str, seed: int) -> Column:
 def stratified_sample(vectors: DataFrame, params: ClusterParams) -> DataFrame:
     """Uniform sample of ``kernels / #keywords`` vectors per keyword (M1).
 
-    ``row_number`` over the keyword stratum ordered by the md5 key, filtered
-    to ``<= k``.  Spark plans this as a partial window-group limit before the
-    exchange, so each task ships at most k rows per stratum and a stratum
-    holding a third of all rows never lands whole in one task.
-    Columns: ``id, x, y, rank``.
+    Two levels, the same for every sample size: the first ``k`` by the md5 key
+    within each of ``SAMPLE_SALTS`` hash parts of a keyword's stratum, then the
+    first ``k`` of what is left of the stratum.  A stratum holding a third of
+    all rows is spread over its parts, and the second level receives at most
+    ``SAMPLE_SALTS * k`` rows of it.  Columns: ``id, x, y, rank``.
     """
     per = params.per_keyword
-    w = Window.partitionBy("x").orderBy(sample_order("id", params.seed), F.col("id"))
-    return (
-        vectors.select("id", "x", "y")
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= per)
+    order = (sample_order("id", params.seed), F.col("id"))
+    part = F.pmod(F.xxhash64("id"), F.lit(SAMPLE_SALTS))
+    within = Window.partitionBy("x", "part").orderBy(*order)
+    first = (
+        vectors.select("id", "x", "y").withColumn("part", part)
+        .withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= per)
     )
+    whole = Window.partitionBy("x").orderBy(*order)
+    return first.select("id", "x", "y", F.row_number().over(whole).alias("rank")).where(F.col("rank") <= per)
 
 
 def simple_sample(vectors: DataFrame, params: ClusterParams) -> DataFrame:
@@ -195,35 +195,17 @@ class KMeansResult:
     def trace_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.history, TRACE_SCHEMA)
 
-    def trace_lines(self, eta: float) -> list[str]:
-        """The per-pass debug trace as text lines (I5); passes x k lines."""
-        lines: list[str] = []
-        for row in self.history:
-            it, idx, ox, oy, nx, ny, move, total = row
-            if idx == 0:
-                lines += [
-                    TRACE_ITERATION.format(iteration=it),
-                    TRACE_CURRENT.format(total=total),
-                    TRACE_DESIRED.format(eta=eta),
-                    TRACE_MEANS,
-                ]
-            lines.append(TRACE_MEAN_LINE.format(old=f"({ox},{oy})", new=f"({nx},{ny})", move=move))
-        if self.history and not self.converged:
-            lines.append(TRACE_MAX_REACHED)
-        return lines
-
 
 def kmeans_pass(points: DataFrame, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """One Lloyd pass over weighted points; returns the new means.
 
-    Distances, the nearest index and the weighted coordinates are two
-    projections rendered as SQL text; the aggregation is partial per task, so
-    at most k rows per task cross the shuffle and k rows reach the driver.
+    The aggregation is partial per task, so at most k rows per task cross the
+    shuffle and k rows reach the driver.  The means are constants of one array
+    (see ``quarry.functions.geometry``), so every pass has the same plan and
+    code.
     """
-    dists, pick = nearest_sql("x", "y", means)
     sums = (
-        points.selectExpr("x", "y", "w", *dists)
-        .selectExpr(f"{pick} AS idx", "CAST(x AS BIGINT) * w AS xw", "CAST(y AS BIGINT) * w AS yw", "w")
+        points.selectExpr(f"{nearest_sql('x', 'y', means)} AS idx", "CAST(x AS BIGINT) * w AS xw", "CAST(y AS BIGINT) * w AS yw", "w")
         .groupBy("idx")
         .agg(F.expr("sum(xw) div sum(w)").alias("mx"), F.expr("sum(yw) div sum(w)").alias("my"))
     )
@@ -247,10 +229,7 @@ def kmeans(
     history: list[tuple] = []
     for it in range(1, params.max_iterations + 1):
         new = kmeans_pass(points, current)
-        moves = [point_distance(a, b) for a, b in zip(current, new)]
-        total = 0.0
-        for m in moves:
-            total += m
+        moves, total = means_moves(current, new)
         if trace:
             history += [
                 (it, i, a[0], a[1], b[0], b[1], mv, total)
@@ -277,13 +256,13 @@ def prepare_points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True) -> tuple[KMeansResult, DataFrame]:
     """Sample, then iterate: the whole clustering.  Returns the result and the points.
 
-    The in-memory copy of the points is released after the last pass; the
-    returned points stay valid, backed by their Parquet files.
+    The in-memory copy of the points is released after the last pass, or when
+    sampling fails; the returned points stay valid, backed by their Parquet
+    files.
     """
     vecs, points = prepare_points(vectors)
-    start = initial_means(vecs, params)
     try:
-        return kmeans(points, start, params, trace), points
+        return kmeans(points, initial_means(vecs, params), params, trace), points
     finally:
         points.unpersist()
 

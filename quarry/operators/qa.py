@@ -59,29 +59,20 @@ def high_scores(postings: DataFrame) -> DataFrame:
     are all negative scores 0.  Duplicate question ids (the original keeps an
     arbitrary one) keep the least ``(tags, score)``.
 
-    The question-answer join is expressed as one aggregation keyed by the
-    question id (``id`` of a question, ``parentId`` of an answer): the max
-    answer score and the least question ``(tags, score)`` per key, keeping the
-    keys that have both (the inner join).  So the postings are scanned and
-    parsed once, not once per join side, and the map-side partial aggregate
-    collapses a question owning a third of all answers, or an id copied into
-    a third of all rows, to one row per task before the single shuffle.  The
-    aggregate is sort-based because its buffer holds the tag string.
+    Answers, by far the larger side, are reduced by a hash aggregate with a
+    primitive buffer (the maximum) in every task, so a question owning a third
+    of all answers is one row per task in the shuffle and no answer is sorted.
+    The fewer questions are reduced apart; only these carry tags, whose string
+    buffer needs a sort-based aggregate.  Both sides leave their aggregates
+    partitioned by question, so the join adds no shuffle.
     """
-    kind = F.col("postingType")
-    is_question = kind == QUESTION_TYPE
-    is_answer = (kind == ANSWER_TYPE) & F.col("parentId").isNotNull()
-    key = F.when(is_question, F.col("id")).when(is_answer, F.col("parentId"))
-    per_question = (
-        postings.where(is_question | is_answer)
-        .groupBy(key.alias("question_id"))
-        .agg(
-            F.max(F.when(is_answer, F.col("score"))).alias("best"),
-            F.min(F.when(is_question, F.struct("tags", "score"))).alias("q"),
-        )
+    best = (
+        answers(postings).groupBy(F.col("parentId").alias("id")).agg(F.max("score").alias("best"))
+        .where(F.col("best").isNotNull())
     )
-    return per_question.where(F.col("best").isNotNull() & F.col("q").isNotNull()).select(
-        F.col("question_id").alias("id"),
+    least = questions(postings).groupBy("id").agg(F.min(F.struct("tags", "score")).alias("q"))
+    return least.join(best, "id").select(
+        "id",
         F.col("q.tags").alias("tags"),
         F.col("q.score").alias("score"),
         F.greatest(F.col("best"), F.lit(0)).alias("high_score"),

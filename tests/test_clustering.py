@@ -1,5 +1,7 @@
 """Postings, scores, vectors, sampling, k-means and cluster summaries."""
 
+import random
+
 import pytest
 
 from quarry.fixed import KMEANS_ETA, KMEANS_KERNELS, KMEANS_MAX_ITERATIONS, LANG_SPREAD, LANGUAGES
@@ -75,15 +77,15 @@ def test_equidistant_point_goes_to_lowest_index(spark):
     assert km.assign_clusters(df, means).first()["cluster"] == 2
 
 
-def test_lambda_form_matches_unrolled(spark, monkeypatch):
+@pytest.mark.parametrize("k", [1, 5, 400])
+def test_nearest_mean_has_one_form_for_every_k(spark, k):
     pts = [(x, y) for x in range(0, 300, 50) for y in range(-40, 41, 20)]
-    means = [(0, 0), (100, 10), (100, -10), (250, 0), (50, 0)]
+    means = [((i * 37) % 300, (i * 11) % 80 - 40) for i in range(k)]
     df = vecs(spark, pts)
-    unrolled = [r["cluster"] for r in km.assign_clusters(df, means).orderBy("id").collect()]
-    column = [r["c"] for r in df.select("id", geometry.nearest_index("x", "y", means).alias("c")).orderBy("id").collect()]
-    monkeypatch.setattr(geometry, "UNROLL_LIMIT", 1)
-    lam = [r["cluster"] for r in km.assign_clusters(df, means).orderBy("id").collect()]
-    assert unrolled == lam == column
+    got = [r["cluster"] for r in km.assign_clusters(df, means).orderBy("id").collect()]
+    far = [[geometry.point_distance(p, m) for m in means] for p in pts]
+    assert got == [d.index(min(d)) for d in far]
+    assert "array_min" in geometry.nearest_sql("x", "y", means)
 
 
 def test_empty_cluster_keeps_its_mean(spark):
@@ -163,10 +165,37 @@ def test_report_line_format(spark):
     assert line == "    -12  Java              (100.0%)         1234"
 
 
-def test_trace_lines(spark):
+def test_trace_frame(spark):
     points = km.weighted_points(vecs(spark, [(0, 0), (0, 10), (100, 0), (100, 10)]))
     p = km.ClusterParams(keywords=["a"], spread=100, kernels=2, eta=0.0, max_iterations=1)
-    lines = km.kmeans(points, [(0, 0), (100, 0)], p).trace_lines(p.eta)
-    assert lines[:4] == ["Iteration: 1", "  * current distance: 50.0", "  * desired distance: 0.0", "  * means:"]
-    assert lines[4] == "                  (0,0) ==>                (0,5)    distance:       25"
-    assert lines[-1] == "Reached max iterations!"
+    rows = [tuple(r) for r in km.kmeans(points, [(0, 0), (100, 0)], p).trace_frame(spark).collect()]
+    assert rows == [(1, 0, 0, 0, 0, 5, 25.0, 50.0), (1, 1, 100, 0, 100, 5, 25.0, 50.0)]
+
+
+def test_points_are_released_when_sampling_fails(spark):
+    p = km.ClusterParams(keywords=["a", "b"], spread=500, kernels=4)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(ValueError):
+        km.cluster(vecs(spark, [(0, 1), (0, 2), (500, 3)]), p)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_stratified_sample_equals_plain_ranking(spark):
+    v = vecs(spark, [((i % 2) * 500, i) for i in range(2000)])
+    for per in (3, 700):
+        p = km.ClusterParams(keywords=["a", "b"], spread=500, kernels=2 * per)
+        v.createOrReplaceTempView("sampled_vectors")
+        want = spark.sql(f"""SELECT id, x, y, rank FROM (SELECT *, row_number() OVER (PARTITION BY x
+            ORDER BY md5(concat('42', cast(id AS string))), id) AS rank FROM sampled_vectors) WHERE rank <= {per}""")
+        assert sorted(map(tuple, km.stratified_sample(v, p).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_medians_over_many_blocks(spark):
+    rng = random.Random(1)
+    scores = [(c, rng.randint(-5000, 5000), rng.randint(1, 4)) for c in range(3) for _ in range(301 + c)]
+    frame = spark.createDataFrame(scores, "cluster int, y int, w long")
+    sizes = frame.groupBy("cluster").agg({"w": "sum"}).withColumnRenamed("sum(w)", "cluster_size")
+    got = {r.cluster: r["median"] for r in clusters.weighted_medians(frame, sizes).collect()}
+    for c in range(3):
+        each = sorted(y for k, y, w in scores if k == c for _ in range(w))
+        assert got[c] == (each[(len(each) - 1) // 2] + each[len(each) // 2]) / 2

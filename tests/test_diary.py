@@ -3,13 +3,12 @@
 import pytest
 
 from quarry.operators import diary as d
-from quarry.sources.diary import diary_schema
 
 NAMES = ["tucaseid", "telfs", "tesex", "teage", "t010101", "t050101", "t020101"]
 
 
 def table(spark, rows):
-    return spark.createDataFrame(rows, diary_schema(NAMES, nullable=True))
+    return spark.createDataFrame(rows, "tucaseid string, " + ", ".join(f"{n} double" for n in NAMES[1:]))
 
 
 def test_column_classes():
@@ -21,6 +20,13 @@ def test_column_classes():
     assert (p, w, o) == (["t110101", "t010101"], ["t050101", "t180501"], ["t020101"])
 
 
+def test_column_hours(spark):
+    rows = [("a", 1.0, 1.0, 20.0, 60.0, 30.0, 0.0), ("b", 5.0, 2.0, 30.0, 90.0, 30.0, None)]
+    got = [tuple(r) for r in d.column_hours(NAMES, table(spark, rows)).collect()]
+    assert got == [("t010101", "primary", 4, 2.5), ("t050101", "work", 5, 1.0), ("t020101", "other", 6, 0.0)]
+    assert d.column_hours(["tucaseid", "telfs"], table(spark, rows)).collect() == []
+
+
 def test_empty_group_raises(spark):
     df = table(spark, [("a", 1.0, 1.0, 20.0, 60.0, 60.0, 60.0)])
     with pytest.raises(ValueError):
