@@ -25,15 +25,10 @@ from quarry.fixed import (
     KMEANS_MAX_ITERATIONS,
     LANG_SPREAD,
     LANGUAGES,
-    REPORT_HEADER,
-    REPORT_RULE,
-    REPORT_TITLE,
-    SECTION_BANNER_FORMAT,
-    TIMING_LINE_FORMAT,
 )
 from quarry.operators.keywords import ranking_list
 from quarry.operators.kmeans import ClusterParams
-from quarry.session import build_session
+from quarry.session import build_session, release_scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -54,23 +49,25 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--max-iterations", type=int, default=KMEANS_MAX_ITERATIONS)
     c.add_argument("--debug", action="store_true", help="print the per-pass trace")
 
-    d = sub.add_parser("diary", help="time-diary summaries by life period")
+    d = sub.add_parser("diary", help="time-diary summaries and grouped averages")
     d.add_argument("path")
     d.add_argument("--show", type=int, default=20, help="summary rows to print")
     return p
 
 
+def _print_rows(df, rows, out) -> None:
+    print(",".join(df.columns), file=out)
+    for r in rows:
+        print(",".join(str(v) for v in r), file=out)
+
+
 def _keywords(spark: SparkSession, args, out) -> None:
-    rankings = jobs.keyword_rankings_from_file(spark, args.path, args.keywords)
-    labels = {"scan": "Part 1: ranking by scan", "index": "Part 2: ranking using inverted index",
-              "combined": "Part 3: combined ranking"}
-    timings = []
-    for name, df in rankings.items():
+    for name, df in jobs.keyword_rankings_from_file(spark, args.path, args.keywords).items():
         t0 = time.perf_counter()
         ranked = ranking_list(df)
-        timings.append(TIMING_LINE_FORMAT.format(label=labels[name], ms=int((time.perf_counter() - t0) * 1000)))
-        print(f"{labels[name]}: {ranked}", file=out)
-    print("\n".join(timings), file=out)
+        print(f"[{name}] {time.perf_counter() - t0:.1f} s", file=out)
+        for keyword, n in ranked:
+            print(f"{keyword},{n}", file=out)
 
 
 def _cluster(spark: SparkSession, args, out) -> None:
@@ -78,27 +75,26 @@ def _cluster(spark: SparkSession, args, out) -> None:
                            eta=args.eta, max_iterations=args.max_iterations)
     run = jobs.cluster_postings_file(spark, args.path, params)
     if args.debug:
-        print("\n".join(run.result.trace_lines(params.eta)), file=out)
-    print(REPORT_TITLE, file=out)
-    print(REPORT_HEADER, file=out)
-    print(REPORT_RULE, file=out)
-    for row in run.report.orderBy("median_score").collect():   # k rows
+        trace = run.result.trace_frame(spark)
+        print(f"[passes] {run.result.passes}, settled: {run.result.converged}", file=out)
+        _print_rows(trace, run.result.history, out)
+    print("[clusters] by median score", file=out)
+    for row in run.report.collect():   # k rows, in the summary's order
         print(row["line"], file=out)
 
 
 def _diary(spark: SparkSession, args, out) -> None:
-    forms = jobs.time_usage_by_life_period(spark, args.path)
-    for name, df in forms.items():
-        print(SECTION_BANNER_FORMAT.format(name=name), file=out)
-        rows = df.take(args.show) if name == "summary" else df.collect()   # at most 12 groups
-        print(",".join(df.columns), file=out)
-        for r in rows:
-            print(",".join(str(v) for v in r), file=out)
+    for name, df in jobs.diary_forms(spark, args.path).items():
+        print(f"[{name}]", file=out)
+        _print_rows(df, df.take(args.show) if name == "summary" else df.collect(), out)   # at most 12 groups
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, out=None) -> int:
     args = _parser().parse_args(argv)
     out = out or sys.stdout
     spark = spark or build_session(args.master, app_name=f"quarry-{args.job}")
-    {"keywords": _keywords, "cluster": _cluster, "diary": _diary}[args.job](spark, args, out)
+    try:
+        {"keywords": _keywords, "cluster": _cluster, "diary": _diary}[args.job](spark, args, out)
+    finally:
+        release_scratch(spark)
     return 0

@@ -4,7 +4,7 @@ Each returns DataFrames (bounded ones may be collected by the caller):
 
 * :func:`keyword_rankings` - the three rankings of a tagged-line article file;
 * :func:`cluster_postings` - postings file -> k-means means, trace and cluster summary;
-* :func:`time_usage_by_life_period` - diary CSV -> summary and its grouped forms.
+* :func:`diary_forms` - diary CSV -> summary and its grouped forms.
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ def keyword_rankings_from_file(spark: SparkSession, path: str, langs: Iterable[s
 @dataclass
 class ClusteringRun:
     result: KMeansResult
-    vectors: DataFrame
     summary: DataFrame
     report: DataFrame
 
@@ -49,20 +48,16 @@ def cluster_postings(postings: DataFrame, params: ClusterParams | None = None) -
     """Scores, vectors, sampled means, k-means and the cluster summary."""
     params = params or ClusterParams()
     vecs = qa.vectors(qa.high_scores(postings), params.keywords, params.spread)
-    vecs, points = kmeans.prepare_points(vecs)
-    try:
-        result = kmeans.kmeans(points, kmeans.initial_means(vecs, params), params)
-    finally:
-        points.unpersist()
+    result, points = kmeans.cluster(vecs, params)
     summary = clusters.cluster_summary(points, result.means, params)
-    return ClusteringRun(result, vecs, summary, clusters.cluster_report(summary))
+    return ClusteringRun(result, summary, clusters.cluster_report(summary))
 
 
 def cluster_postings_file(spark: SparkSession, path: str, params: ClusterParams | None = None) -> ClusteringRun:
     return cluster_postings(read_postings(spark, path), params)
 
 
-def time_usage_by_life_period(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def diary_forms(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Read the diary CSV, classify its columns and build every summary form."""
     names, df = read_diary(spark, path)
     primary, work, other = diary.classify_columns(names)

@@ -10,9 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry import jobs
 from quarry.operators import clusters, diary, keywords, kmeans, qa
 from quarry.plans import fixtures as fx
-from quarry.sources.diary import read_diary, read_header
+from quarry.sources.diary import read_diary
 from quarry.sources.postings import parse_posting_lines, read_postings
 from quarry.sources.text import parse_tagged_lines
 
@@ -104,8 +105,7 @@ def nearest_assignment(spark, sf_dir):
 
 
 def _run(spark, sf_dir, params):
-    result, points = kmeans.cluster(_vectors(spark, sf_dir, params.spread), params)
-    return result, points
+    return kmeans.cluster(_vectors(spark, sf_dir, params.spread), params)
 
 
 def kmeans_fixed(spark, sf_dir):
@@ -146,8 +146,9 @@ def diary_read(spark, sf_dir):
     return df
 
 
-def diary_columns(spark, sf_dir):
-    return diary.column_classes(spark, read_header(spark, fx.write_diary_csv(spark, sf_dir)))
+def diary_column_hours(spark, sf_dir):
+    names, df = read_diary(spark, fx.write_diary_csv(spark, sf_dir))
+    return diary.column_hours(names, df)
 
 
 def diary_summary(spark, sf_dir):
@@ -170,6 +171,22 @@ def diary_grouped_typed(spark, sf_dir):
     return diary.grouped_typed(diary.summary_typed(diary_summary(spark, sf_dir)))
 
 
+# ----------------------------------------------------------------- programs, from files
+
+
+def program_keywords(spark, sf_dir):
+    return jobs.keyword_rankings_from_file(spark, fx.write_tagged_lines(spark, sf_dir), fx.ARTICLE_KEYWORDS)["combined"]
+
+
+def program_clusters(spark, sf_dir):
+    params = fx.cluster_params(spread=fx.SUMMARY_SPREAD, eta=0.0, max_iterations=fx.FIXED_PASSES)
+    return jobs.cluster_postings_file(spark, fx.write_posting_lines(spark, sf_dir), params).summary
+
+
+def program_diary(spark, sf_dir):
+    return jobs.diary_forms(spark, fx.write_diary_csv(spark, sf_dir))["grouped"]
+
+
 QUERIES: dict[str, Query] = {
     "keyword_occurrences": keyword_occurrences,
     "keyword_rank_scan": keyword_rank_scan,
@@ -192,10 +209,13 @@ QUERIES: dict[str, Query] = {
     "cluster_summary": cluster_summary,
     "cluster_report": cluster_report,
     "diary_read": diary_read,
-    "diary_columns": diary_columns,
+    "diary_column_hours": diary_column_hours,
     "diary_summary": diary_summary,
     "diary_summary_typed": diary_summary_typed,
     "diary_grouped": diary_grouped,
     "diary_grouped_sql": diary_grouped_sql,
     "diary_grouped_typed": diary_grouped_typed,
+    "program_keywords": program_keywords,
+    "program_clusters": program_clusters,
+    "program_diary": program_diary,
 }

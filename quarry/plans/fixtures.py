@@ -27,6 +27,8 @@ SIMPLE_SAMPLE_SPREAD = 100
 CLUSTER_KERNELS = 12
 FIXED_PASSES = 4
 
+NEWLINE_MARK = "~"               # no blank, so it joins two lines' words as a newline does
+
 TAG_OPEN = "<page><title> "      # 14 characters
 TAG_CLOSE = "</text></page>  "    # 16 characters
 
@@ -56,8 +58,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One tagged line per document in column ``value`` (kept as a column:
-    texts contain newlines, so they cannot round-trip through a text file)."""
+    """One tagged line per document in column ``value``, newlines as they are."""
     docs = table(spark, sf_dir, "documents")
     line = F.concat(
         F.lit(TAG_OPEN), F.col("doc_id").cast("string"), F.lit(TITLE_TEXT_SEPARATOR), F.col("text"), F.lit(TAG_CLOSE)
@@ -65,6 +66,14 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(line.alias("value"))
 
 
+def write_tagged_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Write the tagged lines as a text file folder, newlines inside texts replaced
+    by ``NEWLINE_MARK`` so that each article stays one line; returns the folder."""
+    path = scratch_path(spark, "tagged-lines")
+    tagged_lines(spark, sf_dir).select(F.translate("value", "\n\r", NEWLINE_MARK * 2)).write.text(path)
+    return path
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions from ``orders``, answers from ``lineitem`` (POSTING_SCHEMA).
 

@@ -57,6 +57,9 @@ WITH {_HITS}
 SELECT keyword, count(*) AS n_articles FROM hits GROUP BY keyword
 """
 
+PROGRAM_KEYWORDS = KEYWORD_RANK_FROM_HITS.replace(
+    "string_split(text, ' ')", f"string_split(translate(text, chr(10) || chr(13), '{fx.NEWLINE_MARK * 2}'), ' ')")
+
 TAGGED_LINE_PARSE = "SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents"
 
 # ----------------------------------------------------------------- postings
@@ -89,12 +92,11 @@ scored AS (
 
 POSTINGS_PARSE = f"WITH {_POSTINGS} SELECT * FROM postings"
 
-QUESTION_ANSWER_PAIRS = f"""
-WITH {_POSTINGS}
-SELECT q.id AS question_id, q.acceptedAnswer AS question_accepted_answer, q.score AS question_score,
-       q.tags AS question_tags, a.id AS answer_id, a.score AS answer_score
-FROM postings q JOIN postings a ON q.id = a.parentId
-WHERE q.postingType = 1 AND a.postingType = 2 AND a.parentId IS NOT NULL
+QUESTION_ANSWER_PAIRS = """
+SELECT CAST(o_orderkey AS BIGINT) AS question_id, CAST(NULL AS BIGINT) AS question_accepted_answer, 0 AS question_score,
+       o_orderpriority AS question_tags, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS answer_id,
+       CAST(floor(l_extendedprice) AS INTEGER) - 30000 AS answer_score
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 """
 
 QUESTION_HIGH_SCORES = f"WITH {_SCORED} SELECT id, tags, score, high_score FROM scored"
@@ -289,14 +291,14 @@ summary AS (
 
 DIARY_READ = f"WITH {_DIARY} SELECT * FROM diary"
 
-DIARY_COLUMNS = """
-SELECT name, class, CAST(position AS INTEGER) AS position FROM (VALUES
-  ('tucaseid', NULL, 0), ('telfs', NULL, 1), ('tesex', NULL, 2), ('teage', NULL, 3),
-  ('t010101', 'primary', 4), ('t030101', 'primary', 5), ('t050101', 'work', 6),
-  ('t180101', 'primary', 7), ('t180501', 'work', 8), ('t020101', 'other', 9),
-  ('t189999', 'other', 10), ('t500101', NULL, 11)
-) AS t(name, class, position)
-"""
+_COLUMN_CLASSES = [
+    ("t010101", "primary", 4), ("t030101", "primary", 5), ("t050101", "work", 6), ("t180101", "primary", 7),
+    ("t180501", "work", 8), ("t020101", "other", 9), ("t189999", "other", 10),
+]
+
+DIARY_COLUMN_HOURS = f"WITH {_DIARY}" + " UNION ALL ".join(
+    f" SELECT '{name}' AS name, '{kind}' AS class, {at} AS position, sum({name}) / 60 AS hours FROM diary" for name, kind, at in _COLUMN_CLASSES
+)
 
 DIARY_SUMMARY = f"WITH {_SUMMARY} SELECT * FROM summary"
 
@@ -336,10 +338,13 @@ def oracle_sql() -> dict[str, str]:
         "cluster_summary": cluster_summary_sql(fx.SUMMARY_SPREAD, k, fx.FIXED_PASSES),
         "cluster_report": cluster_report_sql(fx.SUMMARY_SPREAD, k, fx.FIXED_PASSES),
         "diary_read": DIARY_READ,
-        "diary_columns": DIARY_COLUMNS,
+        "diary_column_hours": DIARY_COLUMN_HOURS,
         "diary_summary": DIARY_SUMMARY,
         "diary_summary_typed": DIARY_SUMMARY,
         "diary_grouped": DIARY_GROUPED,
         "diary_grouped_sql": DIARY_GROUPED,
         "diary_grouped_typed": DIARY_GROUPED,
+        "program_keywords": PROGRAM_KEYWORDS,
+        "program_clusters": cluster_summary_sql(fx.SUMMARY_SPREAD, k, fx.FIXED_PASSES),
+        "program_diary": DIARY_GROUPED,
     }

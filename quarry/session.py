@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -58,49 +59,87 @@ def build_session(
     return spark
 
 
+SHARED_MOUNT = "spark.quarry.checkpoint.sharedMount"
+
+_scratch: list[str] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it if still unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is
-    (and its absence is an error).  Only in local mode, when neither the
-    context nor the configuration names a folder (local runs, tests), is a
-    private temporary folder created.
+    On a cluster ``spark.checkpoint.dir`` names shared storage: its absence is
+    an error, and so is a path on the local filesystem, which other executors
+    do not see.  A network folder that is mounted at the same path on all
+    machines is allowed by setting ``spark.quarry.checkpoint.sharedMount`` to
+    ``true``.  Only in local mode, when nothing is configured (local runs,
+    tests), is a private temporary folder created.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect sessions have no SparkContext
-        return _checkpoint_dir_from_conf(spark)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
+        master = str(spark.conf.get("spark.master", ""))
+        return _accepted(spark.conf.get("spark.checkpoint.dir", None), master, spark, None)
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
         try:
-            configured = spark.conf.get("spark.checkpoint.dir")
+            current = spark.conf.get("spark.checkpoint.dir")
         except Exception:
-            configured = None
-    if not configured:
-        if not sc.master.startswith("local"):
-            # A machine-local folder is invisible to the other executors.
+            current = None
+    path = _accepted(current, sc.master, spark, sc)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
+
+
+def _accepted(path: str | None, master: str, spark: SparkSession, sc) -> str:
+    """The folder to use, or an error if executors could not share it."""
+    local = master.startswith("local")
+    if not path:
+        if not local:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(it holds materialised intermediate tables and stream state)"
             )
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        return tempfile.mkdtemp(prefix="quarry-ckpt-")
+    if not local and _on_local_disk(path, sc) and str(spark.conf.get(SHARED_MOUNT, "false")).lower() != "true":
+        raise RuntimeError(
+            f"spark.checkpoint.dir is {path!r}, a local path that other executors do not see: name a folder on shared "
+            f"storage, or set {SHARED_MOUNT}=true if the path is one mount on all machines"
+        )
+    return path
 
 
-def _checkpoint_dir_from_conf(spark: SparkSession) -> str:
-    """``checkpoint_dir`` for sessions without a SparkContext (Spark Connect)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not str(spark.conf.get("spark.master", "")).startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage")
-    return tempfile.mkdtemp(prefix="quarry-ckpt-")
+def _on_local_disk(path: str, sc) -> bool:
+    scheme = urlparse(path).scheme
+    if scheme:
+        return scheme == "file"
+    default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///") if sc is not None else "file:///"
+    return urlparse(default).scheme in ("", "file")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never-reused path under the checkpoint folder, remembered for :func:`release_scratch`."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the intermediate tables written so far (but the first ``keep``); returns how many.
+
+    Call it when no DataFrame made before is needed any more.  ``keep`` is a
+    number from :func:`scratch_mark`.
+    """
+    paths = _scratch[keep:]
+    del _scratch[keep:]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = hadoop(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
+
+
+def scratch_mark() -> int:
+    """How many intermediate tables exist now; tables written later are released by ``release_scratch(spark, mark)``."""
+    return len(_scratch)

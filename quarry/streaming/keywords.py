@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from quarry.operators.keywords import COUNT_COLUMN, keyword_hits
-from quarry.session import scratch_path
 from quarry.sources.text import ARTICLE_SCHEMA, parse_tagged_lines
 
 
@@ -41,15 +40,17 @@ def keyword_counts(articles: DataFrame, keywords: Iterable[str]) -> DataFrame:
 
 
 def start_keyword_counts(articles: DataFrame, keywords: Iterable[str], query_name: str,
-                         checkpoint_location: str | None = None, sink: str = "memory") -> StreamingQuery:
-    """Start the running counts in complete mode; the state and progress live
-    under the shared checkpoint folder unless a location is given."""
-    location = checkpoint_location or scratch_path(articles.sparkSession, f"stream-{query_name}")
+                         checkpoint_location: str, sink: str = "memory") -> StreamingQuery:
+    """Start the running counts in complete mode.
+
+    State and progress live at ``checkpoint_location``, a folder on shared
+    storage; a restarted query with the same location resumes there.
+    """
     return (
         keyword_counts(articles, keywords)
         .writeStream.outputMode("complete")
         .format(sink)
         .queryName(query_name)
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", checkpoint_location)
         .start()
     )

@@ -8,8 +8,8 @@ from quarry.operators.kmeans import ClusterParams
 
 
 def test_keyword_rankings_from_file(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "wiki.dat")
-    texts = ["Scala and Java run on the JVM", "Java is for enterprise developers", "Haskell is lazy"]
+    path = os.path.join(tmp_dir, "articles.txt")
+    texts = ["Mixing Java with Scala works", "Old Java code lives long", "Haskell is lazy"]
     with open(path, "w") as f:
         for i, t in enumerate(texts):
             f.write(f"<page><title> {i}</title><text>{t}</text></page>  \n")
@@ -19,7 +19,7 @@ def test_keyword_rankings_from_file(spark, tmp_dir):
 
 
 def test_cluster_postings_file(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "postings.csv")
+    path = os.path.join(tmp_dir, "lines.txt")
     lines = []
     for qid in range(1, 41):
         lines.append(f"1,{qid},,,0,{'Java' if qid % 2 else 'Scala'}")
@@ -28,7 +28,6 @@ def test_cluster_postings_file(spark, tmp_dir):
         f.write("\n".join(lines) + "\n")
     params = ClusterParams(keywords=["Java", "Scala"], spread=50000, kernels=4, eta=20.0, max_iterations=120)
     run = jobs.cluster_postings_file(spark, path, params)
-    assert run.vectors.count() == 40
     rows = run.summary.collect()
     assert sum(r["cluster_size"] for r in rows) == 40
     assert {r["lang_label"] for r in rows} == {"Java", "Scala"}
@@ -36,11 +35,11 @@ def test_cluster_postings_file(spark, tmp_dir):
     assert len(run.report.collect()) == len(rows)
 
 
-def test_time_usage_by_life_period(spark, tmp_dir):
-    with open(os.path.join(tmp_dir, "atus.csv"), "w") as f:
+def test_diary_forms(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "rows.csv"), "w") as f:
         f.write("tucaseid,telfs,tesex,teage,t010101,t050101,t020101\n")
         f.write("a,1,1,30,60,120,30\nb,1,1,40,90,60,45\nc,4,2,16,600,0,3\nd,5,1,30,1,1,1\n")
-    out = jobs.time_usage_by_life_period(spark, tmp_dir)
+    out = jobs.diary_forms(spark, tmp_dir)
     assert out["summary"].count() == 3
     g = [tuple(r) for r in out["grouped"].collect()]
     assert g == [tuple(r) for r in out["grouped_sql"].collect()] == [tuple(r) for r in out["grouped_typed"].collect()]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from quarry.session import checkpoint_dir, scratch_path
+from quarry.session import checkpoint_dir, release_scratch, scratch_mark, scratch_path
 
 
 class _Conf:
@@ -72,3 +72,22 @@ def test_connect_session_uses_conf():
     with pytest.raises(RuntimeError):
         checkpoint_dir(_ConnectLike({"spark.master": "k8s://cluster"}))
     assert checkpoint_dir(_ConnectLike({"spark.master": "local[2]"}))
+
+
+@pytest.mark.parametrize("path", ["file:///tmp/x", "/tmp/x"])
+def test_cluster_refuses_a_local_folder(path):
+    conf = {"spark.checkpoint.dir": path, "spark.master": "k8s://cluster"}
+    with pytest.raises(RuntimeError, match="other executors do not see"):
+        checkpoint_dir(_ConnectLike(conf))
+    assert checkpoint_dir(_ConnectLike({**conf, "spark.quarry.checkpoint.sharedMount": "true"})) == path
+
+
+def test_release_deletes_what_was_written(spark):
+    import os
+
+    mark = scratch_mark()
+    path = scratch_path(spark, "short-lived")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    assert release_scratch(spark, mark) == 1 and not os.path.exists(local)
