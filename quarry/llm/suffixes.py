@@ -21,7 +21,9 @@ Adjacent common prefixes, up to 200 bytes, then mark the windows that occur at
 least twice.
 
 An anchor with more than ``GROUP_LIMIT`` different pieces is not brought
-together: its windows are spread by their own hash and counted.  Copies are
+together: its pieces are cut into parts of a few windows, equal parts are
+aggregated, and the windows of the different parts are spread by their own
+hash and counted.  Copies are
 aggregated before every shuffle, so a passage in a third of all documents is
 one piece with a count.
 
@@ -48,7 +50,7 @@ GRAM_BYTES = 40
 GROUP_LIMIT = 2048
 BLOCK_BYTES = 1 << 18
 CHUNK_BYTES = 1 << 21         # bytes hashed at a time; longer texts are cut into overlapping segments
-BROADCAST_PIECES = 500_000
+PART_WINDOWS = 8              # windows of a part, in large anchor groups
 PLACE_BITS = 23               # of a place in a chunk; the rest of the key orders by hash
 
 _RNG = np.random.default_rng(20)
@@ -283,27 +285,72 @@ def _cut(min_bytes: int):
     return run
 
 
-WINDOWS = ddl("anchor:long piece:long times:long at:int w1:long w2:long")
+PARTS = ddl("anchor:long piece:long times:long first:int p1:long p2:long part:binary")
+
+
+def _parts(min_bytes: int, gram: int):
+    """Pieces of one large anchor group cut into parts of ``PART_WINDOWS`` windows at fixed places around the anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(PARTS)
+        for batch in batches:
+            for anchor, piece, times, data in zip(*(c.to_pylist() for c in batch.columns)):
+                array = np.frombuffer(data, dtype=np.uint8)
+                one, two = Hashes(array), Hashes(255 - array)
+                n = len(data) - min_bytes + 1
+                last = np.arange(n - 1, min_bytes - gram + 1)          # the anchor lies in every window of the piece
+                place = int(last[one.of(last, last + gram).view(np.int64) == anchor][0])
+                number = (place - np.arange(n)) // PART_WINDOWS
+                first = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+                end = np.append(first[1:], n) - 1 + min_bytes
+                count = len(first)
+                yield from batches_of(schema, {
+                    "anchor": [anchor] * count, "piece": [piece] * count, "times": [times] * count, "first": pa.array(first, pa.int32()),
+                    "p1": pa.array(_mixed(one.of(first, end) + end.astype(np.uint64) - first.astype(np.uint64)).view(np.int64)),
+                    "p2": pa.array(two.of(first, end).view(np.int64)),
+                    "part": [data[a:b] for a, b in zip(first.tolist(), end.tolist())]})
+
+    return run
+
+
+WINDOWS = ddl("p1:long p2:long times:long at:int w1:long w2:long")
 
 
 def _windows(min_bytes: int):
-    """A row for each window of each piece, with two hashes of it."""
+    """A row for each window of each different part, with two hashes of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(WINDOWS)
         for batch in batches:
-            for anchor, piece, times, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for p1, p2, times, data in zip(*(c.to_pylist() for c in batch.columns)):
                 array = np.frombuffer(data, dtype=np.uint8)
                 at = np.arange(len(data) - min_bytes + 1)
                 w1, w2 = Hashes(array).of(at, at + min_bytes), Hashes(255 - array).of(at, at + min_bytes)
                 n = len(at)
                 yield from batches_of(schema, {
-                    "anchor": [anchor] * n, "piece": [piece] * n, "times": [times] * n, "at": pa.array(at, pa.int32()),
+                    "p1": [p1] * n, "p2": [p2] * n, "times": [times] * n, "at": pa.array(at, pa.int32()),
                     "w1": pa.array(w1.view(np.int64)), "w2": pa.array(w2.view(np.int64))})
 
     return run
 
 
+def marks_by_count(pieces: DataFrame, min_bytes: int, gram: int) -> DataFrame:
+    """Marks of pieces of large anchor groups: equal parts are aggregated, the different ones' windows counted."""
+    parts = pieces.mapInArrow(_parts(min_bytes, gram), PARTS)
+    different = parts.groupBy("p1", "p2").agg(F.sum("times").alias("times"), F.min("part").alias("part"))
+    windows = different.mapInArrow(_windows(min_bytes), WINDOWS)
+    often = windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2")
+    hits = windows.join(often, ["w1", "w2"]).groupBy("p1", "p2").agg(F.collect_list("at").alias("at"))
+    found = parts.select("anchor", "piece", "first", "p1", "p2").join(hits, ["p1", "p2"])
+    marked = found.groupBy("anchor", "piece").agg(F.collect_list(F.struct("first", "at")).alias("runs"))
+
+    @F.arrow_udf("binary")
+    def bitmap(runs: pa.Array) -> pa.Array:
+        return pa.array([_bitmap([r["first"] + a for r in run for a in r["at"]]) for run in runs.to_pylist()], pa.binary())
+
+    return marked.select("anchor", "piece", bitmap("runs").alias("marks"))
+
+
 def _bitmap(at: list[int]) -> bytes:
     marks = np.zeros(max(at) + 1, dtype=np.uint8)
     marks[at] = 1
@@ -313,11 +360,9 @@ def _bitmap(at: list[int]) -> bytes:
 # ------------------------------------------------------------------ the search
 
 
-def join_texts(source: DataFrame, lists: DataFrame, how: str, pieces: int) -> DataFrame:
-    """``source`` with each document's list; the lists are broadcast if they hold few pieces in all."""
+def join_texts(source: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """``source`` with each document's list."""
     right = lists.withColumnRenamed("doc_id", "list_id").withColumnRenamed("text_hash", "list_hash")
-    if pieces <= BROADCAST_PIECES:
-        right = F.broadcast(right)
     same = F.col("text_hash").eqNullSafe(F.col("list_hash")) & F.col("doc_id").eqNullSafe(F.col("list_id"))
     return source.join(right, same, how)
 
@@ -326,7 +371,8 @@ def repeated_runs(source: DataFrame, min_bytes: int = MIN_BYTES, gram: int = GRA
     """Pieces with repeated windows, from ``source(doc_id, text_hash, text)``: place and marks (null: all windows)."""
     pieces = write_shared(source.mapInArrow(_pieces(min_bytes, gram), PIECES), "pieces")
     anchors = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("low"), F.max("piece").alias("high"))
-    several = anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("mixed"))
+    # Written before the join, so that both its sides are plain shuffles and a hot anchor's partition can be split.
+    several = write_shared(anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("mixed")), "several")
     found = write_shared(pieces.join(several, "anchor"), "candidates")
     equal = found.where("NOT mixed").select("doc_id", "text_hash", "start", "windows", F.lit(None).cast("binary").alias("marks"))
 
@@ -334,7 +380,7 @@ def repeated_runs(source: DataFrame, min_bytes: int = MIN_BYTES, gram: int = GRA
     different = found.where("mixed").groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("place"))
     wanted = write_shared(different.select("place.*", "anchor", "piece", "times"), "different")
     lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "piece", "times", "start", "windows")).alias("wanted"))
-    texts = join_texts(source, lists, "inner", wanted.count()).select("text", "wanted").mapInArrow(_cut(min_bytes), TEXTS)
+    texts = join_texts(source, lists, "inner").select("text", "wanted").mapInArrow(_cut(min_bytes), TEXTS)
     large = wanted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_LIMIT).select("anchor")
     texts = write_shared(texts, "piece-texts")
 
@@ -342,14 +388,8 @@ def repeated_runs(source: DataFrame, min_bytes: int = MIN_BYTES, gram: int = GRA
     sorted_groups = texts.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "piece")
     marks = sorted_groups.mapInArrow(_sort_groups(min_bytes), MARKS)
 
-    @F.arrow_udf("binary")
-    def bitmap(at: pa.Array) -> pa.Array:
-        return pa.array([_bitmap(x) for x in at.to_pylist()], pa.binary())
-
-    spread = texts.join(large, "anchor").dropDuplicates(["anchor", "piece"]).mapInArrow(_windows(min_bytes), WINDOWS)
-    counted = spread.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").select("w1", "w2")
-    by_hash = spread.join(counted, ["w1", "w2"]).groupBy("anchor", "piece").agg(F.collect_list("at").alias("at"))
-    marks = write_shared(marks.unionByName(by_hash.select("anchor", "piece", bitmap("at").alias("marks"))), "marks")
+    by_count = marks_by_count(texts.join(large, "anchor").dropDuplicates(["anchor", "piece"]), min_bytes, gram)
+    marks = write_shared(marks.unionByName(by_count), "marks")
 
     mixed = found.where("mixed").join(marks, ["anchor", "piece"]).select("doc_id", "text_hash", "start", "windows", "marks")
     return equal.unionByName(mixed).distinct()
@@ -408,5 +448,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = source.withColumn("text_hash", F.xxhash64("text"))
     runs = write_shared(repeated_runs(source.select("doc_id", "text_hash", "text"), min_bytes, gram), "runs")
     lists = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "windows", "marks")).alias("runs"))
-    joined = join_texts(source, lists, "left", runs.count()).select("doc_id", "text", "runs")
+    joined = join_texts(source, lists, "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_remove(min_bytes, with_text), REMOVED)

@@ -62,7 +62,6 @@ def synthetic(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_small_windows(docs_frame, monkeypatch, seed, group_limit):
     monkeypatch.setattr(suffixes, "GROUP_LIMIT", group_limit)
-    monkeypatch.setattr(suffixes, "BROADCAST_PIECES", 10**6 if seed == 1 else 0)
     docs = synthetic(seed)
     got = suffixes.remove_repeats(docs_frame(docs, extra=("start", "text_hash")), min_bytes=32, gram=12)
     assert rows_of(got) == brute(docs, 32)
