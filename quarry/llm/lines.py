@@ -131,7 +131,7 @@ def near_earlier(source: DataFrame, distinct: DataFrame) -> DataFrame:
     several = keys.where("place > 0").groupBy("a", "b", "place").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
     members = keys.join(sized(several.select("a", "b", "place"), "several"), ["a", "b", "place"])
     ranked = members.join(lines.select("h1", "h2", "rank"), ["h1", "h2"])
-    earliest = ranked.groupBy("a", "b", "place").agg(F.min(F.struct("rank", "h1", "h2")).alias("top"))
+    earliest = sized(ranked.groupBy("a", "b", "place").agg(F.min(F.struct("rank", "h1", "h2")).alias("top")), "earliest")
     replaced = ranked.join(earliest, ["a", "b", "place"]).where("rank > top.rank").selectExpr("h1", "h2", "top.h1 AS e1", "top.h2 AS e2")
 
     # Inserted words: a variant is another line.
