@@ -18,8 +18,9 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
 
     Each round hangs every node's larger neighbours under its smallest one
     (large star), then its smaller neighbours (small star).  A node's
-    neighbours are never gathered: minima are aggregated and joined back, so a
-    hub's edges stay spread.  Every round is written to the shared folder,
+    neighbours are never gathered: minima are aggregated, written, and joined
+    back in a join whose skewed partitions Spark can split, so a hub's edges
+    stay spread.  Every round is written to the shared folder,
     which ends its lineage; the driver only compares counts.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
@@ -29,9 +30,10 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         if not state[0]:
             break
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = write_shared(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = write_shared(large, "large")
+        low = write_shared(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         joined = large.join(low, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
         current = write_shared(small.where("a != b").distinct(), "edges")

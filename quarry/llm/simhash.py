@@ -147,7 +147,8 @@ def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS, group_limit: int =
     if not 0 <= max_bits <= 2:
         raise ValueError("the segment keys hold for at most 2 differing bits")
     keyed = distinct_bits.select("bits").mapInArrow(_keys, ddl("key:long bits:long"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written before the join, so that both its sides are plain shuffles and a hot key's partition can be split.
+    sizes = write_shared(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key-sizes")
     grouped = write_shared(keyed.join(sizes, "key"), "simhash-keys")
 
     few = grouped.where(F.col("n") <= group_limit)
@@ -166,7 +167,7 @@ def links(distinct_bits: DataFrame, max_bits: int = MAX_BITS, group_limit: int =
             F.col("near").alias("a"), F.col("bits").alias("b"))
         return pairs.unionAll(stars)
     least = spread.groupBy("near").agg(F.min("bits").alias("a"), F.max("bits").alias("top")).where("a != top")
-    stars = spread.join(least.select("near", "a"), "near").where("a != bits").select("a", F.col("bits").alias("b")).distinct()
+    stars = spread.join(write_shared(least.select("near", "a"), "stars"), "near").where("a != bits").select("a", F.col("bits").alias("b")).distinct()
     return pairs.unionAll(stars)
 
 
