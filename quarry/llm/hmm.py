@@ -164,15 +164,15 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
             done = 0
             for ids, texts in text_chunks([batch.select([0, 1])]):
                 columns: dict[str, list] = {f.name: [] for f in schema}
+                rare_words, rare_counts, rare_ends = [], [], [0]
                 for doc_id, text, held in zip(ids, texts, marks[done:done + len(ids)]):
                     own_words = text.lower().split()
                     k = np.fromiter((at.get(w, missing) for w in own_words), dtype=np.int64, count=len(own_words))
                     s = symbol[k]
-                    rare: Counter = Counter()
-                    for j in np.flatnonzero(k == missing).tolist():
-                        w = own_words[j]
-                        rare[w] += 1
-                        s[j] = 1 + own + tail_symbol(w)
+                    unknown = np.flatnonzero(k == missing)
+                    rare = Counter([own_words[j] for j in unknown.tolist()])
+                    shared_symbol = {w: 1 + own + tail_symbol(w) for w in rare}
+                    s[unknown] = [shared_symbol[own_words[j]] for j in unknown.tolist()]
                     shared = s > own
                     columns["doc_id"].append(doc_id)
                     columns["held_out"].append(held)
@@ -181,8 +181,13 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
                     columns["base_logs"].append(float(log_of[k].sum()) + end_log)
                     columns["share_logs"].append(float(log_of[k[shared]].sum() - tail_logs[s[shared] - own - 1].sum()))
                     columns["ids"].append(np.append(s, 0).astype("<u2").tobytes())
-                    columns["rare"].append([{"word": w, "n": n} for w, n in rare.items()])
+                    rare_words += rare
+                    rare_counts += rare.values()
+                    rare_ends.append(len(rare_words))
                 done += len(ids)
+                pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())],
+                                                   fields=list(schema.field("rare").type.value_type))
+                columns["rare"] = pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs, type=schema.field("rare").type)
                 yield from batches_of(schema, columns)
 
     coded = docs.select("doc_id", "text", "held_out").mapInArrow(run, ENCODED)
@@ -227,22 +232,20 @@ class Group:
     def expected(self, model: Model, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Expected starts and transitions; adds expected emissions to ``emitted`` (states, symbols)."""
         alpha, scale, emissions = self.forward(model)
-        weighted = emissions / scale[:, None]            # becomes emission * beta / scale
+        weighted = np.divide(emissions, scale[:, None], out=emissions)      # becomes emission * beta / scale
         beta = np.ones_like(alpha)
         back = model.move.T
         for t in range(len(self.active) - 2, -1, -1):
             a, b, n = self.at[t], self.at[t + 1], self.active[t + 1]
             beta[a:a + n] = weighted[b:b + n] @ back
             weighted[a:a + n] *= beta[a:a + n]
-        gamma = alpha * beta
         first = self.active[0]
-        follows = np.arange(first, len(alpha))
-        step = np.repeat(np.arange(len(self.active)), self.active)[first:]
-        before = follows - self.active[step - 1]
-        moves = model.move * (alpha[before].T @ weighted[follows])
-        for s in range(gamma.shape[1]):
-            emitted[s] += np.bincount(self.symbols, weights=gamma[:, s], minlength=emitted.shape[1])
-        return gamma[:first].sum(axis=0), moves, float(np.log10(scale).sum())
+        before = np.arange(first, len(alpha)) - np.repeat(self.active[:-1], self.active[1:])
+        moves = model.move * (alpha[before].T @ weighted[first:])
+        gamma = np.ascontiguousarray(np.multiply(alpha, beta, out=beta).T)
+        for s, of_state in enumerate(gamma):
+            emitted[s] += np.bincount(self.symbols, weights=of_state, minlength=emitted.shape[1])
+        return gamma[:, :first].sum(axis=1), moves, float(np.log10(scale).sum())
 
 
 def grouped(docs: list[np.ndarray], tokens: int = GROUP_TOKENS) -> Iterator[tuple[np.ndarray, Group]]:
