@@ -22,8 +22,8 @@ Each row is judged alone, so there is no shuffle.
 
 from __future__ import annotations
 
-import functools
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import arrow_schema, clean_text, ddl, fresh_name, text_chunks
-from quarry.llm.wordcache import WordCache
+from quarry.llm.wordcache import WordCache, cache_for, give_back
 
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
+NOT_COUNTED = b" \t\n\v\f\r" + bytes(range(0x80, 0xC0))     # white space, and all but the first byte of a character
 EVEN_TOKENS = 512             # evenness is measured against at most so many different tokens
 FALLBACK_IDS = (3, 258)       # first and last id of the byte pieces in the vocabulary
 
@@ -98,18 +99,15 @@ def main_script(words: list[bytes]) -> str:
     return max(sorted(counts), key=counts.__getitem__)
 
 
-@functools.lru_cache(maxsize=4)
 def piece_cache(path: str) -> WordCache:
-    """Words -> (code points, tokens, fallback bytes, little-endian int32 ids) under the vocabulary at ``path``."""
+    """Words -> native (little-endian) int32 ids under the vocabulary at ``path``."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    first, last = FALLBACK_IDS
 
-    def make(words: list[bytes]) -> list[tuple]:
+    def make(words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        return [(len(t), len(ids), sum(first <= i <= last for i in ids), np.asarray(ids, dtype="<i4").tobytes())
-                for t, ids in zip(texts, model.encode(texts, num_threads=1))]
+        return [array("i", ids).tobytes() for ids in model.encode(texts, num_threads=1)]
 
     return WordCache(make, generation_words=150_000)
 
@@ -119,8 +117,8 @@ def repeated_window_words(words: list) -> int:
     n = len(words)
     if n < 4:
         return 0
-    seen: dict = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=n)
+    number = dict(zip(dict.fromkeys(words), range(n)))
+    ids = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=n)
     _, pairs = np.unique(ids[:-1] * n + ids[1:], return_inverse=True)
     _, windows, counts = np.unique(pairs[:-1] * n + ids[2:], return_inverse=True, return_counts=True)
     starts = np.flatnonzero(counts[windows] > 1)
@@ -143,9 +141,9 @@ def judge(text: bytes, words: list[bytes], lang: str | None, pieces: dict, langu
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     if not n:
         return 0, 0, symbols, 0, 0, True, 0, None, None, None, None, None, False
-    points, tokens, fallback, ids = zip(*map(pieces.__getitem__, words))
-    chars, total, byte_pieces = sum(points), sum(tokens), sum(fallback)
-    counts = np.bincount(np.frombuffer(b"".join(ids), dtype="<i4"))
+    chars = len(text.translate(None, NOT_COUNTED))
+    counts = np.bincount(np.frombuffer(b"".join(map(pieces.__getitem__, words)), dtype="<i4"), minlength=FALLBACK_IDS[1] + 1)
+    total, byte_pieces = int(counts.sum()), int(counts[FALLBACK_IDS[0]:FALLBACK_IDS[1] + 1].sum())
     share = counts[counts > 0] / max(total, 1)
     entropy = float(-(share * np.log2(share)).sum()) + 0.0
     evenness = entropy / float(np.log2(max(2, min(total, EVEN_TOKENS))))
@@ -172,13 +170,14 @@ def measure(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col:
 
     @F.arrow_udf(MEASURES)
     def judged(text: pa.Array, lang: pa.Array) -> pa.Array:
-        cache = piece_cache(vocabulary)
+        cache = cache_for("pieces", vocabulary, piece_cache)
         rows = []
         for langs, texts in text_chunks([pa.RecordBatch.from_arrays([lang, text], names=["lang", "text"])]):
             words = [t.split() for t in texts]
             pieces = cache.table(words)
             rows += [judge(t, w, lg, pieces, languages, scripts) for t, w, lg in zip(texts, words, langs)]
         columns = list(zip(*rows)) or [()] * len(kinds)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, kinds)], fields=list(kinds))
 
     lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")

@@ -9,12 +9,15 @@ is full it becomes the old one, so memory stays bounded on any vocabulary.
 
 from __future__ import annotations
 
-import functools
+import ctypes
+import gc
 import os
 from array import array
 from unicodedata import is_normalized
 
-GENERATION_WORDS = 300_000
+import pyarrow as pa
+
+GENERATION_WORDS = 200_000
 LONG_WORD_BYTES = 64          # longer words are encoded each time, not kept
 LATIN_END = "\u0250"          # first character behind the Latin letters
 TRAILING_MARKS = b".,;:!?"
@@ -48,6 +51,31 @@ class WordCache:
         return young
 
 
+_current: dict[tuple[str, str], WordCache] = {}
+
+
+def cache_for(kind: str, path: str, build) -> WordCache:
+    """The worker's cache of this kind, made by ``build(path)``; a worker holds one kind at a time."""
+    if (kind, path) not in _current:
+        give_back()
+        _current[kind, path] = build(path)
+    return _current[kind, path]
+
+
+def give_back() -> None:
+    """Drop the worker's cache and vocabulary, and return what it holds unused to the system.
+
+    Spark keeps Python workers for later stages; what they hold counts against
+    the executor's memory all the while.
+    """
+    _current.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_level_table() -> dict[int, int]:
     """Byte -> visible character, as byte-level vocabularies write it: printable Latin-1 stays, the rest counts up from 256."""
     stays = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -55,8 +83,12 @@ def byte_level_table() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(moved)}
 
 
-@functools.lru_cache(maxsize=4)
 def word_end_ids(path: str) -> WordCache:
+    """The worker's cache of :func:`word_end_cache`."""
+    return cache_for("word-end", path, word_end_cache)
+
+
+def word_end_cache(path: str) -> WordCache:
     """Words -> native (little-endian) uint32 ids of the lower-casing word-end BPE vocabulary at ``path``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
