@@ -21,7 +21,7 @@ gives its weight to the rest; other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,10 +76,10 @@ def mix(docs: DataFrame, weights: dict[str | None, float], other_weight: float =
     sizes = named.groupBy("class").agg(F.sum(F.octet_length(clean_text(text)).cast("long") + 1).alias("size"))
     all_weights = listed.select("class", "weight").unionAll(spark.createDataFrame([(rest, float(other_weight))], "class int, weight double"))
     shares = sizes.join(F.broadcast(all_weights), "class")
-    totals = shares.agg(F.sum("size").alias("total"), F.sum("weight").alias("all_weight")).withColumn("one", F.lit(1))
+    everything = Window.partitionBy()                    # of at most one row for each listed weight, and one
     rates = (
-        shares.withColumn("one", F.lit(1)).join(F.broadcast(totals), "one").where("weight > 0")
-        .select("class", (F.col("weight") / F.col("all_weight") * F.lit(float(epochs)) * F.col("total") / F.col("size")).alias("rate"))
+        shares.withColumn("total", F.sum("size").over(everything)).withColumn("all_weight", F.sum("weight").over(everything))
+        .where("weight > 0").select("class", (F.col("weight") / F.col("all_weight") * F.lit(float(epochs)) * F.col("total") / F.col("size")).alias("rate"))
         .where("rate > 0").select("class", _distribution(F.col("rate")).alias("upto"))
     )
     key = F.concat_ws("|", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")),
