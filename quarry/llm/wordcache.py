@@ -17,7 +17,7 @@ from unicodedata import is_normalized
 
 import pyarrow as pa
 
-GENERATION_WORDS = 200_000
+GENERATION_WORDS = 300_000
 LONG_WORD_BYTES = 64          # longer words are encoded each time, not kept
 LATIN_END = "\u0250"          # first character behind the Latin letters
 TRAILING_MARKS = b".,;:!?"
@@ -103,34 +103,34 @@ def word_end_cache(path: str) -> WordCache:
         """Whether normalising and splitting leave the word as it is: composed lower-case Latin letters."""
         return text.isalpha() and (text.isascii() or (max(text) < LATIN_END and is_normalized("NFC", text))) and text == text.lower()
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        simple = [plain(t) for t in texts]
-        rest = iter(tokenizer.encode_batch([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
-        return [
-            array("I", [t.id for t in merge(w.decode("latin-1").translate(visible))] if s else next(rest).ids).tobytes()
-            for w, s in zip(words, simple)
-        ]
+    def encode(word: bytes) -> bytes:
+        if word.isalpha():                               # ASCII letters, lowered before
+            return array("I", [t.id for t in merge(word.decode("ascii"))]).tobytes()
+        text = word.decode("utf-8", "replace")
+        if plain(text):
+            return array("I", [t.id for t in merge(word.decode("latin-1").translate(visible))]).tobytes()
+        return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def make(words: list[bytes]) -> list[bytes]:
-        # Marks at the end of an ASCII word are a pre-token of their own.
-        stems, tails = [], []
-        for w in words:
-            stem = w.rstrip(TRAILING_MARKS)
-            cut = len(stem) if stem and stem[-1:].isalnum() else len(w)
-            stems.append(w[:cut])
-            tails.append(w[cut:])
-        for tail in set(tails):
-            if tail and tail not in known:
-                if len(known) > 10_000:
-                    known.clear()
-                known[tail] = encode([tail])[0]
-        young, old = cache.young, cache.old
-        have = [young.get(s) or old.get(s) for s in stems]
-        need = list({s for s, h in zip(stems, have) if h is None})
-        made = dict(zip(need, encode(need)))
-        return [(made[s] if h is None else h) + (known[t] if t in known else encode([t])[0] if t else b"")
-                for s, h, t in zip(stems, have, tails)]
+        # Marks at the end of a word are a pre-token of their own.
+        young, old, made, out = cache.young, cache.old, {}, []
+        if len(known) > 10_000:
+            known.clear()
+        for word in words:
+            stem = word.rstrip(TRAILING_MARKS)
+            if len(stem) == len(word) or not stem[-1:].isalnum():
+                stem, tail = word, b""
+            else:
+                tail = word[len(stem):]
+            ids = young.get(stem) or old.get(stem) or made.get(stem)
+            if ids is None:
+                ids = made[stem] = encode(stem)
+            if tail:
+                if tail not in known:
+                    known[tail] = encode(tail)
+                ids = ids + known[tail]
+            out.append(ids)
+        return out
 
     cache = WordCache(make)
     return cache
