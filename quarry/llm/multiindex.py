@@ -5,6 +5,10 @@ codebook, so a vector lies in the cell of a pair of centroids.  A query visits
 centroid pairs in the order of their summed distance (the negative inner
 product with the query's halves): both centroid lists are sorted, and a heap
 gives the next pair.  It stops when the visited cells hold enough entries.
+How many are enough is measured on the table itself, by one rule at every size:
+the true nearest rows of at most ``PROBE_QUERIES`` queries, chosen by hash, are
+found by comparing them with every row, and the least number of entries with
+which the traversal reaches ``TARGET_RECALL`` of them holds for all queries.
 All entries of the visited cells are reranked by the exact inner product in
 double precision, summed in one fixed order, so equal vectors get equal scores.
 
@@ -41,8 +45,10 @@ SAMPLE_ROWS = 8192
 MAX_CENTROIDS = 256
 ENTRIES_PER_CELL = 16
 ROUNDS = 12
-MIN_CANDIDATES = 8192
-CANDIDATE_SHARE = 0.42
+MIN_CANDIDATES = 512
+PROBE_QUERIES = 512           # queries whose true neighbours set the stop, at most
+TARGET_RECALL = 0.95          # on those queries
+PROBE_ROWS = 2048             # rows compared with them at a time
 BLOCK_ENTRIES = 4096
 SHARD_QUERIES = 1024
 
@@ -92,6 +98,54 @@ def traverse(query: np.ndarray, books: tuple[np.ndarray, np.ndarray], counts: np
     return out
 
 
+def entries_before(query: np.ndarray, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """For each cell, how many entries the cells hold that :func:`traverse` visits before it."""
+    half = books[0].shape[1]
+    far = (-(books[0] @ query[:half])[:, None] - (books[1] @ query[half:])[None, :]).ravel()
+    order = far.argsort(kind="stable")
+    sizes = counts.ravel()[order]
+    before = np.empty_like(sizes)
+    before[order] = sizes.cumsum() - sizes
+    return before
+
+
+def measured_need(entries: DataFrame, queries: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, k: int) -> int:
+    """The least number of entries with which probed queries find ``TARGET_RECALL`` of their true ``k`` nearest rows."""
+    asked = queries.orderBy(F.xxhash64("row"), "row").limit(PROBE_QUERIES).collect()
+    if not asked:
+        return 0
+    matrix = np.array([r["vector"] for r in asked], dtype=np.float64)
+    asked_rows = np.array([r["row"] for r in asked], dtype=np.int64)
+    columns = counts.shape[1]
+    nearest_type = ddl("query:int score:double cell:int")
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = np.full((len(matrix), 0), -np.inf)
+        cells = np.zeros((len(matrix), 0), dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, PROBE_ROWS):
+                part = batch.slice(at, PROBE_ROWS)
+                here = matrix @ _matrix(part.column(1)).T
+                here[asked_rows[:, None] == part.column(0).to_numpy()[None, :]] = -np.inf
+                cell = part.column(2).to_numpy().astype(np.int64) * columns + part.column(3).to_numpy()
+                scores = np.concatenate([scores, here], axis=1)
+                cells = np.concatenate([cells, np.broadcast_to(cell, here.shape)], axis=1)
+                if scores.shape[1] > k:
+                    best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                    scores, cells = np.take_along_axis(scores, best, axis=1), np.take_along_axis(cells, best, axis=1)
+        q, at = np.nonzero(scores > -np.inf)
+        yield from batches_of(arrow_schema(nearest_type), {"query": pa.array(q, pa.int32()), "score": pa.array(scores[q, at]),
+                                                           "cell": pa.array(cells[q, at], pa.int32())})
+
+    best = entries.select("row", "vector", "first", "second").mapInArrow(nearest, nearest_type)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "cell")
+    wanted: dict[int, list[int]] = {}
+    for r in best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).collect():
+        wanted.setdefault(r["query"], []).append(r["cell"])
+    needs = np.sort(np.concatenate([entries_before(matrix[q], books, counts)[cells] for q, cells in wanted.items()] or [np.zeros(1, np.int64)])) + 1
+    return int(needs[math.ceil(TARGET_RECALL * len(needs)) - 1])
+
+
 def best_of_block(queries: np.ndarray, masks: np.ndarray, query_rows: np.ndarray, entries: np.ndarray, second: np.ndarray,
                   ids: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query its best entries of the block: its index, entry indices, exact scores."""
@@ -118,11 +172,12 @@ def usable(vector: Column) -> Column:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: str = "vec_id", vector_col: str = "embedding",
-           min_candidates: int = MIN_CANDIDATES, candidate_share: float = CANDIDATE_SHARE) -> DataFrame:
+           min_candidates: int = MIN_CANDIDATES, candidate_share: float | None = None) -> DataFrame:
     """The ``k`` best rows found for every query row: ``(query_id, rank, vec_id, score)``.
 
     ``is_query`` is a condition on a column ``vec_id``.  A query's visited cells
-    hold at least ``min_candidates`` entries and ``candidate_share`` of all.
+    hold at least ``min_candidates`` entries and ``candidate_share`` of all; without
+    a share, as many as reach ``TARGET_RECALL`` on the probed queries.
     """
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     numbered = write_shared(source.where(F.coalesce(usable(F.col("vector")), F.lit(False)))
@@ -161,7 +216,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
     counts = np.zeros(shape, dtype=np.int64)
     for r in entries.groupBy("first", "second").count().collect():
         counts[r["first"], r["second"]] = r["count"]
-    need = max(min_candidates, math.ceil(candidate_share * int(counts.sum())), k) + 1
+    queries = entries.where(is_query).select("vec_id", "row", "vector")
+    if candidate_share is None:
+        enough = measured_need(entries, queries, books, counts, k)
+    else:
+        enough = math.ceil(candidate_share * int(counts.sum()))
+    need = max(min_candidates, enough, k) + 1
 
     probe_type = ddl("query_id:long query_row:long query:doubles first:int mask:binary")
 
@@ -181,7 +241,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
                         columns[name].append(value)
             yield from batches_of(schema, columns)
 
-    queries = entries.where(is_query).select("vec_id", "row", "vector")
     probes = write_shared(queries.mapInArrow(probe, probe_type), "probes")
 
     # Blocks and shards by first centroid.

@@ -34,6 +34,49 @@ def test_recall_on_tables(spark, sf, exact, monkeypatch):
     assert hits == len(got) if exact else hits >= 0.9 * len(got)
 
 
+def isotropic(spark, rows, width=64, seed=5):
+    v = np.random.default_rng(seed).normal(size=(rows, width)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    return v, spark.createDataFrame(list(zip(range(rows), v.tolist())), "vec_id long, embedding array<float>")
+
+
+@pytest.mark.parametrize("rows, every", [(2000, 20), (20_500, 20)])
+def test_recall_with_the_production_rule(spark, rows, every):
+    """Near-random vectors on both sides of the old size bounds, all constants as registered."""
+    v, frame = isotropic(spark, rows)
+    got = mi.search(frame, F.expr(f"vec_id % {every} = 0")).collect()
+    v = v.astype(np.float64)
+    asked = np.arange(0, rows, every)
+    scores = v[asked] @ v.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = {int(q): set(np.argpartition(-s, 19)[:20].tolist()) for q, s in zip(asked, scores)}
+    hits = sum(r.vec_id in want[r.query_id] for r in got)
+    print("recall", rows, hits / len(got))
+    assert len(got) == 20 * len(want)
+    assert hits >= 0.92 * len(got)
+
+
+def test_small_tables_go_through_the_index(spark, monkeypatch):
+    """At 2,000 rows the traversal stops before the last cell."""
+    seen = []
+    measured = mi.measured_need
+    monkeypatch.setattr(mi, "measured_need", lambda *a: seen.append((measured(*a), int(a[3].sum()))) or seen[-1][0])
+    _, frame = isotropic(spark, 2000)
+    mi.search(frame, F.expr("vec_id % 20 = 0"))
+    assert len(seen) == 1 and mi.MIN_CANDIDATES < seen[0][0] < seen[0][1]
+
+
+def test_entries_before_is_the_traversal():
+    rng = np.random.default_rng(9)
+    books = (rng.normal(size=(6, 3)), rng.normal(size=(5, 2)))
+    counts = rng.integers(0, 4, size=(6, 5))
+    query = rng.normal(size=5)
+    before = mi.entries_before(query, books, counts).reshape(counts.shape)
+    for i, j in zip(*np.nonzero(counts)):
+        assert (i, j) in mi.traverse(query, books, counts, int(before[i, j]) + 1)
+        assert (i, j) not in mi.traverse(query, books, counts, int(before[i, j]))
+
+
 def test_blocks_and_shards_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(mi, "BLOCK_ENTRIES", 7)
     monkeypatch.setattr(mi, "SHARD_QUERIES", 2)
