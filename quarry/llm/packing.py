@@ -201,7 +201,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             sequence += 1
 
         for doc_ids, texts in text_chunks(batches):
-            words = [t.lower().split() for t in texts]
+            words = [cache.words(t) for t in texts]
             value = cache.table(words).__getitem__
             for doc_id, own in zip(doc_ids, words):
                 ids = b"".join(map(value, own)) + end

@@ -26,13 +26,25 @@ TRAILING_MARKS = b".,;:!?"
 class WordCache:
     """``table(texts' words)`` covers every word asked for; ``make(list of words)`` computes missing ones."""
 
-    def __init__(self, make, generation_words: int = GENERATION_WORDS):
+    def __init__(self, make, generation_words: int = GENERATION_WORDS, special: tuple[bytes, ...] = ()):
         self.make = make
+        self.special = special
         self.limit = generation_words
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
         self.passing: list[bytes] = []
 
+    def words(self, text: bytes) -> list[bytes]:
+        """The words of ``text`` to look up, A-Z lowered; those that would then hold a special token stay as written.
+
+        Special tokens are matched before lower-casing, so ``<|EndOfText|>`` is not one.
+        """
+        low = text.lower()
+        for s in self.special:
+            if s in low:
+                return [w if any(x in w.lower() for x in self.special) else w.lower() for w in text.split()]
+        return low.split()
+
     def table(self, texts: list[list[bytes]]) -> dict[bytes, object]:
         """A mapping with a value for each word of ``texts``, valid until the next call."""
         for w in self.passing:
@@ -89,12 +101,16 @@ def word_end_ids(path: str) -> WordCache:
 
 
 def word_end_cache(path: str) -> WordCache:
-    """Words -> native (little-endian) uint32 ids of the lower-casing word-end BPE vocabulary at ``path``."""
+    """Words -> native (little-endian) uint32 ids of the lower-casing word-end BPE vocabulary at ``path``.
+
+    The ids are those of ``encode(text, add_special_tokens=False)``: a special
+    token written in the text has its own id.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = tuple(t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values())
     known: dict[bytes, bytes] = {}
 
     merge, visible = tokenizer.model.tokenize, byte_level_table()
@@ -132,5 +148,5 @@ def word_end_cache(path: str) -> WordCache:
             out.append(ids)
         return out
 
-    cache = WordCache(make)
+    cache = WordCache(make, special=special)
     return cache

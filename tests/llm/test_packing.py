@@ -87,6 +87,18 @@ def test_repeated_rows_and_empty_table(docs_frame):
     assert packing.pack(docs_frame([]), PATH).collect() == []
 
 
+def test_special_tokens_in_texts_have_their_own_ids(spark, docs_frame):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "X<|startoftext|>Y. end", "<|EndOfText|> and <|ENDOFTEXT|>!", "<|endoftext|><|endoftext|>.",
+             "<|startoftext|>Don't <|EndOfText|><|endoftext|>É", "< |endoftext|> <|endoftext |>", "None HERE"]
+    rows = packing.pack(docs_frame([*enumerate(texts)]), PATH).collect()
+    for i, text in enumerate(texts):
+        pieces = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        ids = np.frombuffer(b"".join(bytes(p.ids) for p in pieces), dtype="<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids + [1], text
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [320, 49407, 321]
+
+
 @pytest.mark.parametrize("windows", [1, 2, 5])
 def test_differencing_is_a_partition(windows):
     lengths = [7, 3, 9, 4, 4, 1, 12, 6]
