@@ -2,11 +2,14 @@
 
 The patterns give the base spans ``assign``, ``access`` and ``hex``.  The
 lexer reads source and configuration syntax (``name = "literal"``,
-``"name": 'literal'``, ``name := value``, ``<name>value</name>``, command-line
-``--name value``) into name-literal pairs, joins literals added together,
-follows names assigned to names, and scores each literal by the sensitive
-parts of every name it reaches and by its own randomness.  Literals above the
-threshold become ``literal`` spans.
+``"name": 'literal'``, ``name := value``, ``name: Type = value``,
+``var name Type = value``, ``name[] = value``, ``<name>value</name>``,
+command-line ``--name value``) into name-literal pairs, joins literals added
+together, follows names assigned to names, and scores each literal by the
+sensitive parts of every name it reaches and by its own randomness.  Literals
+above the threshold become ``literal`` spans.  A name stands for its latest
+assignment before the place that uses it, or else for its first one behind it;
+any number of pieces may be joined.
 
 Spans are in code points, end exclusive.  Defined results: a null or empty
 text has no spans; equal rows get equal spans; an empty table stays empty;
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -40,21 +44,36 @@ ASSIGN_NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 NAME_WEIGHTS = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
     "credential": 0.9, "credentials": 0.9, "privatekey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "signingkey": 1.0,
-    "encryptionkey": 1.0, "authkey": 1.0, "clientsecret": 1.0, "connectionstring": 0.8, "bearer": 0.8, "auth": 0.6,
+    "encryptionkey": 1.0, "authkey": 1.0, "clientsecret": 1.0, "connectionstring": 0.8, "bearer": 0.8, "auth": 0.75,
 }
-HINT = re.compile("passw|passphrase|pwd|secret|token|api|credential|private|access|signing|encryption|auth|connection|bearer")
+HINT = re.compile("|".join(NAME_WEIGHTS).encode())
+NOT_LETTERS = bytes(sorted({*range(128)} - {*b"abcdefghijklmnopqrstuvwxyz"}))
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|0+|null|none|true|false|undefined|todo|change_?me|example|your[_-].*|<.*>|\$\{.*\}|%\(.*\).|\{\{.*\}\})$")
 MIN_LITERAL, THRESHOLD = 6, 0.6
+EXPANDED = 1 << 16            # joined values that take more steps are scored by each of their pieces once
 
 _STRING = r'"(?:\\.|[^"\\\n])*+"|\'(?:\\.|[^\'\\\n])*+\'|`[^`\n]*+`'
+_INNER = r"[^<>\[\]\n=\"'`;]*+"
+_GENERIC = rf"(?:<{_INNER}(?:<{_INNER}>{_INNER})*+>|\[{_INNER}(?:\[{_INNER}\]{_INNER})*+\])"
+_ONE_TYPE = rf"[&*?]*+(?:'\w++[ \t]++)?(?:(?:mut|dyn|readonly)[ \t]++)*+[A-Za-z_][\w.]*+(?:::[A-Za-z_]\w*+)*+{_GENERIC}*+[?!]?"
+_TYPE = rf"{_ONE_TYPE}(?:[ \t]*+\|[ \t]*+{_ONE_TYPE})*+"
 PAIR = re.compile(
-    r"""(?<![\w.$-])(?:--)?["'`]?(?P<name>[A-Za-z_$][\w.$-]*+)["'`]?(?:\[["']?(?P<item>[\w.-]++)["']?\])?"""
-    r"""(?:[ \t]*+(?::=|=>|==?(?!=)|:(?!:))[ \t]*+|>(?=[^<\n]*+</(?P=name)>))"""
+    r"""(?<![\w.$-])(?:--)?["'`]?(?P<name>[A-Za-z_$][\w.$-]*+)["'`]?(?P<item>(?:\[["']?[\w.-]*+["']?\])*+)"""
+    # A type stands between ':' and '=' when blanks or a quote show that the '=' is not part of a value.
+    rf"""(?:[?!]?[ \t]*+:[ \t]*+{_TYPE}(?:[ \t]++=(?![=>])[ \t]*+|=(?=[ \t]*+["'`])[ \t]*+)"""
+    r"""|[ \t]*+(?::=|=>|==?(?!=)|:(?!:))[ \t]*+|>(?=[^<\n]*+</(?P=name)>))"""
     rf"""(?P<value>{_STRING}|[^\s,;"'`(){{}}\[\]<>]++)"""
 )
+#: ``password string = "..."``: the name before a type without a colon, behind a keyword or before a text type.
+TYPED = re.compile(
+    r"""(?<![\w.$-])(?:(?P<word>var|const)[ \t]++)?(?P<name>[A-Za-z_]\w*+)[ \t]++(?P<type>[*&]?(?:\[\w*+\])*+[A-Za-z_][\w.]*+)"""
+    rf"""[ \t]*+=(?![=>])[ \t]*+(?P<value>{_STRING}|[^\s,;"'`(){{}}\[\]<>]++)"""
+)
+TEXT_TYPES = ("string", "*string", "[]byte", "[]rune", "[]string")
 FLAG = re.compile(rf"""(?<!\S)--(?P<name>[a-z][\w-]*+)[ \t]++(?P<value>{_STRING}|[^\s"'`-][^\s"'`]*+)""")
 JOINED = re.compile(rf"[ \t]*+(?:\+|\.\.?)[ \t]*+(?P<value>{_STRING}|[A-Za-z_$][\w.$]*+)")
 NAME = re.compile(r"[A-Za-z_$][\w.$-]*+")
+ITEM = re.compile(r"[\w.-]+")
 
 SPAN = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -83,35 +102,92 @@ def score(name: str, literal: str) -> float:
     return name_weight(name) * (0.4 + 0.6 * randomness(literal))
 
 
-def _pieces(value: str, at: int, known: dict) -> list[tuple[int, int, str]]:
-    """Literals behind one value: its own, or those of the name it repeats."""
+Parts = list[tuple[int, int, str, bool]]      # start, end, text, whether it may be a name
+
+
+def _part(value: str, at: int) -> tuple[int, int, str, bool]:
     if value[0] in "\"'`":
-        return [(at + 1, at + len(value) - 1, value[1:-1])]
-    if NAME.fullmatch(value) and value in known:
-        return known[value]
-    return [(at, at + len(value), value)]
+        return at + 1, at + len(value) - 1, value[1:-1], False
+    return at, at + len(value), value, NAME.fullmatch(value) is not None
+
+
+class Assignments:
+    """The pairs of a text by place, and what each stands for."""
+
+    def __init__(self, pairs: list[tuple[int, str, Parts]]):
+        self.pairs = pairs
+        self.places: dict[str, list[int]] = {}
+        for k, (_, name, _) in enumerate(pairs):
+            self.places.setdefault(name, []).append(k)
+
+    def meant(self, user: int, name: str) -> int | None:
+        """The pair that ``name`` stands for in pair ``user``: the latest before it, else the first behind it."""
+        places = self.places.get(name)
+        if not places:
+            return None
+        before = bisect_left(places, user)
+        if before:
+            return places[before - 1]
+        return next((k for k in places if self.pairs[k][0] != self.pairs[user][0]), None)
+
+    def pieces(self, top: int, repeated: bool = True) -> list[tuple[int, int, str]]:
+        """Literals of a pair in order, once each when repeating them takes too long; a name met inside its own value adds nothing."""
+        out, seen, running, steps = [], set(), {top}, 0
+        stack = [(top, iter(self.pairs[top][2]))]
+        while stack:
+            steps += 1
+            if repeated and steps > EXPANDED:
+                return self.pieces(top, repeated=False)
+            k, parts = stack[-1]
+            part = next(parts, None)
+            if part is None:
+                stack.pop()
+                running.discard(k)
+                continue
+            a, b, text, may_name = part
+            target = self.meant(k, text) if may_name else None
+            if target is None:
+                if repeated or (a, b) not in seen:
+                    seen.add((a, b))
+                    out.append((a, b, text))
+            elif target not in running and (repeated or target not in seen):
+                if not repeated:
+                    seen.add(target)
+                running.add(target)
+                stack.append((target, iter(self.pairs[target][2])))
+        return out
 
 
 def lex(text: str) -> list[tuple[int, int, str, float]]:
     """Sensitive literals ``(start, end, name, score)``, best name of each, by start."""
-    known: dict[str, list[tuple[int, int, str]]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    pairs = [*PAIR.finditer(text), *(FLAG.finditer(text) if "--" in text else ())]
-    for m in sorted(pairs, key=lambda m: m.start()):
-        name = m["name"] + ("." + m["item"] if m.re is PAIR and m["item"] else "")
-        pieces, end = _pieces(m["value"], m.start("value"), known), m.end()
-        while len(pieces) < 64 and (j := JOINED.match(text, end)):
-            pieces = pieces + _pieces(j["value"], j.start("value"), known)
+    matches = [*PAIR.finditer(text), *(FLAG.finditer(text) if "--" in text else ())]
+    matches += [m for m in TYPED.finditer(text) if m["word"] or m["type"] in TEXT_TYPES]
+    pairs: list[tuple[int, str, Parts]] = []
+    for m in sorted(matches, key=lambda m: (m.start("value"), m.start())):
+        name = ".".join([m["name"], *ITEM.findall(m["item"])]) if m.re is PAIR else m["name"]
+        parts, end = [_part(m["value"], m.start("value"))], m.end()
+        while j := JOINED.match(text, end):
+            parts.append(_part(j["value"], j.start("value")))
             end = j.end()
-        known[name] = pieces
-        whole = "".join(p for _, _, p in pieces)
-        if (s := score(name, whole)) >= THRESHOLD:
+        pairs.append((m.start("value"), name, parts))
+    found = Assignments(pairs)
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+    for k, (_, name, _) in enumerate(pairs):
+        if not name_weight(name):
+            continue
+        pieces = found.pieces(k)
+        if (s := score(name, "".join(p for _, _, p in pieces))) >= THRESHOLD:
             for a, b, piece in pieces:
                 if piece and (s, name) > best.get((a, b), (0.0, "")):
                     best[a, b] = (s, name)
     return [(a, b, name, s) for (a, b), (s, name) in sorted(best.items())]
 
 
+def may_name_secrets(text: str) -> bool:
+    """Whether the letters of ``text``, without all between them, hold a weighted name; no such name's parts are missed."""
+    return HINT.search(text.encode("ascii", "ignore").lower().translate(None, NOT_LETTERS)) is not None
+
+
 def scan_text(text: str) -> list[tuple[str, int, int, str | None, float | None]]:
     """All spans of one text, by start and then by kind."""
     low = text.lower()
@@ -121,7 +197,7 @@ def scan_text(text: str) -> list[tuple[str, int, int, str | None, float | None]]
     if "AKIA" in text:
         spans += [("access", m.start(), m.end(), None, None) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     spans += [("hex", m.start(), m.end(), None, None) for m in HEX.finditer(text)]
-    if HINT.search(low):
+    if may_name_secrets(text):
         spans += [("literal", a, b, name, s) for a, b, name, s in lex(text)]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

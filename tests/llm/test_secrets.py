@@ -51,6 +51,45 @@ def test_lexer(text, found):
     assert literals(text) == found
 
 
+S = "q8Zr51LmXw0PyT7u"
+
+
+@pytest.mark.parametrize("text", [
+    'password: str = "%s"', 'apiKey: string = "%s"', 'val password: String? = "%s"', "static TOKEN: &'static str = \"%s\";",
+    'password: str="%s"', 'db_password: Optional[str] = "%s"', 'let authToken: string | undefined = "%s"', 'secrets: Dict[str, List[str]] = "%s"'.replace("secrets", "secret"),
+    'var password string = "%s"', 'const password string = "%s"', 'const (\n\tpassword string = "%s"\n)', 'const string password = "%s"',
+    'char password[] = "%s";', 'char password[32] = "%s";', 'conf["db"]["password"] = "%s"', 'password?: string = "%s"',
+    'pass_word = "%s"', 'clientSecret = K\nconst K = "%s"', 'a = "%s"\nb = a\nc = b\ntoken = c', 'token = c\nc = b\nb = a\na = "%s"',
+])
+def test_assignment_forms(text):
+    assert literals(text % S) == [S]
+
+
+def test_types_do_not_take_values():
+    assert literals("token: q8Zr51Lm=Xw0PyT7u") == ["q8Zr51Lm=Xw0PyT7u"]
+    assert literals("secret: QWxhZGRpbjpvcGVuc2VzYW1l=\nx") == ["QWxhZGRpbjpvcGVuc2VzYW1l="]
+    assert literals("color string = 'q8Zr51LmXw0PyT7u'") == []
+
+
+def test_any_number_of_pieces():
+    pieces = [f"p{i:03d}Zr" for i in range(300)]
+    assert literals("token = " + " + ".join(f'"{p}"' for p in pieces)) == pieces
+
+
+def test_doubling_and_circles_end():
+    doubled = 'a0 = "q8Zr51LmXw0P"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(200)) + "token = a200"
+    assert literals(doubled) == ["q8Zr51LmXw0P"]
+    circle = "".join(f"token_{chr(97 + i)} = token_{chr(98 + i)} + token_{chr(98 + i)}\n" for i in range(25)) + 'token_z = token_a + token_a + "q8Zr51LmXw0P"'
+    assert literals(circle) == ["q8Zr51LmXw0P"]
+    assert literals('a = b + "q8Zr51Lm"\nb = a + "Xw0PyT7u"\ntoken = b') == ["q8Zr51Lm", "Xw0PyT7u"]
+    assert literals('token = "q8Zr51Lm"\ntoken = token + "Xw0PyT7u"') == ["q8Zr51Lm", "Xw0PyT7u"]
+
+
+@pytest.mark.parametrize("name", secrets.NAME_WEIGHTS)
+def test_every_name_reaches_the_threshold(name):
+    assert literals(f'{name} = "q8Zr51Lm-Xw0PyT7u"') == ["q8Zr51Lm-Xw0PyT7u"]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
