@@ -20,8 +20,9 @@ leaves the first or the last half of the words as they are, so a line whose
 halves are unique has none, and only the other half's positions are deleted.
 
 Lines are aggregated to distinct lines before anything is joined.  Small
-intermediate tables are broadcast after their rows have been counted (at most
-``BROADCAST_ROWS``); beyond that the same join is shuffled.
+intermediate tables are broadcast after their rows have been counted, and the
+elements where rows hold lists (at most ``BROADCAST_ROWS``); beyond that the
+same join is shuffled.
 
 Defined results: null and empty texts stay as they are; rows with equal id
 and text are one document and keep the same lines; an empty table stays empty; a
@@ -43,10 +44,11 @@ HASH_MASK = (1 << 40) - 1
 ORDER = "struct(doc_id IS NULL AS none, doc_id, text_hash, line_no)"
 
 
-def sized(small: DataFrame, name: str) -> DataFrame:
-    """``small`` written to the shared folder; marked for broadcast if it has few rows."""
+def sized(small: DataFrame, name: str, lists: str | None = None) -> DataFrame:
+    """``small`` written to the shared folder; marked for broadcast if it has few rows, or few elements in all its ``lists``."""
     table = write_shared(small, name)
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    held = table.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()[0] if lists else table.count()
+    return F.broadcast(table) if held <= BROADCAST_ROWS else table
 
 
 def line_words(line: str) -> str:
@@ -121,7 +123,7 @@ def near_earlier(source: DataFrame, distinct: DataFrame) -> DataFrame:
     found = with_neighbours(distinct).join(distinct.select("h1", "h2", "n", "rank"), ["h1", "h2"])
     wanted = found.groupBy(F.col("rank.doc_id").alias("doc_id"), F.col("rank.text_hash").alias("text_hash")).agg(
         F.collect_list(F.struct(F.col("rank.line_no").alias("line_no"), "h1", "h2", "n", "front", "back", "rank")).alias("wanted"))
-    texts = split_once(join_documents(source, sized(wanted, "wanted"), "inner"))
+    texts = split_once(join_documents(source, sized(wanted, "wanted", lists="wanted"), "inner"))
     lines = texts.selectExpr(
         f"inline(transform(wanted, x -> struct(x.h1, x.h2, x.n, x.front, x.back, x.rank, {line_words('lines[x.line_no]')} AS words)))")
     lines = write_shared(lines.toDF("h1", "h2", "n", "front", "back", "rank", "words").dropDuplicates(["h1", "h2"]), "lines")
@@ -183,7 +185,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
     whole = whole.withColumn("text_hash", F.xxhash64("text"))
-    removed = sized(removed_lines(whole.select("doc_id", "text_hash", "text")), "removed")
+    removed = sized(removed_lines(whole.select("doc_id", "text_hash", "text")), "removed", lists="removed")
     joined = split_once(join_documents(whole, removed, "left"))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), removed), i -> lines[i]), '\\n')")
     text: Column = F.when(F.col("removed").isNull(), F.col("doc")[text_col].cast("string")).otherwise(kept)

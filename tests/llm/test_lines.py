@@ -77,6 +77,20 @@ def test_against_brute_force(spark, docs_frame, monkeypatch, seed, broadcast_row
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, want[i, t]) for i, t in docs), key=str)
 
 
+def test_long_lists_are_not_broadcast(spark, docs_frame, monkeypatch):
+    """Three documents hold more candidate and removed lines than may be broadcast."""
+    docs = [(i, "\n".join(f"all of these words stay but one: n{k} d{i if k % 2 else 0} here" for k in range(60))) for i in range(3)]
+    want = brute(docs, hashes(spark, docs))
+    marked, broadcast = [], lines_op.F.broadcast
+    monkeypatch.setattr(lines_op.F, "broadcast", lambda table: marked.append(table.columns) or broadcast(table))
+    for rows, few in ((50, False), (500_000, True)):
+        marked.clear()
+        monkeypatch.setattr(lines_op, "BROADCAST_ROWS", rows)
+        got = lines_op.dedup_lines(docs_frame(docs)).collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted((i, want[i, t]) for i, t in docs)
+        assert [any(c in columns for columns in marked) for c in ("wanted", "removed")] == [few, few]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
