@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, hmm, lines, mixing, multiindex, packing, quality, secrets, simhash, suffixes
+from quarry.llm import (
+    alignment, capfilters, chat, hmm, lines, mixing, multiindex, packing, quality, secrets, simhash, suffixes, whitening,
+)
 from quarry.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
 CONVERSATION_COLUMNS = "conv_id long, turn long, role string, text string"
 BYTE_FALLBACK = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 #: Target weights of the mix: the share of the bytes each source is to have, and of all others together.
 SOURCE_WEIGHTS = {"src0": 0.05, "src1": 0.10, "src2": 0.10, "src3": 0.08}
@@ -67,6 +70,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(turns))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(BYTE_FALLBACK)
+    return alignment.align(read_table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -78,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_index": op8_multi_index,
     "op9_secrets": op9_secrets,
     "op10_chat_format": op10_chat_format,
+    "op11_whitening": op11_whitening,
+    "op12_cap_filters": op12_cap_filters,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
