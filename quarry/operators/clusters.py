@@ -57,7 +57,7 @@ def cluster_summary(points: DataFrame, means: list[tuple[int, int]], params: Clu
     """Summary rows ordered by median score."""
     if "w" not in points.columns:
         points = points.withColumn("w", F.lit(1).cast("bigint"))
-    near = assign_clusters(points.select("x", "y", "w"), means)
+    near = assign_clusters(points.select("x", "y", "w"), means, lines=params.lines)
     assigned = materialize(near.groupBy("cluster", "x", "y").agg(F.sum("w").alias("w")), "assigned")
 
     per_keyword = assigned.groupBy("cluster", "x").agg(F.sum("w").alias("n"))

@@ -11,19 +11,18 @@ Semantics kept from the original job:
   of the last pass are returned.
 
 Execution: vectors are materialised once as Parquet in the shared checkpoint
-folder and compacted to distinct weighted points ``(x, y, w)`` (integer-exact, and far
-fewer rows: x takes one value per keyword).  Each pass is one aggregation
-whose map side reduces every task to at most k rows, so only k rows per task
-cross the shuffle and k rows reach the driver.  Every pass starts from the
-materialised points, so the plan does not grow with the pass count, and a
-lost executor only costs a re-read of those files.
+folder, compacted to distinct weighted points ``(x, y, w)`` (integer-exact, and
+far fewer rows: x takes one value per keyword), and counted once in a
+``ScoreIndex``.  On the line of a keyword each mean owns one range of scores,
+so a pass is at most k lookups on each line, in exact integers, however many
+points there are.  The plan does not grow with the pass count, and a lost
+executor only costs a re-read of the written files.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +36,8 @@ from quarry.fixed import (
     SIMPLE_SAMPLE_SEED,
     STRATIFIED_SAMPLE_MIN_SPREAD,
 )
-from quarry.functions.geometry import assign_nearest, means_moves, nearest_sql
+from quarry.functions.geometry import assign_nearest, means_moves, steps
+from quarry.operators.scoreindex import ScoreIndex
 from quarry.session import scratch_path
 
 # Hash parts of a stratum that are sampled on their own first.
@@ -81,6 +81,11 @@ class ClusterParams:
         if self.max_iterations < 1:
             raise ValueError("max_iterations must be at least 1")
 
+    @property
+    def lines(self) -> list[int]:
+        """The values that x takes, one per keyword."""
+        return [i * self.spread for i in range(len(self.keywords))]
+
     @property
     def stratified(self) -> bool:
         return self.spread >= STRATIFIED_SAMPLE_MIN_SPREAD
@@ -196,39 +201,45 @@ class KMeansResult:
         return spark.createDataFrame(self.history, TRACE_SCHEMA)
 
 
-def kmeans_pass(points: DataFrame, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """One Lloyd pass over weighted points; returns the new means.
+def _toward_zero(total: int, n: int) -> int:
+    return abs(total) // n * (1 if total >= 0 else -1)
+
 
-    The aggregation is partial per task, so at most k rows per task cross the
-    shuffle and k rows reach the driver.  The means are constants of one array
-    (see ``quarry.functions.geometry``), so every pass has the same plan and
-    code.
+def kmeans_pass(points: DataFrame | ScoreIndex, means: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """One Lloyd pass over weighted points or their index; returns the new means.
+
+    On each line the means' ranges of scores are the steps of the lower
+    envelope; the numbers and sums below their ends give those of the ranges.
     """
-    sums = (
-        points.selectExpr(f"{nearest_sql('x', 'y', means)} AS idx", "CAST(x AS BIGINT) * w AS xw", "CAST(y AS BIGINT) * w AS yw", "w")
-        .groupBy("idx")
-        .agg(F.expr("sum(xw) div sum(w)").alias("mx"), F.expr("sum(yw) div sum(w)").alias("my"))
-    )
-    new = list(means)
-    for r in sums.collect():  # at most k rows
-        new[int(r["idx"])] = (int(r["mx"]), int(r["my"]))
-    return new
+    index = points if isinstance(points, ScoreIndex) else ScoreIndex(points)
+    owned = {x: steps(x, means) for x in index.lines}
+    below = index.below((x, start) for x, found in owned.items() for start, _ in found if start is not None)
+    sums = [[0, 0, 0] for _ in means]
+    for x, found in owned.items():
+        ends = [(0, 0), *[below[x, start] for start, _ in found[1:]], index.total(x)]
+        for (_, i), (n0, s0), (n1, s1) in zip(found, ends, ends[1:]):
+            sums[i][0] += n1 - n0
+            sums[i][1] += x * (n1 - n0)
+            sums[i][2] += s1 - s0
+    return [(_toward_zero(sx, n), _toward_zero(sy, n)) if n else (int(old[0]), int(old[1])) for (n, sx, sy), old in zip(sums, means)]
 
 
 def kmeans(
-    points: DataFrame,
+    points: DataFrame | ScoreIndex,
     means: list[tuple[int, int]],
     params: ClusterParams,
     trace: bool = True,
 ) -> KMeansResult:
     """Run Lloyd passes from ``means`` over weighted points ``(x, y, w)``.
 
-    ``points`` should be materialised (see :func:`prepare_points`).
+    Points are indexed once (see ``quarry.operators.scoreindex``); an index
+    made before can be given instead.
     """
+    index = points if isinstance(points, ScoreIndex) else ScoreIndex(points)
     current = [(int(x), int(y)) for x, y in means]
     history: list[tuple] = []
     for it in range(1, params.max_iterations + 1):
-        new = kmeans_pass(points, current)
+        new = kmeans_pass(index, current)
         moves, total = means_moves(current, new)
         if trace:
             history += [
@@ -244,29 +255,22 @@ def kmeans(
 def prepare_points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Materialise the vectors once and derive the weighted points from them.
 
-    Returns ``(vectors, points)``, both written to the checkpoint folder; the
-    points are also kept in executor memory for the passes (a lost block is
-    re-read from the files, not recomputed from the source).
+    Returns ``(vectors, points)``, both written to the checkpoint folder.
     """
     vecs = materialize(vectors.select("id", "x", "y"), "vectors")
-    points = materialize(weighted_points(vecs), "points").persist(StorageLevel.MEMORY_AND_DISK)
-    return vecs, points
+    return vecs, materialize(weighted_points(vecs), "points")
 
 
 def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True) -> tuple[KMeansResult, DataFrame]:
-    """Sample, then iterate: the whole clustering.  Returns the result and the points.
-
-    The in-memory copy of the points is released after the last pass, or when
-    sampling fails; the returned points stay valid, backed by their Parquet
-    files.
-    """
+    """Sample, then iterate: the whole clustering.  Returns the result and the points."""
     vecs, points = prepare_points(vectors)
-    try:
-        return kmeans(points, initial_means(vecs, params), params, trace), points
-    finally:
-        points.unpersist()
+    return kmeans(points, initial_means(vecs, params), params, trace), points
 
 
-def assign_clusters(df: DataFrame, means: list[tuple[int, int]], column: str = "cluster") -> DataFrame:
-    """Add the index of the nearest mean, lowest index on ties."""
-    return assign_nearest(df, means, column)
+def assign_clusters(df: DataFrame, means: list[tuple[int, int]], column: str = "cluster", lines: list[int] | None = None) -> DataFrame:
+    """Add the index of the nearest mean, lowest index on ties.
+
+    ``lines``: the values that x takes (``ClusterParams.lines``); a point's
+    mean is then found by binary search in its line's steps.
+    """
+    return assign_nearest(df, means, column, lines=lines)

@@ -101,7 +101,7 @@ def nearest_assignment(spark, sf_dir):
     params = fx.cluster_params()
     vecs = kmeans.materialize(_vectors(spark, sf_dir, params.spread))
     means = kmeans.initial_means(vecs, params)
-    return kmeans.assign_clusters(vecs, means)
+    return kmeans.assign_clusters(vecs, means, lines=params.lines)
 
 
 def _run(spark, sf_dir, params):
@@ -179,10 +179,16 @@ def program_keywords(spark, sf_dir):
 
 
 def program_clusters(spark, sf_dir):
-    params = fx.cluster_params(spread=fx.SUMMARY_SPREAD, eta=0.0, max_iterations=fx.FIXED_PASSES)
+    """From a file to the stop rule: default eta and pass limit."""
+    params = fx.cluster_params(spread=fx.SUMMARY_SPREAD)
     return jobs.cluster_postings_file(spark, fx.write_posting_lines(spark, sf_dir), params).summary
 
 
+def program_clusters_default(spark, sf_dir):
+    """From a file, with all of the program's own parameters: 15 keywords, 45 kernels, eta 20, 120 passes."""
+    return jobs.cluster_postings_file(spark, fx.write_posting_lines(spark, sf_dir, fx.keyword_postings)).summary
+
+
 def program_diary(spark, sf_dir):
     return jobs.diary_forms(spark, fx.write_diary_csv(spark, sf_dir))["grouped"]
 
@@ -217,5 +223,6 @@ QUERIES: dict[str, Query] = {
     "diary_grouped_typed": diary_grouped_typed,
     "program_keywords": program_keywords,
     "program_clusters": program_clusters,
+    "program_clusters_default": program_clusters_default,
     "program_diary": program_diary,
 }

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.fixed import TITLE_TEXT_SEPARATOR
+from quarry.fixed import LANGUAGES, TITLE_TEXT_SEPARATOR
 from quarry.operators.kmeans import ClusterParams
 from quarry.session import scratch_path
 
@@ -26,6 +26,7 @@ SUMMARY_SPREAD = 5000
 SIMPLE_SAMPLE_SPREAD = 100
 CLUSTER_KERNELS = 12
 FIXED_PASSES = 4
+UNLISTED_TAGS = ["Fortran-77", "Ada"]      # tags of questions besides the keyword list
 
 NEWLINE_MARK = "~"               # no blank, so it joins two lines' words as a newline does
 
@@ -99,22 +100,29 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.unionByName(a)
 
 
-def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def keyword_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`postings` whose questions are tagged with the clustering program's own keywords (and two others)."""
+    tags = ", ".join(f"'{t}'" for t in LANGUAGES + UNLISTED_TAGS)
+    tag = f"get(array({tags}), CAST(id % {len(LANGUAGES) + len(UNLISTED_TAGS)} AS INT))"
+    return postings(spark, sf_dir).withColumn("tags", F.expr(f"CASE WHEN postingType = 1 THEN {tag} END"))
+
+
+def posting_lines(spark: SparkSession, sf_dir: str, source=postings) -> DataFrame:
     """Postings rendered as lines in column ``value`` (empty fields for NULLs,
     no sixth field when there is no tag)."""
     fields = ", ".join(
         f"coalesce(CAST({c} AS STRING), '')" for c in ("postingType", "id", "acceptedAnswer", "parentId", "score")
     )
-    return postings(spark, sf_dir).selectExpr(
+    return source(spark, sf_dir).selectExpr(
         f"CASE WHEN tags IS NULL THEN concat_ws(',', {fields}) ELSE concat_ws(',', {fields}, tags) END AS value"
     )
 
 
-def write_posting_lines(spark: SparkSession, sf_dir: str) -> str:
+def write_posting_lines(spark: SparkSession, sf_dir: str, source=postings) -> str:
     """Write the posting lines as a text file folder under the checkpoint
     folder (shared storage on a cluster); returns the folder."""
     path = scratch_path(spark, "posting-lines")
-    posting_lines(spark, sf_dir).write.text(path)
+    posting_lines(spark, sf_dir, source).write.text(path)
     return path
 
 

@@ -8,6 +8,7 @@ materialised CTE with a "stopped" flag, so they follow the exact stop rule.
 
 from __future__ import annotations
 
+from quarry.operators.kmeans import ClusterParams
 from quarry.plans import fixtures as fx
 
 
@@ -102,8 +103,8 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 QUESTION_HIGH_SCORES = f"WITH {_SCORED} SELECT id, tags, score, high_score FROM scored"
 
 
-def _vectors_cte(spread: int, name: str = "vectors") -> str:
-    case = "CASE tags " + " ".join(f"WHEN {_q(k)} THEN {i}" for i, k in enumerate(fx.CLUSTER_KEYWORDS)) + " END"
+def _vectors_cte(spread: int, name: str = "vectors", keywords=tuple(fx.CLUSTER_KEYWORDS)) -> str:
+    case = "CASE tags " + " ".join(f"WHEN {_q(k)} THEN {i}" for i, k in enumerate(keywords)) + " END"
     return f"""
 {name} AS (
   SELECT id, CAST(({case}) * {spread} AS INTEGER) AS x, high_score AS y
@@ -183,9 +184,10 @@ m{i} AS MATERIALIZED (
     return ",".join(parts)
 
 
-def _kmeans_ctes(spread: int, kernels: int, eta: float, passes: int, seed: int = 42) -> str:
-    per = kernels // len(fx.CLUSTER_KEYWORDS)
-    return f"WITH {_SCORED}, {_vectors_cte(spread)}, {_means0(per, seed)}, {_passes(passes, eta)}"
+def _kmeans_ctes(spread: int, kernels: int, eta: float, passes: int, seed: int = 42, scored: str = _SCORED,
+                 keywords=tuple(fx.CLUSTER_KEYWORDS)) -> str:
+    per = kernels // len(keywords)
+    return f"WITH {scored}, {_vectors_cte(spread, keywords=keywords)}, {_means0(per, seed)}, {_passes(passes, eta)}"
 
 
 def nearest_assignment_sql(kernels: int, seed: int = 42) -> str:
@@ -210,9 +212,9 @@ def kmeans_trace_sql(spread: int, kernels: int, eta: float, passes: int) -> str:
     return _kmeans_ctes(spread, kernels, eta, passes) + f"\nSELECT * FROM (\n{body}\n)"
 
 
-def _summary_body(spread: int, passes: int) -> str:
+def _summary_body(spread: int, passes: int, keywords=tuple(fx.CLUSTER_KEYWORDS)) -> str:
     label = "CASE dom_x // {s} ".format(s=spread) + " ".join(
-        f"WHEN {i} THEN {_q(k)}" for i, k in enumerate(fx.CLUSTER_KEYWORDS)
+        f"WHEN {i} THEN {_q(k)}" for i, k in enumerate(keywords)
     ) + " END"
     return f""",
 fin AS ({_assign(f'm{passes}', live_only=False)}),
@@ -232,8 +234,18 @@ summary AS (
 )"""
 
 
-def cluster_summary_sql(spread: int, kernels: int, passes: int) -> str:
-    return _kmeans_ctes(spread, kernels, 0.0, passes) + _summary_body(spread, passes) + "\nSELECT * FROM summary"
+def cluster_summary_sql(spread: int, kernels: int, passes: int, eta: float = 0.0) -> str:
+    return _kmeans_ctes(spread, kernels, eta, passes) + _summary_body(spread, passes) + "\nSELECT * FROM summary"
+
+
+def default_clusters_sql() -> str:
+    """The clustering program with its own keywords, spread, kernels, eta and pass limit."""
+    p = ClusterParams()
+    tags = [*p.keywords, *fx.UNLISTED_TAGS]
+    tag = f"CASE CAST(o_orderkey AS BIGINT) % {len(tags)} " + " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(tags)) + " END"
+    scored = _SCORED.replace("0 AS score, o_orderpriority AS tags", f"0 AS score, {tag} AS tags")
+    ctes = _kmeans_ctes(p.spread, p.kernels, p.eta, p.max_iterations, p.seed, scored, p.keywords)
+    return ctes + _summary_body(p.spread, p.max_iterations, p.keywords) + "\nSELECT * FROM summary"
 
 
 def cluster_report_sql(spread: int, kernels: int, passes: int) -> str:
@@ -345,6 +357,7 @@ def oracle_sql() -> dict[str, str]:
         "diary_grouped_sql": DIARY_GROUPED,
         "diary_grouped_typed": DIARY_GROUPED,
         "program_keywords": PROGRAM_KEYWORDS,
-        "program_clusters": cluster_summary_sql(fx.SUMMARY_SPREAD, k, fx.FIXED_PASSES),
+        "program_clusters": cluster_summary_sql(fx.SUMMARY_SPREAD, k, conv.max_iterations, conv.eta),
+        "program_clusters_default": default_clusters_sql(),
         "program_diary": DIARY_GROUPED,
     }

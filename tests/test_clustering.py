@@ -6,7 +6,7 @@ import pytest
 
 from quarry.fixed import KMEANS_ETA, KMEANS_KERNELS, KMEANS_MAX_ITERATIONS, LANG_SPREAD, LANGUAGES
 from quarry.functions import geometry
-from quarry.operators import clusters, kmeans as km, qa
+from quarry.operators import clusters, kmeans as km, qa, scoreindex
 from quarry.sources.postings import POSTING_SCHEMA
 
 
@@ -88,6 +88,62 @@ def test_nearest_mean_has_one_form_for_every_k(spark, k):
     assert "array_min" in geometry.nearest_sql("x", "y", means)
 
 
+@pytest.mark.parametrize("k", [1, 5, 60])
+def test_nearest_mean_on_lines_is_a_binary_search(spark, k):
+    lines = list(range(0, 300, 50))
+    pts = [(x, y) for x in lines for y in range(-60, 61, 3)]
+    means = [((i * 37) % 300, (i * 11) % 80 - 40) for i in range(k)]
+    df = vecs(spark, pts)
+    got = [r["cluster"] for r in km.assign_clusters(df, means, lines=lines).orderBy("id").collect()]
+    far = [[geometry.point_distance(p, m) for m in means] for p in pts]
+    assert got == [d.index(min(d)) for d in far]
+    sql = geometry.nearest_sql("x", "y", means, lines)
+    assert "->" not in sql and sql.count("if(") <= len(lines) * (k - 1)
+    deepest = max(len(part) - len(part.lstrip("if(")) for part in sql.split("THEN "))
+    assert deepest <= 3 * max(1, (k - 1).bit_length())
+    with pytest.raises(Exception, match="no line at x = 7"):
+        km.assign_clusters(vecs(spark, [(7, 1)]), means, lines=lines).collect()
+
+
+def test_steps_of_the_lower_envelope():
+    rng = random.Random(3)
+    for _ in range(3000):
+        reach = rng.choice([2, 8, 50])
+        means = [(rng.randint(-reach, reach), rng.randint(-reach, reach)) for _ in range(rng.randint(1, 9))]
+        x = rng.randint(-reach, reach)
+        found = geometry.steps(x, means)
+        assert found[0][0] is None and len(found) <= len(means)
+        for y in range(-2 * reach, 2 * reach + 1):
+            d = [(x - a) ** 2 + (y - b) ** 2 for a, b in means]
+            assert [i for since, i in found if since is None or since <= y][-1] == d.index(min(d))
+    far = 2 ** 40                                    # exact where doubles are not
+    assert geometry.steps(0, [(0, far), (0, far + 1)]) == [(None, 0), (far + 1, 1)]
+
+
+@pytest.mark.parametrize("reach, fan_kept, read", [(900, 1024, 256), (3_000_000, 1024, 256), (2 ** 33, 2, 3)])
+def test_score_index_counts_below_any_end(spark, monkeypatch, reach, fan_kept, read):
+    """One, two and four levels; few nodes kept and read at a time."""
+    monkeypatch.setattr(scoreindex, "NODES_KEPT", fan_kept)
+    monkeypatch.setattr(scoreindex, "NODES_READ", read)
+    rng = random.Random(5)
+    pts = [(rng.choice([0, 50, 100]), rng.randint(-reach, reach), rng.randint(1, 5)) for _ in range(400)] + [(50, 0, 3)] * 2
+    index = scoreindex.ScoreIndex(spark.createDataFrame(pts, "x int, y long, w long"))
+    assert index.lines == [0, 50, 100]
+    ends = [(rng.choice([0, 50, 100, 7]), rng.choice([rng.randint(-reach - 9, reach + 9), rng.choice(pts)[1], rng.choice(pts)[1] + 1])) for _ in range(60)]
+    for _ in range(2):                               # again, from the nodes that are kept
+        got = index.below(ends)
+        for x, y in ends:
+            under = [(w, w * s) for p, s, w in pts if p == x and s < y]
+            assert got[x, y] == (sum(w for w, _ in under), sum(s for _, s in under))
+    assert index.total(50) == (sum(w for x, _, w in pts if x == 50), sum(w * y for x, y, w in pts if x == 50))
+    assert len(index._nodes) <= fan_kept
+
+
+def test_kmeans_over_no_points(spark):
+    empty = spark.createDataFrame([], "x int, y int, w long")
+    assert km.kmeans_pass(empty, [(0, 1), (5, 6)]) == [(0, 1), (5, 6)]
+
+
 def test_empty_cluster_keeps_its_mean(spark):
     points = km.weighted_points(vecs(spark, [(0, 1), (0, 3), (0, 6)]))
     new = km.kmeans_pass(points, [(0, 0), (1000, 1000)])
