@@ -22,6 +22,7 @@ from quarry.fixed import (
     WORK_PREFIXES,
 )
 from quarry.functions.bands import age_band, row_sum_hours, sex_band, working_band
+from quarry.functions.exact import exact_avg, exact_avg_sql
 
 GROUP_KEYS = SUMMARY_COLUMNS[:3]
 MEASURES = SUMMARY_COLUMNS[3:]
@@ -113,9 +114,11 @@ def summary_typed_by_position(df: DataFrame) -> DataFrame:
 def grouped(summed: DataFrame) -> DataFrame:
     """Average hours per (working, sex, age), rounded to 1 decimal, sorted.
 
+    Sums are exact (see ``quarry.functions.exact``), so a tie in rounding
+    falls the same way however the rows are partitioned.
     Columns keep their plain names (``primaryNeeds``, ``work``, ``other``).
     """
-    aggs = [F.round(F.avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
+    aggs = [F.round(exact_avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
     # At most 2 x 2 x 3 groups: move them to one partition and sort there.
     return summed.groupBy(*GROUP_KEYS).agg(*aggs).repartition(1).orderBy(*GROUP_KEYS)
 
@@ -128,7 +131,7 @@ def grouped_sql_query(view_name: str) -> str:
     shuffle.
     """
     keys = ", ".join(GROUP_KEYS)
-    measures = ",\n  ".join(f"round(avg({m}), {GROUPED_SCALE}) AS {m}" for m in MEASURES)
+    measures = ",\n  ".join(f"round({exact_avg_sql(m)}, {GROUPED_SCALE}) AS {m}" for m in MEASURES)
     return (f"SELECT /*+ REPARTITION(1) */ {keys},\n  {measures}\nFROM {view_name}\n"
             f"GROUP BY {keys}\nORDER BY {keys}")
 
@@ -147,6 +150,6 @@ def grouped_typed(typed: DataFrame) -> DataFrame:
     the typed original applies by hand.
     """
     conformed = typed.to(SUMMARY_SCHEMA)
-    aggs = [F.round(F.avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
+    aggs = [F.round(exact_avg(m), GROUPED_SCALE).alias(m) for m in MEASURES]
     out = conformed.groupBy(*GROUP_KEYS).agg(*aggs).repartition(1).orderBy(*GROUP_KEYS)
     return out.to(SUMMARY_SCHEMA)

@@ -28,15 +28,23 @@ def split_fields(line: str) -> list[str]:
 
 
 def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names: the first line of the first file, in name order, that has one.
+    """Column names: the first line of the first file, in path order, that has one.
 
-    Files are listed, not scanned; of each file only one line is read, and only
-    until a line is found.
+    Paths come from and go back to the file source's own hidden ``_metadata``
+    columns, so names with blanks, ``%``, ``#`` or any other characters are
+    never rewritten here, and files are listed by Spark, not in Python.  The
+    least path of a file that is not empty is found without reading contents;
+    the condition on it prunes all other files, and one line is read.
     """
-    for name in sorted(spark.read.text(path).inputFiles()):
-        first = spark.read.text(name).first()
+    at, begins = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    lines = spark.read.text(path)
+    name = files.agg(F.min(at)).first()[0]
+    while name is not None:
+        first = lines.where((at == F.lit(name)) & (begins == 0)).select("value").first()
         if first is not None:
             return split_fields(first[0])
+        name = files.where(at > F.lit(name)).agg(F.min(at)).first()[0]     # a compressed file may hold no line
     raise ValueError(f"no header line in {path!r}")
 
 

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from quarry.operators import diary, qa
-from quarry.sources.diary import parse_diary_lines, read_diary
+from quarry.sources.diary import parse_diary_lines, read_diary, read_header
 from quarry.sources.postings import parse_posting_lines, read_postings
 from quarry.sources.text import parse_tagged_lines, read_articles
 
@@ -198,3 +198,33 @@ def test_diary_trailing_empty_fields(spark, tmp_dir):
     names, df = read_diary(spark, tmp_dir)
     assert names == ["tucaseid", "telfs", "t010101"]
     assert sorted(map(tuple, df.collect())) == [("A", 1.0, 60.0), ("B", 2.0, 30.0)]
+
+
+@pytest.mark.parametrize("folder, file", [("a bb", "part 0.csv"), ("50%25 off", "x%20y.csv"), ("n#1", "a#b.csv"), ("café é", "journée.csv"), ("plain", "k+l&m.csv")])
+def test_diary_paths_that_need_escaping(spark, tmp_dir, folder, file):
+    import os
+
+    where = os.path.join(tmp_dir, folder)
+    os.makedirs(where)
+    for name, text in ((file, "tucaseid,telfs,t010101\nA,1,60\n"), ("zz " + file, "tucaseid,telfs,t010101\nB,2,30.5\n"), ("0 empty " + file, "")):
+        with open(os.path.join(where, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    for path in (where, [os.path.join(where, file), os.path.join(where, "zz " + file)], os.path.join(where, file)):
+        names, df = read_diary(spark, path)
+        assert names == ["tucaseid", "telfs", "t010101"]
+        rows = sorted(map(tuple, df.collect()))
+        assert rows == [("A", 1.0, 60.0), ("B", 2.0, 30.5)][:1 if path == os.path.join(where, file) else 2]
+
+
+def test_header_skips_files_without_lines(spark, tmp_dir):
+    import gzip
+    import os
+
+    with gzip.open(os.path.join(tmp_dir, "a.csv.gz"), "wt"):
+        pass                                              # bytes, but no line
+    open(os.path.join(tmp_dir, "b.csv"), "w").close()
+    with gzip.open(os.path.join(tmp_dir, "c.csv.gz"), "wt") as f:
+        f.write("id,t01\nA,1\n")
+    with open(os.path.join(tmp_dir, "d.csv"), "w") as f:
+        f.write("other,names\n")
+    assert read_header(spark, tmp_dir) == ["id", "t01"]
