@@ -3,6 +3,8 @@
 import hashlib
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -25,6 +27,20 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("module", ["xxhash", "public_tokenizers", "tokenizers_and_more", "quarry.llm", "corpus_pipeline"])
+def test_entry_without_an_optional_module(module):
+    """A module that only the optional operators need may be absent."""
+    code = f"import sys; sys.modules[{module!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=os.path.dirname(entry.__file__), capture_output=True, text=True)
+    n, sql = map(int, said.stdout.split())
+    assert n >= len(QUERIES) and sql >= len(QUERIES), said.stderr
+
+
+def test_entry_hides_no_error_of_the_library():
+    code = "import sys; sys.modules['quarry.plans.oracle'] = None; import __spark_entry__"
+    assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(entry.__file__), capture_output=True).returncode
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
