@@ -13,6 +13,16 @@ def words(line):
     return [w for w in re.split(r"[ \t\n\x0B\f\r]+", line.lower()) if w]
 
 
+def near(x, y):
+    """Whether two lines, as words, are within one edit of their units."""
+    if (len(x) >= lines_op.MIN_WORDS) != (len(y) >= lines_op.MIN_WORDS):
+        return False
+    if len(x) >= lines_op.MIN_WORDS:
+        return within_one(x, y)
+    x, y = list(" ".join(x)), list(" ".join(y))
+    return min(len(x), len(y)) >= lines_op.MIN_CHARS and within_one(x, y)
+
+
 def within_one(x, y):
     if abs(len(x) - len(y)) > 1:
         return False
@@ -33,7 +43,7 @@ def brute(docs, text_hashes):
     gone = {}
     for k, (_, doc, n, w) in enumerate(places):
         for _, _, _, other in places[:k]:
-            if w == other or (min(len(w), len(other)) >= lines_op.MIN_WORDS and within_one(w, other)):
+            if w == other or near(w, other):
                 gone.setdefault(doc, set()).add(n)
                 break
     return {d: "\n".join(x for n, x in enumerate((d[1] or "").split("\n")) if n not in gone[d]) if d in gone else d[1] for d in set(docs)}
@@ -65,30 +75,41 @@ def synthetic(seed):
             out.append(rng.choice(["  ", " ", "\t"]).join(w))
         docs.append((rng.randrange(30), "\n".join(out)))
     return docs + [(None, None), (50, ""), (51, "\n\n \n"), (52, "same\nSAME\n same "), (53, "same"), (None, "a b c d e f g h\n\nb c d e f g h"),
-                   (54, "one " * 3000 + "\n" + "one " * 2999 + "two"), (55, docs[0][1]), (55, docs[0][1])]
+                   (54, "one " * 3000 + "\n" + "one " * 2999 + "two"), (55, docs[0][1]), (55, docs[0][1]),
+                   (60, "Subscribe now!\nSubscribe  now\nsubscribe new\nsubscribed NOW"), (61, "page 1\npage 2\npage 3"), (62, "chapter 1\nchapter 12\nchapter 2"),
+                   (63, "naïve café 🎉\nnaïve cafe 🎉\nnaive cafe 🎉\n🎉naïve café 🎉"), (64, "a b c d e f g\na b c d e f g h\na b c d e f h g\nabcdefgh\nabcdefg h"),
+                   (65, "x" * 700 + "\n" + "x" * 699 + "\n" + "x" * 350 + "y" + "x" * 349 + "\n" + "x" * 300)]
 
 
-@pytest.mark.parametrize("seed, broadcast_rows", [(1, 500_000), (2, 500_000), (3, 0)])
-def test_against_brute_force(spark, docs_frame, monkeypatch, seed, broadcast_rows):
-    monkeypatch.setattr(lines_op, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("seed, sum_units", [(1, 256), (2, 256), (3, 4)])
+def test_against_brute_force(spark, docs_frame, monkeypatch, seed, sum_units):
+    monkeypatch.setattr(lines_op, "SUM_UNITS", sum_units)
     docs = synthetic(seed)
     got = lines_op.dedup_lines(docs_frame(docs, extra=("lines", "removed", "text_hash"))).collect()
     want = brute(docs, hashes(spark, docs))
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, want[i, t]) for i, t in docs), key=str)
 
 
-def test_long_lists_are_not_broadcast(spark, docs_frame, monkeypatch):
-    """Three documents hold more candidate and removed lines than may be broadcast."""
+def test_nothing_is_marked_for_broadcast(spark, docs_frame, monkeypatch):
+    """Candidate and removed lines are lists of a document, of any length: their joins are always shuffled."""
     docs = [(i, "\n".join(f"all of these words stay but one: n{k} d{i if k % 2 else 0} here" for k in range(60))) for i in range(3)]
     want = brute(docs, hashes(spark, docs))
-    marked, broadcast = [], lines_op.F.broadcast
-    monkeypatch.setattr(lines_op.F, "broadcast", lambda table: marked.append(table.columns) or broadcast(table))
-    for rows, few in ((50, False), (500_000, True)):
-        marked.clear()
-        monkeypatch.setattr(lines_op, "BROADCAST_ROWS", rows)
-        got = lines_op.dedup_lines(docs_frame(docs)).collect()
-        assert sorted((r.doc_id, r.text) for r in got) == sorted((i, want[i, t]) for i, t in docs)
-        assert [any(c in columns for columns in marked) for c in ("wanted", "removed")] == [few, few]
+    monkeypatch.setattr(lines_op.F, "broadcast", lambda table: pytest.fail("broadcast"))
+    got = lines_op.dedup_lines(docs_frame(docs))
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted((i, want[i, t]) for i, t in docs)
+
+
+def test_variant_keys(spark):
+    """Equal keys for equal variants, whatever part of the running sum they come from."""
+    line = [f"u{k % 7}" for k in range(41)]
+    rows = [(k, 0, 41 if k < 0 else 40, True, True, line if k < 0 else line[:k] + line[k + 1:], True) for k in range(-1, 41)]
+    made = lines_op.variants(spark.createDataFrame(rows, "h1 long, h2 long, n int, front boolean, back boolean, units array<string>, by_word boolean"))
+    keys = {(r.h1, r.place): (r.a, r.b) for r in made.collect()}
+    assert len(keys) == 42 + 41 + 41 * 40
+    for k in range(41):
+        assert keys[-1, k + 1] == keys[k, 0]
+    assert len({keys[-1, k + 1] for k in range(41)}) == 41
 
 
 def test_query(spark):
