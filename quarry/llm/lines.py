@@ -115,15 +115,13 @@ def variants(lines: DataFrame) -> DataFrame:
 
     table = lines.selectExpr("h1", "h2", "n", "front", "back", "units", "by_word")
     for name, seed in (("a", 1), ("b", 2)):
-        table = held(
-            table,
-            f"{total(f'transform(units, (u, i) -> {hashed(seed, "u", "i")})')} AS full_{name}",
-            f"{total(f'transform(units, (u, i) -> {hashed(seed, "u", "i - 1")})')} AS moved_{name}",
-            f"transform(units, (u, i) -> if(i = 0, 0L, {hashed(seed, 'get(units, i - 1)', 'i - 1')}) - {hashed(seed, 'u', 'i - 1')}) AS step_{name}")
-        table = held(table, f"transform(sequence(0, int((n - 1) div {SUM_UNITS})), c -> {running(f'slice(step_{name}, c * {SUM_UNITS} + 1, {SUM_UNITS})')}) AS part_{name}")
-        table = held(table, f"{running(f'transform(part_{name}, p -> get(p, size(p) - 1))')} AS whole_{name}")
-        table = held(table, f"flatten(transform(part_{name}, (p, c) -> transform(p, v -> v + moved_{name} + if(c = 0, 0L, get(whole_{name}, c - 1))))) AS key_{name}")
-        table = table.drop(f"moved_{name}", f"step_{name}", f"part_{name}", f"whole_{name}")
+        table = held(table, f"transform(units, (u, i) -> {hashed(seed, 'u', 'i')}) AS here", f"transform(units, (u, i) -> {hashed(seed, 'u', 'i - 1')}) AS moved")
+        table = held(table, f"{total('here')} AS full_{name}", f"{total('moved')} AS behind",
+                     "transform(moved, (v, i) -> if(i = 0, 0L, get(here, i - 1)) - v) AS step")
+        table = held(table, f"transform(sequence(0, int((n - 1) div {SUM_UNITS})), c -> {running(f'slice(step, c * {SUM_UNITS} + 1, {SUM_UNITS})')}) AS part")
+        table = held(table, f"{running('transform(part, p -> get(p, size(p) - 1))')} AS upto")
+        table = held(table, f"flatten(transform(part, (p, c) -> transform(p, v -> v + behind + if(c = 0, 0L, get(upto, c - 1))))) AS key_{name}")
+        table = table.drop("here", "moved", "behind", "step", "part", "upto")
     first, last = "if(back, 1, int(floor((n - 1) / 2)) + 1)", "if(front, n, int(floor(n / 2)))"
     keys = (f"inline(array_append(transform(sequence({first}, {last}), p -> struct(p AS place, get(key_a, p - 1) AS a, get(key_b, p - 1) AS b)), "
             "struct(0 AS place, full_a AS a, full_b AS b)))")
@@ -207,13 +205,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Names given for ``lines_col`` and ``removed_col`` add the numbers of lines
     before and of removed lines.
     """
-    whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("doc_id"), clean_text(text_col).alias("text"))
-    whole = whole.withColumn("text_hash", F.xxhash64("text"))
-    removed = removed_lines(whole.select("doc_id", "text_hash", "text"))
-    joined = split_once(join_documents(whole, removed, "left"))
+    given = next(c for c in docs.columns if c.lower() == text_col.lower())
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != given], F.lit(0).alias(fresh_name(docs.columns, "nothing")))
+    whole = docs.select(others.alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("given"))
+    whole = whole.withColumn("text_hash", F.xxhash64(clean_text("given")))
+    removed = removed_lines(whole.select("doc_id", "text_hash", clean_text("given").alias("text")))
+    joined = split_once(join_documents(whole, removed, "left").withColumn("text", clean_text("given")))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(lines) - 1), removed), i -> lines[i]), '\\n')")
-    text: Column = F.when(F.col("removed").isNull(), F.col("doc")[text_col].cast("string")).otherwise(kept)
-    columns = [text.alias(c) if c.lower() == text_col.lower() else F.col("doc")[c].alias(c) for c in docs.columns]
+    text: Column = F.when(F.col("removed").isNull(), F.col("given")).otherwise(kept)
+    columns = [text.alias(c) if c == given else F.col("doc")[c].alias(c) for c in docs.columns]
     extra, taken = [], list(docs.columns)
     counts = {lines_col: F.size("lines").cast("long"), removed_col: F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long")}
     for name, column in counts.items():
