@@ -6,8 +6,12 @@ Every listed source has a target weight; all other sources together have
 repeated at the mean rate ``w * epochs * total / size``.  Each document draws
 its number of copies by inverting the Poisson distribution of that mean at a
 number from [0, 1) that is hashed from the seed and the document, so a
-repeated task draws the same.  Copies are exploded and shuffled globally: the
-partition and the place in it come from a hash of document and copy.
+repeated task draws the same.  A mean above ``PART_RATE`` (a small source in a
+large corpus) is the sum of equal parts, each inverted at a hashed number of
+its own, so the work of a document is in proportion to its rate.  Copies are
+exploded, in blocks of ``BLOCK_COPIES`` and then one by one, and shuffled
+globally: the partition and the place in it come from a hash of document and
+copy.
 
 Only DataFrame functions are used.  What is broadcast has one row per listed
 weight and one for the rest; ``MAX_WEIGHTS`` bounds it.  No row is moved
@@ -16,7 +20,8 @@ before the global shuffle, whose key is uniform however large a source is.
 Defined results: a null or empty text counts one byte; a null source belongs
 to the others unless ``None`` is listed; repeated rows draw equal numbers and
 are written separately; an empty table stays empty; a class without documents
-gives its weight to the rest; other columns pass through.
+gives its weight to the rest; a document with 2^31 copies or more fails the
+job; other columns pass through.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from quarry.llm.common import clean_text, fresh_name
 MAX_WEIGHTS = 10_000
 SEED = 17
 UNIT_DIGITS = 13              # hexadecimal digits of a hash that make a number below 1
+PART_RATE = 256               # mean of a distribution that is inverted at once, at most
+BLOCK_COPIES = 4096
 
 
 def _number(text: Column) -> Column:
@@ -49,6 +56,17 @@ def _distribution(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), steps), start, add, lambda s: s["upto"])
 
 
+def _copies(key: Column, parts: Column, upto: Column) -> Column:
+    """Copies drawn for a key: a number for each part, the first from the key itself."""
+    def unit(part: Column) -> Column:
+        text = F.when(part == 0, key).otherwise(F.concat_ws("|", F.lit("part"), key, part))
+        return _number(text) / F.lit(float(16 ** UNIT_DIGITS))
+
+    units = F.transform(F.sequence(F.lit(0), parts - 1), unit)
+    drawn = F.aggregate(units, F.lit(0).cast("long"), lambda sum_, u: sum_ + F.size(F.filter(upto, lambda c: c <= u)))
+    return drawn.cast("int")
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float], other_weight: float = 0.0, epochs: float = 1.0, seed: int = SEED,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         copy_col: str | None = "copy", copies_col: str | None = "n_copies", order_col: str | None = "shuffle_key") -> DataFrame:
@@ -80,15 +98,16 @@ def mix(docs: DataFrame, weights: dict[str | None, float], other_weight: float =
     rates = (
         shares.withColumn("total", F.sum("size").over(everything)).withColumn("all_weight", F.sum("weight").over(everything))
         .where("weight > 0").select("class", (F.col("weight") / F.col("all_weight") * F.lit(float(epochs)) * F.col("total") / F.col("size")).alias("rate"))
-        .where("rate > 0").select("class", _distribution(F.col("rate")).alias("upto"))
+        .where("rate > 0").withColumn("parts", F.ceil(F.col("rate") / PART_RATE).cast("int"))
+        .select("class", "parts", _distribution(F.col("rate") / F.col("parts")).alias("upto"))
     )
     key = F.concat_ws("|", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")),
                       F.coalesce(source.cast("string"), F.lit("")), F.md5(clean_text(text)))
     drawn = named.withColumn("key", key).join(F.broadcast(rates), "class")
-    unit = _number(F.col("key")) / F.lit(float(16 ** UNIT_DIGITS))
-    copies = F.size(F.filter("upto", lambda c: c <= F.col("unit")))
-    counted = drawn.withColumn("unit", unit).withColumn("copies", copies).where("copies > 0")
-    exploded = counted.select("doc", "copies", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    counted = drawn.select("doc", "key", _copies(F.col("key"), F.col("parts"), F.col("upto")).alias("copies")).where("copies > 0")
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"int((copies - 1) div {BLOCK_COPIES})"))))
+    exploded = blocks.select("doc", "copies", "key", F.explode(F.expr(
+        f"sequence(block * {BLOCK_COPIES} + 1, block * {BLOCK_COPIES} + least(copies - block * {BLOCK_COPIES}, {BLOCK_COPIES}))")).alias("copy"))
     ordered = exploded.withColumn("place", _number(F.concat_ws("|", F.lit("order"), F.col("key"), F.col("copy"))))
     shuffled = ordered.repartition("place").sortWithinPartitions("place", "copy")
     taken, extra = list(docs.columns), []
@@ -116,13 +135,20 @@ shares AS (
 rates AS (
   SELECT class, weight / (SELECT sum(weight) FROM shares) * {float(epochs)!r} * (SELECT sum(size) FROM shares)::DOUBLE / size AS rate
   FROM shares WHERE weight > 0),
+parts AS (SELECT class, CAST(ceil(rate / {PART_RATE}) AS INT) AS parts, rate / CAST(ceil(rate / {PART_RATE}) AS INT) AS rate FROM rates WHERE rate > 0),
 steps AS (
-  SELECT class, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p
-  FROM rates, (SELECT unnest(generate_series(0, (SELECT CAST(ceil(max(rate + 12 * sqrt(rate) + 40)) AS BIGINT) FROM rates))) AS k) WHERE rate > 0),
-upto AS (SELECT class, list(c ORDER BY k) AS upto FROM (SELECT class, k, sum(p) OVER (PARTITION BY class ORDER BY k) AS c FROM steps) GROUP BY class),
-drawn AS (
-  SELECT n.*, len(list_filter(u.upto, lambda x: x <= ('0x' || substr(md5(n.key), 1, {UNIT_DIGITS}))::BIGINT / {16 ** UNIT_DIGITS}.0::DOUBLE))::INT AS n_copies
+  SELECT class, parts, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p
+  FROM parts, (SELECT unnest(generate_series(0, (SELECT CAST(ceil(max(rate + 12 * sqrt(rate) + 40)) AS BIGINT) FROM parts))) AS k)),
+upto AS (
+  SELECT class, parts, list(c ORDER BY k) AS upto FROM (SELECT class, parts, k, sum(p) OVER (PARTITION BY class ORDER BY k) AS c FROM steps)
+  GROUP BY class, parts),
+units AS (
+  SELECT n.*, u.upto, list_transform(generate_series(0, u.parts - 1), lambda i:
+    ('0x' || substr(md5(CASE WHEN i = 0 THEN n.key ELSE concat_ws('|', 'part', n.key, CAST(i AS VARCHAR)) END), 1, {UNIT_DIGITS}))::BIGINT
+    / {16 ** UNIT_DIGITS}.0::DOUBLE) AS units
   FROM named n JOIN upto u ON n.class = u.class),
+drawn AS (
+  SELECT *, list_sum(list_transform(units, lambda v: len(list_filter(upto, lambda x: x <= v))))::INT AS n_copies FROM units),
 exploded AS (SELECT *, unnest(generate_series(1, n_copies))::INT AS copy FROM drawn WHERE n_copies > 0)
 SELECT doc_id, text, lang, source, n_chars, copy, n_copies,
        ('0x' || substr(md5(concat_ws('|', 'order', key, CAST(copy AS VARCHAR))), 1, {UNIT_DIGITS}))::BIGINT AS shuffle_key

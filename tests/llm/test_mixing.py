@@ -44,3 +44,26 @@ def test_large_rates(spark, docs_frame):
     docs = docs_frame([(i, "x") for i in range(300)])
     rows = mixing.mix(docs, {"src0": 1.0}, epochs=900.0).collect()
     assert abs(len(rows) / (300 * 900) - 1) < 0.02
+
+
+def test_rate_of_a_million(spark, docs_frame):
+    """Two documents against a large rest: the mean is split into parts."""
+    docs = docs_frame([(0, "x"), (3, "y")] + [(3 * i + 1, "z" * 99) for i in range(200)])
+    rows = mixing.mix(docs, {"src0": 1.0}, other_weight=1e-9, epochs=200.0)
+    found = rows.where("source = 'src0'").groupBy("doc_id", "n_copies").agg({"copy": "count", "shuffle_key": "approx_count_distinct"}).collect()
+    rate = 200.0 * (200 * 100 + 4) / 4
+    assert len(found) == 2 and 9e5 < rate < 2e6
+    for r in found:
+        assert r["count(copy)"] == r.n_copies and abs(r.n_copies - rate) < 6 * rate ** 0.5
+    assert found[0].n_copies != found[1].n_copies
+
+
+def test_split_rates_equal_the_sql(spark, docs_frame):
+    docs = docs_frame([(i, "x" * (i % 5)) for i in range(30)] + [(None, None)])
+    con = duckdb.connect()
+    con.register("given", docs.toArrow())
+    sql = mixing.mix_sql({"src0": 3.0, "src1": 0.01}, 1.0, epochs=700.0, table="given")
+    got = mixing.mix(docs, {"src0": 3.0, "src1": 0.01}, other_weight=1.0, epochs=700.0)
+    want = con.execute(f"SELECT doc_id, n_copies, count(*) FROM ({sql}) GROUP BY ALL ORDER BY ALL").fetchall()
+    assert sorted(want, key=str) == sorted(map(tuple, got.groupBy("doc_id", "n_copies").count().collect()), key=str)
+    assert max(n for _, n, _ in want) > 1000
