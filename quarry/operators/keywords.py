@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import dedup, has_token, present_keywords
+from quarry.session import scratch_path
 
 COUNT_COLUMN = "n_articles"
 
@@ -134,6 +135,67 @@ def index_blocks(index: DataFrame, id_column: str, block_size: int = 1024, title
     )
 
 
+def numbered_hits(articles: DataFrame, keywords: Iterable[str], keep: Iterable[str] = ("title",)) -> DataFrame:
+    """Articles with a number, the ``keep`` columns and the keywords they mention, written once to shared storage.
+
+    ``(number, ..., hits)``.  Numbers count up without gaps within each input
+    partition, whatever the articles' ids are, so blocks of numbers are full
+    but for the last one of a partition.  This table is the one scan of the
+    texts, and maps numbers back to articles.
+    """
+    spark = articles.sparkSession
+    rows = articles.select(
+        (F.monotonically_increasing_id() + 1).alias("number"), *[F.col(c) for c in keep], present_keywords("text", keywords).alias("hits"))
+    path = scratch_path(spark, "numbered-hits")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def index_bitmaps(hits: DataFrame) -> DataFrame:
+    """The inverted index as bitmaps: ``(keyword, block, articles)``, at most 32,768 article numbers a block (A3).
+
+    A block is 4 KiB whatever the ids look like, and is built by a partial
+    aggregate: what crosses the shuffle is bitmaps, not postings.
+    """
+    numbered = hits.select(F.explode("hits").alias("keyword"), "number")
+    return numbered.groupBy("keyword", F.bitmap_bucket_number("number").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("articles"))
+
+
+def rank_from_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """Ranking by the bits set; keywords without articles are absent (A4)."""
+    return ranked(bitmaps.groupBy("keyword").agg(F.sum(F.bitmap_count("articles")).alias(COUNT_COLUMN)))
+
+
+def keyword_pairs(bitmaps: DataFrame, keywords: Iterable[str]) -> DataFrame:
+    """``(keyword, other, n_articles)``: articles that mention both, for listed pairs with any, by conjunction of bitmaps.
+
+    A block's bitmaps meet in the pairs of the caller's list: each is sent to
+    the pairs its keyword is part of, and the two of a pair are ANDed.
+    """
+    kws = dedup(keywords)
+    pairs = [(a, b) for i, a in enumerate(kws) for b in kws[i + 1:]]
+    partners = [(k, a, b) for a, b in pairs for k in (a, b)]
+    named = bitmaps.sparkSession.createDataFrame(partners, "keyword string, first string, other string")
+    met = bitmaps.join(named, "keyword").groupBy("block", "first", "other").agg(
+        F.count(F.lit(1)).alias("sides"), F.bitmap_and_agg("articles").alias("both"))
+    counted = met.where("sides = 2").groupBy("first", "other").agg(F.sum(F.bitmap_count("both")).alias(COUNT_COLUMN))
+    return counted.where(F.col(COUNT_COLUMN) > 0).select(F.col("first").alias("keyword"), "other", COUNT_COLUMN)
+
+
+def articles_with_all(hits: DataFrame, bitmaps: DataFrame, keywords: Iterable[str]) -> DataFrame:
+    """The rows of :func:`numbered_hits` whose article mentions every listed keyword, found by their bits."""
+    kws = dedup(keywords)
+    if not kws:
+        return hits
+    every = bitmaps.where(F.col("keyword").isin(kws)).groupBy("block").agg(
+        F.count(F.lit(1)).alias("sides"), F.bitmap_and_agg("articles").alias("all_of")).where(F.col("sides") == len(kws))
+    at = hits.withColumn("block", F.bitmap_bucket_number("number")).withColumn("bit", F.bitmap_bit_position("number"))
+    byte = F.conv(F.hex(F.substring("all_of", F.expr("int(bit div 8) + 1"), F.lit(1))), 16, 10).cast("int")
+    found = at.join(every, "block").where(F.getbit(byte, F.expr("int(bit % 8)")) == 1)
+    return found.select(*hits.columns)
+
+
 def rank_from_index(index: DataFrame) -> DataFrame:
     """Ranking by index group size; keywords without articles are absent (A4)."""
     return ranked(index.groupBy("keyword").agg(F.count(F.lit(1)).alias(COUNT_COLUMN)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.fixed import ANSWER_TYPE, QUESTION_TYPE
@@ -51,6 +51,36 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     )
 
 
+# Blocks that one part of a question's answers fills, on average.
+BLOCKS_PER_PART = 8
+
+
+def answer_blocks(pairs: DataFrame, block_size: int = 1024) -> DataFrame:
+    """The pairs per question in bounded blocks (A6): ``(question_id, part, block, n_answers, answers, best)``.
+
+    The original gathers all pairs of a question in one collection.  Here a
+    block holds at most ``block_size`` answers, their ids joined by ``,`` in
+    order, and ``best`` is their highest score.  Blocks are numbered by two
+    counts: the pairs of a question (partial in every task) set its number of
+    parts, answers are dealt to parts by a hash of their id, and a row number
+    within the part gives the block.  So no task sorts or holds a whole
+    question, however many answers it owns.
+    """
+    if block_size <= 0:
+        raise ValueError("block_size must be positive")
+    many = pairs.groupBy("question_id").agg(F.ceil(F.count(F.lit(1)) / (block_size * BLOCKS_PER_PART)).alias("parts"))
+    hashed = F.conv(F.substring(F.md5(F.col("answer_id").cast("string")), 1, 8), 16, 10).cast("bigint")
+    dealt = pairs.join(many, "question_id").select(
+        "question_id", F.pmod(hashed, F.col("parts")).alias("part"), "answer_id", "answer_score")
+    place = F.row_number().over(Window.partitionBy("question_id", "part").orderBy("answer_id", "answer_score"))
+    blocks = dealt.withColumn("place", place).withColumn("block", F.expr(f"CAST((place - 1) div {int(block_size)} AS INT)"))
+    return blocks.groupBy("question_id", "part", "block").agg(
+        F.count(F.lit(1)).alias("n_answers"),
+        F.array_join(F.sort_array(F.collect_list("answer_id")).cast("array<string>"), ",").alias("answers"),
+        F.max("answer_score").alias("best"),
+    )
+
+
 def high_scores(postings: DataFrame) -> DataFrame:
     """Best answer score per answered question, floored at 0.
 

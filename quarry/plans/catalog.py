@@ -49,6 +49,21 @@ def keyword_rank_combined(spark, sf_dir):
     return keywords.rank_combined(fx.articles(spark, sf_dir), fx.ARTICLE_KEYWORDS)
 
 
+def keyword_rank_bitmaps(spark, sf_dir):
+    return keywords.rank_from_bitmaps(keywords.index_bitmaps(keywords.numbered_hits(fx.articles(spark, sf_dir), fx.ARTICLE_KEYWORDS)))
+
+
+def keyword_pair_counts(spark, sf_dir):
+    hits = keywords.numbered_hits(fx.articles(spark, sf_dir), fx.ARTICLE_KEYWORDS)
+    return keywords.keyword_pairs(keywords.index_bitmaps(hits), fx.ARTICLE_KEYWORDS)
+
+
+def keyword_conjunction(spark, sf_dir):
+    hits = keywords.numbered_hits(fx.articles(spark, sf_dir), fx.ARTICLE_KEYWORDS)
+    found = keywords.articles_with_all(hits, keywords.index_bitmaps(hits), fx.CONJUNCTION_KEYWORDS)
+    return found.select("title")
+
+
 def tagged_line_parse(spark, sf_dir):
     return parse_tagged_lines(fx.tagged_lines(spark, sf_dir))
 
@@ -72,6 +87,10 @@ def question_answer_pairs(spark, sf_dir):
     return qa.question_answer_pairs(parsed_postings(spark, sf_dir))
 
 
+def question_answer_blocks(spark, sf_dir):
+    return qa.answer_blocks(qa.question_answer_pairs(parsed_postings(spark, sf_dir)), fx.ANSWER_BLOCK_SIZE)
+
+
 def question_high_scores(spark, sf_dir):
     return qa.high_scores(parsed_postings(spark, sf_dir))
 
@@ -200,10 +219,14 @@ QUERIES: dict[str, Query] = {
     "keyword_index_grouped": keyword_index_grouped,
     "keyword_rank_index": keyword_rank_index,
     "keyword_rank_combined": keyword_rank_combined,
+    "keyword_rank_bitmaps": keyword_rank_bitmaps,
+    "keyword_pair_counts": keyword_pair_counts,
+    "keyword_conjunction": keyword_conjunction,
     "tagged_line_parse": tagged_line_parse,
     "postings_parse": postings_parse,
     "postings_file_scan": postings_file_scan,
     "question_answer_pairs": question_answer_pairs,
+    "question_answer_blocks": question_answer_blocks,
     "question_high_scores": question_high_scores,
     "tag_vectors": tag_vectors,
     "stratified_sample": stratified_sample,

@@ -19,7 +19,9 @@ from quarry.session import scratch_path
 # Fixture parameters (chosen for the driver tables, not reference values).
 ARTICLE_KEYWORDS = ["the", "and", "of", "that", "in", "en", "la", "them", "zzz"]
 SINGLE_KEYWORD = "the"
+CONJUNCTION_KEYWORDS = ["the", "of", "in"]
 INDEX_BLOCK_SIZE = 128
+ANSWER_BLOCK_SIZE = 2
 CLUSTER_KEYWORDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 CLUSTER_SPREAD = 50000
 SUMMARY_SPREAD = 5000

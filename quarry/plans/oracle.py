@@ -9,6 +9,7 @@ materialised CTE with a "stopped" flag, so they follow the exact stop rule.
 from __future__ import annotations
 
 from quarry.operators.kmeans import ClusterParams
+from quarry.operators.qa import BLOCKS_PER_PART
 from quarry.plans import fixtures as fx
 
 
@@ -61,6 +62,18 @@ SELECT keyword, count(*) AS n_articles FROM hits GROUP BY keyword
 PROGRAM_KEYWORDS = KEYWORD_RANK_FROM_HITS.replace(
     "string_split(text, ' ')", f"string_split(translate(text, chr(10) || chr(13), '{fx.NEWLINE_MARK * 2}'), ' ')")
 
+KEYWORD_PAIR_COUNTS = f"""
+WITH {_HITS},
+ordered AS (SELECT keyword, row_number() OVER () AS at FROM kw)
+SELECT a.keyword, b.keyword AS other, count(*) AS n_articles
+FROM hits a JOIN hits b ON a.doc_id = b.doc_id
+JOIN ordered x ON x.keyword = a.keyword JOIN ordered y ON y.keyword = b.keyword AND x.at < y.at
+GROUP BY ALL
+"""
+
+KEYWORD_CONJUNCTION = "SELECT CAST(doc_id AS VARCHAR) AS title FROM documents WHERE " + " AND ".join(
+    f"list_contains(string_split(text, ' '), {_q(k)})" for k in fx.CONJUNCTION_KEYWORDS)
+
 TAGGED_LINE_PARSE = "SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents"
 
 # ----------------------------------------------------------------- postings
@@ -100,6 +113,21 @@ SELECT CAST(o_orderkey AS BIGINT) AS question_id, CAST(NULL AS BIGINT) AS questi
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 """
 
+QUESTION_ANSWER_BLOCKS = f"""
+WITH pairs AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS question_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS answer_id,
+         CAST(floor(l_extendedprice) AS INTEGER) - 30000 AS answer_score
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+parts AS (SELECT question_id, CAST(ceil(count(*) / ({fx.ANSWER_BLOCK_SIZE} * {BLOCKS_PER_PART})) AS BIGINT) AS parts FROM pairs GROUP BY question_id),
+dealt AS (
+  SELECT p.*, ('0x' || substr(md5(CAST(answer_id AS VARCHAR)), 1, 8))::BIGINT % parts AS part FROM pairs p JOIN parts USING (question_id)),
+placed AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY question_id, part ORDER BY answer_id, answer_score) - 1) // {fx.ANSWER_BLOCK_SIZE} AS INTEGER) AS block FROM dealt)
+SELECT question_id, part, block, count(*) AS n_answers, string_agg(CAST(answer_id AS VARCHAR), ',' ORDER BY answer_id) AS answers,
+       max(answer_score) AS best
+FROM placed GROUP BY question_id, part, block
+"""
+
 QUESTION_HIGH_SCORES = f"WITH {_SCORED} SELECT id, tags, score, high_score FROM scored"
 
 
@@ -335,10 +363,14 @@ def oracle_sql() -> dict[str, str]:
         "keyword_index_grouped": KEYWORD_INDEX_GROUPED,
         "keyword_rank_index": KEYWORD_RANK_FROM_HITS,
         "keyword_rank_combined": KEYWORD_RANK_FROM_HITS,
+        "keyword_rank_bitmaps": KEYWORD_RANK_FROM_HITS,
+        "keyword_pair_counts": KEYWORD_PAIR_COUNTS,
+        "keyword_conjunction": KEYWORD_CONJUNCTION,
         "tagged_line_parse": TAGGED_LINE_PARSE,
         "postings_parse": POSTINGS_PARSE,
         "postings_file_scan": POSTINGS_PARSE,
         "question_answer_pairs": QUESTION_ANSWER_PAIRS,
+        "question_answer_blocks": QUESTION_ANSWER_BLOCKS,
         "question_high_scores": QUESTION_HIGH_SCORES,
         "tag_vectors": tag_vectors_sql(),
         "stratified_sample": stratified_sample_sql(per),

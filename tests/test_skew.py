@@ -68,3 +68,19 @@ def test_hot_question_join_is_split_by_aqe(spark):
     assert len(rows_out) == 20200
     assert sum(1 for r in rows_out if r["question_id"] == 7) == 20001
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_answer_blocks_are_bounded(spark):
+    """One question owns most answers, one answer id is copied many times: no block exceeds its size, all pairs are there."""
+    rows = [(1, q, None, None, 0, "Java") for q in range(5)] + [(2, 100 + i, None, 0, i % 50, None) for i in range(3000)]
+    rows += [(2, 9000, None, 0, 7, None)] * 200 + [(2, 10_000 + i, None, 1 + i % 3, i, None) for i in range(40)]
+    pairs = qa.question_answer_pairs(spark.createDataFrame(rows, POSTING_SCHEMA).repartition(5))
+    blocks = qa.answer_blocks(pairs, 16).collect()
+    assert max(r.n_answers for r in blocks) == 16 and len({r.part for r in blocks if r.question_id == 0}) == 25
+    got = sorted((r.question_id, int(a)) for r in blocks for a in r.answers.split(","))
+    assert got == sorted((r.question_id, r.answer_id) for r in pairs.collect())
+    assert max(r.best for r in blocks if r.question_id == 0) == 49
+    # Only the last block of a part may be less than full.
+    for part in {(r.question_id, r.part) for r in blocks}:
+        sizes = [r.n_answers for r in sorted(blocks, key=lambda r: r.block) if (r.question_id, r.part) == part]
+        assert all(n == 16 for n in sizes[:-1])
