@@ -2,9 +2,16 @@
 
 import pytest
 
+from quarry import session as session_module
 from quarry.session import checkpoint_dir, release_scratch, scratch_mark, scratch_path
 
 
+@pytest.fixture(autouse=True)
+def no_paths_left(monkeypatch):
+    """Paths of pretended clusters are forgotten after each test."""
+    monkeypatch.setattr(session_module, "_scratch", list(session_module._scratch))
+
+
 class _Conf:
     def __init__(self, values):
         self.values = values
