@@ -4,8 +4,8 @@ The patterns give the base spans ``assign``, ``access`` and ``hex``.  The
 lexer reads source and configuration syntax (``name = "literal"``,
 ``"name": 'literal'``, ``name := value``, ``name: Type = value``,
 ``var name Type = value``, ``name[] = value``, ``<name>value</name>``,
-command-line ``--name value``) into name-literal pairs, joins literals added
-together, follows names assigned to names, and scores each literal by the
+command-line ``--name value``) into name-literal pairs, reads literals with a
+prefix or in triple quotes, joins literals added together or side by side, follows names assigned to names, and scores each literal by the
 sensitive parts of every name it reaches and by its own randomness.  Literals
 above the threshold become ``literal`` spans.  A name stands for its latest
 assignment before the place that uses it, or else for its first one behind it;
@@ -45,6 +45,7 @@ NAME_WEIGHTS = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
     "credential": 0.9, "credentials": 0.9, "privatekey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "signingkey": 1.0,
     "encryptionkey": 1.0, "authkey": 1.0, "clientsecret": 1.0, "connectionstring": 0.8, "bearer": 0.8, "auth": 0.75,
+    "pass": 0.8,
 }
 HINT = re.compile("|".join(NAME_WEIGHTS).encode())
 NOT_LETTERS = bytes(sorted({*range(128)} - {*b"abcdefghijklmnopqrstuvwxyz"}))
@@ -52,7 +53,8 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|0+|null|none|true|false|unde
 MIN_LITERAL, THRESHOLD = 6, 0.6
 EXPANDED = 1 << 16            # joined values that take more steps are scored by each of their pieces once
 
-_STRING = r'"(?:\\.|[^"\\\n])*+"|\'(?:\\.|[^\'\\\n])*+\'|`[^`\n]*+`'
+#: A string literal: with a prefix, in triple quotes (these over lines), or plain.
+_STRING = r'(?:[A-Za-z]{1,2}(?=["\']))?+(?:"""(?:\\.|[^"\\]|"(?!""))*+"""|\'\'\'(?:\\.|[^\'\\]|\'(?!\'\'))*+\'\'\'|"(?:\\.|[^"\\\n])*+"|\'(?:\\.|[^\'\\\n])*+\'|`[^`\n]*+`)'
 _INNER = r"[^<>\[\]\n=\"'`;]*+"
 _GENERIC = rf"(?:<{_INNER}(?:<{_INNER}>{_INNER})*+>|\[{_INNER}(?:\[{_INNER}\]{_INNER})*+\])"
 _ONE_TYPE = rf"[&*?]*+(?:'\w++[ \t]++)?(?:(?:mut|dyn|readonly)[ \t]++)*+[A-Za-z_][\w.]*+(?:::[A-Za-z_]\w*+)*+{_GENERIC}*+[?!]?"
@@ -61,7 +63,7 @@ PAIR = re.compile(
     r"""(?<![\w.$-])(?:--)?["'`]?(?P<name>[A-Za-z_$][\w.$-]*+)["'`]?(?P<item>(?:\[["']?[\w.-]*+["']?\])*+)"""
     # A type stands between ':' and '=' when blanks or a quote show that the '=' is not part of a value.
     rf"""(?:[?!]?[ \t]*+:[ \t]*+{_TYPE}(?:[ \t]++=(?![=>])[ \t]*+|=(?=[ \t]*+["'`])[ \t]*+)"""
-    r"""|[ \t]*+(?::=|=>|==?(?!=)|:(?!:))[ \t]*+|>(?=[^<\n]*+</(?P=name)>))"""
+    r"""|[ \t]*+(?::=|=>|==?(?!=)|:(?!:))[ \t]*+)"""
     rf"""(?P<value>{_STRING}|[^\s,;"'`(){{}}\[\]<>]++)"""
 )
 #: ``password string = "..."``: the name before a type without a colon, behind a keyword or before a text type.
@@ -70,8 +72,15 @@ TYPED = re.compile(
     rf"""[ \t]*+=(?![=>])[ \t]*+(?P<value>{_STRING}|[^\s,;"'`(){{}}\[\]<>]++)"""
 )
 TEXT_TYPES = ("string", "*string", "[]byte", "[]rune", "[]string")
+#: ``<name>value</name>``; the look ahead ends at the next ``<``, so a line is read once.
+TAG = re.compile(
+    r"""<(?P<name>[A-Za-z_$][\w.$-]*+)>(?=[^<\n]*+</(?P=name)>)"""
+    rf"""(?P<value>{_STRING}|[^\s,;"'`(){{}}\[\]<>]++)"""
+)
 FLAG = re.compile(rf"""(?<!\S)--(?P<name>[a-z][\w-]*+)[ \t]++(?P<value>{_STRING}|[^\s"'`-][^\s"'`]*+)""")
 JOINED = re.compile(rf"[ \t]*+(?:\+|\.\.?)[ \t]*+(?P<value>{_STRING}|[A-Za-z_$][\w.$]*+)")
+ADJACENT = re.compile(rf"[ \t]++(?P<value>(?=[A-Za-z]{{0,2}}[\"'])(?:{_STRING}))")
+QUOTED = re.compile(r"""(?s)([A-Za-z]{0,2})(\"{3}|'{3}|["'`])(.*)\2""")
 NAME = re.compile(r"[A-Za-z_$][\w.$-]*+")
 ITEM = re.compile(r"[\w.-]+")
 
@@ -106,8 +115,8 @@ Parts = list[tuple[int, int, str, bool]]      # start, end, text, whether it may
 
 
 def _part(value: str, at: int) -> tuple[int, int, str, bool]:
-    if value[0] in "\"'`":
-        return at + 1, at + len(value) - 1, value[1:-1], False
+    if quoted := QUOTED.fullmatch(value):
+        return at + quoted.start(3), at + quoted.end(3), quoted[3], False
     return at, at + len(value), value, NAME.fullmatch(value) is not None
 
 
@@ -160,13 +169,13 @@ class Assignments:
 
 def lex(text: str) -> list[tuple[int, int, str, float]]:
     """Sensitive literals ``(start, end, name, score)``, best name of each, by start."""
-    matches = [*PAIR.finditer(text), *(FLAG.finditer(text) if "--" in text else ())]
+    matches = [*PAIR.finditer(text), *TAG.finditer(text), *(FLAG.finditer(text) if "--" in text else ())]
     matches += [m for m in TYPED.finditer(text) if m["word"] or m["type"] in TEXT_TYPES]
     pairs: list[tuple[int, str, Parts]] = []
     for m in sorted(matches, key=lambda m: (m.start("value"), m.start())):
         name = ".".join([m["name"], *ITEM.findall(m["item"])]) if m.re is PAIR else m["name"]
         parts, end = [_part(m["value"], m.start("value"))], m.end()
-        while j := JOINED.match(text, end):
+        while j := JOINED.match(text, end) or (text[end - 1] in "\"'" and ADJACENT.match(text, end)):
             parts.append(_part(j["value"], j.start("value")))
             end = j.end()
         pairs.append((m.start("value"), name, parts))

@@ -108,3 +108,26 @@ def test_null_repeated_empty_and_clashing(docs_frame):
     assert sorted((r.n_assign, r.spans) for r in rows)[0] == (0, "")
     assert len({r for r in rows}) == 2
     assert secrets.secrets_digest(secrets.scan(docs_frame([]))).collect() == []
+
+
+@pytest.mark.parametrize("text, literal", [
+    ('password = f"kX93{x}mQ7zLp2"', "kX93{x}mQ7zLp2"), ("password=b'kX93mQ7zLp2vW'", "kX93mQ7zLp2vW"), ('secret = """kX93\nmQ7zLp2vW"""', "kX93\nmQ7zLp2vW"),
+    ("token = \'\'\'kX93mQ7z\'Lp2vW\'\'\'", "kX93mQ7z\'Lp2vW"), ("DB_PASS=kX93mQ7zLp2vWt", "kX93mQ7zLp2vWt"), ("pass: kX93mQ7zLp2vWt", "kX93mQ7zLp2vWt"),
+    ("<password>kX93mQ7zLp2vW</password>", "kX93mQ7zLp2vW"), ("token = rb\"kX93mQ7zLp2vW\"", "kX93mQ7zLp2vW"),
+])
+def test_more_literal_forms(text, literal):
+    found = [text[a:b] for kind, a, b, _, _ in secrets.scan_text(text) if kind == "literal"]
+    assert found == [literal]
+
+
+def test_adjacent_literals_are_one():
+    found = [s for s in secrets.scan_text("token = 'kX93mQ' 'zLp2vWt8'") if s[0] == "literal"]
+    assert [(a, b) for _, a, b, _, _ in found] == [(9, 15), (18, 26)] and found[0][4] == found[1][4]
+
+
+def test_closing_marks_without_tags_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    assert not [s for s in secrets.scan_text("token " + "a>b>" * 250_000) if s[0] == "literal"]
+    assert time.perf_counter() - began < 30                      # 1 MB in one line; quadratic time would be an hour
