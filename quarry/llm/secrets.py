@@ -8,8 +8,11 @@ command-line ``--name value``) into name-literal pairs, reads literals with a
 prefix or in triple quotes, joins literals added together or side by side, follows names assigned to names, and scores each literal by the
 sensitive parts of every name it reaches and by its own randomness.  Literals
 above the threshold become ``literal`` spans.  A name stands for its latest
-assignment before the place that uses it, or else for its first one behind it;
-any number of pieces may be joined.
+assignment before the place that uses it, or else for its first one behind it
+(which adds nothing if that one leads back to its user); any number of pieces
+may be joined.  A pair's value is never written out: its length, ends and
+character counts are added up from those of its parts, each pair once, so the
+time follows the text and not the length of the joined values.
 
 Spans are in code points, end exclusive.  Defined results: a null or empty
 text has no spans; equal rows get equal spans; an empty table stays empty;
@@ -22,6 +25,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,7 +55,8 @@ HINT = re.compile("|".join(NAME_WEIGHTS).encode())
 NOT_LETTERS = bytes(sorted({*range(128)} - {*b"abcdefghijklmnopqrstuvwxyz"}))
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|_+|0+|null|none|true|false|undefined|todo|change_?me|example|your[_-].*|<.*>|\$\{.*\}|%\(.*\).|\{\{.*\}\})$")
 MIN_LITERAL, THRESHOLD = 6, 0.6
-EXPANDED = 1 << 16            # joined values that take more steps are scored by each of their pieces once
+ENDS = 32                     # characters of both ends of a value that its score looks at in order
+CIRCLE = -1                   # marks the use of a later pair that leads back to its user
 
 #: A string literal: with a prefix, in triple quotes (these over lines), or plain.
 _STRING = r'(?:[A-Za-z]{1,2}(?=["\']))?+(?:"""(?:\\.|[^"\\]|"(?!""))*+"""|\'\'\'(?:\\.|[^\'\\]|\'(?!\'\'))*+\'\'\'|"(?:\\.|[^"\\\n])*+"|\'(?:\\.|[^\'\\\n])*+\'|`[^`\n]*+`)'
@@ -97,18 +102,47 @@ def name_weight(name: str) -> float:
     return max((NAME_WEIGHTS.get(p, 0.0) for p in found), default=0.0)
 
 
-def randomness(literal: str) -> float:
-    """0 for a repeated character, 1 for 24 characters all different, with a share for mixed kinds."""
-    n = len(literal)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    mixed = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / math.log2(24)) * 0.7 + 0.1 * (mixed - 1)
-
-
-def score(name: str, literal: str) -> float:
-    if len(literal) < MIN_LITERAL or PLACEHOLDER.match(literal):
+@dataclass
+class Value:
+    """What the score needs of a joined value: its length, its characters with their counts, its ends."""
+
+    size: int
+    chars: Counter
+    head: str
+    tail: str
+
+    @classmethod
+    def of(cls, text: str) -> Value:
+        return cls(len(text), Counter(text), text[:ENDS], text[-ENDS:])
+
+    def then(self, other: Value) -> None:
+        if self.size < ENDS:
+            self.head = (self.head + other.head)[:ENDS]
+        self.tail = (self.tail + other.tail)[-ENDS:]
+        self.size += other.size
+        for c, n in other.chars.items():
+            self.chars[c] += n
+
+    def randomness(self) -> float:
+        """0 for a repeated character, 1 for 24 characters all different, with a share for mixed kinds."""
+        entropy = -sum(c / self.size * math.log2(c / self.size) for c in self.chars.values())
+        held = "".join(self.chars)
+        mixed = sum(bool(re.search(p, held)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        return min(1.0, entropy / math.log2(24)) * 0.7 + 0.1 * (mixed - 1)
+
+    def is_placeholder(self) -> bool:
+        """``PLACEHOLDER`` on a text with the same ends and the same characters between them; no fixed word is as long."""
+        if self.size <= 2 * ENDS:
+            return PLACEHOLDER.match(self.head + (self.tail[-(self.size - ENDS):] if self.size > ENDS else "")) is not None
+        between = self.chars.copy()
+        between.subtract(self.head + self.tail)
+        return PLACEHOLDER.match(self.head + "".join(c for c, n in between.items() if n) + self.tail) is not None
+
+
+def score(name: str, value: Value) -> float:
+    if value.size < MIN_LITERAL or value.is_placeholder():
         return 0.0
-    return name_weight(name) * (0.4 + 0.6 * randomness(literal))
+    return name_weight(name) * (0.4 + 0.6 * value.randomness())
 
 
 Parts = list[tuple[int, int, str, bool]]      # start, end, text, whether it may be a name
@@ -121,13 +155,17 @@ def _part(value: str, at: int) -> tuple[int, int, str, bool]:
 
 
 class Assignments:
-    """The pairs of a text by place, and what each stands for."""
+    """The pairs of a text by place, and what each stands for; every pair is resolved once."""
 
     def __init__(self, pairs: list[tuple[int, str, Parts]]):
         self.pairs = pairs
         self.places: dict[str, list[int]] = {}
         for k, (_, name, _) in enumerate(pairs):
             self.places.setdefault(name, []).append(k)
+        self.last = {name: self.pairs[places[-1]][0] for name, places in self.places.items()}
+        #: The pairs that a pair's parts stand for, part by part; None for a literal.
+        self.targets = [[self.meant(k, text) if may_name else None for _, _, text, may_name in parts]
+                        for k, (_, _, parts) in enumerate(pairs)]
 
     def meant(self, user: int, name: str) -> int | None:
         """The pair that ``name`` stands for in pair ``user``: the latest before it, else the first behind it."""
@@ -137,34 +175,106 @@ class Assignments:
         before = bisect_left(places, user)
         if before:
             return places[before - 1]
-        return next((k for k in places if self.pairs[k][0] != self.pairs[user][0]), None)
-
-    def pieces(self, top: int, repeated: bool = True) -> list[tuple[int, int, str]]:
-        """Literals of a pair in order, once each when repeating them takes too long; a name met inside its own value adds nothing."""
-        out, seen, running, steps = [], set(), {top}, 0
-        stack = [(top, iter(self.pairs[top][2]))]
-        while stack:
-            steps += 1
-            if repeated and steps > EXPANDED:
-                return self.pieces(top, repeated=False)
-            k, parts = stack[-1]
-            part = next(parts, None)
-            if part is None:
-                stack.pop()
-                running.discard(k)
+        start = self.pairs[user][0]
+        if self.last[name] == start:
+            return None
+        return next(k for k in places if self.pairs[k][0] != start)
+
+    def resolve(self, tops: list[int]) -> list[int]:
+        """All pairs that ``tops`` reach, each behind those it stands on.
+
+        Among pairs that lead to one another (found as strong components) the
+        uses of a later pair add nothing, so that no circle is left.
+        """
+        component = self._components(tops)
+        for k in component:
+            self.targets[k] = [CIRCLE if t is not None and t >= k and component[t] == component[k] else t for t in self.targets[k]]
+        order, done = [], set()
+        for top in tops:
+            stack = [] if top in done else [(top, iter(self.targets[top]))]
+            done.add(top)
+            while stack:
+                k, rest = stack[-1]
+                for t in rest:
+                    if t is not None and t != CIRCLE and t not in done:
+                        done.add(t)
+                        stack.append((t, iter(self.targets[t])))
+                        break
+                else:
+                    order.append(k)
+                    stack.pop()
+        return order
+
+    def _components(self, tops: list[int]) -> dict[int, int]:
+        """The strong component of every pair that ``tops`` reach, numbered by its first pair met."""
+        number, low, component = {}, {}, {}
+        open_pairs: list[int] = []
+        for top in tops:
+            if top in number:
+                continue
+            number[top] = low[top] = len(number)
+            open_pairs.append(top)
+            stack = [(top, iter(self.targets[top]))]
+            while stack:
+                k, rest = stack[-1]
+                for t in rest:
+                    if t is None:
+                        continue
+                    if t not in number:
+                        number[t] = low[t] = len(number)
+                        open_pairs.append(t)
+                        stack.append((t, iter(self.targets[t])))
+                        break
+                    if t not in component:
+                        low[k] = min(low[k], number[t])
+                else:
+                    stack.pop()
+                    if stack:
+                        low[stack[-1][0]] = min(low[stack[-1][0]], low[k])
+                    if low[k] == number[k]:
+                        while (t := open_pairs.pop()) != k:
+                            component[t] = number[k]
+                        component[k] = number[k]
+        return component
+
+    def best_scores(self) -> dict[tuple[int, int], tuple[float, str]]:
+        """By literal, the best score and name of all pairs whose value holds it, when at the threshold.
+
+        Values are added up from the bottom and given back after their last
+        use; the best name then goes from each pair down to those it stands on.
+        """
+        order = self.resolve([k for k, (_, name, _) in enumerate(self.pairs) if name_weight(name)])
+        uses = Counter(t for k in order for t in self.targets[k] if t is not None)
+        values: dict[int, Value] = {}
+        best_of: dict[int, tuple[float, str]] = {}
+        for k in order:
+            _, name, parts = self.pairs[k]
+            value = Value.of("")
+            for (_, _, text, _), t in zip(parts, self.targets[k]):
+                if t is None:
+                    value.then(Value.of(text))
+                elif t != CIRCLE:
+                    uses[t] -= 1
+                    # The last user of a value that comes first in its own takes it over.
+                    value, other = (values[t], value) if not uses[t] and not value.size else (value, values[t])
+                    value.then(other)
+                    if not uses[t]:
+                        del values[t]
+            if name_weight(name) and (s := score(name, value)) >= THRESHOLD:
+                best_of[k] = (s, name)
+            if uses[k]:
+                values[k] = value
+        found: dict[tuple[int, int], tuple[float, str]] = {}
+        for k in reversed(order):
+            best = best_of.get(k)
+            if best is None:
                 continue
-            a, b, text, may_name = part
-            target = self.meant(k, text) if may_name else None
-            if target is None:
-                if repeated or (a, b) not in seen:
-                    seen.add((a, b))
-                    out.append((a, b, text))
-            elif target not in running and (repeated or target not in seen):
-                if not repeated:
-                    seen.add(target)
-                running.add(target)
-                stack.append((target, iter(self.pairs[target][2])))
-        return out
+            for (a, b, text, _), t in zip(self.pairs[k][2], self.targets[k]):
+                if t is None and text and best > found.get((a, b), (0.0, "")):
+                    found[a, b] = best
+                elif t is not None and t != CIRCLE and best > best_of.get(t, (0.0, "")):
+                    best_of[t] = best
+        return found
 
 
 def lex(text: str) -> list[tuple[int, int, str, float]]:
@@ -179,16 +289,7 @@ def lex(text: str) -> list[tuple[int, int, str, float]]:
             parts.append(_part(j["value"], j.start("value")))
             end = j.end()
         pairs.append((m.start("value"), name, parts))
-    found = Assignments(pairs)
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    for k, (_, name, _) in enumerate(pairs):
-        if not name_weight(name):
-            continue
-        pieces = found.pieces(k)
-        if (s := score(name, "".join(p for _, _, p in pieces))) >= THRESHOLD:
-            for a, b, piece in pieces:
-                if piece and (s, name) > best.get((a, b), (0.0, "")):
-                    best[a, b] = (s, name)
+    best = Assignments(pairs).best_scores()
     return [(a, b, name, s) for (a, b), (s, name) in sorted(best.items())]
 
 

@@ -131,3 +131,31 @@ def test_closing_marks_without_tags_take_linear_time():
     began = time.perf_counter()
     assert not [s for s in secrets.scan_text("token " + "a>b>" * 250_000) if s[0] == "literal"]
     assert time.perf_counter() - began < 30                      # 1 MB in one line; quadratic time would be an hour
+
+
+def test_names_joined_to_themselves_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    found = [s for s in secrets.scan_text("password = password + 'kX93mQ7zLp2vW'\n" * 30_000) if s[0] == "literal"]
+    assert len(found) == 30_000                                  # 1 MB; every piece counts for the name
+    assert time.perf_counter() - began < 60
+
+
+def test_joined_values_score_as_if_written_out():
+    """Long values by their ends and counts: placeholders of all kinds, marks and line ends inside and at the end."""
+    import random
+
+    r = random.Random(3)
+    texts = ["x" * 90, "x" * 50 + "y" + "X" * 50, "<" + "a" * 80 + ">", "<" + "a" * 80, "your_" + "k9" * 50, "your_" + "k9" * 30 + "\n" + "k9" * 30,
+             "your-" + "k9" * 50 + "\n", "${" + "v" * 70 + "}", "{{" + "v" * 70 + "}}", "%(" + "v" * 70 + ")s", "-" * 64, "-" * 65, "0" * 70 + "1"]
+    texts += ["".join(r.choice("aZ0-<>x\n") for _ in range(r.randint(1, 120))) for _ in range(300)]
+    for text in texts:
+        value, at = secrets.Value.of(""), 0
+        while at < len(text):
+            step = r.choice((1, 5, 31, 32, 33, 70))
+            value.then(secrets.Value.of(text[at:at + step]))
+            at += step
+        whole = secrets.Value.of(text)
+        assert (value.size, value.chars, value.head, value.tail) == (whole.size, whole.chars, whole.head, whole.tail)
+        assert value.is_placeholder() == (secrets.PLACEHOLDER.match(text) is not None), text
