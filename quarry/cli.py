@@ -28,7 +28,7 @@ from quarry.fixed import (
 )
 from quarry.operators.keywords import ranking_list
 from quarry.operators.kmeans import ClusterParams
-from quarry.session import build_session, release_scratch
+from quarry.session import build_session, release_scratch, sweep_expired
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -47,11 +47,14 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--kernels", type=int, default=KMEANS_KERNELS)
     c.add_argument("--eta", type=float, default=KMEANS_ETA)
     c.add_argument("--max-iterations", type=int, default=KMEANS_MAX_ITERATIONS)
+    c.add_argument("--state", default=None, help="folder on shared storage; a run broken off there is taken up")
     c.add_argument("--debug", action="store_true", help="print the per-pass trace")
 
     d = sub.add_parser("diary", help="time-diary summaries and grouped averages")
     d.add_argument("path")
     d.add_argument("--show", type=int, default=20, help="summary rows to print")
+
+    sub.add_parser("sweep", help="delete intermediate tables of runs whose lease has run out")
     return p
 
 
@@ -73,7 +76,7 @@ def _keywords(spark: SparkSession, args, out) -> None:
 def _cluster(spark: SparkSession, args, out) -> None:
     params = ClusterParams(keywords=args.keywords, spread=args.spread, kernels=args.kernels,
                            eta=args.eta, max_iterations=args.max_iterations)
-    run = jobs.cluster_postings_file(spark, args.path, params)
+    run = jobs.cluster_postings_file(spark, args.path, params, args.state)
     if args.debug:
         trace = run.result.trace_frame(spark)
         print(f"[passes] {run.result.passes}, settled: {run.result.converged}", file=out)
@@ -89,12 +92,16 @@ def _diary(spark: SparkSession, args, out) -> None:
         _print_rows(df, df.take(args.show) if name == "summary" else df.collect(), out)   # at most 12 groups
 
 
+def _sweep(spark: SparkSession, args, out) -> None:
+    print(f"{sweep_expired(spark)} tables deleted", file=out)
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None, out=None) -> int:
     args = _parser().parse_args(argv)
     out = out or sys.stdout
     spark = spark or build_session(args.master, app_name=f"quarry-{args.job}")
     try:
-        {"keywords": _keywords, "cluster": _cluster, "diary": _diary}[args.job](spark, args, out)
+        {"keywords": _keywords, "cluster": _cluster, "diary": _diary, "sweep": _sweep}[args.job](spark, args, out)
     finally:
         release_scratch(spark)
     return 0

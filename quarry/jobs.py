@@ -44,17 +44,19 @@ class ClusteringRun:
     report: DataFrame
 
 
-def cluster_postings(postings: DataFrame, params: ClusterParams | None = None) -> ClusteringRun:
-    """Scores, vectors, sampled means, k-means and the cluster summary."""
+def cluster_postings(postings: DataFrame, params: ClusterParams | None = None, state_folder: str | None = None) -> ClusteringRun:
+    """Scores, vectors, sampled means, k-means and the cluster summary; ``state_folder`` as in ``kmeans.cluster``."""
     params = params or ClusterParams()
     vecs = qa.vectors(qa.high_scores(postings), params.keywords, params.spread)
-    result, points = kmeans.cluster(vecs, params)
+    result, points = kmeans.cluster(vecs, params, state_folder=state_folder)
     summary = clusters.cluster_summary(points, result.means, params)
     return ClusteringRun(result, summary, clusters.cluster_report(summary))
 
 
-def cluster_postings_file(spark: SparkSession, path: str, params: ClusterParams | None = None) -> ClusteringRun:
-    return cluster_postings(read_postings(spark, path), params)
+def cluster_postings_file(
+    spark: SparkSession, path: str, params: ClusterParams | None = None, state_folder: str | None = None
+) -> ClusteringRun:
+    return cluster_postings(read_postings(spark, path), params, state_folder)
 
 
 def diary_forms(spark: SparkSession, path: str) -> dict[str, DataFrame]:

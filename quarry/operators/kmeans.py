@@ -21,7 +21,9 @@ executor only costs a re-read of the written files.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ from quarry.fixed import (
 )
 from quarry.functions.geometry import assign_nearest, means_moves, steps
 from quarry.operators.scoreindex import ScoreIndex
-from quarry.session import scratch_path
+from quarry.session import exists, read_text, scratch_path, write_text
 
 # Hash parts of a stratum that are sampled on their own first.
 SAMPLE_SALTS = 64
@@ -108,16 +110,45 @@ def sample_order(id_column: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.col(id_column).cast("string")))
 
 
+def _step(key: Column) -> Column:
+    """A logarithmic step of an md5 key, 8 to a doubling, that never falls as the key rises (at most 423)."""
+    v = F.conv(F.substring(key, 1, 13), 16, 10).cast("bigint")
+    bits = F.length(F.bin(v))
+    return bits * 8 + F.call_function("shiftright", v, F.greatest(bits - 4, F.lit(0))).bitwiseAND(F.lit(7)).cast("int")
+
+
+def sample_cuts(vectors: DataFrame, per: int, seed: int) -> dict[int, int]:
+    """For each x the least step of the md5 key up to which at least ``per`` vectors lie (all, if there are fewer).
+
+    One hash aggregate counts vectors by x and step; its few hundred rows per
+    keyword come to the driver.
+    """
+    counts = vectors.groupBy("x", _step(sample_order("id", seed)).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    cuts: dict[int, int] = {}
+    held: dict[int, int] = {}
+    for r in sorted(counts, key=lambda r: r["step"]):
+        if held.get(r["x"], 0) < per:
+            cuts[r["x"]] = r["step"]
+            held[r["x"]] = held.get(r["x"], 0) + r["n"]
+    return cuts
+
+
 def stratified_sample(vectors: DataFrame, params: ClusterParams) -> DataFrame:
     """Uniform sample of ``kernels / #keywords`` vectors per keyword (M1).
 
-    Two levels, the same for every sample size: the first ``k`` by the md5 key
-    within each of ``SAMPLE_SALTS`` hash parts of a keyword's stratum, then the
-    first ``k`` of what is left of the stratum.  A stratum holding a third of
-    all rows is spread over its parts, and the second level receives at most
-    ``SAMPLE_SALTS * k`` rows of it.  Columns: ``id, x, y, rank``.
+    Vectors are counted by logarithmic steps of their md5 key first
+    (:func:`sample_cuts`), which gives each stratum a threshold that the ``k``
+    wanted vectors and few others pass, whatever its size; only those are
+    sorted.  They are ranked on two levels, the same for every sample size: the
+    first ``k`` by the md5 key within each of ``SAMPLE_SALTS`` hash parts of a
+    stratum, then the first ``k`` of what is left of it.  ``vectors`` are read
+    twice, so give written ones.  Columns: ``id, x, y, rank``.
     """
     per = params.per_keyword
+    cuts = sample_cuts(vectors, per, params.seed)
+    branches = "".join(f" WHEN {int(x)} THEN {cut}" for x, cut in sorted(cuts.items()))
+    cut = F.expr(f"CASE x{branches} END") if cuts else F.lit(0)
+    vectors = vectors.where(_step(sample_order("id", params.seed)) <= cut)
     order = (sample_order("id", params.seed), F.col("id"))
     part = F.pmod(F.xxhash64("id"), F.lit(SAMPLE_SALTS))
     within = Window.partitionBy("x", "part").orderBy(*order)
@@ -229,16 +260,24 @@ def kmeans(
     means: list[tuple[int, int]],
     params: ClusterParams,
     trace: bool = True,
+    resume: LoopState | None = None,
 ) -> KMeansResult:
     """Run Lloyd passes from ``means`` over weighted points ``(x, y, w)``.
 
     Points are indexed once (see ``quarry.operators.scoreindex``); an index
-    made before can be given instead.
+    made before can be given instead.  With ``resume`` the means and the pass
+    number are kept there, and a loop that was broken off goes on behind its
+    last kept pass.
     """
-    index = points if isinstance(points, ScoreIndex) else ScoreIndex(points)
     current = [(int(x), int(y)) for x, y in means]
     history: list[tuple] = []
-    for it in range(1, params.max_iterations + 1):
+    done = 0
+    if resume is not None and (kept := resume.load()) is not None:
+        current, done, history = kept
+        if done and resume.total < params.eta:
+            return KMeansResult(current, done, True, history)
+    index = points if isinstance(points, ScoreIndex) else ScoreIndex(points)
+    for it in range(done + 1, params.max_iterations + 1):
         new = kmeans_pass(index, current)
         moves, total = means_moves(current, new)
         if trace:
@@ -247,24 +286,81 @@ def kmeans(
                 for i, (a, b, mv) in enumerate(zip(current, new, moves))
             ]
         current = new
+        if resume is not None:
+            resume.store(current, it, total, history)
         if total < params.eta:
             return KMeansResult(current, it, True, history)
     return KMeansResult(current, params.max_iterations, False, history)
 
 
-def prepare_points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+class LoopState:
+    """Where a clustering run keeps its tables, its means and its pass number: a folder that the caller names.
+
+    ``params`` must be those the folder was begun with.  The written tables
+    count when they are complete; the loop's state is a small text file, put in
+    place by a rename, so a crash leaves the old one or the new one.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, params: ClusterParams):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.params = json.loads(json.dumps(asdict(params)))
+        self.total = float("inf")
+        saved = self._read("params")
+        if saved is None:
+            write_text(spark, f"{self.folder}/params", json.dumps(self.params))
+        elif saved != self.params:
+            raise ValueError(f"{folder} was begun with other parameters: {saved}")
+
+    def _read(self, name: str):
+        text = read_text(self.spark, f"{self.folder}/{name}")
+        return None if text is None else json.loads(text)
+
+    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table ``name`` of the folder; ``make()`` is written there first unless it is complete."""
+        path = f"{self.folder}/{name}"
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            make().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def load(self) -> tuple[list[tuple[int, int]], int, list[tuple]] | None:
+        """Means, number of passes and trace as kept last."""
+        kept = self._read("loop")
+        if kept is None:
+            return None
+        self.total = kept["total"]
+        return [tuple(m) for m in kept["means"]], kept["passes"], [tuple(h) for h in kept["history"]]
+
+    def store(self, means: list[tuple[int, int]], passes: int, total: float, history: list[tuple]) -> None:
+        self.total = total
+        write_text(self.spark, f"{self.folder}/loop", json.dumps({"means": means, "passes": passes, "total": total, "history": history}))
+
+
+def prepare_points(vectors: DataFrame, state: LoopState | None = None) -> tuple[DataFrame, DataFrame]:
     """Materialise the vectors once and derive the weighted points from them.
 
-    Returns ``(vectors, points)``, both written to the checkpoint folder.
+    Returns ``(vectors, points)``, both written to the checkpoint folder, or
+    to that of ``state``, where complete tables are kept.
     """
-    vecs = materialize(vectors.select("id", "x", "y"), "vectors")
-    return vecs, materialize(weighted_points(vecs), "points")
+    def write(name, make):
+        return state.table(name, make) if state is not None else materialize(make(), name)
 
+    vecs = write("vectors", lambda: vectors.select("id", "x", "y"))
+    return vecs, write("points", lambda: weighted_points(vecs))
 
-def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True) -> tuple[KMeansResult, DataFrame]:
-    """Sample, then iterate: the whole clustering.  Returns the result and the points."""
-    vecs, points = prepare_points(vectors)
-    return kmeans(points, initial_means(vecs, params), params, trace), points
+
+def cluster(vectors: DataFrame, params: ClusterParams, trace: bool = True, state_folder: str | None = None) -> tuple[KMeansResult, DataFrame]:
+    """Sample, then iterate: the whole clustering.  Returns the result and the points.
+
+    With ``state_folder`` (shared storage) a run that a crashed driver left is
+    taken up: its tables are not made again, its loop goes on.  The input must
+    be the same; delete the folder to begin anew.
+    """
+    state = LoopState(vectors.sparkSession, state_folder, params) if state_folder else None
+    vecs, points = prepare_points(vectors, state)
+    if state is not None and state.load() is None:
+        state.store(initial_means(vecs, params), 0, float("inf"), [])
+    means = state.load()[0] if state is not None else initial_means(vecs, params)
+    return kmeans(points, means, params, trace, state), points
 
 
 def assign_clusters(df: DataFrame, means: list[tuple[int, int]], column: str = "cluster", lines: list[int] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.fixed import ANSWER_TYPE, QUESTION_TYPE
+from quarry.session import scratch_path
 
 
 def questions(postings: DataFrame) -> DataFrame:
@@ -51,6 +52,63 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     )
 
 
+# A question owning more than this share of all answers is hot (one over it; at most as many can be).
+HOT_SHARES = 1024
+
+
+def hot_questions(answers: DataFrame, column: str = "key", shares: int = HOT_SHARES) -> list[tuple[int, int]]:
+    """``(question id, parts)`` of the questions that own over ``1 / shares`` of the answers.
+
+    One frequent-items sketch (merged from the tasks' own) over the parent ids.
+    It tracks ``4 * shares`` ids, so its error is less than a share of the rows
+    and no hot question is missed; at most ``shares`` rows reach the driver.
+    A question gets a part for each share it owns, by the sketch's estimate.
+    """
+    found = answers.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k(`{column}`, {int(shares)}, {4 * int(shares)})").alias("top"),
+    ).first()
+    share = found["n"] / shares
+    return [(r["item"], -int(-r["count"] // share)) for r in found["top"] or () if r["count"] > share]
+
+
+def spread_pairs(postings: DataFrame, shares: int = HOT_SHARES) -> DataFrame:
+    """The rows of :func:`question_answer_pairs`, from one parse, with hot questions spread.
+
+    The postings are written once, keyed by question, so that lines are parsed
+    once however often the rows are read.  A sketch over the written parent ids
+    finds the hot questions.  The answers of each are dealt to parts in turn by
+    the number of their written row, copies of one answer too, and its question
+    is copied to every part; other questions have the one part 0.  Both sides
+    are then joined on question and part: a task receives about a share of a
+    hot question, whatever AQE's thresholds are.  Only the hot ids, at most
+    ``shares`` of them, are broadcast.
+    """
+    if shares < 1:
+        raise ValueError("shares must be positive")
+    spark = postings.sparkSession
+    question = F.col("postingType") == QUESTION_TYPE
+    wanted = question | ((F.col("postingType") == ANSWER_TYPE) & F.col("parentId").isNotNull())
+    keyed = postings.where(wanted).select(
+        question.alias("question"), F.when(question, F.col("id")).otherwise(F.col("parentId")).alias("key"),
+        "id", "acceptedAnswer", "score", "tags", F.monotonically_increasing_id().alias("row"),
+    )
+    path = scratch_path(spark, "postings")
+    keyed.write.parquet(path)
+    written = spark.read.schema(keyed.schema).parquet(path)
+    replies, asked = written.where("NOT question"), written.where("question")
+    hot = F.broadcast(spark.createDataFrame(hot_questions(replies, "key", shares), "key long, parts int"))
+    parts = F.coalesce("parts", F.lit(1))
+    a = replies.join(hot, "key", "left").select(
+        "key", F.pmod("row", parts).cast("int").alias("part"), F.col("id").alias("answer_id"), F.col("score").alias("answer_score"))
+    q = asked.join(hot, "key", "left").select(
+        "key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("acceptedAnswer").alias("question_accepted_answer"),
+        F.col("score").alias("question_score"), F.col("tags").alias("question_tags"))
+    return a.join(q, ["key", "part"]).select(
+        F.col("key").alias("question_id"), "question_accepted_answer", "question_score", "question_tags", "answer_id", "answer_score"
+    )
+
+
 # Blocks that one part of a question's answers fills, on average.
 BLOCKS_PER_PART = 8
 

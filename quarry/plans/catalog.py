@@ -87,6 +87,10 @@ def question_answer_pairs(spark, sf_dir):
     return qa.question_answer_pairs(parsed_postings(spark, sf_dir))
 
 
+def question_answer_spread(spark, sf_dir):
+    return qa.spread_pairs(parsed_postings(spark, sf_dir))
+
+
 def question_answer_blocks(spark, sf_dir):
     return qa.answer_blocks(qa.question_answer_pairs(parsed_postings(spark, sf_dir)), fx.ANSWER_BLOCK_SIZE)
 
@@ -108,7 +112,7 @@ def tag_vectors(spark, sf_dir):
 
 
 def stratified_sample(spark, sf_dir):
-    return kmeans.stratified_sample(_vectors(spark, sf_dir, fx.CLUSTER_SPREAD), fx.cluster_params())
+    return kmeans.stratified_sample(kmeans.materialize(_vectors(spark, sf_dir, fx.CLUSTER_SPREAD)), fx.cluster_params())
 
 
 def simple_sample(spark, sf_dir):
@@ -226,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "postings_parse": postings_parse,
     "postings_file_scan": postings_file_scan,
     "question_answer_pairs": question_answer_pairs,
+    "question_answer_spread": question_answer_spread,
     "question_answer_blocks": question_answer_blocks,
     "question_high_scores": question_high_scores,
     "tag_vectors": tag_vectors,

@@ -370,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
         "postings_parse": POSTINGS_PARSE,
         "postings_file_scan": POSTINGS_PARSE,
         "question_answer_pairs": QUESTION_ANSWER_PAIRS,
+        "question_answer_spread": QUESTION_ANSWER_PAIRS,
         "question_answer_blocks": QUESTION_ANSWER_BLOCKS,
         "question_high_scores": QUESTION_HIGH_SCORES,
         "tag_vectors": tag_vectors_sql(),

@@ -9,7 +9,10 @@ nothing is configured (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
+import time
 import uuid
 from urllib.parse import urlparse
 
@@ -117,9 +120,115 @@ def _on_local_disk(path: str, sc) -> bool:
     return urlparse(default).scheme in ("", "file")
 
 
+def _target(spark: SparkSession, path: str):
+    """The file system and Hadoop path of ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _target(spark, path)
+    return files.exists(target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of shared storage as text; None if there is none."""
+    files, target = _target(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file on shared storage by a rename, so that readers see the old or the new one."""
+    files, fresh = _target(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(fresh, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    _, target = _target(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fresh, target, overwrite)
+
+
+#: Seconds without a renewal after which a run's intermediate tables may be swept.
+LEASE_SECONDS = 3600.0
+RUN = uuid.uuid4().hex[:16]                 # this process, the first half of its tables' names
+_holder: threading.Thread | None = None
+
+
+def _lease(folder: str, run: str) -> str:
+    return os.path.join(folder, f"lease-{run}")
+
+
+def _hold_lease(spark: SparkSession, folder: str) -> None:
+    """Write this process's lease and keep renewing it while its session lives."""
+    global _holder
+    if getattr(spark, "_jvm", None) is None or (_holder is not None and _holder.is_alive()):
+        return                              # a session without a JVM of its own cannot reach the folder from here
+
+    def renew() -> None:
+        write_text(spark, _lease(folder, RUN), repr(time.time() + LEASE_SECONDS))
+
+    def hold() -> None:
+        try:
+            while True:
+                time.sleep(LEASE_SECONDS / 6)
+                renew()
+        except Exception:                   # the session has ended, and the lease runs out
+            return
+
+    renew()
+    _holder = threading.Thread(target=hold, name="quarry-lease", daemon=True)
+    _holder.start()
+
+
+def sweep_expired(spark: SparkSession, now: float | None = None) -> int:
+    """Delete the intermediate tables of runs whose lease has run out (crashed drivers); returns how many.
+
+    Only folders whose name carries the run of an expired lease are touched.
+    A lease that cannot be read as a time is left alone.
+    """
+    folder = checkpoint_dir(spark)
+    files, target = _target(spark, folder)
+    if not files.exists(target):
+        return 0
+    names = [(status.getPath(), status.getPath().getName()) for status in files.listStatus(target)]
+    now = time.time() if now is None else now
+    removed = 0
+    for path, name in names:
+        run = name.removeprefix("lease-")
+        if run == name or not re.fullmatch("[0-9a-f]{16}", run) or run == RUN:
+            continue
+        try:
+            expires = float(read_text(spark, path.toString()) or "nan")
+        except ValueError:
+            continue
+        if not expires < now:
+            continue
+        for table, table_name in names:
+            if re.fullmatch(rf".+-{run}[0-9a-f]{{16}}", table_name):
+                files.delete(table, True)
+                removed += 1
+        files.delete(path, False)
+    return removed
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the checkpoint folder, remembered for :func:`release_scratch`."""
-    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never-reused path under the checkpoint folder, remembered for :func:`release_scratch`.
+
+    The process holds a lease on its paths; see :func:`sweep_expired`.
+    """
+    folder = checkpoint_dir(spark)
+    _hold_lease(spark, folder)
+    path = os.path.join(folder, f"{name}-{RUN}{uuid.uuid4().hex[:16]}")
     _scratch.append(path)
     return path
 
@@ -132,11 +241,9 @@ def release_scratch(spark: SparkSession, keep: int = 0) -> int:
     """
     paths = _scratch[keep:]
     del _scratch[keep:]
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
     for path in paths:
-        target = hadoop(path)
-        target.getFileSystem(conf).delete(target, True)
+        files, target = _target(spark, path)
+        files.delete(target, True)
     return len(paths)
 
 

@@ -1,5 +1,6 @@
 """Postings, scores, vectors, sampling, k-means and cluster summaries."""
 
+import os
 import random
 
 import pytest
@@ -255,3 +256,42 @@ def test_medians_over_many_blocks(spark):
     for c in range(3):
         each = sorted(y for k, y, w in scores if k == c for _ in range(w))
         assert got[c] == (each[(len(each) - 1) // 2] + each[len(each) // 2]) / 2
+
+
+def test_broken_off_loop_goes_on(spark, tmp_dir, monkeypatch):
+    """A driver that dies in the middle of the passes: the next run takes tables, means and trace from the folder."""
+    rows = [(i, (i % 2) * 500, (i * i * 31) % 997) for i in range(3000)]
+    vecs = spark.createDataFrame(rows, "id long, x int, y int")
+    params = km.ClusterParams(keywords=["a", "b"], spread=500, kernels=8, eta=2.0, max_iterations=60)
+    want, _ = km.cluster(vecs, params)
+    assert want.converged and want.passes > 4
+    folder, passes = tmp_dir + "/run", []
+    plain = km.kmeans_pass
+
+    def dying(index, means):
+        if len(passes) == 3:
+            raise KeyboardInterrupt
+        passes.append(means)
+        return plain(index, means)
+
+    monkeypatch.setattr(km, "kmeans_pass", dying)
+    with pytest.raises(KeyboardInterrupt):
+        km.cluster(vecs, params, state_folder=folder)
+    seen = []
+    monkeypatch.setattr(km, "kmeans_pass", lambda index, means: seen.append(means) or plain(index, means))
+    lost = spark.createDataFrame([], vecs.schema)                          # the tables in the folder are complete
+    got, points = km.cluster(lost, params, state_folder=folder)
+    assert (got.means, got.passes, got.converged, got.history) == (want.means, want.passes, True, want.history)
+    assert len(seen) == want.passes - 3 and points.agg({"w": "sum"}).first()[0] == 3000
+    again, _ = km.cluster(lost, params, state_folder=folder)               # a finished run is only read
+    assert again.history == want.history and len(seen) == want.passes - 3
+    with pytest.raises(ValueError, match="other parameters"):
+        km.cluster(vecs, km.ClusterParams(keywords=["a", "b"], spread=500, kernels=6), state_folder=folder)
+
+
+def test_half_written_table_is_made_again(spark, tmp_dir):
+    state = km.LoopState(spark, tmp_dir + "/s", km.ClusterParams())
+    spark.range(5).write.parquet(tmp_dir + "/s/vectors")
+    os.remove(tmp_dir + "/s/vectors/_SUCCESS")
+    assert state.table("vectors", lambda: spark.range(9)).count() == 9
+    assert state.table("vectors", lambda: spark.range(2)).count() == 9

@@ -98,3 +98,41 @@ def test_release_deletes_what_was_written(spark):
     local = path.removeprefix("file:")
     assert os.path.isdir(local)
     assert release_scratch(spark, mark) == 1 and not os.path.exists(local)
+
+
+def test_tables_of_a_crashed_run_are_swept(spark):
+    """Only the tables of a run with an expired lease go: not ours, not those of a living run, nothing else."""
+    import os
+    import time
+    from urllib.parse import urlparse
+
+    from quarry.session import RUN, read_text, sweep_expired, write_text
+
+    own = scratch_path(spark, "points")
+    spark.range(3).write.parquet(own)
+    root = urlparse(checkpoint_dir(spark)).path
+    dead, alive, unread = "a" * 16, "b" * 16, "c" * 16
+    for run in (dead, alive, unread):
+        spark.range(2).write.parquet(f"{root}/vectors-{run}{'0' * 16}")
+    spark.range(2).write.parquet(f"{root}/points-{dead}{'1' * 16}")
+    os.mkdir(f"{root}/kept-{dead}")
+    write_text(spark, f"{root}/lease-{dead}", repr(time.time() - 5))
+    write_text(spark, f"{root}/lease-{alive}", repr(time.time() + 500))
+    write_text(spark, f"{root}/lease-{unread}", "soon")
+    assert float(read_text(spark, f"{root}/lease-{RUN}")) > time.time()
+    assert sweep_expired(spark) == 2
+    left = set(os.listdir(root))
+    assert {f"vectors-{alive}{'0' * 16}", f"vectors-{unread}{'0' * 16}", f"kept-{dead}", f"lease-{alive}", f"lease-{unread}", f"lease-{RUN}"} <= left
+    assert f"lease-{dead}" not in left and not any(n.startswith((f"vectors-{dead}", f"points-{dead}")) for n in left)
+    assert spark.read.parquet(own).count() == 3 and sweep_expired(spark) == 0
+    assert sweep_expired(spark, now=time.time() + 1000) == 1                   # the living one has stopped
+
+
+def test_small_files_are_replaced(spark, tmp_dir):
+    from quarry.session import exists, read_text, write_text
+
+    path = f"{tmp_dir}/a folder/state é"
+    assert read_text(spark, path) is None and not exists(spark, path)
+    for text in ("one", "", "zwei é\n", "3"):
+        write_text(spark, path, text)
+        assert read_text(spark, path) == text

@@ -1,6 +1,9 @@
 """Skewed inputs: results stay exact when one key holds most rows."""
 
 import hashlib
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from quarry.operators import kmeans as km
 from quarry.operators import qa
@@ -84,3 +87,49 @@ def test_answer_blocks_are_bounded(spark):
     for part in {(r.question_id, r.part) for r in blocks}:
         sizes = [r.n_answers for r in sorted(blocks, key=lambda r: r.block) if (r.question_id, r.part) == part]
         assert all(n == 16 for n in sizes[:-1])
+
+
+def test_spread_pairs_deal_a_hot_question_to_parts(spark):
+    """A question owns nine tenths of the answers, half of them copies of one row: exact pairs, and no task has them all."""
+    rows = [(1, q, None, None, q % 3, "Java") for q in range(50)] + [(1, 7, None, 5, 9, "C#")]      # id 7 twice
+    rows += [(2, 1000 + i, None, 7, i % 50, None) for i in range(2000)] + [(2, 999, None, 7, 1, None)] * 2000
+    rows += [(2, 20_000 + i, None, i % 60, i, None) for i in range(400)]                            # also orphans
+    rows += [(2, 1, None, None, 0, None), (3, 7, None, 7, 0, None)]                                 # no parent, other type
+    df = spark.createDataFrame(rows, POSTING_SCHEMA).repartition(5)
+    hot = dict(qa.hot_questions(qa.answers(df), "parentId", 8))
+    assert list(hot) == [7] and hot[7] >= 7
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = qa.spread_pairs(df, shares=64).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    key = lambda r: tuple((x is None, x) for x in tuple(r)[:6])
+    assert sorted(map(key, got)) == sorted(map(key, qa.question_answer_pairs(df).collect()))
+    tasks = Counter(r["task"] for r in got if r["question_id"] == 7)
+    assert len(tasks) >= 12 and max(tasks.values()) < 0.25 * tasks.total()
+
+
+def test_every_hot_question_is_found_and_few_are(spark):
+    rows = [(2, i, None, 0 if i % 3 == 0 else 1 if i % 7 == 0 else i, 0, None) for i in range(30_000)]
+    found = dict(qa.hot_questions(qa.answers(spark.createDataFrame(rows, POSTING_SCHEMA).repartition(6)), "parentId", 32))
+    assert {0, 1} <= set(found) and len(found) <= 32 and found[0] >= 10
+    assert qa.hot_questions(spark.createDataFrame([], POSTING_SCHEMA), "parentId") == []
+    assert qa.spread_pairs(spark.createDataFrame([], POSTING_SCHEMA)).collect() == []
+
+
+def test_sample_sorts_few_rows_of_any_stratum(spark):
+    """Steps of the key rise with it, and the threshold of a stratum passes what is wanted and few more."""
+    vecs = spark.range(60_000).selectExpr("id", "CAST(IF(id % 20 = 0, 500, 0) AS INT) AS x", "CAST(id % 9 AS INT) AS y")
+    for per in (1, 7, 400, 5000):
+        cuts = km.sample_cuts(vecs, per, 42)
+        passed = vecs.withColumn("step", km._step(km.sample_order("id", 42))).collect()
+        counts = Counter(r["x"] for r in passed if r["step"] <= cuts[r["x"]])
+        for x, size in ((0, 57_000), (500, 3000)):
+            assert min(per, size) <= counts[x] <= 1.3 * per + 20
+    keyed = vecs.select(km.sample_order("id", 42).alias("key"), km._step(km.sample_order("id", 42)).alias("step")).orderBy("key").collect()
+    assert all(a["step"] <= b["step"] for a, b in zip(keyed, keyed[1:]))
