@@ -6,9 +6,10 @@ centroid pairs in the order of their summed distance (the negative inner
 product with the query's halves): both centroid lists are sorted, and a heap
 gives the next pair.  It stops when the visited cells hold enough entries.
 How many are enough is measured on the table itself, by one rule at every size:
-the true nearest rows of at most ``PROBE_QUERIES`` queries, chosen by hash, are
-found by comparing them with every row, and the least number of entries with
-which the traversal reaches ``TARGET_RECALL`` of them holds for all queries.
+the true nearest rows of at most ``PROBE_QUERIES`` rows that are not queries
+(chosen by hash; queries only if there are no others) are found by comparing
+them with every row, and the least number of entries with which the traversal
+reaches ``TARGET_RECALL`` of them holds for all queries.
 All entries of the visited cells are reranked by the exact inner product in
 double precision, summed in one fixed order, so equal vectors get equal scores.
 
@@ -21,7 +22,7 @@ shard however many rows share a cell, and each block returns its best rows of
 each query.
 
 Defined results: vectors that are null, empty, zero, of another length than
-the first centroid's, or that hold null or non-finite components take no part;
+the commonest (the shortest of these at a tie), or that hold null or non-finite components take no part;
 rows are told apart by number, so repeated ids are separate rows; an id of null can
 be found but is no query; ties go to the smaller id; an empty table gives no
 rows; other columns are not read.
@@ -46,8 +47,8 @@ MAX_CENTROIDS = 256
 ENTRIES_PER_CELL = 16
 ROUNDS = 12
 MIN_CANDIDATES = 512
-PROBE_QUERIES = 512           # queries whose true neighbours set the stop, at most
-TARGET_RECALL = 0.95          # on those queries
+PROBE_QUERIES = 512           # rows whose true neighbours set the stop, at most
+TARGET_RECALL = 0.95          # on those rows
 PROBE_ROWS = 2048             # rows compared with them at a time
 BLOCK_ENTRIES = 4096
 SHARD_QUERIES = 1024
@@ -109,9 +110,9 @@ def entries_before(query: np.ndarray, books: tuple[np.ndarray, np.ndarray], coun
     return before
 
 
-def measured_need(entries: DataFrame, queries: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, k: int) -> int:
-    """The least number of entries with which probed queries find ``TARGET_RECALL`` of their true ``k`` nearest rows."""
-    asked = queries.orderBy(F.xxhash64("row"), "row").limit(PROBE_QUERIES).collect()
+def measured_need(entries: DataFrame, probed: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, k: int) -> int:
+    """The least number of entries with which rows of ``probed`` find ``TARGET_RECALL`` of their true ``k`` nearest rows."""
+    asked = probed.orderBy(F.xxhash64("row"), "row").limit(PROBE_QUERIES).collect()
     if not asked:
         return 0
     matrix = np.array([r["vector"] for r in asked], dtype=np.float64)
@@ -177,23 +178,25 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
 
     ``is_query`` is a condition on a column ``vec_id``.  A query's visited cells
     hold at least ``min_candidates`` entries and ``candidate_share`` of all; without
-    a share, as many as reach ``TARGET_RECALL`` on the probed queries.
+    a share, as many as reach ``TARGET_RECALL`` on the probed rows.
     """
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     numbered = write_shared(source.where(F.coalesce(usable(F.col("vector")), F.lit(False)))
                             .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    total = numbered.count()
+    # The commonest width, from all rows; one row is kept.
+    common = numbered.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
     result = ddl("query_id:long query_row:long vec_id:long score:double")
-    if not total:
+    if common is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    width, total = common
+    numbered = numbered.where(F.size("vector") == width)
 
     # Codebooks from a bounded sample.
     share = min(1.0, 2 * SAMPLE_ROWS / total)
     hashed = F.pmod(F.xxhash64("row"), F.lit(1 << 30))
     rows = numbered.where(hashed < int(share * (1 << 30))).select(hashed.alias("h"), "row", "vector").collect() or numbered.take(1)
     rows = sorted(rows, key=lambda r: r[:2])[:SAMPLE_ROWS]
-    width = len(rows[0]["vector"])
-    sample = np.array([r["vector"] for r in rows if len(r["vector"]) == width])
+    sample = np.array([r["vector"] for r in rows])
     half = (width + 1) // 2
     centroids = max(1, min(MAX_CENTROIDS, math.ceil(math.sqrt(total / ENTRIES_PER_CELL))))
     books = (kmeans(sample[:, :half], centroids), kmeans(sample[:, half:], centroids) if width > 1 else np.zeros((1, 0)))
@@ -212,13 +215,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(1).cast(schema.field("vector").type),
                                               pa.array(first, pa.int32()), pa.array(second, pa.int32())], schema=schema)
 
-    entries = write_shared(numbered.where(F.size("vector") == width).mapInArrow(quantise, indexed_type), "entries")
+    entries = write_shared(numbered.mapInArrow(quantise, indexed_type), "entries")
     counts = np.zeros(shape, dtype=np.int64)
     for r in entries.groupBy("first", "second").count().collect():
         counts[r["first"], r["second"]] = r["count"]
     queries = entries.where(is_query).select("vec_id", "row", "vector")
     if candidate_share is None:
-        enough = measured_need(entries, queries, books, counts, k)
+        others = entries.where(~F.coalesce(is_query, F.lit(False))).select("vec_id", "row", "vector")
+        enough = measured_need(entries, others if others.take(1) else queries, books, counts, k)
     else:
         enough = math.ceil(candidate_share * int(counts.sum()))
     need = max(min_candidates, enough, k) + 1

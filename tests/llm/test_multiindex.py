@@ -113,3 +113,20 @@ def test_traversal_is_in_order_of_summed_distance():
     sums = [float(books[0][i] @ query[:3] + books[1][j] @ query[3:]) for i, j in pairs]
     assert sums == sorted(sums, reverse=True)
     assert sorted(pairs) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(counts))))
+
+
+def test_stop_is_measured_on_rows_that_are_not_queries(spark, monkeypatch):
+    probed = []
+    monkeypatch.setattr(mi, "measured_need", lambda entries, rows, *a: probed.append({r.vec_id for r in rows.collect()}) or 600)
+    _, frame = isotropic(spark, 2000)
+    mi.search(frame, F.expr("vec_id % 20 = 0"))
+    mi.search(frame, F.expr("vec_id >= 0"))
+    assert probed == [{i for i in range(2000) if i % 20}, set(range(2000))]
+
+
+def test_commonest_width_is_searched(spark):
+    rows = [(0, [9.0]), (20, [9.0, 9.0, 9.0])] + [(20 * i, [float(i), 1.0]) for i in range(2, 30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mi.search(frame, F.expr("vec_id % 20 = 0")).collect()
+    wanted = {20 * i for i in range(2, 30)}
+    assert {r.query_id for r in got} == wanted and {r.vec_id for r in got} <= wanted
