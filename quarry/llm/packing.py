@@ -1,16 +1,17 @@
 """Packing token sequences by multiway differencing.
 
 Each document's ids (those of a public tokenizer and one end id) are cut into
-full windows and a rest.  Rests are collected into a block of
-``block_windows`` windows; the last one is cut so that the block holds exactly
-that many windows' tokens.  Karmarkar-Karp differencing deals the block's
-pieces to its windows: every piece starts as a partial partition of loads
-``(length, 0, 0, ...)``; the two partial partitions with the largest spread
-are merged, the fullest window of one with the emptiest of the other, until
-one partition is left.  Its windows are nearly equal.  What stands over a
-window's capacity is cut off; a window with room takes it, and once no room is
-left the window count rises.  At the end of a Spark partition the last tokens
-fill windows of a power of two, which need no padding.
+full windows and a rest.  Rests are collected into a block of at least
+``block_windows`` windows' tokens.  Karmarkar-Karp differencing deals the
+block's rests, whole, to windows: every rest starts as a partial partition of
+loads ``(length, 0, 0, ...)``; the two partial partitions with the largest
+spread are merged, the fullest window of one with the emptiest of the other,
+until one partition is left.  Its windows are nearly equal.  While one exceeds
+the capacity, the window count rises by as many as the excess fills, and the
+rests are dealt anew.  Only then is anything cut: the emptiest windows are
+taken apart to fill the others up, and what is left goes to the next block.
+At the end of a Spark partition the last tokens fill windows of a power of
+two, which need no padding.
 
 Blocks never leave their task, so nothing is shuffled; a lost task is repeated
 with the same result because it depends on its input partition alone.
@@ -60,61 +61,50 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
     return heap[0][3] if heap else [[] for _ in range(windows)]
 
 
-def _bundles(lengths: list[int]) -> list[list[int]]:
-    """Indices of consecutive short pieces together, long ones alone."""
+def _bundles(lengths: list[int], bound: int) -> list[list[int]]:
+    """Indices of consecutive pieces under ``bound`` together, up to less than twice the bound; long ones alone."""
     out, short, size = [], [], 0
     for k, n in enumerate(lengths):
-        if n >= BUNDLE_TOKENS:
+        if n >= bound:
             out.append([k])
             continue
         short.append(k)
         size += n
-        if size >= BUNDLE_TOKENS:
+        if size >= bound:
             out.append(short)
             short, size = [], 0
     return out + [short] if short else out
 
 
-def fill_windows(pieces: list[tuple[int, int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of at most ``capacity`` tokens from pieces ``(key, start, length)``.
+def deal_whole(pieces: list[tuple[int, int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Uncut pieces ``(key, start, length)`` in windows of at most ``capacity``; the count rises while one exceeds it."""
+    lengths = [n for _, _, n in pieces]
+    groups = _bundles(lengths, min(BUNDLE_TOKENS, capacity // 2))
+    sizes = [sum(lengths[k] for k in g) for g in groups]
+    windows = -(-sum(lengths) // capacity)
+    while True:
+        dealt = difference(sizes, windows)
+        over = sum(max(0, sum(sizes[g] for g in held) - capacity) for held in dealt)
+        if not over:
+            return [[pieces[k] for g in held for k in groups[g]] for held in dealt]
+        windows += -(-over // capacity)
+
+
+def fill_windows(pieces: list[tuple[int, int, int]], capacity: int) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
+    """As many full windows as the pieces fill, and the pieces that are left, less than a window.
 
-    The count is the smallest whose total capacity holds the pieces.  After
-    differencing, what exceeds a window is cut off and goes to windows with room.
+    Of the windows with whole pieces the emptiest are cut up to fill the others.
     """
-    total = sum(n for _, _, n in pieces)
-    windows = max(1, total // capacity)
-    lengths = [n for _, _, n in pieces]
-    groups = _bundles(lengths)
-    dealt = difference([sum(lengths[k] for k in g) for g in groups], windows)
-    out: list[list[tuple[int, int, int]]] = []
-    over: list[tuple[int, int, int]] = []
-    for held in dealt:
-        room, window = capacity, []
-        for k in (k for g in held for k in groups[g]):
-            key, start, n = pieces[k]
-            if n <= room:
-                window.append((key, start, n))
-                room -= n
-            else:
-                if room:
-                    window.append((key, start, room))
-                over.append((key, start + room, n - room))
-                room = 0
+    loaded = sorted(((sum(n for _, _, n in w), w) for w in deal_whole(pieces, capacity)), key=lambda x: -x[0])
+    whole = sum(n for n, _ in loaded) // capacity
+    spare = [piece for _, w in loaded[whole:] for piece in w]
+    out = []
+    for n, window in loaded[:whole]:
+        if n < capacity:
+            head, spare = _cut_front(spare, capacity - n)
+            window = window + head
         out.append(window)
-    rooms = [capacity - sum(n for _, _, n in w) for w in out]
-    at = 0
-    for key, start, n in over:
-        while n:
-            while at < len(out) and not rooms[at]:
-                at += 1
-            if at == len(out):                     # capacity exceeded: one window more
-                out.append([])
-                rooms.append(capacity)
-            take = min(n, rooms[at])
-            out[at].append((key, start, take))
-            rooms[at] -= take
-            start, n = start + take, n - take
-    return [w for w in out if w]
+    return out, spare
 
 
 def _cut_front(pieces: list, tokens: int) -> tuple[list, list]:
@@ -147,16 +137,17 @@ class Packer:
             self.pool.append((key, full, n - full))
             self.held += n - full
         if self.held >= self.block:
-            block, self.pool = _cut_front(self.pool, self.block)
-            self.held -= self.block
-            yield from fill_windows(block, self.capacity)
+            yield from self._fill()
+
+    def _fill(self) -> Iterator[list]:
+        windows, self.pool = fill_windows(self.pool, self.capacity)
+        self.held -= self.capacity * len(windows)
+        yield from windows
 
     def finish(self) -> Iterator[list]:
-        whole = self.held // self.capacity * self.capacity
-        block, rest = _cut_front(self.pool, whole)
-        if block:
-            yield from fill_windows(block, self.capacity)
-        left = self.held - whole
+        if self.held >= self.capacity:
+            yield from self._fill()
+        left, rest = self.held, self.pool
         while left:
             size = 1 << (left.bit_length() - 1)
             window, rest = _cut_front(rest, size)

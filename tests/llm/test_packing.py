@@ -105,3 +105,31 @@ def test_differencing_is_a_partition(windows):
     assert sorted(k for w in dealt for k in w) == list(range(len(lengths)))
     loads = [sum(lengths[k] for k in w) for w in dealt]
     assert max(loads) - min(loads) <= max(lengths)
+
+
+@pytest.mark.parametrize("lengths, capacity", [
+    ([1500] * 70, 2048), ([1025] * 9 + [3] * 40, 2048), ([1] * 50, 4), ([3] * 30, 4), ([1] * 7, 1), ([2047, 2047, 2], 2048),
+    ([(i * 7919) % 2047 + 1 for i in range(200)], 2048), ([5], 8), ([8], 8),
+])
+def test_window_count_rises_until_whole_pieces_fit(lengths, capacity, monkeypatch):
+    counts = []
+    plain = packing.difference
+    monkeypatch.setattr(packing, "difference", lambda sizes, windows: counts.append(windows) or plain(sizes, windows))
+    pieces = [(k, 10 * k, n) for k, n in enumerate(lengths)]
+    whole = packing.deal_whole(pieces, capacity)
+    assert sorted(p for w in whole for p in w) == pieces                       # none is cut
+    assert all(sum(n for _, _, n in w) <= capacity for w in whole)
+    assert counts[0] == -(-sum(lengths) // capacity) and counts == sorted(set(counts)) and len(whole) == counts[-1]
+    assert (len(counts) > 1) == (max(sum(lengths[k] for k in w) for w in plain_deal(plain, lengths, capacity, counts[0])) > capacity)
+    full, rest = packing.fill_windows(pieces, capacity)
+    assert all(sum(n for _, _, n in w) == capacity for w in full) and len(full) == sum(lengths) // capacity
+    assert sum(n for _, _, n in rest) == sum(lengths) % capacity
+    covered = defaultdict(list)
+    for key, start, n in [p for w in [*full, rest] for p in w]:
+        covered[key] += range(start, start + n)
+    assert all(sorted(covered[k]) == list(range(10 * k, 10 * k + n)) for k, n in enumerate(lengths))
+
+
+def plain_deal(difference, lengths, capacity, windows):
+    groups = packing._bundles(lengths, min(packing.BUNDLE_TOKENS, capacity // 2))
+    return [[k for g in held for k in groups[g]] for held in difference([sum(lengths[k] for k in g) for g in groups], windows)]
