@@ -2,30 +2,35 @@
 
 Words are white-space runs with A-Z lowered; a text is its words and one end
 token.  The model walks through ``states`` latent states; in each it emits a
-symbol.  The most frequent words are symbols of their own, the others share
-``TAIL_SYMBOLS`` symbols by hash; within a shared symbol a word has its
-add-one share of the training tokens, unseen words together one slot.  The
-likelihood of a text is that of its symbols, by the scaled forward recursion,
-times its words' shares.
+word.  Every word of the training texts has an emission row of its own; all
+unseen words together have one slot.  The likelihood of a text is exact, by
+the scaled forward recursion.
 
 Training is Baum-Welch over all training documents: each pass runs the
 forward-backward recursion in every task, sums expected starts, transitions
-and emissions there, and adds the tasks' sums in a shuffle by symbol block.
-Only the model (states x symbols, bounded) passes through the driver.
+and emissions there, and adds the tasks' sums in a shuffle.  Rows are kept in
+two places.  The most frequent words (a fixed bound in number and bytes) and
+the end token have theirs in the model that the driver holds and every task
+gets.  All other words share ``TAIL_SYMBOLS`` tied rows by hash until the last
+pass, which unties them: it adds up expected counts by word and state, however
+many words there are, and writes them as a table.  Scoring joins that table
+back by word.  A rare word's split over the states is drawn to the split of
+all rare words by ``RARE_PRIOR`` occurrences, and add-one smoothing leaves the
+slot of the unseen; the rows of a state, slot included, sum to one.
 
 The base score is the add-one unigram: the sum over tokens of
 ``log10((c + 1) / (N + V + 1))``.
 
-Word counts are aggregated over the whole corpus.  The ``COUNTED_WORDS`` most
-frequent ones are broadcast with their counts (a fixed bound); the counts of
-all other words come by a join on the word, so vocabulary of any size counts.
-Encoded documents and counts are written to the shared folder and reread in
-every pass.
+Documents are encoded in chunks of about 2 MiB of text, each with the list of
+its distinct rare words, so what crosses the shuffles is distinct words of
+chunks, not tokens.  Encoded chunks, counts and learned rows are written to the
+shared folder and reread.
 
 Defined results: a null or empty text is its end token; a null id is hashed as
 empty text; repeated rows are scored each on their own; an empty table gives
-no rows, and without training documents all counts are zero; other columns
-are not read.
+no rows, and without training documents all counts are zero; a very long text
+is a chunk of its own and held by one task (about 400 bytes a token); other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,34 +52,48 @@ from quarry.llm.common import arrow_schema, batches_of, ddl, text_chunks, utf8,
 
 STATES = 8
 PASSES = 5
-OWN_SYMBOLS = 49_152          # words with a symbol of their own, at most
-COUNTED_WORDS = 262_144       # words whose counts are broadcast, at most
-TAIL_SYMBOLS = 4096
+OWN_SYMBOLS = 49_152          # words whose rows are in the model, at most
+OWN_BYTES = 256               # length of such a word, at most
+TAIL_SYMBOLS = 4096           # rows that all other words share before the last pass
 PRIOR = 200.0                 # pseudo-tokens of the unigram in each state's emissions
+RARE_PRIOR = 2.0              # occurrences at the mean split over states that a rare word's split is drawn by
 STICKY = 0.9                  # first guess of the chance to stay in a state
 HELD_OUT = (7, 2)             # divisor and remainder that mark held-out documents
 PARTIAL_WORDS = 200_000       # distinct words counted in a task before they are passed on
 GROUP_TOKENS = 250_000        # tokens of documents that are run together
 SYMBOL_BLOCK = 1024
 END = b""                     # the end token among the counted words
+WORD_ROW, OWN_ROW, EDGE_ROW = 0, 1, 2     # kinds of sums of the last pass
 
 
 @dataclass(frozen=True)
 class Symbols:
-    """Which words the broadcast knows, and what a word's symbol and share are."""
+    """Words with rows in the model, and the counts of all."""
 
-    words: list[bytes]        # by falling frequency; the first ``own`` have symbols 1, 2, ...
-    own: int
+    words: list[bytes]        # by falling frequency; their symbols are 1, 2, ..., the end token's is 0
     counts: np.ndarray        # of ``words``
     end_count: int
-    tail_tokens: np.ndarray   # training tokens and distinct words by shared symbol
+    tail_tokens: np.ndarray   # training tokens and distinct words of the others by shared symbol
     tail_words: np.ndarray
     tokens: int               # all training tokens, distinct ones
     distinct: int
 
     @property
-    def size(self) -> int:
-        return 1 + self.own + TAIL_SYMBOLS
+    def own(self) -> int:
+        return len(self.words)
+
+    @property
+    def head(self) -> int:
+        return 1 + self.own
+
+    @property
+    def rare_tokens(self) -> float:
+        return float(self.tail_tokens.sum())
+
+    @property
+    def rare_slots(self) -> float:
+        """Add-one total of the rare words, the slot of the unseen included."""
+        return float(self.tail_tokens.sum() + self.tail_words.sum()) + 1.0
 
 
 @dataclass(frozen=True)
@@ -83,6 +103,23 @@ class Model:
     emit: np.ndarray          # (symbols, states)
 
 
+@dataclass(frozen=True)
+class Rare:
+    """Turns expected counts of rare words into their emission rows."""
+
+    mass: np.ndarray          # (states) chance of any rare or unseen word
+    split: np.ndarray         # (states) mean split of rare words over states
+    sums: np.ndarray          # (states) of all smoothed counts
+    tokens: float
+    slots: float
+
+    def rows(self, counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        """``(words, states)``; a word that was not seen has count 0."""
+        n = counts[:, None]
+        smoothed = n * (expected + RARE_PRIOR * self.split) / (n + RARE_PRIOR)
+        return self.mass * (smoothed * (self.tokens / np.maximum(self.sums, 1e-300)) + 1.0) / self.slots
+
+
 # ------------------------------------------------------------------ counting
 
 
@@ -111,87 +148,85 @@ def tail_symbol(word: bytes) -> int:
 
 
 def choose_symbols(words: DataFrame) -> Symbols:
-    """Cut the words by frequency; the cut falls between steps of a logarithmic scale, below both bounds."""
-    step = F.floor(F.log2(F.col("c")) * 8).cast("int").alias("step")
-    real = words.where(F.length("word") > 0)
-    steps = real.groupBy(step).agg(F.count(F.lit(1)).alias("n")).collect()
+    """Cut the words by frequency; the cut falls between steps of a logarithmic scale, below the bound."""
+    step = F.floor(F.log2(F.col("c")) * 8).cast("int")
+    short = F.length("word") <= OWN_BYTES
+    real = words.where(F.length("word") > 0).withColumn("step", step)
+    steps = real.where(short).groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("distinct")).first()
     end = words.where(F.length("word") == 0).select("c").first()
-    held, cuts = 0, {}
+    held, cut = 0, 64 * 8
     for r in sorted(steps, key=lambda r: -r["step"]):
         held += r["n"]
-        for bound in (OWN_SYMBOLS, COUNTED_WORDS):
-            if held <= bound:
-                cuts[bound] = r["step"]
-    stepped = real.withColumn("step", step)
-    known = sorted(((r["word"], r["c"], r["step"]) for r in stepped.where(F.col("step") >= cuts.get(COUNTED_WORDS, 64 * 8)).collect()),
-                   key=lambda r: (-r[1], r[0]))
-    first_cut = cuts.get(OWN_SYMBOLS, 64 * 8)
-    own = sum(s >= first_cut for _, _, s in known)
-    tail = (stepped.where(F.col("step") < first_cut).groupBy(F.pmod(F.crc32("word"), F.lit(TAIL_SYMBOLS)).cast("int").alias("s"))
+        if held <= OWN_SYMBOLS:
+            cut = r["step"]
+    frequent = short & (F.col("step") >= cut)
+    own = sorted(((bytes(r["word"]), r["c"]) for r in real.where(frequent).select("word", "c").collect()), key=lambda r: (-r[1], r[0]))
+    tail = (real.where(~frequent).groupBy(F.pmod(F.crc32("word"), F.lit(TAIL_SYMBOLS)).cast("int").alias("s"))
             .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect())
     tail_tokens, tail_words = np.zeros(TAIL_SYMBOLS), np.zeros(TAIL_SYMBOLS)
     for r in tail:
         tail_tokens[r["s"]], tail_words[r["s"]] = r["c"], r["n"]
-    return Symbols([bytes(w) for w, _, _ in known], own, np.array([c for _, c, _ in known], dtype=np.int64),
+    return Symbols([w for w, _ in own], np.array([c for _, c in own], dtype=np.int64),
                    end["c"] if end else 0, tail_tokens, tail_words, totals["tokens"], totals["distinct"])
 
 
 # ------------------------------------------------------------------ encoding
 
-ENCODED = T.StructType([
-    *ddl("doc_id:long held_out:boolean n_tokens:long known:long base_logs:double share_logs:double ids:binary").fields,
-    T.StructField("rare", T.ArrayType(T.StructType(ddl("word:binary n:int").fields))),
-])
+ENCODED = ddl("held_out:boolean doc_ids:longs lengths:binary ids:binary rare:binary words:binaries")
 
 
 def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
-    """Symbol ids of every document, its sums over broadcast words, and its other words with their counts."""
-    words, own = symbols.words, symbols.own
-    logs = np.log10(symbols.counts + 1.0)
-    end_log = math.log10(symbols.end_count + 1)
-    tail_logs = np.log10(symbols.tail_tokens + symbols.tail_words + 1.0)
-    knows_end = int(symbols.end_count > 0)
+    """Chunks of documents of one kind (training, held out): a row each.
+
+    ``ids`` are the symbols of all tokens, ``words`` the distinct rare words of
+    the chunk, and ``rare`` their places for the tokens with a shared symbol.
+    """
+    words, head = symbols.words, symbols.head
     schema = arrow_schema(ENCODED)
 
+    def chunk(texts: list[bytes], at: dict[bytes, int]) -> dict:
+        tokens: list[bytes] = []
+        lengths = np.empty(len(texts), dtype="<u4")
+        for j, text in enumerate(texts):
+            found = text.lower().split()
+            lengths[j] = len(found) + 1
+            tokens += found
+            tokens.append(END)
+        ids = np.fromiter(map(at.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+        rare = np.flatnonzero(ids < 0)
+        places: dict[bytes, int] = {}
+        place = np.fromiter((places.setdefault(tokens[j], len(places)) for j in rare.tolist()), dtype="<u4", count=len(rare))
+        shared = np.fromiter((head + tail_symbol(w) for w in places), dtype=np.int64, count=len(places))
+        ids[rare] = shared[place]
+        return {"lengths": lengths.tobytes(), "ids": ids.astype("<u2").tobytes(), "rare": place.tobytes(), "words": list(places)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {w: k for k, w in enumerate(words)}
-        symbol = np.array([k + 1 if k < own else 1 + own + tail_symbol(w) for k, w in enumerate(words)] + [0], dtype=np.int64)
-        missing = len(words)
-        log_of = np.append(logs, 0.0)
+        at = {END: 0, **{w: k + 1 for k, w in enumerate(words)}}
         for batch in batches:
-            marks = batch.column(2).to_pylist()
-            done = 0
+            marks, done = batch.column(2).to_pylist(), 0
             for ids, texts in text_chunks([batch.select([0, 1])]):
-                columns: dict[str, list] = {f.name: [] for f in schema}
-                rare_words, rare_counts, rare_ends = [], [], [0]
-                for doc_id, text, held in zip(ids, texts, marks[done:done + len(ids)]):
-                    own_words = text.lower().split()
-                    k = np.fromiter((at.get(w, missing) for w in own_words), dtype=np.int64, count=len(own_words))
-                    s = symbol[k]
-                    unknown = np.flatnonzero(k == missing)
-                    rare = Counter([own_words[j] for j in unknown.tolist()])
-                    shared_symbol = {w: 1 + own + tail_symbol(w) for w in rare}
-                    s[unknown] = [shared_symbol[own_words[j]] for j in unknown.tolist()]
-                    shared = s > own
-                    columns["doc_id"].append(doc_id)
-                    columns["held_out"].append(held)
-                    columns["n_tokens"].append(len(k) + 1)
-                    columns["known"].append(int((k != missing).sum()) + knows_end)
-                    columns["base_logs"].append(float(log_of[k].sum()) + end_log)
-                    columns["share_logs"].append(float(log_of[k[shared]].sum() - tail_logs[s[shared] - own - 1].sum()))
-                    columns["ids"].append(np.append(s, 0).astype("<u2").tobytes())
-                    rare_words += rare
-                    rare_counts += rare.values()
-                    rare_ends.append(len(rare_words))
+                here = marks[done:done + len(ids)]
                 done += len(ids)
-                pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())],
-                                                   fields=list(schema.field("rare").type.value_type))
-                columns["rare"] = pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs, type=schema.field("rare").type)
-                yield from batches_of(schema, columns)
+                for held in (False, True):
+                    chosen = [j for j, mark in enumerate(here) if mark == held]
+                    if chosen:
+                        row = {"held_out": held, "doc_ids": [ids[j] for j in chosen], **chunk([texts[j] for j in chosen], at)}
+                        yield from batches_of(schema, {name: [value] for name, value in row.items()})
 
     coded = docs.select("doc_id", "text", "held_out").mapInArrow(run, ENCODED)
-    return write_shared(coded.withColumn("row", F.monotonically_increasing_id()), "encoded")
+    return write_shared(coded.withColumn("chunk", F.monotonically_increasing_id()), "encoded")
+
+
+def documents_of(ids: np.ndarray, lengths: bytes) -> list[np.ndarray]:
+    return np.split(ids, np.cumsum(np.frombuffer(lengths, dtype="<u4"))[:-1])
+
+
+def own_rows(ids: bytes, rare: bytes, head: int) -> np.ndarray:
+    """Symbols of a chunk in which every rare word has its own, behind those of the model."""
+    symbols = np.frombuffer(ids, dtype="<u2").astype(np.int64)
+    symbols[symbols >= head] = head + np.frombuffer(rare, dtype="<u4").astype(np.int64)
+    return symbols
 
 
 # ------------------------------------------------------------------ recursion
@@ -215,7 +250,7 @@ class Group:
         """Scaled forward values, the scales, and the emissions, all by place."""
         emissions = model.emit[self.symbols]
         alpha = np.empty_like(emissions)
-        scale = np.empty(len(emissions))
+        scale = np.empty(len(emissions), dtype=emissions.dtype)
         prior = model.start[None, :]
         for t, n in enumerate(self.active.tolist()):
             a = self.at[t]
@@ -226,7 +261,7 @@ class Group:
         return alpha, scale, emissions
 
     def log_likelihoods(self, scale: np.ndarray) -> np.ndarray:
-        logs = np.log10(scale)[self.place]
+        logs = np.log10(scale, dtype=np.float64)[self.place]
         return np.add.reduceat(logs, np.append(0, np.cumsum(self.lengths)[:-1]))
 
     def expected(self, model: Model, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -245,7 +280,7 @@ class Group:
         gamma = np.ascontiguousarray(np.multiply(alpha, beta, out=beta).T)
         for s, of_state in enumerate(gamma):
             emitted[s] += np.bincount(self.symbols, weights=of_state, minlength=emitted.shape[1])
-        return gamma[:, :first].sum(axis=1), moves, float(np.log10(scale).sum())
+        return gamma[:, :first].sum(axis=1), moves, float(np.log10(scale, dtype=np.float64).sum())
 
 
 def grouped(docs: list[np.ndarray], tokens: int = GROUP_TOKENS) -> Iterator[tuple[np.ndarray, Group]]:
@@ -262,15 +297,12 @@ def grouped(docs: list[np.ndarray], tokens: int = GROUP_TOKENS) -> Iterator[tupl
         yield np.array(held), Group([docs[j] for j in held])
 
 
-def _documents(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype="<u2") for x in column.to_pylist()]
-
-
 def first_model(symbols: Symbols, states: int, seed: int = 11) -> tuple[Model, np.ndarray]:
     """The unigram disturbed differently in every state, and the unigram."""
-    counts = np.concatenate([[symbols.end_count], symbols.counts[:symbols.own], symbols.tail_tokens]) + 1.0
+    shared = symbols.tail_tokens + symbols.tail_words + 1.0 / TAIL_SYMBOLS
+    counts = np.concatenate([[symbols.end_count + 1.0], symbols.counts + 1.0, shared])
     background = counts / counts.sum()
-    noise = np.random.default_rng(seed).normal(size=(symbols.size, states))
+    noise = np.random.default_rng(seed).normal(size=(len(counts), states))
     noise[0] = 0
     emit = background[:, None] * np.exp(noise)
     emit /= emit.sum(axis=0)
@@ -279,10 +311,15 @@ def first_model(symbols: Symbols, states: int, seed: int = 11) -> tuple[Model, n
     return Model(np.full(states, 1 / states), move, emit), background
 
 
+def single(model: Model) -> Model:
+    """In single precision: the passes need no more and read half the bytes."""
+    return Model(*(np.ascontiguousarray(x, dtype=np.float32) for x in (model.start, model.move, model.emit)))
+
+
 SUMS = ddl("block:int sums:binary log10:double")
 
 
-def _pass(model: Model):
+def _tied_pass(model: Model):
     """A task's expected counts in blocks of symbols; block -1 holds starts and transitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +328,9 @@ def _pass(model: Model):
         emitted = np.zeros((states, len(model.emit)))
         starts, moves = np.zeros(states), np.zeros((states, states))
         for batch in batches:
-            for _, group in grouped(_documents(batch.column(0))):
+            docs = [d for ids, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    for d in documents_of(np.frombuffer(ids, dtype="<u2"), lengths)]
+            for _, group in grouped(docs):
                 s, m, log10 = group.expected(model, emitted)
                 starts, moves, total = starts + s, moves + m, total + log10
         out = [(-1, np.vstack([starts, moves]).astype("<f8").tobytes(), total)]
@@ -309,24 +348,99 @@ def _add(table: pa.Table) -> pa.Table:
                      "log10": pa.array([sum(table["log10"].to_pylist())], pa.float64())})
 
 
-def train(encoded: DataFrame, symbols: Symbols, states: int = STATES, passes: int = PASSES) -> tuple[Model, list[float]]:
-    """Baum-Welch over the training documents; also the log10 likelihood before each pass."""
+def sums_type(states: int) -> T.StructType:
+    return ddl("kind:int at:int word:binary n:long log10:double " + " ".join(f"e{s}:float" for s in range(states)))
+
+
+def _untied_pass(model: Model, head: int):
+    """Expected counts of every word: rare ones by chunk, the model's own and the edges once a task."""
+    states = len(model.start)
+    schema = arrow_schema(sums_type(states))
+
+    def rows(kind: int, words: list | None, n: np.ndarray, sums: np.ndarray, log10: float = 0.0) -> Iterator[pa.RecordBatch]:
+        columns = {"kind": [kind] * len(sums), "at": list(range(len(sums))) if words is None else [0] * len(sums),
+                   "word": [END] * len(sums) if words is None else words, "n": pa.array(n, pa.int64()),
+                   "log10": [log10] + [0.0] * (len(sums) - 1)}
+        columns |= {f"e{s}": pa.array(sums[:, s].astype(np.float32)) for s in range(states)}
+        yield from batches_of(schema, columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emitted, total = np.zeros((states, head)), 0.0
+        starts, moves = np.zeros(states), np.zeros((states, states))
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, symbols = row["words"], own_rows(row["ids"], row["rare"], head)
+                shared = np.fromiter((head + tail_symbol(w) for w in words), dtype=np.int64, count=len(words))
+                here = Model(model.start, model.move, np.concatenate([model.emit[:head], model.emit[shared]]))
+                sums = np.zeros((states, head + len(words)))
+                for _, group in grouped(documents_of(symbols, row["lengths"])):
+                    s, m, log10 = group.expected(here, sums)
+                    starts, moves, total = starts + s, moves + m, total + log10
+                emitted += sums[:, :head]
+                if words:
+                    yield from rows(WORD_ROW, words, np.bincount(symbols, minlength=head + len(words))[head:], sums[:, head:].T)
+        yield from rows(OWN_ROW, None, np.zeros(head, dtype=np.int64), emitted.T)
+        yield from rows(EDGE_ROW, None, np.zeros(states + 1, dtype=np.int64), np.vstack([starts, moves]), total)
+
+    return run
+
+
+def _next(edges: np.ndarray, emitted: np.ndarray, background: np.ndarray) -> Model:
+    """The model of expected counts: starts and transitions as rows of ``edges``, emissions by symbol."""
+    starts, moves = edges[0] + 1.0, edges[1:] + 1.0
+    emit = emitted + PRIOR * background[:, None]
+    return Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def train(encoded: DataFrame, symbols: Symbols, states: int = STATES, passes: int = PASSES) -> tuple[Model, Rare, DataFrame, list[float]]:
+    """Baum-Welch over the training documents.
+
+    Returns the model (rows of the end token and the frequent words), what the
+    rare words' rows are made with, the table of their expected counts
+    (``word, n, e0, e1, ...``) and the log10 likelihood before each pass.
+    """
     model, background = first_model(symbols, states)
-    training = encoded.where("NOT held_out").select("ids")
+    training = encoded.where("NOT held_out")
     tasks = 4 * encoded.sparkSession.sparkContext.defaultParallelism
-    history = []
-    for _ in range(passes):
-        sums = training.coalesce(tasks).mapInArrow(_pass(model), SUMS)
+    head, history = symbols.head, []
+    for _ in range(passes - 1):
+        sums = training.select("ids", "lengths").coalesce(tasks).mapInArrow(_tied_pass(single(model)), SUMS)
         rows = {r["block"]: r for r in sums.groupBy("block").applyInArrow(_add, SUMS).collect()}
         if -1 not in rows:
             break
         edges = np.frombuffer(rows[-1]["sums"], dtype="<f8").reshape(states + 1, states)
         history.append(rows[-1]["log10"])
         emitted = np.concatenate([np.frombuffer(rows[b]["sums"], dtype="<f8").reshape(states, -1) for b in sorted(rows) if b >= 0], axis=1)
-        starts, moves = edges[0] + 1.0, edges[1:] + 1.0
-        emit = emitted.T + PRIOR * background[:, None]
-        model = Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-    return model, history
+        model = _next(edges, emitted.T, background)
+
+    names = [f"e{s}" for s in range(states)]
+    sums = training.select("ids", "lengths", "rare", "words").coalesce(tasks).mapInArrow(_untied_pass(single(model), head), sums_type(states))
+    learned = write_shared(
+        sums.groupBy("kind", "at", "word")
+        .agg(F.sum("n").alias("n"), F.sum("log10").alias("log10"), *(F.sum(e).cast("float").alias(e) for e in names)), "learned")
+    rare = learned.where(F.col("kind") == WORD_ROW).select("word", "n", *names)
+    weight = F.col("n") / (F.col("n") + F.lit(RARE_PRIOR))
+    total = rare.agg(*(F.coalesce(F.sum(F.col(e).cast("double")), F.lit(0.0)).alias(e) for e in names),
+                     *(F.coalesce(F.sum(F.col(e) * weight), F.lit(0.0)).alias(f"w{e}") for e in names),
+                     F.coalesce(F.sum(weight), F.lit(0.0)).alias("weights")).first()
+    expected = np.array([total[e] for e in names])
+    split = expected / expected.sum() if expected.sum() else np.full(states, 1 / states)
+    weighted = np.array([total[f"w{e}"] for e in names]) + RARE_PRIOR * split * total["weights"]
+    kept = learned.where(F.col("kind") != WORD_ROW).collect()
+    if kept:
+        at = {kind: np.zeros((size, states)) for kind, size in ((OWN_ROW, head), (EDGE_ROW, states + 1))}
+        for r in kept:
+            at[r["kind"]][r["at"]] = [r[e] for e in names]
+        history.append(sum(r["log10"] for r in kept))
+        # The tail as one last row; its add-one total makes room for the unseen.
+        spread = symbols.rare_slots / symbols.rare_tokens if symbols.rare_tokens else 0.0
+        model = _next(at[EDGE_ROW], np.vstack([at[OWN_ROW], expected * spread]), np.append(background[:head], background[head:].sum()))
+    mass = model.emit[head:].sum(axis=0)
+    return (Model(model.start, model.move, model.emit[:head]), Rare(mass, split, weighted, symbols.rare_tokens, symbols.rare_slots),
+            rare, history)
+
+
+SCORED = ddl("doc_id:long held_out:boolean n_tokens:long n_known:long train_tokens:long base_score:double score:double")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, passes: int = PASSES) -> DataFrame:
@@ -334,34 +448,41 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     divisor, remainder = HELD_OUT
     mark = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(divisor)) == remainder
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"), mark.alias("held_out"))
-    words = count_words(source.where("NOT held_out"))
-    symbols = choose_symbols(words)
+    symbols = choose_symbols(count_words(source.where("NOT held_out")))
     encoded = encode(source, symbols)
-    model, _ = train(encoded, symbols, states, passes)
-
-    scored_type = ddl("row:long log10:double")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema(scored_type)
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            for at, group in grouped(_documents(batch.column(1))):
-                _, scale, _ = group.forward(model)
-                yield from batches_of(schema, {"row": pa.array(rows[at]), "log10": pa.array(group.log_likelihoods(scale))})
-
-    scored = encoded.select("row", "ids").mapInArrow(run, scored_type)
-    rare = encoded.select("row", F.inline("rare"))
-    found = (
-        rare.join(words, "word").groupBy("row")
-        .agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("logs"), F.sum("n").alias("n_found"))
-    )
-    none = F.lit(0.0)
-    return (
-        encoded.drop("ids", "rare").join(scored, "row").join(found, "row", "left")
-        .select(
-            "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("n_found", F.lit(0))).cast("long").alias("n_known"),
-            F.lit(symbols.tokens).cast("long").alias("train_tokens"),
-            (F.col("base_logs") + F.coalesce("logs", none) - F.col("n_tokens") * F.lit(math.log10(symbols.tokens + symbols.distinct + 1))).alias("base_score"),
-            (F.col("log10") + F.col("share_logs") + F.coalesce("logs", none)).alias("score"),
-        )
-    )
+    model, rare, learned, _ = train(encoded, symbols, states, passes)
+
+    head, train_tokens = symbols.head, symbols.tokens
+    head_counts = np.concatenate([[symbols.end_count], symbols.counts]).astype(np.float64)
+    base_total = math.log10(symbols.tokens + symbols.distinct + 1)
+    names = [f"e{s}" for s in range(states)]
+
+    def run(_key: tuple, chunks: pa.Table, found: pa.Table) -> pa.Table:
+        row = chunks.to_pylist()[0]
+        lengths = np.frombuffer(row["lengths"], dtype="<u4").astype(np.int64)
+        symbols_here = own_rows(row["ids"], row["rare"], head)
+        place = found["place"].to_numpy()
+        n = np.zeros(row["n_words"])
+        expected = np.zeros((row["n_words"], states))
+        n[place] = found["n"].to_numpy()
+        for s, e in enumerate(names):
+            expected[place, s] = found[e].to_numpy()
+        counts = np.concatenate([head_counts, n])
+        here = Model(model.start, model.move, np.concatenate([model.emit, rare.rows(n, expected)]))
+        log10 = np.empty(len(lengths))
+        for at, group in grouped(documents_of(symbols_here, row["lengths"])):
+            log10[at] = group.log_likelihoods(group.forward(here)[1])
+        starts = np.append(0, np.cumsum(lengths)[:-1])
+        columns = {
+            "doc_id": row["doc_ids"], "held_out": [row["held_out"]] * len(lengths), "n_tokens": lengths,
+            "n_known": np.add.reduceat((counts > 0).astype(np.int64)[symbols_here], starts),
+            "train_tokens": [train_tokens] * len(lengths),
+            "base_score": np.add.reduceat(np.log10(counts + 1.0)[symbols_here], starts) - lengths * base_total, "score": log10,
+        }
+        schema = arrow_schema(SCORED)
+        return pa.table({f.name: pa.array(columns[f.name], f.type) for f in schema}, schema=schema)
+
+    places = encoded.select(F.col("chunk").alias("of_chunk"), F.posexplode("words").alias("place", "word"))
+    found = places.join(learned, "word").select("of_chunk", "place", "n", *names)
+    chunks = encoded.select("chunk", "held_out", "doc_ids", "lengths", "ids", "rare", F.size("words").alias("n_words"))
+    return chunks.groupBy("chunk").cogroup(found.groupBy("of_chunk")).applyInArrow(run, SCORED)

@@ -50,11 +50,10 @@ def test_query_and_held_out_gain(spark):
     assert gain > 0.02
 
 
-@pytest.mark.parametrize("bounds", [(0, 0), (2, 5), (100, 100)])
-def test_edges_with_any_cut(spark, docs_frame, monkeypatch, bounds):
-    monkeypatch.setattr(hmm, "OWN_SYMBOLS", bounds[0])
-    monkeypatch.setattr(hmm, "COUNTED_WORDS", bounds[1])
-    docs = [(1, None), (2, ""), (None, "a b"), (3, "A a b É é \x1c c"), (3, "A a b É é \x1c c"), (16, "new words only here"), (5, "w " * 60000), (6, " \t\n")]
+@pytest.mark.parametrize("own", [0, 2, 100])
+def test_edges_with_any_cut(spark, docs_frame, monkeypatch, own):
+    monkeypatch.setattr(hmm, "OWN_SYMBOLS", own)
+    docs = [(1, None), (2, ""), (None, "a b"), (3, "A a b É é \x1c c"), (3, "A a b É é \x1c c"), (16, "new words only here"), (5, "w " * 60000), (6, " \t\n"), (7, "y" * 3000 + " a b")]
     docs += [(i, f"common words and rare{i} words") for i in range(20, 60)]
     rows = hmm.score(docs_frame(docs, extra=("held_out", "row")), passes=2).collect()
     check(rows, docs)
@@ -106,8 +105,73 @@ def test_recursion_equals_enumeration():
     assert math.isclose(total, np.log10(likelihoods).sum())
 
 
-def test_training_never_lowers_the_likelihood(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "cast(text as binary) text", "false held_out")
+def trained(spark, sf, states, passes):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").selectExpr("doc_id", "cast(text as binary) text", "false held_out")
     symbols = hmm.choose_symbols(hmm.count_words(docs))
-    _, history = hmm.train(hmm.encode(docs, symbols), symbols, states=3, passes=4)
+    encoded = hmm.encode(docs, symbols)
+    return docs, symbols, encoded, hmm.train(encoded, symbols, states, passes)
+
+
+def test_training_never_lowers_the_likelihood(spark):
+    *_, (_, _, _, history) = trained(spark, "sf0.001", 3, 4)
+    assert len(history) == 4
     assert all(b > a - abs(a) * 1e-3 for a, b in zip(history, history[1:])) and history[-1] > history[0]
+
+
+def test_every_word_has_a_row_and_rows_sum_to_one(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "OWN_SYMBOLS", 300)
+    docs, symbols, _, (model, rare, learned, _) = trained(spark, "sf0.001", 3, 3)
+    counts = {bytes(r.word): r.c for r in hmm.count_words(docs).collect()}
+    rows = learned.collect()
+    assert {bytes(r.word): r.n for r in rows} == {w: c for w, c in counts.items() if w and w not in set(symbols.words)}
+    n, expected = np.array([r.n for r in rows], dtype=float), np.array([[r.e0, r.e1, r.e2] for r in rows])
+    assert np.allclose(expected.sum(axis=1), n, rtol=1e-3)
+    emitted = rare.rows(n, expected)
+    unseen = rare.rows(np.zeros(1), np.zeros((1, 3)))
+    assert (emitted > unseen).all() and len(np.unique(emitted.round(12), axis=0)) > len(rows) // 4
+    assert np.allclose(model.emit.sum(axis=0) + emitted.sum(axis=0) + unseen[0], 1)
+
+
+def test_rare_words_counts_equal_enumeration(spark, docs_frame, monkeypatch):
+    """The only pass is the untying one: its sums over all chunks are those of every path of the first model."""
+    monkeypatch.setattr(hmm, "OWN_SYMBOLS", 2)
+    texts = ["a b a x y", "b a z x", "a a b b", "y w", ""]
+    docs = docs_frame(list(enumerate(texts))).selectExpr("doc_id", "cast(text as binary) text", "false held_out").repartition(3)
+    symbols = hmm.choose_symbols(hmm.count_words(docs))
+    _, _, learned, _ = hmm.train(hmm.encode(docs, symbols), symbols, states=2, passes=1)
+    first, _ = hmm.first_model(symbols, 2)
+    assert symbols.words == [b"a", b"b"]
+    want = {}
+    for text in texts:
+        words = text.encode().split() + [hmm.END]
+        known = {hmm.END: 0, b"a": 1, b"b": 2}
+        doc = [known.get(w, symbols.head + hmm.tail_symbol(w)) for w in words]
+        paths = list(enumerate_paths(first, doc))
+        for path, p in paths:
+            for s, w in zip(path, words):
+                want.setdefault(w, np.zeros(2))[s] += p / sum(q for _, q in paths)
+    got = {bytes(r.word): (r.e0, r.e1) for r in learned.collect()}
+    assert set(got) == {b"x", b"y", b"z", b"w"}
+    assert all(np.allclose(got[w], want[w], rtol=1e-4) for w in got)
+
+
+def test_score_is_the_likelihood_of_the_final_model(spark, docs_frame, monkeypatch):
+    """Scores by chunks and joins equal the recursion over one matrix of all rows, unseen words included."""
+    monkeypatch.setattr(hmm, "OWN_SYMBOLS", 3)
+    docs = [(i, f"a b c w{i % 7} w{i % 5} a" + " seldom" * (i % 3) + f" only{i}") for i in range(40)]
+    frame = docs_frame(docs).repartition(4)
+    rows = {r.doc_id: r for r in hmm.score(frame, states=2, passes=2).collect()}
+    source = frame.selectExpr("doc_id", "cast(text as binary) text", "pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 2 held_out")
+    symbols = hmm.choose_symbols(hmm.count_words(source.where("NOT held_out")))
+    model, rare, learned, _ = hmm.train(hmm.encode(source, symbols), symbols, states=2, passes=2)
+    emit = dict(zip([hmm.END, *symbols.words], model.emit))
+    for r in learned.collect():
+        emit[bytes(r.word)] = rare.rows(np.array([float(r.n)]), np.array([[r.e0, r.e1]]))[0]
+    unseen = rare.rows(np.zeros(1), np.zeros((1, 2)))[0]
+    assert any(r.held_out for r in rows.values())
+    for i, text in docs:
+        alpha, total = model.start, 0.0
+        for t, w in enumerate([*text.encode().split(), hmm.END]):
+            alpha = (alpha if t == 0 else alpha @ model.move) * emit.get(w, unseen)
+            total, alpha = total + math.log10(alpha.sum()), alpha / alpha.sum()
+        assert math.isclose(rows[i].score, total, rel_tol=1e-4)
