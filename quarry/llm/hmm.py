@@ -21,9 +21,10 @@ slot of the unseen; the rows of a state, slot included, sum to one.
 The base score is the add-one unigram: the sum over tokens of
 ``log10((c + 1) / (N + V + 1))``.
 
-Documents are encoded in chunks of about 2 MiB of text, each with the list of
+Documents are encoded in chunks of about ``CHUNK_BYTES`` of text, each with the list of
 its distinct rare words, so what crosses the shuffles is distinct words of
-chunks, not tokens.  Encoded chunks, counts and learned rows are written to the
+chunks, not tokens.  Expected counts cross them in whole 1/``FRACTION`` of an
+occurrence: most are zero, and their sums do not depend on the order.  Encoded chunks, counts and learned rows are written to the
 shared folder and reread.
 
 Defined results: a null or empty text is its end token; a null id is hashed as
@@ -62,6 +63,8 @@ HELD_OUT = (7, 2)             # divisor and remainder that mark held-out documen
 PARTIAL_WORDS = 200_000       # distinct words counted in a task before they are passed on
 GROUP_TOKENS = 250_000        # tokens of documents that are run together
 SYMBOL_BLOCK = 1024
+CHUNK_BYTES = 8 << 20         # text that is encoded together
+FRACTION = 256                # the last pass adds expected counts in whole parts of an occurrence
 END = b""                     # the end token among the counted words
 WORD_ROW, OWN_ROW, EDGE_ROW = 0, 1, 2     # kinds of sums of the last pass
 
@@ -205,7 +208,7 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
         at = {END: 0, **{w: k + 1 for k, w in enumerate(words)}}
         for batch in batches:
             marks, done = batch.column(2).to_pylist(), 0
-            for ids, texts in text_chunks([batch.select([0, 1])]):
+            for ids, texts in text_chunks([batch.select([0, 1])], CHUNK_BYTES):
                 here = marks[done:done + len(ids)]
                 done += len(ids)
                 for held in (False, True):
@@ -349,7 +352,7 @@ def _add(table: pa.Table) -> pa.Table:
 
 
 def sums_type(states: int) -> T.StructType:
-    return ddl("kind:int at:int word:binary n:long log10:double " + " ".join(f"e{s}:float" for s in range(states)))
+    return ddl("kind:int at:int word:binary n:long log10:double " + " ".join(f"e{s}:long" for s in range(states)))
 
 
 def _untied_pass(model: Model, head: int):
@@ -361,14 +364,14 @@ def _untied_pass(model: Model, head: int):
         columns = {"kind": [kind] * len(sums), "at": list(range(len(sums))) if words is None else [0] * len(sums),
                    "word": [END] * len(sums) if words is None else words, "n": pa.array(n, pa.int64()),
                    "log10": [log10] + [0.0] * (len(sums) - 1)}
-        columns |= {f"e{s}": pa.array(sums[:, s].astype(np.float32)) for s in range(states)}
+        columns |= {f"e{s}": pa.array(np.rint(sums[:, s] * FRACTION).astype(np.int64)) for s in range(states)}
         yield from batches_of(schema, columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted, total = np.zeros((states, head)), 0.0
         starts, moves = np.zeros(states), np.zeros((states, states))
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 words, symbols = row["words"], own_rows(row["ids"], row["rare"], head)
                 shared = np.fromiter((head + tail_symbol(w) for w in words), dtype=np.int64, count=len(words))
                 here = Model(model.start, model.move, np.concatenate([model.emit[:head], model.emit[shared]]))
@@ -397,7 +400,7 @@ def train(encoded: DataFrame, symbols: Symbols, states: int = STATES, passes: in
 
     Returns the model (rows of the end token and the frequent words), what the
     rare words' rows are made with, the table of their expected counts
-    (``word, n, e0, e1, ...``) and the log10 likelihood before each pass.
+    (``word, n, e0, e1, ...``, in ``1 / FRACTION``) and the log10 likelihood before each pass.
     """
     model, background = first_model(symbols, states)
     training = encoded.where("NOT held_out")
@@ -417,20 +420,20 @@ def train(encoded: DataFrame, symbols: Symbols, states: int = STATES, passes: in
     sums = training.select("ids", "lengths", "rare", "words").coalesce(tasks).mapInArrow(_untied_pass(single(model), head), sums_type(states))
     learned = write_shared(
         sums.groupBy("kind", "at", "word")
-        .agg(F.sum("n").alias("n"), F.sum("log10").alias("log10"), *(F.sum(e).cast("float").alias(e) for e in names)), "learned")
+        .agg(F.sum("n").alias("n"), F.sum("log10").alias("log10"), *(F.sum(e).alias(e) for e in names)), "learned")
     rare = learned.where(F.col("kind") == WORD_ROW).select("word", "n", *names)
     weight = F.col("n") / (F.col("n") + F.lit(RARE_PRIOR))
-    total = rare.agg(*(F.coalesce(F.sum(F.col(e).cast("double")), F.lit(0.0)).alias(e) for e in names),
+    total = rare.agg(*(F.coalesce(F.sum(e), F.lit(0)).alias(e) for e in names),
                      *(F.coalesce(F.sum(F.col(e) * weight), F.lit(0.0)).alias(f"w{e}") for e in names),
                      F.coalesce(F.sum(weight), F.lit(0.0)).alias("weights")).first()
-    expected = np.array([total[e] for e in names])
+    expected = np.array([total[e] for e in names]) / FRACTION
     split = expected / expected.sum() if expected.sum() else np.full(states, 1 / states)
-    weighted = np.array([total[f"w{e}"] for e in names]) + RARE_PRIOR * split * total["weights"]
+    weighted = np.array([total[f"w{e}"] for e in names]) / FRACTION + RARE_PRIOR * split * total["weights"]
     kept = learned.where(F.col("kind") != WORD_ROW).collect()
     if kept:
         at = {kind: np.zeros((size, states)) for kind, size in ((OWN_ROW, head), (EDGE_ROW, states + 1))}
         for r in kept:
-            at[r["kind"]][r["at"]] = [r[e] for e in names]
+            at[r["kind"]][r["at"]] = [r[e] / FRACTION for e in names]
         history.append(sum(r["log10"] for r in kept))
         # The tail as one last row; its add-one total makes room for the unseen.
         spread = symbols.rare_slots / symbols.rare_tokens if symbols.rare_tokens else 0.0
@@ -466,7 +469,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
         expected = np.zeros((row["n_words"], states))
         n[place] = found["n"].to_numpy()
         for s, e in enumerate(names):
-            expected[place, s] = found[e].to_numpy()
+            expected[place, s] = found[e].to_numpy() / FRACTION
         counts = np.concatenate([head_counts, n])
         here = Model(model.start, model.move, np.concatenate([model.emit, rare.rows(n, expected)]))
         log10 = np.empty(len(lengths))

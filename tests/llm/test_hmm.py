@@ -124,8 +124,8 @@ def test_every_word_has_a_row_and_rows_sum_to_one(spark, monkeypatch):
     counts = {bytes(r.word): r.c for r in hmm.count_words(docs).collect()}
     rows = learned.collect()
     assert {bytes(r.word): r.n for r in rows} == {w: c for w, c in counts.items() if w and w not in set(symbols.words)}
-    n, expected = np.array([r.n for r in rows], dtype=float), np.array([[r.e0, r.e1, r.e2] for r in rows])
-    assert np.allclose(expected.sum(axis=1), n, rtol=1e-3)
+    n, expected = np.array([r.n for r in rows], dtype=float), np.array([[r.e0, r.e1, r.e2] for r in rows]) / hmm.FRACTION
+    assert np.allclose(expected.sum(axis=1), n, rtol=1.5 / hmm.FRACTION)
     emitted = rare.rows(n, expected)
     unseen = rare.rows(np.zeros(1), np.zeros((1, 3)))
     assert (emitted > unseen).all() and len(np.unique(emitted.round(12), axis=0)) > len(rows) // 4
@@ -150,9 +150,9 @@ def test_rare_words_counts_equal_enumeration(spark, docs_frame, monkeypatch):
         for path, p in paths:
             for s, w in zip(path, words):
                 want.setdefault(w, np.zeros(2))[s] += p / sum(q for _, q in paths)
-    got = {bytes(r.word): (r.e0, r.e1) for r in learned.collect()}
+    got = {bytes(r.word): np.array([r.e0, r.e1]) / hmm.FRACTION for r in learned.collect()}
     assert set(got) == {b"x", b"y", b"z", b"w"}
-    assert all(np.allclose(got[w], want[w], rtol=1e-4) for w in got)
+    assert all(np.allclose(got[w], want[w], atol=1.5 / hmm.FRACTION) for w in got)
 
 
 def test_score_is_the_likelihood_of_the_final_model(spark, docs_frame, monkeypatch):
@@ -166,7 +166,7 @@ def test_score_is_the_likelihood_of_the_final_model(spark, docs_frame, monkeypat
     model, rare, learned, _ = hmm.train(hmm.encode(source, symbols), symbols, states=2, passes=2)
     emit = dict(zip([hmm.END, *symbols.words], model.emit))
     for r in learned.collect():
-        emit[bytes(r.word)] = rare.rows(np.array([float(r.n)]), np.array([[r.e0, r.e1]]))[0]
+        emit[bytes(r.word)] = rare.rows(np.array([float(r.n)]), np.array([[r.e0, r.e1]]) / hmm.FRACTION)[0]
     unseen = rare.rows(np.zeros(1), np.zeros((1, 2)))[0]
     assert any(r.held_out for r in rows.values())
     for i, text in docs:
