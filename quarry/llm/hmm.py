@@ -39,7 +39,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -61,7 +61,7 @@ RARE_PRIOR = 2.0              # occurrences at the mean split over states that a
 STICKY = 0.9                  # first guess of the chance to stay in a state
 HELD_OUT = (7, 2)             # divisor and remainder that mark held-out documents
 PARTIAL_WORDS = 200_000       # distinct words counted in a task before they are passed on
-GROUP_TOKENS = 250_000        # tokens of documents that are run together
+GROUP_TOKENS = 250_000        # tokens of documents that are run together, twice as many in single precision
 SYMBOL_BLOCK = 1024
 CHUNK_BYTES = 8 << 20         # text that is encoded together
 FRACTION = 256                # the last pass adds expected counts in whole parts of an occurrence
@@ -146,8 +146,8 @@ def count_words(training: DataFrame) -> DataFrame:
     return write_shared(partial.groupBy("word").agg(F.sum("n").alias("c")), "words")
 
 
-def tail_symbol(word: bytes) -> int:
-    return zlib.crc32(word) % TAIL_SYMBOLS
+def tail_symbols(words: Collection[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % TAIL_SYMBOLS
 
 
 def choose_symbols(words: DataFrame) -> Symbols:
@@ -198,10 +198,10 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
             tokens.append(END)
         ids = np.fromiter(map(at.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
         rare = np.flatnonzero(ids < 0)
-        places: dict[bytes, int] = {}
-        place = np.fromiter((places.setdefault(tokens[j], len(places)) for j in rare.tolist()), dtype="<u4", count=len(rare))
-        shared = np.fromiter((head + tail_symbol(w) for w in places), dtype=np.int64, count=len(places))
-        ids[rare] = shared[place]
+        seldom = list(map(tokens.__getitem__, rare.tolist()))
+        places = {w: k for k, w in enumerate(dict.fromkeys(seldom))}
+        place = np.fromiter(map(places.__getitem__, seldom), dtype="<u4", count=len(rare))
+        ids[rare] = head + tail_symbols(places)[place]
         return {"lengths": lengths.tobytes(), "ids": ids.astype("<u2").tobytes(), "rare": place.tobytes(), "words": list(places)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,9 +331,9 @@ def _tied_pass(model: Model):
         emitted = np.zeros((states, len(model.emit)))
         starts, moves = np.zeros(states), np.zeros((states, states))
         for batch in batches:
-            docs = [d for ids, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for d in documents_of(np.frombuffer(ids, dtype="<u2"), lengths)]
-            for _, group in grouped(docs):
+            docs = [d for ids, lengths in zip(batch.column(0), batch.column(1))
+                    for d in documents_of(np.frombuffer(ids.as_buffer(), dtype="<u2"), lengths.as_buffer())]
+            for _, group in grouped(docs, 2 * GROUP_TOKENS):
                 s, m, log10 = group.expected(model, emitted)
                 starts, moves, total = starts + s, moves + m, total + log10
         out = [(-1, np.vstack([starts, moves]).astype("<f8").tobytes(), total)]
@@ -360,10 +360,14 @@ def _untied_pass(model: Model, head: int):
     states = len(model.start)
     schema = arrow_schema(sums_type(states))
 
-    def rows(kind: int, words: list | None, n: np.ndarray, sums: np.ndarray, log10: float = 0.0) -> Iterator[pa.RecordBatch]:
-        columns = {"kind": [kind] * len(sums), "at": list(range(len(sums))) if words is None else [0] * len(sums),
-                   "word": [END] * len(sums) if words is None else words, "n": pa.array(n, pa.int64()),
-                   "log10": [log10] + [0.0] * (len(sums) - 1)}
+    def rows(kind: int, words: pa.Array | None, n: np.ndarray, sums: np.ndarray, log10: float = 0.0) -> Iterator[pa.RecordBatch]:
+        size = len(sums)
+        at = np.arange(size) if words is None else np.zeros(size)
+        logs = np.zeros(size)
+        logs[:1] = log10
+        columns = {"kind": pa.array(np.full(size, kind, dtype=np.int32)), "at": pa.array(at.astype(np.int32)),
+                   "word": pa.array([END] * size, pa.binary()) if words is None else words, "n": pa.array(n, pa.int64()),
+                   "log10": pa.array(logs)}
         columns |= {f"e{s}": pa.array(np.rint(sums[:, s] * FRACTION).astype(np.int64)) for s in range(states)}
         yield from batches_of(schema, columns)
 
@@ -371,16 +375,19 @@ def _untied_pass(model: Model, head: int):
         emitted, total = np.zeros((states, head)), 0.0
         starts, moves = np.zeros(states), np.zeros((states, states))
         for batch in batches:
-            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
-                words, symbols = row["words"], own_rows(row["ids"], row["rare"], head)
-                shared = np.fromiter((head + tail_symbol(w) for w in words), dtype=np.int64, count=len(words))
+            for k in range(batch.num_rows):
+                ids, lengths, rare = (batch.column(c)[k].as_buffer() for c in range(3))
+                words, symbols = batch.column(3)[k].values, own_rows(ids, rare, head)
+                tied = np.frombuffer(ids, dtype="<u2")
+                shared = np.empty(len(words), dtype=np.int64)
+                shared[np.frombuffer(rare, dtype="<u4")] = tied[tied >= head]
                 here = Model(model.start, model.move, np.concatenate([model.emit[:head], model.emit[shared]]))
                 sums = np.zeros((states, head + len(words)))
-                for _, group in grouped(documents_of(symbols, row["lengths"])):
+                for _, group in grouped(documents_of(symbols, lengths), 2 * GROUP_TOKENS):
                     s, m, log10 = group.expected(here, sums)
                     starts, moves, total = starts + s, moves + m, total + log10
                 emitted += sums[:, :head]
-                if words:
+                if len(words):
                     yield from rows(WORD_ROW, words, np.bincount(symbols, minlength=head + len(words))[head:], sums[:, head:].T)
         yield from rows(OWN_ROW, None, np.zeros(head, dtype=np.int64), emitted.T)
         yield from rows(EDGE_ROW, None, np.zeros(states + 1, dtype=np.int64), np.vstack([starts, moves]), total)

@@ -145,7 +145,7 @@ def test_rare_words_counts_equal_enumeration(spark, docs_frame, monkeypatch):
     for text in texts:
         words = text.encode().split() + [hmm.END]
         known = {hmm.END: 0, b"a": 1, b"b": 2}
-        doc = [known.get(w, symbols.head + hmm.tail_symbol(w)) for w in words]
+        doc = [known.get(w, symbols.head + hmm.tail_symbols([w])[0]) for w in words]
         paths = list(enumerate_paths(first, doc))
         for path, p in paths:
             for s, w in zip(path, words):
