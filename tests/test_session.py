@@ -136,3 +136,76 @@ def test_small_files_are_replaced(spark, tmp_dir):
     for text in ("one", "", "zwei é\n", "3"):
         write_text(spark, path, text)
         assert read_text(spark, path) == text
+
+
+@pytest.fixture
+def as_cluster(spark, monkeypatch, tmp_dir):
+    """The session as one of a cluster whose checkpoint folder is ``tmp_dir``, a path without a stated mount."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://master:7077")
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: f"file:{tmp_dir}")
+    monkeypatch.setattr(session_module, "_trials", {}, raising=False)
+    return spark
+
+
+def test_cluster_uses_a_local_folder_that_a_trial_finds_shared(as_cluster, tmp_dir):
+    """The queries that write intermediate tables run on a cluster whose folder is one mount on all machines."""
+    import os
+
+    from quarry.operators.kmeans import materialize
+
+    assert checkpoint_dir(as_cluster) == f"file:{tmp_dir}"
+    assert not [n for n in os.listdir(tmp_dir) if n.startswith("trial-")]
+    written = materialize(as_cluster.range(7), "vectors")
+    assert sorted(r.id for r in written.collect()) == list(range(7))
+    assert all(f.startswith(f"file:{tmp_dir}/") or f.startswith(f"file://{tmp_dir}/") for f in written.inputFiles())
+
+
+def test_cluster_refuses_a_local_folder_that_loses_files(as_cluster, monkeypatch):
+    """A disk of each executor's own: the driver lists fewer files than were written."""
+    import pyspark.sql.classic.dataframe as classic
+
+    monkeypatch.setattr(classic.DataFrame, "count", lambda self, f=classic.DataFrame.count: f(self) - 1)
+    with pytest.raises(RuntimeError, match="other executors do not see"):
+        checkpoint_dir(as_cluster)
+
+
+def test_cluster_without_checkpoint_dir_takes_a_shared_warehouse(as_cluster, monkeypatch):
+    from quarry.session import SHARED_MOUNT
+
+    monkeypatch.setattr(as_cluster.sparkContext, "getCheckpointDir", lambda: None)
+    monkeypatch.setattr(as_cluster.sparkContext, "setCheckpointDir", lambda path: None)
+    warehouse = as_cluster.conf.get("spark.sql.warehouse.dir")
+    if as_cluster.sparkContext.getConf().get("spark.checkpoint.dir", None) is None:
+        assert checkpoint_dir(as_cluster) == f"{warehouse}/quarry-checkpoints"
+        as_cluster.conf.set(SHARED_MOUNT, "false")
+        try:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir is not set"):
+                checkpoint_dir(as_cluster)
+        finally:
+            as_cluster.conf.unset(SHARED_MOUNT)
+
+
+def test_a_lease_that_cannot_be_written_is_no_error(spark, monkeypatch):
+    def broken(*_):
+        raise OSError("no room")
+
+    monkeypatch.setattr(session_module, "_holder", None)
+    monkeypatch.setattr(session_module, "write_text", broken)
+    with pytest.warns(UserWarning, match="no lease"):
+        assert scratch_path(spark, "points")
+
+
+def test_small_files_on_a_store_without_a_file_context(spark, tmp_dir):
+    from quarry.session import read_text, write_text
+
+    conf = spark._jsc.hadoopConfiguration()
+    name = "fs.AbstractFileSystem.viewfs.impl"
+    bound = conf.get(name)
+    conf.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_dir}")
+    conf.unset(name)
+    try:
+        for text in ("one", "two"):
+            write_text(spark, "viewfs://store/in/state", text)
+            assert read_text(spark, "viewfs://store/in/state") == text
+    finally:
+        conf.set(name, bound)
