@@ -109,11 +109,21 @@ def spread_pairs(postings: DataFrame, shares: int = HOT_SHARES) -> DataFrame:
     )
 
 
+def pair_counts(postings: DataFrame) -> DataFrame:
+    """``(question_id, n)``: how many rows :func:`question_answer_pairs` has of each question, from two counts and no pairs.
+
+    Copies of a question multiply its answers.  Both sides are reduced to a row for each question before they meet.
+    """
+    asked = questions(postings).groupBy(F.col("id").alias("question_id")).agg(F.count(F.lit(1)).alias("copies"))
+    replies = answers(postings).groupBy(F.col("parentId").alias("question_id")).agg(F.count(F.lit(1)).alias("n"))
+    return replies.join(asked, "question_id").select("question_id", (F.col("n") * F.col("copies")).alias("n"))
+
+
 # Blocks that one part of a question's answers fills, on average.
 BLOCKS_PER_PART = 8
 
 
-def answer_blocks(pairs: DataFrame, block_size: int = 1024) -> DataFrame:
+def answer_blocks(pairs: DataFrame, block_size: int = 1024, counts: DataFrame | None = None) -> DataFrame:
     """The pairs per question in bounded blocks (A6): ``(question_id, part, block, n_answers, answers, best)``.
 
     The original gathers all pairs of a question in one collection.  Here a
@@ -121,15 +131,23 @@ def answer_blocks(pairs: DataFrame, block_size: int = 1024) -> DataFrame:
     order, and ``best`` is their highest score.  Blocks are numbered by two
     counts: the pairs of a question (partial in every task) set its number of
     parts, answers are dealt to parts by a hash of their id, and a row number
-    within the part gives the block.  So no task sorts or holds a whole
-    question, however many answers it owns.
+    within the part gives the block.  The dealt answers are shuffled by
+    question and part, so no task sorts or holds a whole question, however
+    many answers it owns.  Counts are a stage of their own and keep only
+    questions of several parts; the join, the counts and the blocks thus never
+    hold their sorted rows in one task together.  ``counts`` are those of
+    :func:`pair_counts`; without them the pairs are counted.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
-    many = pairs.groupBy("question_id").agg(F.ceil(F.count(F.lit(1)) / (block_size * BLOCKS_PER_PART)).alias("parts"))
+    if counts is None:
+        counts = pairs.groupBy("question_id").agg(F.count(F.lit(1)).alias("n"))
+    many = counts.select("question_id", F.ceil(F.col("n") / (block_size * BLOCKS_PER_PART)).alias("parts"))
+    many = many.where("parts > 1").repartition(F.hash("question_id"))     # by the id alone Spark would leave the shuffle out
     hashed = F.conv(F.substring(F.md5(F.col("answer_id").cast("string")), 1, 8), 16, 10).cast("bigint")
-    dealt = pairs.join(many, "question_id").select(
-        "question_id", F.pmod(hashed, F.col("parts")).alias("part"), "answer_id", "answer_score")
+    dealt = pairs.join(many, "question_id", "left").select(
+        "question_id", F.pmod(hashed, F.coalesce("parts", F.lit(1))).alias("part"), "answer_id", "answer_score")
+    dealt = dealt.repartition("question_id", "part")
     place = F.row_number().over(Window.partitionBy("question_id", "part").orderBy("answer_id", "answer_score"))
     blocks = dealt.withColumn("place", place).withColumn("block", F.expr(f"CAST((place - 1) div {int(block_size)} AS INT)"))
     return blocks.groupBy("question_id", "part", "block").agg(

@@ -92,7 +92,8 @@ def question_answer_spread(spark, sf_dir):
 
 
 def question_answer_blocks(spark, sf_dir):
-    return qa.answer_blocks(qa.question_answer_pairs(parsed_postings(spark, sf_dir)), fx.ANSWER_BLOCK_SIZE)
+    parsed = parsed_postings(spark, sf_dir)
+    return qa.answer_blocks(qa.question_answer_pairs(parsed), fx.ANSWER_BLOCK_SIZE, qa.pair_counts(parsed))
 
 
 def question_high_scores(spark, sf_dir):

@@ -89,6 +89,34 @@ def test_answer_blocks_are_bounded(spark):
         assert all(n == 16 for n in sizes[:-1])
 
 
+def test_answer_blocks_deal_a_hot_question_to_tasks(spark):
+    """The parts of a question that owns nearly all answers are numbered in many tasks, the counts are no join in theirs."""
+    rows = [(1, q, None, None, 0, "Java") for q in (0, 0, 1, 2)] + [(2, 100 + i, None, i % 9 // 8, i % 50, None) for i in range(4000)]
+    rows += [(2, 9, None, None, 0, None), (2, 8, None, 77, 0, None)]                                 # no parent, an orphan
+    postings = spark.createDataFrame(rows, POSTING_SCHEMA).repartition(5)
+    pairs = qa.question_answer_pairs(postings)
+    counted = sorted(map(tuple, qa.pair_counts(postings).collect()))
+    assert counted == sorted(map(tuple, pairs.groupBy("question_id").count().collect()))
+    assert sorted(map(str, qa.answer_blocks(pairs, 4).collect())) == sorted(map(str, qa.answer_blocks(pairs, 4, qa.pair_counts(postings)).collect()))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = qa.answer_blocks(pairs, 4, qa.pair_counts(postings)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(int(a) for r in got for a in r.answers.split(",")) == sorted(r.answer_id for r in pairs.collect())
+    assert max(r.n_answers for r in got) == 4
+    tasks = Counter()
+    for r in got:
+        if r.question_id == 0:
+            tasks[r.task] += r.n_answers
+    assert len(tasks) >= 12 and max(tasks.values()) < 0.25 * tasks.total()
+
+
 def test_spread_pairs_deal_a_hot_question_to_parts(spark):
     """A question owns nine tenths of the answers, half of them copies of one row: exact pairs, and no task has them all."""
     rows = [(1, q, None, None, q % 3, "Java") for q in range(50)] + [(1, 7, None, 5, 9, "C#")]      # id 7 twice
