@@ -38,18 +38,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import arrow_schema, batches_of, ddl, text_chunks, utf8, write_shared
+from quarry.llm.common import arrow_schema, batches_of, chunk_ends, ddl, return_memory, utf8, write_shared
 
 STATES = 8
 PASSES = 5
@@ -61,10 +61,13 @@ RARE_PRIOR = 2.0              # occurrences at the mean split over states that a
 STICKY = 0.9                  # first guess of the chance to stay in a state
 HELD_OUT = (7, 2)             # divisor and remainder that mark held-out documents
 PARTIAL_WORDS = 200_000       # distinct words counted in a task before they are passed on
-GROUP_TOKENS = 250_000        # tokens of documents that are run together, twice as many in single precision
+COUNT_BYTES = 2 << 20         # text whose words are counted together
+GROUP_TOKENS = 250_000        # tokens of documents that are run together, twice as many in the tied passes
+MOVE_BLOCK = 1 << 15          # steps whose transitions are summed together
 SYMBOL_BLOCK = 1024
 CHUNK_BYTES = 8 << 20         # text that is encoded together
 FRACTION = 256                # the last pass adds expected counts in whole parts of an occurrence
+ROW_BLOCK = 1 << 15           # rows of expected counts passed on together
 END = b""                     # the end token among the counted words
 WORD_ROW, OWN_ROW, EDGE_ROW = 0, 1, 2     # kinds of sums of the last pass
 
@@ -126,23 +129,44 @@ class Rare:
 # ------------------------------------------------------------------ counting
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text (UTF-8 bytes) has, and the words of all, A-Z lowered, as bytes."""
+    large = pa.types.is_large_binary(texts.type)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.large_string() if large else pa.string())))
+    words = split.values
+    real = pc.not_equal(pc.binary_length(words), 0)      # white space at the ends of a text leaves empty ones
+    before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    lengths = np.diff(before[split.offsets.to_numpy()])
+    return lengths, words.filter(real).view(texts.type)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(ddl("word:binary n:long"))
-    counts: Counter = Counter()
-    for _, texts in text_chunks(batches):
-        for text in texts:
-            counts.update(text.lower().split())
-        counts[END] += len(texts)
-        if len(counts) > PARTIAL_WORDS:
-            yield from batches_of(schema, {"word": list(counts), "n": list(counts.values())})
-            counts = Counter()
-    yield from batches_of(schema, {"word": list(counts), "n": list(counts.values())})
+    held: list[pa.Table] = []
+
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    for batch in batches:
+        texts, done = batch.column(0), 0
+        for end in chunk_ends(texts, COUNT_BYTES):
+            here = texts.slice(done, end - done)
+            counts = words_of(here)[1].value_counts()
+            held.append(pa.table({"word": pc.cast(counts.field(0), pa.binary()), "n": counts.field(1)}))
+            held.append(pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([len(here)], pa.int64())}))
+            done = end
+            if sum(map(len, held)) > 2 * PARTIAL_WORDS:
+                held = [summed()]
+                if len(held[0]) > PARTIAL_WORDS:
+                    yield from held[0].cast(schema).to_batches()
+                    held = []
+    if held:
+        yield from summed().cast(schema).to_batches()
 
 
 def count_words(training: DataFrame) -> DataFrame:
     """``(word, c)`` over all training texts, the end token as an empty word."""
-    source = training.select(F.lit(0).alias("id"), F.col("text"))
-    partial = source.mapInArrow(_count, ddl("word:binary n:long"))
+    partial = training.select("text").mapInArrow(_count, ddl("word:binary n:long"))
     return write_shared(partial.groupBy("word").agg(F.sum("n").alias("c")), "words")
 
 
@@ -188,34 +212,39 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
     words, head = symbols.words, symbols.head
     schema = arrow_schema(ENCODED)
 
-    def chunk(texts: list[bytes], at: dict[bytes, int]) -> dict:
-        tokens: list[bytes] = []
-        lengths = np.empty(len(texts), dtype="<u4")
-        for j, text in enumerate(texts):
-            found = text.lower().split()
-            lengths[j] = len(found) + 1
-            tokens += found
-            tokens.append(END)
-        ids = np.fromiter(map(at.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
-        rare = np.flatnonzero(ids < 0)
-        seldom = list(map(tokens.__getitem__, rare.tolist()))
-        places = {w: k for k, w in enumerate(dict.fromkeys(seldom))}
-        place = np.fromiter(map(places.__getitem__, seldom), dtype="<u4", count=len(rare))
-        ids[rare] = head + tail_symbols(places)[place]
-        return {"lengths": lengths.tobytes(), "ids": ids.astype("<u2").tobytes(), "rare": place.tobytes(), "words": list(places)}
+    def chunk(texts: pa.Array, at: dict[bytes, int]) -> dict:
+        lengths, tokens = words_of(texts)
+        coded = tokens.dictionary_encode()               # distinct words in the order of their first place
+        distinct, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        symbol = np.fromiter(map(at.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        seldom = np.flatnonzero(symbol < 0)
+        rare_words = coded.dictionary.take(pa.array(seldom))
+        symbol[seldom] = head + tail_symbols(distinct[seldom])
+        rare_place = np.full(len(distinct), -1, dtype=np.int64)
+        rare_place[seldom] = np.arange(len(seldom))
+        rare = rare_place[place]
+        ids = np.zeros(len(place) + len(texts), dtype="<u2")      # the end token's stay 0
+        ids[np.arange(len(place)) + np.repeat(np.arange(len(texts)), lengths)] = symbol[place]
+        return {"lengths": (lengths + 1).astype("<u4").tobytes(), "ids": ids.tobytes(), "rare": rare[rare >= 0].astype("<u4").tobytes(),
+                "words": rare_words}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {END: 0, **{w: k + 1 for k, w in enumerate(words)}}
+        at = {w: k + 1 for k, w in enumerate(words)}
         for batch in batches:
-            marks, done = batch.column(2).to_pylist(), 0
-            for ids, texts in text_chunks([batch.select([0, 1])], CHUNK_BYTES):
-                here = marks[done:done + len(ids)]
-                done += len(ids)
+            done = 0
+            for end in chunk_ends(batch.column(1), CHUNK_BYTES):
+                part, done = batch.slice(done, end - done), end
                 for held in (False, True):
-                    chosen = [j for j, mark in enumerate(here) if mark == held]
-                    if chosen:
-                        row = {"held_out": held, "doc_ids": [ids[j] for j in chosen], **chunk([texts[j] for j in chosen], at)}
-                        yield from batches_of(schema, {name: [value] for name, value in row.items()})
+                    of_kind = part.filter(pc.equal(part.column(2), held))
+                    if not of_kind.num_rows:
+                        continue
+                    row = chunk(of_kind.column(1), at)
+                    listed = {"doc_ids": of_kind.column(0), "words": row.pop("words").cast(pa.binary())}
+                    columns = {name: [value] for name, value in (("held_out", held), *row.items())}
+                    for name, values in listed.items():
+                        columns[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).cast(schema.field(name).type)
+                    yield from batches_of(schema, columns)
+        return_memory()
 
     coded = docs.select("doc_id", "text", "held_out").mapInArrow(run, ENCODED)
     return write_shared(coded.withColumn("chunk", F.monotonically_increasing_id()), "encoded")
@@ -277,10 +306,15 @@ class Group:
             a, b, n = self.at[t], self.at[t + 1], self.active[t + 1]
             beta[a:a + n] = weighted[b:b + n] @ back
             weighted[a:a + n] *= beta[a:a + n]
-        first = self.active[0]
+        first, moves = self.active[0], np.zeros_like(model.move)
         before = np.arange(first, len(alpha)) - np.repeat(self.active[:-1], self.active[1:])
-        moves = model.move * (alpha[before].T @ weighted[first:])
-        gamma = np.ascontiguousarray(np.multiply(alpha, beta, out=beta).T)
+        for a in range(0, len(before), MOVE_BLOCK):
+            moves += alpha[before[a:a + MOVE_BLOCK]].T @ weighted[first + a:first + a + MOVE_BLOCK]
+        moves *= model.move
+        np.multiply(alpha, beta, out=beta)
+        del alpha, emissions, weighted
+        gamma = np.ascontiguousarray(beta.T)
+        del beta
         for s, of_state in enumerate(gamma):
             emitted[s] += np.bincount(self.symbols, weights=of_state, minlength=emitted.shape[1])
         return gamma[:, :first].sum(axis=1), moves, float(np.log10(scale, dtype=np.float64).sum())
@@ -336,6 +370,7 @@ def _tied_pass(model: Model):
             for _, group in grouped(docs, 2 * GROUP_TOKENS):
                 s, m, log10 = group.expected(model, emitted)
                 starts, moves, total = starts + s, moves + m, total + log10
+        return_memory()
         out = [(-1, np.vstack([starts, moves]).astype("<f8").tobytes(), total)]
         for b in range(0, emitted.shape[1], SYMBOL_BLOCK):
             out.append((b // SYMBOL_BLOCK, emitted[:, b:b + SYMBOL_BLOCK].astype("<f4").tobytes(), 0.0))
@@ -383,12 +418,16 @@ def _untied_pass(model: Model, head: int):
                 shared[np.frombuffer(rare, dtype="<u4")] = tied[tied >= head]
                 here = Model(model.start, model.move, np.concatenate([model.emit[:head], model.emit[shared]]))
                 sums = np.zeros((states, head + len(words)))
-                for _, group in grouped(documents_of(symbols, lengths), 2 * GROUP_TOKENS):
+                for _, group in grouped(documents_of(symbols, lengths)):
                     s, m, log10 = group.expected(here, sums)
                     starts, moves, total = starts + s, moves + m, total + log10
                 emitted += sums[:, :head]
                 if len(words):
-                    yield from rows(WORD_ROW, words, np.bincount(symbols, minlength=head + len(words))[head:], sums[:, head:].T)
+                    seen = np.bincount(symbols, minlength=head + len(words))[head:]
+                    for a in range(0, len(words), ROW_BLOCK):
+                        b = min(a + ROW_BLOCK, len(words))
+                        yield from rows(WORD_ROW, words[a:b], seen[a:b], sums[:, head + a:head + b].T)
+                return_memory()
         yield from rows(OWN_ROW, None, np.zeros(head, dtype=np.int64), emitted.T)
         yield from rows(EDGE_ROW, None, np.zeros(states + 1, dtype=np.int64), np.vstack([starts, moves]), total)
 

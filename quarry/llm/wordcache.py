@@ -9,13 +9,12 @@ is full it becomes the old one, so memory stays bounded on any vocabulary.
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import os
 from array import array
 from unicodedata import is_normalized
 
-import pyarrow as pa
+from quarry.llm.common import return_memory
 
 GENERATION_WORDS = 300_000
 LONG_WORD_BYTES = 64          # longer words are encoded each time, not kept
@@ -82,10 +81,7 @@ def give_back() -> None:
     """
     _current.clear()
     gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    return_memory()
 
 
 def byte_level_table() -> dict[int, int]:

@@ -175,3 +175,31 @@ def test_score_is_the_likelihood_of_the_final_model(spark, docs_frame, monkeypat
             alpha = (alpha if t == 0 else alpha @ model.move) * emit.get(w, unseen)
             total, alpha = total + math.log10(alpha.sum()), alpha / alpha.sum()
         assert math.isclose(rows[i].score, total, rel_tol=1e-4)
+
+
+def test_words_of_equals_a_plain_split():
+    import pyarrow as pa
+
+    texts = [b"", b" ", b"  a B\n\tc\x0b\x0cd\r ", "Éé ÀB  x y \x1c \x85".encode(), b"a", b"\n\n", b"\xff\xfe Q\xe9"]
+    for kind in (pa.binary(), pa.large_binary()):
+        lengths, words = hmm.words_of(pa.array([b"cut off", *texts], kind).slice(1))
+        split = [WORD.findall(re.sub(rb"[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+        assert lengths.tolist() == [len(s) for s in split]
+        assert words.to_pylist() == [w for s in split for w in s]
+
+
+def test_a_pass_holds_few_bytes_a_token():
+    """Memory of a group: three values a token and state, no copy of the forward values for the transitions."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 500, size=n) for n in range(699, 199, -1)]
+    model = hmm.single(random_model(500, 8))
+    group, emitted = hmm.Group(docs), np.zeros((8, 500))
+    tracemalloc.start()
+    try:
+        group.expected(model, emitted)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4 * 8 * 4 * sum(map(len, docs))
