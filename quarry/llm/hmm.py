@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import arrow_schema, batches_of, chunk_ends, ddl, return_memory, utf8, write_shared
+from quarry.llm.common import arrow_schema, batches_of, chunk_ends, ddl, return_memory, utf8, words_of, write_shared
 
 STATES = 8
 PASSES = 5
@@ -129,17 +129,6 @@ class Rare:
 # ------------------------------------------------------------------ counting
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """How many words each text (UTF-8 bytes) has, and the words of all, A-Z lowered, as bytes."""
-    large = pa.types.is_large_binary(texts.type)
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.large_string() if large else pa.string())))
-    words = split.values
-    real = pc.not_equal(pc.binary_length(words), 0)      # white space at the ends of a text leaves empty ones
-    before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
-    lengths = np.diff(before[split.offsets.to_numpy()])
-    return lengths, words.filter(real).view(texts.type)
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(ddl("word:binary n:long"))
     held: list[pa.Table] = []

@@ -25,40 +25,45 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_schema, batches_of, ddl, text_chunks, utf8
+from quarry.llm.common import arrow_schema, batches_of, chunk_ends, ddl, utf8
 from quarry.llm.wordcache import word_end_ids
 
 CAPACITY = 2048
 END_ID = 1
 BLOCK_WINDOWS = 64
+CHUNK_BYTES = 4 << 20         # text whose distinct words are looked up together
 BUNDLE_TOKENS = 128           # shorter pieces are bundled before differencing
 PIECES = ddl("doc_id:long start:long length:long ids:binary doc_tokens:long sequence_id:long offset:long")
 
 
 def difference(lengths: list[int], windows: int) -> list[list[int]]:
     """Deal pieces to ``windows`` windows by Karmarkar-Karp differencing; indices by window."""
-    heap = []
-    for k, n in enumerate(lengths):
-        heap.append((-n, k, [n] + [0] * (windows - 1), [[k]] + [[] for _ in range(windows - 1)]))
+    # A partial partition holds its loaded windows only, fullest first; the others are empty.
+    heap = [(-n, k, [(n, [k])]) for k, n in enumerate(lengths)]
     heapq.heapify(heap)
     count = len(heap)
     while len(heap) > 1:
-        _, _, loads, held = heapq.heappop(heap)
-        _, _, other, more = heapq.heappop(heap)
-        sums = [a + b for a, b in zip(loads, reversed(other))]
-        both = [a + b if a and b else a or b for a, b in zip(held, reversed(more))]
-        order = sorted(range(windows), key=sums.__getitem__, reverse=True)
-        sums = [sums[i] for i in order]
-        heapq.heappush(heap, (sums[-1] - sums[0], count, sums, [both[i] for i in order]))
+        _, _, loaded = heapq.heappop(heap)
+        _, _, other = heapq.heappop(heap)
+        met = max(0, len(loaded) + len(other) - windows)     # windows that both load: the emptiest ones of either
+        apart = len(loaded) - met
+        both = [(n + m, held + more) for (n, held), (m, more) in zip(loaded[apart:], reversed(other[len(other) - met:]))]
+        merged = loaded[:apart] + both + other[:len(other) - met][::-1]
+        merged.sort(key=itemgetter(0), reverse=True)
+        spread = merged[0][0] - (merged[-1][0] if len(merged) == windows else 0)
+        heapq.heappush(heap, (-spread, count, merged))
         count += 1
-    return heap[0][3] if heap else [[] for _ in range(windows)]
+    dealt = [held for _, held in heap[0][2]] if heap else []
+    return dealt + [[] for _ in range(windows - len(dealt))]
 
 
 def _bundles(lengths: list[int], bound: int) -> list[list[int]]:
@@ -191,18 +196,25 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                     del left[k], open_docs[k]
             sequence += 1
 
-        for doc_ids, texts in text_chunks(batches):
-            words = [cache.words(t) for t in texts]
-            value = cache.table(words).__getitem__
-            for doc_id, own in zip(doc_ids, words):
-                ids = b"".join(map(value, own)) + end
-                n = len(ids) // 4
-                open_docs[key], left[key] = (doc_id, ids, n), n
-                for window in packer.add(key, n):
-                    put(window)
-                key += 1
-            yield from batches_of(schema, rows)
-            rows = {f.name: [] for f in schema}
+        for batch in batches:
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            done = 0
+            for stop in chunk_ends(texts, CHUNK_BYTES):
+                counts, words, place = cache.distinct(texts.slice(done, stop - done))
+                values = pa.array(cache.values(words), pa.large_binary())
+                taken = values.take(pa.array(place)).buffers()[2]
+                sizes = np.append(0, np.cumsum(pc.binary_length(values).to_numpy()[place]))
+                cuts = sizes[np.append(0, np.cumsum(counts))].tolist()
+                for doc_id, a, b in zip(doc_ids[done:stop], cuts, cuts[1:]):
+                    ids = (taken[a:b].to_pybytes() if b > a else b"") + end
+                    n = len(ids) // 4
+                    open_docs[key], left[key] = (doc_id, ids, n), n
+                    for window in packer.add(key, n):
+                        put(window)
+                    key += 1
+                done = stop
+                yield from batches_of(schema, rows)
+                rows = {f.name: [] for f in schema}
         for window in packer.finish():
             put(window)
         yield from batches_of(schema, rows)

@@ -14,7 +14,11 @@ import os
 from array import array
 from unicodedata import is_normalized
 
-from quarry.llm.common import return_memory
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from quarry.llm.common import return_memory, words_of
 
 GENERATION_WORDS = 300_000
 LONG_WORD_BYTES = 64          # longer words are encoded each time, not kept
@@ -44,6 +48,36 @@ class WordCache:
                 return [w if any(x in w.lower() for x in self.special) else w.lower() for w in text.split()]
         return low.split()
 
+    def distinct(self, texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Of a chunk of texts (UTF-8 bytes): how many words each has, the distinct words, and where each word of the texts is among them."""
+        view = pc.ascii_lower(texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()))
+        if any(pc.any(pc.match_substring(view, s.decode())).as_py() for s in self.special):
+            own = [self.words(t) for t in texts.to_pylist()]
+            lengths, words = np.array([len(w) for w in own], dtype=np.int64), pa.array([w for ws in own for w in ws], texts.type)
+        else:
+            lengths, words = words_of(texts)
+        coded = words.dictionary_encode()
+        return lengths, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+
+    def values(self, words: list[bytes]) -> list:
+        """The values of distinct ``words``, in their order; none of them is ``None``."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
+        new = []
+        for k in (k for k, value in enumerate(out) if value is None):
+            kept = old.get(words[k])
+            if kept is None:
+                new.append(k)
+            else:
+                out[k] = young[words[k]] = kept
+        for k, value in zip(new, self.make([words[k] for k in new])):
+            out[k] = value
+            if len(words[k]) <= LONG_WORD_BYTES:
+                young[words[k]] = value
+        return out
+
     def table(self, texts: list[list[bytes]]) -> dict[bytes, object]:
         """A mapping with a value for each word of ``texts``, valid until the next call."""
         for w in self.passing:

@@ -133,3 +133,35 @@ def test_window_count_rises_until_whole_pieces_fit(lengths, capacity, monkeypatc
 def plain_deal(difference, lengths, capacity, windows):
     groups = packing._bundles(lengths, min(packing.BUNDLE_TOKENS, capacity // 2))
     return [[k for g in held for k in groups[g]] for held in difference([sum(lengths[k] for k in g) for g in groups], windows)]
+
+
+def test_distinct_words_and_their_ids_of_a_chunk():
+    """Each distinct word of a chunk is looked up once, special tokens stay as written, long words are not kept."""
+    import pyarrow as pa
+
+    from quarry.llm import wordcache
+
+    asked = []
+    cache = wordcache.WordCache(lambda ws: asked.append(list(ws)) or [w + b"!" for w in ws], generation_words=4, special=(b"<|end|>",))
+    long = b"l" * (wordcache.LONG_WORD_BYTES + 1)
+    for texts in ([b"a B  a", b"", b" b c\n", long], [b"x <|END|> <|end|> A<|end|>", b"b"], [b"e f g c", long], [b"a e"]):
+        lengths, words, place = cache.distinct(pa.array(texts, pa.binary()))
+        want = [cache.words(t) for t in texts]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert [words[k] for k in place] == [w for ws in want for w in ws] and len(set(words)) == len(words)
+        assert cache.values(words) == [w + b"!" for w in words] and long not in cache.young
+    made = [w for ws in asked for w in ws if w != long]
+    assert len(made) == len(set(made)) or made.count(b"a") <= 2
+
+
+def test_differencing_of_many_rests_holds_loaded_windows_only():
+    """Early merges cost their loaded windows, not all: 3,000 windows' rests are dealt at once, each in one window."""
+    import time
+
+    lengths = [1 + 37 * k % 1500 for k in range(6000)]
+    begun = time.process_time()
+    dealt = packing.difference(lengths, 3000)
+    assert time.process_time() - begun < 5
+    assert sorted(k for w in dealt for k in w) == list(range(6000)) and len(dealt) == 3000
+    loads = [sum(lengths[k] for k in w) for w in dealt]
+    assert max(loads) - min(loads) < 40
