@@ -209,3 +209,41 @@ def test_small_files_on_a_store_without_a_file_context(spark, tmp_dir):
             assert read_text(spark, "viewfs://store/in/state") == text
     finally:
         conf.set(name, bound)
+
+
+def test_an_unshared_folder_gives_way_to_a_shared_warehouse(as_cluster, monkeypatch, tmp_dir):
+    """The trial finds the configured folder on each executor's own disk, the warehouse on a shared one."""
+    taken = [f"file:{tmp_dir}"]
+    monkeypatch.setattr(as_cluster.sparkContext, "getCheckpointDir", lambda: taken[-1])
+    monkeypatch.setattr(as_cluster.sparkContext, "setCheckpointDir", taken.append)
+    monkeypatch.setattr(session_module, "_is_shared", lambda path, *_: not path.startswith(f"file:{tmp_dir}"))
+    with pytest.warns(UserWarning, match="is not shared"):
+        assert checkpoint_dir(as_cluster) == f"{as_cluster.conf.get('spark.sql.warehouse.dir')}/quarry-checkpoints"
+
+
+def test_local_cluster_has_no_private_folder(monkeypatch):
+    """Executors of ``local-cluster`` are processes with a temporary folder of their own."""
+    monkeypatch.setattr(session_module, "_is_shared", lambda *_: True)
+    conf = {"spark.sql.warehouse.dir": "file:/shared/warehouse"}
+    monkeypatch.setattr(session_module, "_on_local_disk", lambda *_: True)
+    assert checkpoint_dir(_Session("local-cluster[3,4,10240]", conf)) == "file:/shared/warehouse/quarry-checkpoints"
+    set_dir = {**conf, "spark.checkpoint.dir": "file:/shared/ckpt"}
+    assert checkpoint_dir(_Session("local-cluster[3,4,10240]", set_dir)) == "file:/shared/ckpt"
+
+
+def test_a_session_without_a_context_has_a_trial_too(spark, monkeypatch, tmp_dir):
+    class Connect(_ConnectLike):
+        range, read = spark.range, spark.read
+
+    monkeypatch.setattr(session_module, "_trials", {})
+    conf = {"spark.checkpoint.dir": f"file:{tmp_dir}", "spark.master": "spark://master:7077"}
+    assert checkpoint_dir(Connect(conf)) == f"file:{tmp_dir}"
+
+
+def test_a_trial_whose_files_cannot_be_deleted_still_counts(as_cluster, monkeypatch, tmp_dir):
+    def refused(*_):
+        raise OSError("no permission")
+
+    monkeypatch.setattr(session_module, "_target", refused)
+    with pytest.warns(UserWarning, match="stay in"):
+        assert checkpoint_dir(as_cluster) == f"file:{tmp_dir}"
