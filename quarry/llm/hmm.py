@@ -70,6 +70,9 @@ FRACTION = 256                # the last pass adds expected counts in whole part
 ROW_BLOCK = 1 << 15           # rows of expected counts passed on together
 END = b""                     # the end token among the counted words
 WORD_ROW, OWN_ROW, EDGE_ROW = 0, 1, 2     # kinds of sums of the last pass
+#: Parquet looks at sizes after 100 rows, if not told otherwise: pages and row groups, and what
+#: writers and readers hold of them off the heap, would be as large as all chunks of a task.
+LARGE_ROWS = {"compression": "zstd", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size": str(1 << 22)}
 
 
 @dataclass(frozen=True)
@@ -236,7 +239,7 @@ def encode(docs: DataFrame, symbols: Symbols) -> DataFrame:
         return_memory()
 
     coded = docs.select("doc_id", "text", "held_out").mapInArrow(run, ENCODED)
-    return write_shared(coded.withColumn("chunk", F.monotonically_increasing_id()), "encoded")
+    return write_shared(coded.withColumn("chunk", F.monotonically_increasing_id()), "encoded", **LARGE_ROWS)
 
 
 def documents_of(ids: np.ndarray, lengths: bytes) -> list[np.ndarray]:

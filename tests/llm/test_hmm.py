@@ -203,3 +203,19 @@ def test_a_pass_holds_few_bytes_a_token():
     finally:
         tracemalloc.stop()
     assert peak < 4 * 8 * 4 * sum(map(len, docs))
+
+
+def test_encoded_chunks_are_written_apart(spark):
+    """Row groups and pages of the encoded table hold a few chunks, however many a task writes."""
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10**6, size=250_000).tolist()) for _ in range(24)]
+    docs = spark.createDataFrame([(i, t.encode(), False) for i, t in enumerate(texts)], "doc_id long, text binary, held_out boolean").coalesce(1)
+    nothing = np.zeros(hmm.TAIL_SYMBOLS)
+    encoded = hmm.encode(docs, hmm.Symbols([], np.zeros(0, dtype=np.int64), 0, nothing, nothing, 0, 0))
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in encoded.inputFiles()]
+    groups = [f.metadata.row_group(k) for f in files for k in range(f.metadata.num_row_groups)]
+    rows = encoded.count()
+    assert rows >= 4 and len(groups) == rows              # each chunk here has more than a row group's 4 MiB
+    assert {g.column(0).compression for g in groups} == {"ZSTD"}
