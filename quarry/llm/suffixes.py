@@ -43,13 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_schema, batches_of, ddl, utf8, write_shared
+from quarry.llm.common import arrow_schema, batches_of, ddl, return_memory, utf8, write_shared
 
 MIN_BYTES = 200
 GRAM_BYTES = 40
 GROUP_LIMIT = 2048
 BLOCK_BYTES = 1 << 18
-CHUNK_BYTES = 1 << 21         # bytes hashed at a time; longer texts are cut into overlapping segments
+CHUNK_BYTES = 1 << 19         # half the bytes hashed at a time; longer texts are cut into overlapping segments
 PART_WINDOWS = 8              # windows of a part, in large anchor groups
 PLACE_BITS = 23               # of a place in a chunk; the rest of the key orders by hash
 
@@ -72,11 +72,13 @@ class Hashes:
         n = len(data)
         with np.errstate(over="ignore"):
             power = np.full(n, BASE, dtype=np.uint64)
-            inverse = np.full(n + 1, BASE_INVERSE, dtype=np.uint64)
-            power[:1], inverse[0] = 1, 1
-            self.inverse = np.cumprod(inverse, dtype=np.uint64)
+            self.inverse = np.full(n + 1, BASE_INVERSE, dtype=np.uint64)
+            power[:1], self.inverse[0] = 1, 1
+            np.cumprod(self.inverse, out=self.inverse)
+            np.cumprod(power, out=power)
+            power *= BYTE_VALUES[data]
             self.sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(BYTE_VALUES[data] * np.cumprod(power, dtype=np.uint64), out=self.sums[1:])
+            np.cumsum(power, out=self.sums[1:])
 
     def of(self, start, end) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -156,6 +158,7 @@ def _pieces(min_bytes: int, gram: int):
                     size += len(part)
         if held:
             yield from emit()
+        return_memory()
 
     return run
 
@@ -266,6 +269,7 @@ def _sort_groups(min_bytes: int):
                 size += len(row[3])
         if block:
             yield from emit()
+        return_memory()
 
     return run
 
@@ -435,6 +439,7 @@ def _remove(min_bytes: int, with_text: bool):
                     yield from batches_of(schema, columns)
                     columns, size = {f.name: [] for f in schema}, 0
             yield from batches_of(schema, columns)
+        return_memory()
 
     return run
 

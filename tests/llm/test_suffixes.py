@@ -85,3 +85,22 @@ def test_empty_table_and_kept_bytes(docs_frame):
     rows = suffixes.remove_repeats(docs_frame([(1, "head " + same + " tail"), (2, same)])).collect()
     by = {r.doc_id: r for r in rows}
     assert bytes(by[1].kept) == b"head  tail" and by[1].span_starts == [5] and by[1].span_ends == [325]
+
+
+def test_memory_of_pieces_is_bounded():
+    """Many texts are hashed a few at a time: over 16 MB of them no more than 100 MB are held at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 123, size=4000, dtype=np.uint8)) for _ in range(4000)]
+    batch = pa.record_batch([pa.array(range(4000)), pa.array(range(4000)), pa.array(texts, pa.binary())], names=["doc_id", "text_hash", "text"])
+    tracemalloc.start()
+    try:
+        windows = sum(sum(b.column("windows").to_pylist()) for b in suffixes._pieces(200, 40)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert windows == 4000 * 3801
+    assert peak < 100 << 20
