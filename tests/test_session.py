@@ -247,3 +247,56 @@ def test_a_trial_whose_files_cannot_be_deleted_still_counts(as_cluster, monkeypa
     monkeypatch.setattr(session_module, "_target", refused)
     with pytest.warns(UserWarning, match="stay in"):
         assert checkpoint_dir(as_cluster) == f"file:{tmp_dir}"
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark):
+    """90 orders with up to 7 lines each, and 12 documents."""
+    import os
+    import tempfile
+
+    from quarry.plans.fixtures import CLUSTER_KEYWORDS
+
+    folder = tempfile.mkdtemp(prefix="quarry-test-")
+    texts = ["the and of that", "in en la\nthe", "of in the", "zzzz", "", "and the in of"]
+    rows = {
+        "documents": ("doc_id long, text string", [(d, texts[d % 6]) for d in range(12)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderpriority string",
+                   [(k, k * 7 % 11, (CLUSTER_KEYWORDS + ["5-LOW"])[k % 5]) for k in range(1, 91)]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double",
+                     [(k, n, float(k * n % 50 + 1), 900.25 + k * n * 7919 % 70000) for k in range(1, 91) for n in range(1, k % 8)]),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(os.path.join(folder, f"{name}.parquet"))
+    return folder
+
+
+@pytest.mark.parametrize("name", [
+    "diary_column_hours", "diary_read", "keyword_conjunction", "keyword_pair_counts", "keyword_rank_bitmaps", "kmeans_converged",
+    "kmeans_fixed", "kmeans_trace", "nearest_assignment", "postings_file_scan", "program_clusters", "program_clusters_default",
+    "program_diary", "program_keywords",
+])
+def test_queries_with_intermediate_tables_run_on_a_cluster(as_cluster, small_tables, tmp_dir, name):
+    """All rows of the SQL, with every intermediate table in the folder that the trial found shared."""
+    import os
+
+    import duckdb
+
+    import __spark_entry__ as entry
+    from quarry.session import _scratch
+
+    mark = scratch_mark()
+    df = entry.queries()[name](as_cluster, small_tables)
+    found = [tuple(r) for r in df.collect()]
+    written = _scratch[mark:]
+    assert written and all(p.startswith(f"file:{tmp_dir}/") and os.path.isdir(p.removeprefix("file:")) for p in written)
+    con = duckdb.connect()
+    for table in ("documents", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{small_tables}/{table}.parquet/*.parquet')")
+    wanted = con.execute(entry.oracle_sql()[name])
+    at = [[d[0] for d in wanted.description].index(c) for c in df.columns]
+
+    def rows(values):
+        return sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in values], key=repr)
+
+    assert rows(found) == rows(tuple(r[i] for i in at) for r in wanted.fetchall()) and found
